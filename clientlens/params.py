@@ -1,0 +1,25 @@
+"""Parameters of the analyses on the driver test tables (role mapping in roles.py).
+
+orders span 1995-01-01..2001-08-01 with order totals of 1e3..5e5, so the
+reference day is the day after the last order and the amount thresholds are
+the default ones times 2,500; with these every score 1..5 occurs.
+"""
+
+AS_OF_ORDERS = "2001-08-02"
+ORDERS_MONETARY = (2_500_000.0, 1_875_000.0, 1_250_000.0, 625_000.0)
+
+# Alert thresholds per event type (event value read as a percentage reading);
+# purchases carry no threshold, so they never alert.
+EVENT_THRESHOLDS = (
+    ("view", "View", 150.0),
+    ("click", "Click", 150.0),
+    ("signup", "Signup", 150.0),
+    ("error", "Error", 100.0),
+)
+
+# Three fixed centres in the standardised (value, hour, is_purchase) space.
+FIXED_CENTRES = (
+    (-0.5, -1.0, -0.5),
+    (1.5, 0.0, -0.5),
+    (0.0, 0.5, 2.0),
+)

@@ -2,7 +2,7 @@
 
 from clientlens.functions.scores import score_ladder
 from clientlens.functions.calendar import weekday, hour_of_day, year_of, days_between
-from clientlens.functions.numeric import round_doubles, bucket_of, nearest_centre, safe_ratio
+from clientlens.functions.numeric import round_doubles, bucket_of, bucket_sql, nearest_centre, safe_ratio
 
 __all__ = ["score_ladder", "weekday", "hour_of_day", "year_of", "days_between",
-           "round_doubles", "bucket_of", "nearest_centre", "safe_ratio"]
+           "round_doubles", "bucket_of", "bucket_sql", "nearest_centre", "safe_ratio"]

@@ -22,24 +22,31 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num, den)
 
 
-def bucket_of(x: Column, bounds: Sequence[float]) -> Column:
-    """Index of the bucket of ``x`` among sorted literal ``bounds``.
+def bucket_sql(x: str, bounds: Sequence[float]) -> str:
+    """SQL text of the bucket index of ``x`` among sorted literal ``bounds``.
 
     Bucket ``i`` holds ``bounds[i-1] < x <= bounds[i]``; values above the last
-    bound go to ``len(bounds)``. Built as a balanced CASE tree, so a row costs
+    bound go to ``len(bounds)``. A balanced CASE tree: a row costs
     log2(len(bounds)) comparisons inside generated code.
     """
-    bounds = list(bounds)
+    bounds = [float(b) for b in bounds]
 
-    def tree(lo: int, hi: int) -> Column:  # answer lies in [lo, hi]
+    def tree(lo: int, hi: int) -> str:  # answer lies in [lo, hi]
         if lo == hi:
-            return F.lit(lo)
+            return str(lo)
         mid = (lo + hi) // 2
-        return F.when(x <= F.lit(float(bounds[mid])), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return f"CASE WHEN {x} <= {bounds[mid]!r}D THEN {tree(lo, mid)} ELSE {tree(mid + 1, hi)} END"
 
     return tree(0, len(bounds))
 
 
+def bucket_of(x: str, bounds: Sequence[float]) -> Column:
+    """Column form of ``bucket_sql`` (``x`` is a column name or SQL expression);
+    built as one SQL string, so a large tree costs one parse, not one JVM call
+    per node."""
+    return F.expr(bucket_sql(x, bounds))
+
+
 def nearest_centre(features: Sequence[Column], centres: Sequence[Sequence[float]]) -> Column:
     """Id of the nearest centre by squared euclidean distance; lowest id on ties.
 

@@ -72,9 +72,10 @@ def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
         F.count(F.lit(1)).alias("n"),
         F.collect_list(F.when(F.col("kind") == 1, edge)).alias("edges"))
 
-    e = F.array_sort("edges")  # by (partition, side): head before tail within a slice
-    steps = F.transform(F.sequence(F.lit(2), F.size(e)),
-                        lambda j: F.struct(F.element_at(e, j - 1).alias("a"), F.element_at(e, j).alias("b")))
+    # sort the edge list once, in its own projection (not inlined into the lambdas)
+    grouped = grouped.select("kind", "prev", "cat", "n", F.array_sort("edges").alias("e"))
+    steps = F.transform(F.sequence(F.lit(2), F.size("e")), lambda j: F.struct(
+        F.element_at("e", j - 1).alias("a"), F.element_at("e", j).alias("b")))
     seams = F.filter(steps, lambda s: (s["b"]["side"] == 0) & (s["a"]["side"] == 1)
                      & s["a"]["c"].eqNullSafe(s["b"]["c"]) & s["a"]["k"].isNotNull())
     pair_t = StructType([StructField("prev", ktype), StructField("cat", ktype), StructField("n", LongType())])

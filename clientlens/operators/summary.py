@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clientlens.functions.numeric import bucket_of
+from clientlens.functions.numeric import bucket_sql
+from clientlens.session import checkpoint_dir
 from clientlens.roles import Roles
 
 PERCENTILES = (0.25, 0.5, 0.75)
@@ -14,35 +16,53 @@ PERCENTILES = (0.25, 0.5, 0.75)
 
 # ---------------------------------------------------------------- describe
 def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = PERCENTILES,
-             buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+             buckets: int = 64, accuracy: int = 10000, checkpoint: bool = False) -> DataFrame:
     """count, mean, std (sample), min, exact linear percentiles, max per column.
 
-    Long form: one row per column. Percentiles are exact (linear interpolation
-    between order statistics, as pandas ``describe``) and distributed:
-
-    * values are first reduced to (value, multiplicity), so a hot value is one row;
-    * the distinct values are cut into ``buckets`` ranges by approximate
-      quantile bounds (a fixed-size sketch, collected: columns x buckets numbers);
-    * a running count inside each range plus the totals of earlier ranges gives
-      every distinct value its rank interval; the few values whose interval
-      holds a target rank are kept and interpolated.
-
-    No step gathers a column into one task; the only single-group steps hold
-    ``columns x buckets`` rows.
+    Long form, one row per column (``variable``); the percentiles are exact
+    (linear interpolation between order statistics, as pandas ``describe``)
+    and computed without a global sort or a per-column task:
+
+    1. the input is reduced to ``(variable, value, multiplicity)`` (partial
+       aggregation: a hot value is one row per task). ``checkpoint=True``
+       writes this table to the cluster's checkpoint folder first, for inputs
+       that are expensive to recompute;
+    2. one bounded collect (one row per column): n, mean = sum(m*x)/n, min,
+       max and ``buckets-1`` approximate quantile bounds of the distinct
+       values (a fixed-size sketch). Ranks (n-1)*p and means are then
+       literals, and the bucket of a value is a literal comparison tree;
+    3. a running count inside each (column, bucket) and the totals of earlier
+       buckets give every distinct value its rank interval; bucket totals and
+       sum(m*(x-mean)^2) (two-pass variance) come from the same partitioned
+       window output; the values holding a target rank are kept and
+       interpolated.
+
+    The only single-group steps hold ``columns x buckets`` rows.
     """
     cols = list(columns)
-    names = [_pname(p) for p in percentiles]
-    moments = df.agg(*[e for c in cols for e in (
-        F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"), F.stddev(c).alias(f"{c}__std"),
-        F.min(F.col(c).cast("double")).alias(f"{c}__min"),
-        F.max(F.col(c).cast("double")).alias(f"{c}__max"))])
-    moments = moments.select(F.inline(F.array(*[F.struct(
-        F.lit(c).alias("variable"), F.col(f"{c}__n").alias("count"), F.col(f"{c}__mean").alias("mean"),
-        F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
-        F.col(f"{c}__max").alias("max")) for c in cols])))
-
-    q = exact_percentiles(df, cols, percentiles, buckets, accuracy)
-    out = moments.join(F.broadcast(q), "variable", "left")  # q has len(cols) rows
+    probs = list(percentiles)
+    names = [_pname(p) for p in probs]
+    vc = value_counts(df, cols)
+    if checkpoint:
+        checkpoint_dir(df.sparkSession)
+        vc = vc.checkpoint(eager=True)
+    fracs = [i / buckets for i in range(1, buckets)]
+    head = {r["variable"]: r for r in vc.groupBy("variable").agg(
+        F.sum("cnt").alias("n"), (F.sum(F.col("x") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
+        F.min("x").alias("min"), F.max("x").alias("max"),
+        F.percentile_approx("x", fracs, accuracy).alias("b")).collect()}
+    spark = df.sparkSession
+    base = spark.createDataFrame(
+        [(c, i, int(head[c]["n"]) if c in head else 0, *(
+            (float(head[c]["mean"]), float(head[c]["min"]), float(head[c]["max"])) if c in head
+            else (None, None, None))) for i, c in enumerate(cols)],
+        "variable string, _o int, count long, mean double, min double, max double")
+    if not head:
+        out = base
+        for nme in ("std", *names):
+            out = out.withColumn(nme, F.lit(None).cast("double"))
+    else:
+        out = base.join(F.broadcast(_rank_stats(vc, head, probs, buckets)), "variable", "left")
     return out.select("variable", "count", "mean", "std", "min", *names, "max")
 
 
@@ -50,52 +70,63 @@ def _pname(p: float) -> str:
     return "p" + f"{p * 100:g}".replace(".", "_")
 
 
-def exact_percentiles(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float],
-                      buckets: int = 64, accuracy: int = 10000) -> DataFrame:
-    """``variable, p25, p50, ...``: exact linear-interpolated percentiles."""
-    cols = list(columns)
-    probs = list(percentiles)
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``variable, x, cnt``: the distinct non-null values of each column (as
+    double) with their multiplicity."""
     long = (df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("variable"),
-                                                    F.col(c).cast("double").alias("x")) for c in cols])))
+                                                    F.col(c).cast("double").alias("x")) for c in columns])))
               .where(F.col("x").isNotNull()))
-    vc = long.groupBy("variable", "x").agg(F.count(F.lit(1)).alias("cnt"))
-
-    # Range bounds: columns x (buckets-1) numbers from a bounded sketch.
-    fracs = [i / buckets for i in range(1, buckets)]
-    rows = vc.groupBy("variable").agg(F.percentile_approx("x", fracs, accuracy).alias("b")).collect()
-    bounds = {row["variable"]: sorted(set(row["b"] or [])) for row in rows}
-    bucket = F.lit(0)
-    for c, b in bounds.items():
-        if b:
-            bucket = F.when(F.col("variable") == c, bucket_of(F.col("x"), b)).otherwise(bucket)
-    vb = vc.withColumn("bucket", bucket)
+    return long.groupBy("variable", "x").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def _case_sql(values: dict, default: str = "NULL") -> str:
+    """``CASE variable WHEN 'c' THEN <sql> ... END`` from {column: sql text}."""
+    arms = " ".join(f"WHEN variable = '{c}' THEN {v}" for c, v in values.items())
+    return f"CASE {arms} ELSE {default} END" if arms else default
+
+
+def _rank_stats(vc: DataFrame, head: dict, probs: Sequence[float], buckets: int) -> DataFrame:
+    """``variable, std, p..`` from a value-count table and the collected head
+    stats. The per-column literals (bucket bounds, mean, target ranks and
+    fractions) are written as SQL text: one parse instead of a JVM call per
+    expression node."""
+    bucket = _case_sql({c: bucket_sql("x", sorted(set(r["b"] or []))) for c, r in head.items()}, "0")
+    mean = _case_sql({c: f"{float(r['mean'])!r}D" for c, r in head.items()})
+    tgt, frac = {}, {}
+    for c, r in head.items():
+        arr = []
+        for i, p in enumerate(probs):
+            pos = (int(r["n"]) - 1) * float(p)
+            lo, hi = math.floor(pos), math.ceil(pos)
+            frac.setdefault(i, {})[c] = f"{pos - lo!r}D"
+            arr += [f"named_struct('i', {i}, 'w', 0, 'rank', {lo}L)",
+                    f"named_struct('i', {i}, 'w', 1, 'rank', {hi}L)"]
+        tgt[c] = f"array({', '.join(arr)})"
+    n = _case_sql({c: f"{int(r['n'])}L" for c, r in head.items()})
 
     run = Window.partitionBy("variable", "bucket").orderBy("x") \
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vb = vb.withColumn("end_in", F.sum("cnt").over(run))
-    tot = vb.groupBy("variable", "bucket").agg(F.sum("cnt").alias("tot"))     # <= columns x buckets rows
-    before = Window.partitionBy("variable").orderBy("bucket") \
-                   .rowsBetween(Window.unboundedPreceding, -1)
-    tot = (tot.withColumn("off", F.coalesce(F.sum("tot").over(before), F.lit(0)))
-              .withColumn("n", F.sum("tot").over(Window.partitionBy("variable"))))
-    targets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(w).alias("w"),
-                                 ((F.col("n") - 1) * F.lit(float(p))).alias("pos"))
-                        for i, p in enumerate(probs) for w in (0, 1)])
-    tot = tot.withColumn("t", F.transform(targets, lambda t: F.struct(
-        t["i"].alias("i"), t["w"].alias("w"), (t["pos"] - F.floor(t["pos"])).alias("frac"),
-        F.when(t["w"] == 0, F.floor(t["pos"])).otherwise(F.ceil(t["pos"])).cast("long").alias("rank"))))
-    hit = (vb.join(F.broadcast(tot.select("variable", "bucket", "off", "t")), ["variable", "bucket"])
-             .select("variable", "x", (F.col("off") + F.col("end_in") - F.col("cnt")).alias("lo_rank"),
-                     (F.col("off") + F.col("end_in")).alias("hi_rank"), "t")
-             .select("variable", "x", F.explode(F.filter("t", lambda t: (t["rank"] >= F.col("lo_rank"))
-                                                       & (t["rank"] < F.col("hi_rank")))).alias("t")))
-    per_p = (hit.groupBy("variable", F.col("t.i").alias("i"))
-                .agg(F.max(F.when(F.col("t.w") == 0, F.col("x"))).alias("a"),
-                     F.max(F.when(F.col("t.w") == 1, F.col("x"))).alias("b"),
-                     F.max("t.frac").alias("frac"))
-                .withColumn("v", F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")))
-    return per_p.groupBy("variable").agg(*[
-        F.max(F.when(F.col("i") == i, F.col("v"))).alias(_pname(p)) for i, p in enumerate(probs)])
+    vb = (vc.select("variable", "x", "cnt", F.expr(bucket).alias("bucket"),
+                    F.expr(f"cnt * (x - ({mean})) * (x - ({mean}))").alias("dev"))
+            .withColumn("end_in", F.sum("cnt").over(run)))
+    # same clustering as the window: no new exchange; <= columns x buckets rows
+    tot = vb.groupBy("variable", "bucket").agg(F.sum("cnt").alias("tot"), F.sum("dev").alias("ss"))
+    before = Window.partitionBy("variable").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select("variable", "bucket", F.coalesce(F.sum("tot").over(before), F.lit(0)).alias("off"),
+                     F.sum("ss").over(Window.partitionBy("variable")).alias("ss_all"))
+    hit = (vb.join(F.broadcast(tot), ["variable", "bucket"])
+             .selectExpr("variable", "x", "ss_all",
+                         f"explode(filter({_case_sql(tgt)}, t -> t.rank >= off + end_in - cnt "
+                         f"AND t.rank < off + end_in)) AS t"))
+    aggs = ["max(ss_all) AS _ss"]
+    for i in range(len(probs)):
+        aggs += [f"max(CASE WHEN t.i = {i} AND t.w = 0 THEN x END) AS _a{i}",
+                 f"max(CASE WHEN t.i = {i} AND t.w = 1 THEN x END) AS _b{i}"]
+    res = hit.groupBy("variable").agg(*[F.expr(a) for a in aggs])
+    out = ["variable", f"CASE WHEN ({n}) > 1 THEN sqrt(_ss / (({n}) - 1)) END AS std"]
+    for i, p in enumerate(probs):
+        out.append(f"_a{i} + (_b{i} - _a{i}) * ({_case_sql(frac[i])}) AS {_pname(p)}")
+    return res.selectExpr(*out)
 
 
 # ---------------------------------------------------------------- histogram

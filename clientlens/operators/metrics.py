@@ -35,6 +35,10 @@ def metric_alerts(df: DataFrame, thresholds: Sequence[tuple] = DEFAULT_THRESHOLD
     metric given by the caller, so broadcasting it is bounded; stateless, so it
     runs in append mode on a stream."""
     t = F.broadcast(thresholds_frame(df.sparkSession, thresholds))
+    # implied literal filter: reaches the parquet scan (row-group skipping)
+    # before the join re-checks each row against its own threshold
+    df = df.where(F.col(metric).isin([m for m, _, _ in thresholds])
+                  & (F.col(value) > F.lit(min(float(x) for _, _, x in thresholds))))
     return (df.join(t, df[metric] == t["metric"])
               .where(df[value] > t["threshold"])
               .select(df[ts].alias(ts), df[node].alias(node), df[metric].alias(metric),

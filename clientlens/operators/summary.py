@@ -136,24 +136,27 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     capped at ``bins-1``. When min = max the range is widened by 0.5 on both
     sides (numpy's rule), so the single value lands in the middle bin.
 
-    min/max come from one scalar subquery (one row, computed once); counting is
-    a partial aggregation on the bin number; the bin axis is ``bins`` rows.
+    min/max are one aggregated row (collected: two numbers), so the counting
+    pass is a single scan with a partial aggregation on the bin number; the
+    bin axis is ``bins`` rows.
     """
     x = F.col(col).cast("double")
-    rng = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
-    lo = F.when(rng["hi"] > rng["lo"], rng["lo"]).otherwise(rng["lo"] - F.lit(0.5))
-    hi = F.when(rng["hi"] > rng["lo"], rng["hi"]).otherwise(rng["hi"] + F.lit(0.5))
-    b = F.least(F.floor((x - lo) * (F.lit(float(bins)) / (hi - lo))), F.lit(bins - 1)).cast("int")
-    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    lo0, hi0 = df.select(F.min(x), F.max(x)).first()
     axis = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    width = (hi - lo) / F.lit(float(bins))
-    return (axis.join(counts, "bin", "left")
+    if lo0 is None:
+        return axis.select("bin", F.lit(None).cast("double").alias("bin_start"),
+                           F.lit(None).cast("double").alias("bin_end"), F.lit(0).cast("long").alias("count"))
+    lo, hi = (lo0, hi0) if hi0 > lo0 else (lo0 - 0.5, hi0 + 0.5)
+    scale = float(bins) / (hi - lo)
+    width = (hi - lo) / float(bins)
+    b = F.least(F.floor((x - F.lit(lo)) * F.lit(scale)), F.lit(bins - 1)).cast("int")
+    counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    return (axis.join(F.broadcast(counts), "bin", "left")   # counts: <= bins rows
                 .select("bin",
-                        (lo + F.col("bin") * width).alias("bin_start"),
-                        F.when(F.col("bin") == bins - 1, hi).otherwise(lo + (F.col("bin") + 1) * width)
-                         .alias("bin_end"),
-                        F.coalesce(F.col("count"), F.lit(0).cast("long")).alias("count"))
-                .orderBy("bin"))
+                        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
+                        F.when(F.col("bin") == bins - 1, F.lit(hi))
+                         .otherwise(F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
+                        F.coalesce(F.col("count"), F.lit(0).cast("long")).alias("count")))
 
 
 # ---------------------------------------------------------------- bar data

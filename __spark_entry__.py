@@ -26,9 +26,9 @@ from clientlens.operators import (alert_messages, assemble_scale, category_reven
                                   cluster_stats, customer_summary, describe, distinct_count, encode_flag,
                                   global_stats, histogram, hourly_patterns, kmeans_assign, kmeans_fit,
                                   label_segments, latest_metric, mean_interval, melt, metric_alerts,
-                                  metric_history, retention_by_year, rfm, scatter_points, segment_members,
-                                  segment_profile, standardize, top_customers, vector_columns,
-                                  weekday_patterns)
+                                  metric_history, processing_stats, retention_by_year, rfm, scatter_points,
+                                  segment_members, segment_profile, standardize, top_customers,
+                                  vector_columns, weekday_patterns)
 from clientlens.params import AS_OF_ORDERS, EVENT_THRESHOLDS, FIXED_CENTRES, ORDERS_MONETARY
 from clientlens.plans.insights import RFM_DESCRIBED
 from clientlens.roles import EVENTS, ORDERS
@@ -134,6 +134,15 @@ def q_cluster_stats(spark, sf):
     return cluster_stats(_assigned(spark, sf), "cluster", "value", age="hour")
 
 
+def q_cluster_amount_stats(spark, sf):
+    # the statistics table the segmentation job saves (no age column)
+    return cluster_stats(_assigned(spark, sf), "cluster", "value")
+
+
+def q_processing_stats(spark, sf):
+    return processing_stats(_assigned(spark, sf), "cluster")
+
+
 def q_segment_long(spark, sf):
     return melt(q_cluster_stats(spark, sf), ["cluster"], ["age_moyen", "montant_moyen"])
 
@@ -227,6 +236,8 @@ _QUERIES = {
     "segment_profile": q_segment_profile,
     "segment_members": q_segment_members,
     "cluster_stats": q_cluster_stats,
+    "cluster_amount_stats": q_cluster_amount_stats,
+    "processing_stats": q_processing_stats,
     "segment_long": q_segment_long,
     "segment_labels": q_segment_labels,
     "kmeans_fit": q_kmeans_fit,
@@ -424,6 +435,11 @@ FROM ({_ASSIGNED_SQL}) a GROUP BY cluster""",
     "segment_members": f"""
 SELECT cluster, event_type AS segment, count(*) AS n FROM ({_ASSIGNED_SQL}) a GROUP BY cluster, event_type""",
     "cluster_stats": _CLUSTER_STATS_SQL,
+    "cluster_amount_stats": f"""
+SELECT cluster, count(*) AS nombre_clients, avg(value) AS montant_moyen,
+       stddev_samp(value) AS ecart_type_montant FROM ({_ASSIGNED_SQL}) a GROUP BY cluster""",
+    "processing_stats": f"""
+SELECT count(*) AS nombre_clients, count(DISTINCT cluster) AS nombre_segments FROM ({_ASSIGNED_SQL}) a""",
     "segment_long": f"""
 SELECT cluster, 'age_moyen' AS metric, age_moyen AS value FROM ({_CLUSTER_STATS_SQL}) s
 UNION ALL
@@ -481,6 +497,7 @@ _DOUBLES = {
     "scaled_features": ["z_value", "z_hour", "z_flag"],
     "segment_profile": ["age_moyen", "montant_moyen"],
     "cluster_stats": ["age_moyen", "montant_moyen", "ecart_type_montant"],
+    "cluster_amount_stats": ["montant_moyen", "ecart_type_montant"],
     "segment_long": ["value"],
     "describe_amount": ["mean", "std", "min", "p25", "p50", "p75", "max"],
     "rfm_describe": ["mean", "std", "min", "p25", "p50", "p75", "max"],

@@ -12,6 +12,6 @@ from clientlens.operators.summary import (describe, value_counts, histogram, mea
 from clientlens.operators.features import encode_flag, assemble_scale, standardize, vector_columns
 from clientlens.operators.clustering import (kmeans_fit, centres_frame, kmeans_assign, stable_numbering,
                                              segment_profile, segment_members, cluster_stats,
-                                             label_segments)
+                                             label_segments, processing_stats)
 from clientlens.operators.metrics import (thresholds_frame, metric_alerts, alert_messages,
                                           latest_metric, metric_history)

@@ -92,3 +92,10 @@ def label_segments(stats: DataFrame, cluster: str = "cluster", by: str = "montan
                      F.coalesce(F.try_element_at(nm, F.col("rang")),
                                 F.concat(F.lit("Segment "), F.col("rang").cast(StringType()))).alias("segment"),
                      F.try_element_at(ad, F.col("rang")).alias("recommandation"))
+
+
+def processing_stats(df: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """One row: processed rows and number of distinct clusters (the job's
+    closing summary)."""
+    return df.agg(F.count(F.lit(1)).alias("nombre_clients"),
+                  F.countDistinct(cluster).alias("nombre_segments"))

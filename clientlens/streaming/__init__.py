@@ -1,7 +1,8 @@
 """Structured Streaming entry points for metric samples."""
 
 from clientlens.streaming.monitor import (read_metric_stream, alerts_stream, messages_stream,
-                                          latest_stream, history_stream, start_query)
+                                          latest_stream, history_stream, start_query,
+                                          start_monitor)
 
 __all__ = ["read_metric_stream", "alerts_stream", "messages_stream", "latest_stream",
-           "history_stream", "start_query"]
+           "history_stream", "start_query", "start_monitor"]

@@ -69,3 +69,52 @@ def start_query(df: DataFrame, name: str, output_mode: str = "append", sink: str
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def _overwrite_each_batch(path: str, fmt: str):
+    def write(batch: DataFrame, epoch: int) -> None:
+        # complete-mode result: the whole (bounded) latest-value table, rewritten idempotently
+        batch.write.mode("overwrite").format(fmt).save(path)
+    return write
+
+
+def start_monitor(spark: SparkSession, source: str, out: str,
+                  thresholds: Sequence[tuple] = DEFAULT_THRESHOLDS, width: str = "1 hour",
+                  watermark: str = "10 minutes", schema: StructType = METRIC_SAMPLE,
+                  fmt: str = "parquet", name: str = "monitor", available_now: bool = False,
+                  processing_time: str = "60 seconds", max_files_per_trigger: int | None = None,
+                  ts: str = "ts", node: str = "node", metric: str = "metric",
+                  value: str = "value") -> dict[str, StreamingQuery]:
+    """The monitoring loop as four streaming queries over one source of
+    metric samples (default trigger: every 60 s):
+
+    * ``alerts``   one row per breach, appended to ``<out>/alerts``;
+    * ``messages`` one combined message per (node, ts), appended once the
+      watermark passes the sample;
+    * ``history``  closed ``width`` windows per (node, metric), appended;
+    * ``latest``   latest value per (node, metric): complete mode, the table
+      (one row per key) rewritten at ``<out>/latest`` after each micro-batch.
+
+    Checkpoints live under the cluster's checkpoint folder, so every query
+    resumes where it stopped.
+    """
+    ck = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    stream = read_metric_stream(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
+    cols = dict(ts=ts, node=node, metric=metric, value=value)
+    trig = dict(available_now=available_now, processing_time=None if available_now else processing_time)
+    qs = {
+        "alerts": start_query(alerts_stream(stream, thresholds, **cols), f"{name}_alerts", sink=fmt,
+                              path=f"{out}/alerts", checkpoint=f"{ck}/alerts", **trig),
+        "messages": start_query(messages_stream(stream, watermark, thresholds, **cols), f"{name}_messages",
+                                sink=fmt, path=f"{out}/messages", checkpoint=f"{ck}/messages", **trig),
+        "history": start_query(history_stream(stream, width, watermark, keys=(node, metric), ts=ts, value=value),
+                               f"{name}_history", sink=fmt, path=f"{out}/history",
+                               checkpoint=f"{ck}/history", **trig),
+    }
+    w = (latest_stream(stream, keys=(node, metric), ts=ts, value=value).writeStream
+         .queryName(f"{name}_latest").outputMode("complete")
+         .option("checkpointLocation", f"{ck}/latest")
+         .foreachBatch(_overwrite_each_batch(f"{out}/latest", fmt)))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    qs["latest"] = w.start()
+    return qs

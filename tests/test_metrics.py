@@ -104,3 +104,23 @@ def test_stream_history_watermark_drops_late_rows(spark, tmp_dir):
                     available_now=True)
     q.awaitTermination()
     assert spark.sql("SELECT * FROM msg_t").count() == 0  # only the dropped late row breached
+
+
+def test_monitor_loop(spark, tmp_dir, samples):
+    from clientlens.streaming import start_monitor
+    src = f"{tmp_dir}/mon_in"
+    rows = _samples()
+    _write_batches(spark, src, [rows[:4], rows[4:8], rows[8:]])
+    qs = start_monitor(spark, src, f"{tmp_dir}/mon_out", name="mon_t", available_now=True,
+                       max_files_per_trigger=1, watermark="5 minutes")
+    for q in qs.values():
+        q.awaitTermination()
+    alerts = spark.read.parquet(f"{tmp_dir}/mon_out/alerts")
+    assert alerts.count() == metric_alerts(samples).count() == 4
+    latest = {(r["node"], r["metric"]): r["value"] for r in spark.read.parquet(f"{tmp_dir}/mon_out/latest").collect()}
+    assert latest == {(r["node"], r["metric"]): r["value"] for r in latest_metric(samples).collect()}
+    # the 10:00 window closed once the 11:10 sample moved the watermark
+    hist = spark.read.parquet(f"{tmp_dir}/mon_out/history").where("metric = 'cpu' AND node = 'n1'").collect()
+    assert [(r["n"], r["max"]) for r in hist] == [(2, 95.5)]
+    msgs = spark.read.parquet(f"{tmp_dir}/mon_out/messages").collect()
+    assert sorted(r["n_alerts"] for r in msgs) == [1, 2]

@@ -6,8 +6,9 @@ Role mapping onto the test tables:
           category=o_orderpriority, id=o_orderkey
 
 Every registered query reads whole tables. Double outputs are rounded to 4
-decimals on both sides (``round_doubles`` / ``round(x, 4)``) so the summation
-order of two engines cannot change the compared values.
+decimals on both sides, the same way (``round_doubles`` / ``round(CAST(x AS
+DECIMAL(38,10)), 4)``), so the summation order of two engines cannot change the
+compared values.
 """
 
 from __future__ import annotations
@@ -485,7 +486,8 @@ FROM events GROUP BY 1, 2, 3""",
 }
 
 
-# Double output columns per query, rounded to 4 decimals as ``round_doubles`` does.
+# Double output columns per query, rounded to 4 decimals as ``round_doubles``
+# does: fixed to decimal(38,10) first, then rounded half up.
 _DOUBLES = {
     "rfm_scores": ["montant_total", "rfm_score"],
     "weekday_patterns": ["montant_moyen", "montant_total"],
@@ -519,7 +521,7 @@ def _round_sql(name: str, sql: str) -> str:
     cols = _DOUBLES.get(name)
     if not cols:
         return sql.strip()
-    rep = ", ".join(f"round({c}, 4) AS {c}" for c in cols)
+    rep = ", ".join(f"round(CAST({c} AS DECIMAL(38,10)), 4)::DOUBLE AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({sql.strip()}\n) q"
 
 

@@ -9,19 +9,20 @@ from pyspark.sql.types import DoubleType, FloatType
 
 
 def round_doubles(df: DataFrame, scale: int = 4) -> DataFrame:
-    """Round every floating column to ``scale`` decimals (half up), keep the rest."""
+    """Round every floating column to ``scale`` decimals, half up, through
+    ``decimal(38,10)``: the double is first fixed to 10 decimals, then rounded,
+    so an exact decimal tie (e.g. a mean of 58.47375) rounds the same way in
+    any engine that does the same casts. Values outside decimal(38,10) fall
+    back to a plain double round."""
+    def r(c):
+        return F.coalesce(F.round(F.col(c).try_cast("decimal(38,10)"), scale).cast("double"),
+                          F.round(F.col(c), scale))
     return df.select([
-        F.round(F.col(f.name), scale).alias(f.name)
-        if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
+        r(f.name).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType)) else F.col(f.name)
         for f in df.schema.fields
     ])
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den, null when den is 0 or null (ANSI-safe)."""
-    return F.try_divide(num, den)
-
-
 def bucket_sql(x: str, bounds: Sequence[float]) -> str:
     """SQL text of the bucket index of ``x`` among sorted literal ``bounds``.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from clientlens.roles import Roles
 
@@ -39,52 +38,43 @@ def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
     bounds and partition ids are computed once per execution.
     """
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ctype = df.schema[r.client].dataType
-    ktype = df.schema[r.category].dataType
+    ct = df.schema[r.client].dataType.simpleString()
+    kt = df.schema[r.category].dataType.simpleString()
     seq = (df.select(F.col(r.client).alias("_c"), F.col(r.ts).alias("_t"),
                      F.col(r.id).alias("_i"), F.col(r.category).alias("_k"))
              .repartitionByRange(n_parts, "_c", "_t", "_i")
              .withColumn("_p", F.spark_partition_id()))
-    w = Window.partitionBy("_p").orderBy("_c", "_t", "_i")
-    seq = seq.select("_p", "_c", "_k",
-                     F.lag("_c").over(w).alias("_pc"),
-                     F.lag("_k").over(w).alias("_pk"),
-                     F.row_number().over(w).alias("_rn"),
-                     F.lead(F.lit(True)).over(w).alias("_more"))
+    # Expressions are SQL text: one parse each instead of a JVM call per node.
+    w = "OVER (PARTITION BY _p ORDER BY _c, _t, _i)"
+    seq = seq.selectExpr("_p", "_c", "_k", f"lag(_c) {w} AS _pc", f"lag(_k) {w} AS _pk",
+                         f"row_number() {w} AS _rn", f"lead(true) {w} AS _more")
 
     def rec(kind, prev, cat, p, side, c, k):
-        return F.struct(F.lit(kind).alias("kind"), prev.cast(ktype).alias("prev"),
-                        cat.cast(ktype).alias("cat"), p.cast(IntegerType()).alias("p"),
-                        side.cast(IntegerType()).alias("side"), c.cast(ctype).alias("c"),
-                        k.cast(ktype).alias("k"))
+        return (f"named_struct('kind', {kind}, 'prev', CAST({prev} AS {kt}), 'cat', CAST({cat} AS {kt}), "
+                f"'p', CAST({p} AS int), 'side', CAST({side} AS int), 'c', CAST({c} AS {ct}), "
+                f"'k', CAST({k} AS {kt}))")
 
-    none = F.lit(None)
-    pair = F.when((F.col("_rn") > 1) & F.col("_pc").eqNullSafe(F.col("_c")) & F.col("_pk").isNotNull(),
-                  rec(0, F.col("_pk"), F.col("_k"), none, none, none, none))
-    head = F.when(F.col("_rn") == 1, rec(1, none, none, F.col("_p"), F.lit(0), F.col("_c"), F.col("_k")))
-    tail = F.when(F.col("_more").isNull(),
-                  rec(1, none, none, F.col("_p"), F.lit(1), F.col("_c"), F.col("_k")))
-    recs = (seq.select(F.explode(F.array(pair, head, tail)).alias("r"))
-               .where(F.col("r").isNotNull()).select("r.*"))
+    pair = (f"CASE WHEN _rn > 1 AND _pc <=> _c AND _pk IS NOT NULL "
+            f"THEN {rec(0, '_pk', '_k', 'NULL', 'NULL', 'NULL', 'NULL')} END")
+    head = f"CASE WHEN _rn = 1 THEN {rec(1, 'NULL', 'NULL', '_p', 0, '_c', '_k')} END"
+    tail = f"CASE WHEN _more IS NULL THEN {rec(1, 'NULL', 'NULL', '_p', 1, '_c', '_k')} END"
+    recs = (seq.selectExpr(f"explode(array({pair}, {head}, {tail})) AS r")
+               .where("r IS NOT NULL").select("r.*"))
 
-    edge = F.struct("p", "side", "c", "k")
     grouped = recs.groupBy("kind", "prev", "cat").agg(
         F.count(F.lit(1)).alias("n"),
-        F.collect_list(F.when(F.col("kind") == 1, edge)).alias("edges"))
-
+        F.expr("collect_list(CASE WHEN kind = 1 THEN named_struct('p', p, 'side', side, 'c', c, 'k', k) END)")
+         .alias("edges"))
     # sort the edge list once, in its own projection (not inlined into the lambdas)
-    grouped = grouped.select("kind", "prev", "cat", "n", F.array_sort("edges").alias("e"))
-    steps = F.transform(F.sequence(F.lit(2), F.size("e")), lambda j: F.struct(
-        F.element_at("e", j - 1).alias("a"), F.element_at("e", j).alias("b")))
-    seams = F.filter(steps, lambda s: (s["b"]["side"] == 0) & (s["a"]["side"] == 1)
-                     & s["a"]["c"].eqNullSafe(s["b"]["c"]) & s["a"]["k"].isNotNull())
-    pair_t = StructType([StructField("prev", ktype), StructField("cat", ktype), StructField("n", LongType())])
-    as_pairs = F.when(F.col("kind") == 0,
-                      F.array(F.struct(F.col("prev"), F.col("cat"), F.col("n")).cast(pair_t))) \
-                .otherwise(F.transform(seams, lambda s: F.struct(
-                    s["a"]["k"].alias("prev"), s["b"]["k"].alias("cat"),
-                    F.lit(1).cast(LongType()).alias("n")).cast(pair_t)))
-    pairs = grouped.select(F.explode(as_pairs).alias("x")).select("x.*")
+    grouped = grouped.selectExpr("kind", "prev", "cat", "n", "array_sort(edges) AS e")
+    pt = f"struct<prev:{kt},cat:{kt},n:bigint>"
+    seams = ("filter(transform(sequence(2, size(e)), j -> named_struct('a', element_at(e, j - 1), "
+             "'b', element_at(e, j))), s -> s.b.side = 0 AND s.a.side = 1 AND s.a.c <=> s.b.c "
+             "AND s.a.k IS NOT NULL)")
+    as_pairs = (f"CASE WHEN kind = 0 THEN array(CAST(named_struct('prev', prev, 'cat', cat, 'n', n) AS {pt})) "
+                f"ELSE transform({seams}, s -> CAST(named_struct('prev', s.a.k, 'cat', s.b.k, 'n', 1L) AS {pt})) "
+                f"END")
+    pairs = grouped.selectExpr(f"explode({as_pairs}) AS x").select("x.*")
     return (pairs.groupBy("prev", "cat").agg(F.sum("n").alias("count"))
                  .select(F.col("prev").alias(prev_name), F.col("cat").alias(r.category), "count")
                  .orderBy(F.desc("count"), F.asc_nulls_first(prev_name), F.asc_nulls_first(r.category)))

@@ -61,10 +61,9 @@ def score_rfm(base: DataFrame, as_of=None,
     montant_total`` (from ``client_rfm_base`` or renamed from the loyalty
     table, so both analyses share one shuffle)."""
     rec = days_between(_as_of_col(as_of), F.col("dernier_achat"))
-    return (base
-            .withColumn("recence", rec)
-            .withColumn("r_score", score_ladder("recence", recency, "le"))
-            .withColumn("f_score", score_ladder("frequence", frequency, "ge"))
-            .withColumn("m_score", score_ladder("montant_total", monetary, "ge"))
-            .withColumn("rfm_score",
-                        (F.col("r_score") + F.col("f_score") + F.col("m_score")) / F.lit(3.0)))
+    r_s = score_ladder(rec, recency, "le")
+    f_s = score_ladder("frequence", frequency, "ge")
+    m_s = score_ladder("montant_total", monetary, "ge")
+    # one projection; Catalyst evaluates the shared sub-expressions once per row
+    return base.select("*", rec.alias("recence"), r_s.alias("r_score"), f_s.alias("f_score"),
+                       m_s.alias("m_score"), ((r_s + f_s + m_s) / F.lit(3.0)).alias("rfm_score"))

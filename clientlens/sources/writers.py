@@ -33,3 +33,17 @@ def write_one_row_json(df: DataFrame, path: str) -> str:
     """
     df.coalesce(1).write.mode("overwrite").json(path)
     return path
+
+
+class ResultTooLarge(ValueError):
+    """Raised instead of silently truncating a result at the report edge."""
+
+
+def to_pandas_checked(df: DataFrame, max_rows: int = 100_000):
+    """Collect an aggregated result to pandas for display, refusing (not
+    truncating) results larger than ``max_rows``: at most ``max_rows + 1``
+    rows ever reach the driver."""
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ResultTooLarge(f"result has more than {max_rows} rows; aggregate it before collecting")
+    return pdf

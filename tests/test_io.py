@@ -59,3 +59,11 @@ def test_insights_report(spark, tmp_dir):
     hist = spark.read.parquet(paths["rfm_histogram"])
     assert hist.count() == 20 and hist.agg(F.sum("count")).first()[0] == ev.select("user_id").distinct().count()
     assert spark.read.parquet(paths["rfm_describe"]).count() == 7
+
+
+def test_to_pandas_checked(spark):
+    import pytest
+    from clientlens.sources import ResultTooLarge, to_pandas_checked
+    assert len(to_pandas_checked(spark.range(10), 10)) == 10
+    with pytest.raises(ResultTooLarge):
+        to_pandas_checked(spark.range(11), 10)

@@ -6,8 +6,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import (ByteType, DateType, DoubleType, IntegerType, LongType, ShortType,
+                               StringType, StructField, StructType, TimestampNTZType, TimestampType)
 
 # Alert thresholds in percent (alert when strictly greater) and labels.
 DEFAULT_THRESHOLDS = (
@@ -59,11 +60,45 @@ def alert_messages(alerts: DataFrame, ts: str = "ts", node: str = "node") -> Dat
                            lambda s: s["message"])).alias("message")))
 
 
+def _packed_order(df: DataFrame, ts: str, tie: str) -> Column | None:
+    """Exact single-value ordering key for (ts, tie): ``micros(ts) * 10^20 +
+    (tie + 2^63)`` as decimal(38,0), for a timestamp / timestamp_ntz / date /
+    integral ``ts`` and an integral ``tie``; None otherwise. A decimal buffer
+    is mutable in place, so ``max_by`` over it stays a hash aggregation (a
+    struct key forces a sort-based one). The ntz epoch offset is taken without
+    any time zone, so the key is monotone in ``ts`` whatever the session zone."""
+    tt, it = df.schema[ts].dataType, df.schema[tie].dataType
+    if not isinstance(it, (ByteType, ShortType, IntegerType, LongType)):
+        return None
+    q = f"`{ts}`"
+    if isinstance(tt, TimestampType):
+        micros = f"unix_micros({q})"
+    elif isinstance(tt, TimestampNTZType):
+        micros = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {q})"
+    elif isinstance(tt, DateType):
+        micros = f"unix_date({q})"
+    elif isinstance(tt, (ByteType, ShortType, IntegerType, LongType)):
+        micros = f"CAST({q} AS BIGINT)"
+    else:
+        return None
+    d = "DECIMAL(38,0)"
+    return F.expr(f"CAST({micros} AS {d}) * CAST('100000000000000000000' AS {d}) "
+                  f"+ (CAST(`{tie}` AS {d}) + CAST('9223372036854775808' AS {d}))")
+
+
 def latest_metric(df: DataFrame, keys: Sequence[str] = ("node", "metric"), ts: str = "ts",
                   value: str = "value", tie: str | None = None) -> DataFrame:
-    """Latest reading per key (a gauge): ``max_by`` over (ts, tie) with a
-    partial aggregation, so each task ships one row per key."""
-    order = F.struct(ts, tie) if tie else F.col(ts)
+    """Latest reading per key (a gauge): ``max_by`` over (ts, tie), a hash
+    aggregation with a partial step, so each task ships one row per key.
+    Without ``tie`` equal times resolve arbitrarily; with an integral ``tie``
+    the pair is packed into one exact decimal key; other tie types use a
+    struct key (sort-based aggregation, still partial)."""
+    if tie is None:
+        order = F.col(ts)
+    else:
+        order = _packed_order(df, ts, tie)
+        if order is None:
+            order = F.struct(ts, tie)
     return df.groupBy(*keys).agg(F.max(ts).alias(ts), F.max_by(value, order).alias(value))
 
 

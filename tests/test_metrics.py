@@ -124,3 +124,17 @@ def test_monitor_loop(spark, tmp_dir, samples):
     assert [(r["n"], r["max"]) for r in hist] == [(2, 95.5)]
     msgs = spark.read.parquet(f"{tmp_dir}/mon_out/messages").collect()
     assert sorted(r["n_alerts"] for r in msgs) == [1, 2]
+
+
+@pytest.mark.parametrize("ts_type", ["timestamp", "timestamp_ntz", "date", "bigint"])
+def test_latest_packed_tie_break(spark, ts_type):
+    src = {"timestamp": "ts", "timestamp_ntz": "CAST(ts AS timestamp_ntz)", "date": "CAST(ts AS date)",
+           "bigint": "CAST(unix_seconds(ts) AS bigint)"}[ts_type]
+    rows = [("a", dt.datetime(2024, 1, 1, 10), -5, 1.0), ("a", dt.datetime(2024, 1, 1, 10), 7, 2.0),
+            ("a", dt.datetime(2023, 12, 31, 9), 99, 3.0), ("b", dt.datetime(1969, 7, 20, 20), -2 ** 63, 4.0),
+            ("b", dt.datetime(1969, 7, 20, 20), 2 ** 63 - 1, 5.0)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id bigint, v double").selectExpr(
+        "k", f"{src} AS t", "id", "v")
+    out = latest_metric(df, keys=("k",), ts="t", value="v", tie="id")
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["k"]: r["v"] for r in out.collect()} == {"a": 2.0, "b": 5.0}

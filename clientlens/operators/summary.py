@@ -16,7 +16,8 @@ PERCENTILES = (0.25, 0.5, 0.75)
 
 # ---------------------------------------------------------------- describe
 def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = PERCENTILES,
-             buckets: int = 64, accuracy: int = 10000, checkpoint: bool = False) -> DataFrame:
+             buckets: int = 64, accuracy: int = 10000, checkpoint: bool = False,
+             approx: bool = False) -> DataFrame:
     """count, mean, std (sample), min, exact linear percentiles, max per column.
 
     Long form, one row per column (``variable``); the percentiles are exact
@@ -38,10 +39,16 @@ def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
        interpolated.
 
     The only single-group steps hold ``columns x buckets`` rows.
+
+    ``approx=True``: one aggregation pass; percentiles from ``percentile_approx``
+    (a fixed-size sketch per column, rank error about n / ``accuracy``), the
+    other statistics exact.
     """
     cols = list(columns)
     probs = list(percentiles)
     names = [_pname(p) for p in probs]
+    if approx:
+        return _describe_approx(df, cols, probs, accuracy)
     vc = value_counts(df, cols)
     if checkpoint:
         checkpoint_dir(df.sparkSession)
@@ -66,6 +73,23 @@ def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
     return out.select("variable", "count", "mean", "std", "min", *names, "max")
 
 
+def _describe_approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    names = [_pname(p) for p in probs]
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev(x).alias(f"{c}__std"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
+                 F.percentile_approx(x, list(probs), accuracy).alias(f"{c}__q")]
+    wide = df.agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("variable"), F.col(f"{c}__n").alias("count"),
+                     F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
+                     F.col(f"{c}__min").alias("min"),
+                     *[F.col(f"{c}__q")[i].alias(n) for i, n in enumerate(names)],
+                     F.col(f"{c}__max").alias("max")) for c in cols]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def _pname(p: float) -> str:
     return "p" + f"{p * 100:g}".replace(".", "_")
 

@@ -119,3 +119,16 @@ def test_melt(spark):
     got = sorted(tuple(r) for r in melt(df, ["cluster"], ["age_moyen", "montant_moyen"]).collect())
     assert got == [(0, "age_moyen", 30.0), (0, "montant_moyen", 100.0), (1, "age_moyen", 40.0),
                    (1, "montant_moyen", 200.0)]
+
+
+def test_describe_approx(spark):
+    vals = [float(v) for v in np.random.default_rng(5).normal(0, 1, 3000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    a = describe(df, ["v"], approx=True).first()
+    e = describe(df, ["v"]).first()
+    assert a["count"] == e["count"] == 3000 and a["mean"] == pytest.approx(e["mean"])
+    assert a["std"] == pytest.approx(e["std"]) and (a["min"], a["max"]) == (e["min"], e["max"])
+    srt = sorted(vals)
+    for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+        rank = srt.index(a[name])            # the sketch returns an input value
+        assert abs(rank - p * 2999) <= 3000 / 10000 + 2

@@ -35,15 +35,19 @@ def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
     4. interior and seam pairs are summed per pair.
 
     The plan is one linear lineage (no DataFrame is used twice), so the range
-    bounds and partition ids are computed once per execution.
+    bounds and partition ids are computed once per execution. ``partitions``
+    fixes the slice count; by default AQE sizes it (set
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` high at scale).
     """
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ct = df.schema[r.client].dataType.simpleString()
     kt = df.schema[r.category].dataType.simpleString()
-    seq = (df.select(F.col(r.client).alias("_c"), F.col(r.ts).alias("_t"),
-                     F.col(r.id).alias("_i"), F.col(r.category).alias("_k"))
-             .repartitionByRange(n_parts, "_c", "_t", "_i")
-             .withColumn("_p", F.spark_partition_id()))
+    seq = df.select(F.col(r.client).alias("_c"), F.col(r.ts).alias("_t"),
+                    F.col(r.id).alias("_i"), F.col(r.category).alias("_k"))
+    # Without a fixed count the range exchange starts from the (AQE initial) shuffle partition
+    # number and AQE may merge adjacent small partitions: slices stay contiguous in the order.
+    seq = (seq.repartitionByRange(partitions, "_c", "_t", "_i") if partitions
+           else seq.repartitionByRange("_c", "_t", "_i"))
+    seq = seq.withColumn("_p", F.spark_partition_id())
     # Expressions are SQL text: one parse each instead of a JVM call per node.
     w = "OVER (PARTITION BY _p ORDER BY _c, _t, _i)"
     seq = seq.selectExpr("_p", "_c", "_k", f"lag(_c) {w} AS _pc", f"lag(_k) {w} AS _pk",

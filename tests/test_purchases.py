@@ -138,3 +138,15 @@ def test_transitions_more_partitions_than_rows(spark):
     rows = [(i, f"c{i % 3}", dt.datetime(2024, 1, 1, i % 24), 1.0, "xyz"[i % 3 if i % 4 else 0]) for i in range(40)]
     df = spark.createDataFrame(rows, PURCHASE)
     assert as_counter(category_transitions(df, R, partitions=97)) == brute_transitions(rows)
+
+
+def test_transitions_default_partitions_with_aqe_coalescing(spark):
+    rows = _rows() + [(1000 + i, "hot", dt.datetime(2024, 2, 1) + dt.timedelta(seconds=i), 1.0, "pq"[i % 2])
+                      for i in range(500)]
+    df = spark.createDataFrame(rows, PURCHASE)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")   # many small partitions for AQE to merge
+    try:
+        assert as_counter(category_transitions(df, R)) == brute_transitions(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

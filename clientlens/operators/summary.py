@@ -16,8 +16,8 @@ PERCENTILES = (0.25, 0.5, 0.75)
 
 # ---------------------------------------------------------------- describe
 def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = PERCENTILES,
-             buckets: int = 64, accuracy: int = 10000, checkpoint: bool = False,
-             approx: bool = False) -> DataFrame:
+             buckets: int = 1024, bucket_rows: int = 1_000_000, accuracy: int = 10000,
+             checkpoint: bool = False, approx: bool = False) -> DataFrame:
     """count, mean, std (sample), min, exact linear percentiles, max per column.
 
     Long form, one row per column (``variable``); the percentiles are exact
@@ -28,10 +28,16 @@ def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
        aggregation: a hot value is one row per task). ``checkpoint=True``
        writes this table to the cluster's checkpoint folder first, for inputs
        that are expensive to recompute;
-    2. one bounded collect (one row per column): n, mean = sum(m*x)/n, min,
-       max and ``buckets-1`` approximate quantile bounds of the distinct
-       values (a fixed-size sketch). Ranks (n-1)*p and means are then
-       literals, and the bucket of a value is a literal comparison tree;
+    2. bounded collects (one row per column): n, mean = sum(m*x)/n, min,
+       max and the number of distinct values d; then, only for columns that
+       need more than one bucket, approximate quantile bounds of the distinct
+       values (a fixed-size sketch). A column gets
+       ``min(buckets, ceil(d / bucket_rows))`` buckets, so a bucket (one
+       window task) holds about ``bucket_rows`` distinct values up to
+       ``buckets x bucket_rows`` distinct values per column (default 1e9; past
+       that buckets grow, or use ``approx=True``). Ranks (n-1)*p and means are
+       then literals, and the bucket of a value is a literal comparison tree
+       (at most ``buckets`` leaves: 1024 still compiles to generated code);
     3. a running count inside each (column, bucket) and the totals of earlier
        buckets give every distinct value its rank interval; bucket totals and
        sum(m*(x-mean)^2) (two-pass variance) come from the same partitioned
@@ -53,11 +59,18 @@ def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
     if checkpoint:
         checkpoint_dir(df.sparkSession)
         vc = vc.checkpoint(eager=True)
-    fracs = [i / buckets for i in range(1, buckets)]
     head = {r["variable"]: r for r in vc.groupBy("variable").agg(
         F.sum("cnt").alias("n"), (F.sum(F.col("x") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-        F.percentile_approx("x", fracs, accuracy).alias("b")).collect()}
+        F.min("x").alias("min"), F.max("x").alias("max"), F.count(F.lit(1)).alias("d")).collect()}
+    want = {c: max(1, min(buckets, -(-int(r["d"]) // bucket_rows))) for c, r in head.items()}
+    bounds = {c: [] for c in head}
+    split = [c for c, w in want.items() if w > 1]
+    if split:   # sketch only the columns that need more than one bucket
+        top = max(want[c] for c in split)
+        fracs = [i / top for i in range(1, top)]
+        for r in (vc.where(F.col("variable").isin(split)).groupBy("variable")
+                    .agg(F.percentile_approx("x", fracs, max(accuracy, 4 * top)).alias("b")).collect()):
+            bounds[r["variable"]] = _pick_bounds(r["b"] or [], top, want[r["variable"]])
     spark = df.sparkSession
     base = spark.createDataFrame(
         [(c, i, int(head[c]["n"]) if c in head else 0, *(
@@ -69,7 +82,7 @@ def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
         for nme in ("std", *names):
             out = out.withColumn(nme, F.lit(None).cast("double"))
     else:
-        out = base.join(F.broadcast(_rank_stats(vc, head, probs, buckets)), "variable", "left")
+        out = base.join(F.broadcast(_rank_stats(vc, head, bounds, probs)), "variable", "left")
     return out.select("variable", "count", "mean", "std", "min", *names, "max")
 
 
@@ -109,12 +122,22 @@ def _case_sql(values: dict, default: str = "NULL") -> str:
     return f"CASE {arms} ELSE {default} END" if arms else default
 
 
-def _rank_stats(vc: DataFrame, head: dict, probs: Sequence[float], buckets: int) -> DataFrame:
+def _pick_bounds(approx_bounds: Sequence[float], buckets: int, want: int) -> list[float]:
+    """``want-1`` bounds (``want`` capped to ``buckets``) out of the
+    ``buckets-1`` sketch bounds at fractions i/buckets."""
+    want = max(1, min(buckets, want))
+    if want == 1 or not approx_bounds:
+        return []
+    picked = [approx_bounds[round(k * buckets / want) - 1] for k in range(1, want)]
+    return sorted(set(float(b) for b in picked))
+
+
+def _rank_stats(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float]) -> DataFrame:
     """``variable, std, p..`` from a value-count table and the collected head
     stats. The per-column literals (bucket bounds, mean, target ranks and
     fractions) are written as SQL text: one parse instead of a JVM call per
     expression node."""
-    bucket = _case_sql({c: bucket_sql("x", sorted(set(r["b"] or []))) for c, r in head.items()}, "0")
+    bucket = _case_sql({c: bucket_sql("x", b) for c, b in bounds.items()}, "0")
     mean = _case_sql({c: f"{float(r['mean'])!r}D" for c, r in head.items()})
     tgt, frac = {}, {}
     for c, r in head.items():

@@ -46,7 +46,7 @@ def test_transitions_property(spark, rows, parts):
        buckets=st.integers(2, 9))
 def test_describe_property(spark, vals, buckets):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    r = describe(df, ["v"], buckets=buckets).first()
+    r = describe(df, ["v"], buckets=buckets, bucket_rows=2).first()
     s = pd.Series(vals, dtype="float64").dropna()
     assert r["count"] == len(s)
     if len(s) == 0:

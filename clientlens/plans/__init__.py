@@ -2,6 +2,7 @@
 
 from clientlens.plans.insights import insight_tables, insights_report
 from clientlens.plans.segmentation import customer_features, segment_customers, segment_report
+from clientlens.plans.spending import spending_report, spending_tables
 
 __all__ = ["insight_tables", "insights_report", "customer_features", "segment_customers",
-           "segment_report"]
+           "segment_report", "spending_report", "spending_tables"]

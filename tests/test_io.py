@@ -67,3 +67,19 @@ def test_to_pandas_checked(spark):
     assert len(to_pandas_checked(spark.range(10), 10)) == 10
     with pytest.raises(ResultTooLarge):
         to_pandas_checked(spark.range(11), 10)
+
+
+def test_spending_report(spark, tmp_dir):
+    from clientlens.plans import spending_report
+    p = os.path.join(tmp_dir, "summary.json")
+    with open(p, "w") as f:
+        for i in range(25):
+            f.write(json.dumps({"customer_id": f"u{i}", "category": ["a", "b", None][i % 3],
+                                "total_amount": None if i == 7 else i * 10.0, "purchase_count": i % 5}) + "\n")
+    paths = spending_report(spark, p, os.path.join(tmp_dir, "spend"))
+    assert spark.read.parquet(paths["top_customers"]).count() == 10
+    assert spark.read.parquet(paths["category_spending"]).count() == 2      # null category dropped
+    assert spark.read.parquet(paths["scatter_points"]).count() == 25
+    st = spark.read.json(paths["analysis_stats"]).first()
+    assert (st["total_transactions"], st["unique_categories"], st["unique_customers"]) == (25, 2, 25)
+    assert st["max_spending"] == 240.0 and st["min_spending"] == 0.0

@@ -310,13 +310,16 @@ _EV_FEATURES_SQL = """
 SELECT *, hour(ts)::DOUBLE AS hour, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS is_purchase FROM events"""
 
 _Z_SQL = f"""
-WITH f AS ({_EV_FEATURES_SQL}),
-m AS (SELECT avg(value) m0, stddev_samp(value) s0, avg(hour) m1, stddev_samp(hour) s1,
-             avg(is_purchase) m2, stddev_samp(is_purchase) s2 FROM f)
-SELECT f.*, CASE WHEN s0 = 0 THEN 0.0 ELSE (value - m0) / s0 END AS z_value,
-            CASE WHEN s1 = 0 THEN 0.0 ELSE (hour - m1) / s1 END AS z_hour,
-            CASE WHEN s2 = 0 THEN 0.0 ELSE (is_purchase - m2) / s2 END AS z_is_purchase
-FROM f CROSS JOIN m"""
+WITH f AS ({_EV_FEATURES_SQL})
+SELECT f.*,
+  CASE WHEN (SELECT stddev_samp(value) FROM f) = 0 THEN 0.0
+       ELSE (value - (SELECT avg(value) FROM f)) / (SELECT stddev_samp(value) FROM f) END AS z_value,
+  CASE WHEN (SELECT stddev_samp(hour) FROM f) = 0 THEN 0.0
+       ELSE (hour - (SELECT avg(hour) FROM f)) / (SELECT stddev_samp(hour) FROM f) END AS z_hour,
+  CASE WHEN (SELECT stddev_samp(is_purchase) FROM f) = 0 THEN 0.0
+       ELSE (is_purchase - (SELECT avg(is_purchase) FROM f)) / (SELECT stddev_samp(is_purchase) FROM f) END
+    AS z_is_purchase
+FROM f"""
 
 
 def _dist(j: int, c) -> str:
@@ -366,18 +369,19 @@ def _describe_sql(src: str, cols) -> str:
 
 def _histogram_sql(src: str, col: str, bins: int) -> str:
     b = float(bins)
+    lo = (f"(SELECT CASE WHEN max({col}) > min({col}) THEN min({col}) ELSE min({col}) - 0.5 END FROM src)")
+    hi = (f"(SELECT CASE WHEN max({col}) > min({col}) THEN max({col}) ELSE max({col}) + 0.5 END FROM src)")
     return f"""
 WITH src AS ({src}),
-r AS (SELECT min({col}) AS lo0, max({col}) AS hi0 FROM src),
-e AS (SELECT CASE WHEN hi0 > lo0 THEN lo0 ELSE lo0 - 0.5 END AS lo,
-             CASE WHEN hi0 > lo0 THEN hi0 ELSE hi0 + 0.5 END AS hi FROM r),
-c AS (SELECT LEAST(FLOOR(({col} - lo) * ({b!r}::DOUBLE / (hi - lo))), {bins - 1})::INTEGER AS bin, count(*) AS n
-      FROM src CROSS JOIN e WHERE {col} IS NOT NULL GROUP BY 1),
+c AS (SELECT LEAST(FLOOR(({col} - {lo}) * ({b!r}::DOUBLE / ({hi} - {lo}))), {bins - 1})::INTEGER AS bin,
+             count(*) AS n
+      FROM src WHERE {col} IS NOT NULL GROUP BY 1),
 axis AS (SELECT range::INTEGER AS bin FROM range({bins}))
-SELECT axis.bin, lo + axis.bin * ((hi - lo) / {b!r}::DOUBLE) AS bin_start,
-       CASE WHEN axis.bin = {bins - 1} THEN hi ELSE lo + (axis.bin + 1) * ((hi - lo) / {b!r}::DOUBLE) END AS bin_end,
+SELECT axis.bin, {lo} + axis.bin * (({hi} - {lo}) / {b!r}::DOUBLE) AS bin_start,
+       CASE WHEN axis.bin = {bins - 1} THEN {hi} ELSE {lo} + (axis.bin + 1) * (({hi} - {lo}) / {b!r}::DOUBLE) END
+         AS bin_end,
        coalesce(c.n, 0)::BIGINT AS count
-FROM axis CROSS JOIN e LEFT JOIN c ON axis.bin = c.bin"""
+FROM axis LEFT JOIN c ON axis.bin = c.bin"""
 
 
 def _transitions_sql(table: str, client: str, ts: str, id_: str, cat: str) -> str:

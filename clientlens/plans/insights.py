@@ -41,13 +41,19 @@ def insight_tables(purchases: DataFrame, r: Roles, as_of=None, rfm_kwargs: dict
 
 
 def insights_report(purchases: DataFrame, r: Roles, out: str, as_of=None,
-                    rfm_kwargs: dict | None = None, fmt: str = "parquet") -> dict[str, str]:
+                    rfm_kwargs: dict | None = None, fmt: str = "parquet",
+                    persist: bool = False) -> dict[str, str]:
     """Compute and write every report table to ``<out>/<table>``.
 
-    The projected purchase table is persisted (memory, spilling to disk) for
-    the duration of the writes: one scan feeds all tables; a lost executor only
-    recomputes its own blocks from the source.
+    By default each table re-reads only the columns it needs from the
+    (columnar) source: at 100 TB that is cheaper than caching the whole
+    projected input on the executors. ``persist=True`` keeps the projected
+    input (memory, spilling to disk) for the duration of the writes; use it
+    when ``purchases`` is an expensive derived table that fits the executors'
+    storage. Either way a lost executor only recomputes its own blocks.
     """
+    if not persist:
+        return write_tables(insight_tables(purchases, r, as_of, rfm_kwargs), out, fmt)
     cols = list(dict.fromkeys([r.client, r.ts, r.amount, r.category, r.id]))
     p = purchases.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:

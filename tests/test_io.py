@@ -49,7 +49,8 @@ def test_write_tables_round_trip(spark, tmp_dir):
 
 def test_insights_report(spark, tmp_dir):
     ev = read_table(spark, SF, "events")
-    paths = insights_report(ev, EVENTS, os.path.join(tmp_dir, "insights"), as_of=dt.date(2024, 2, 1))
+    paths = insights_report(ev, EVENTS, os.path.join(tmp_dir, "insights"), as_of=dt.date(2024, 2, 1),
+                            persist=True)
     assert set(paths) == set(insight_tables(ev, EVENTS))
     n = ev.count()
     hours = spark.read.parquet(paths["hourly_patterns"])

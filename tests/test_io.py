@@ -84,3 +84,13 @@ def test_spending_report(spark, tmp_dir):
     st = spark.read.json(paths["analysis_stats"]).first()
     assert (st["total_transactions"], st["unique_categories"], st["unique_customers"]) == (25, 2, 25)
     assert st["max_spending"] == 240.0 and st["min_spending"] == 0.0
+
+
+def test_insights_report_default_matches_persisted(spark, tmp_dir):
+    ev = read_table(spark, SF, "events")
+    a = insights_report(ev, EVENTS, os.path.join(tmp_dir, "a"), as_of=dt.date(2024, 2, 1))
+    b = insights_report(ev, EVENTS, os.path.join(tmp_dir, "b"), as_of=dt.date(2024, 2, 1), persist=True)
+    for name in ("rfm", "category_transitions", "client_loyalty", "rfm_histogram"):
+        x = sorted(map(tuple, spark.read.parquet(a[name]).collect()))
+        y = sorted(map(tuple, spark.read.parquet(b[name]).collect()))
+        assert x == y, name

@@ -132,3 +132,13 @@ def test_describe_approx(spark):
     for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
         rank = srt.index(a[name])            # the sketch returns an input value
         assert abs(rank - p * 2999) <= 3000 / 10000 + 2
+
+
+def test_category_spending_half_cent_means_round_half_even(spark):
+    # category means 0.125 and 0.375 (exact in binary): half-to-even gives 0.12 and 0.38, as pandas
+    rows = [("u1", "x", 0.125, 1), ("u2", "x", 0.125, 1), ("u3", "y", 0.25, 1), ("u4", "y", 0.5, 2)]
+    df = spark.createDataFrame(rows, CUSTOMER_SUMMARY)
+    got = {r["category"]: (r["total_amount_mean"], r["purchase_count_mean"]) for r in category_spending(df).collect()}
+    pdf = df.toPandas().groupby("category").agg({"total_amount": "mean", "purchase_count": "mean"}).round(2)
+    assert got == {"x": (0.12, 1.0), "y": (0.38, 1.5)}
+    assert got == {k: (pdf.loc[k, "total_amount"], pdf.loc[k, "purchase_count"]) for k in ("x", "y")}

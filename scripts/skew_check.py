@@ -8,7 +8,9 @@ transition plan and the per-client ``lag`` window, and reports, from Spark's
 event log (written to a fresh scratch folder), the largest and median task
 input (records) of the stage that evaluates the window (AQE partition
 coalescing is off so the layout is the one a large input gets). Also checks
-that both give the same pairs.
+that both give the same pairs. Then reports how much of the hot client reaches the
+final stage of RFM (partial aggregation) and of ordered dedupe (partial
+WindowGroupLimit) when the input is spread over 16 map tasks.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import zstandard  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from clientlens.operators import category_transitions, category_transitions_by_window  # noqa: E402
+from clientlens.operators import (category_transitions, category_transitions_by_window, dedupe,  # noqa: E402
+                                  rfm)
 from clientlens.roles import EVENTS  # noqa: E402
 from clientlens.session import build_session  # noqa: E402
 
@@ -55,6 +58,12 @@ def main() -> None:
     for name, fn in (("split", category_transitions), ("per_client_window", category_transitions_by_window)):
         sc.setJobGroup(name, name)
         results[name] = {(r[0], r[1]): r[2] for r in fn(hot, EVENTS).collect()}
+    # map-side reduction of a hot key: input spread over 16 map tasks first
+    spread = hot.repartition(16)
+    sc.setJobGroup("rfm", "rfm")
+    spread_rfm = rfm(spread, EVENTS, as_of="2024-02-01").collect()
+    sc.setJobGroup("dedupe", "dedupe")
+    spread_dd = dedupe(spread, "user_id", [F.desc("ts"), F.desc("event_id")]).collect()
     spark.stop()
 
     stage_group, tasks = {}, {}
@@ -76,6 +85,12 @@ def main() -> None:
         t = tasks[s]
         print(f"{g:18s} window stage: {len(t)} tasks, records read max {max(t)}, "
               f"median {int(statistics.median(t))}, total {sum(t)}")
+    for g, n in (("rfm", len(spread_rfm)), ("dedupe", len(spread_dd))):
+        # the stage after the round-robin spread: reads the partial (map-side reduced) rows
+        st = sorted(s for s, gg in stage_group.items() if gg == g and s in tasks)
+        t = tasks[st[-1]]
+        print(f"{g:18s} final stage: {len(t)} tasks, records read max {max(t)}, total {sum(t)} "
+              f"(100000 input rows, {n} clients out)")
 
 
 if __name__ == "__main__":

@@ -28,10 +28,12 @@ def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
        a contiguous, balanced slice of the global order, hot clients included;
     2. inside each slice, ``lag`` gives the predecessor of every row but the
        slice's first; interior pairs are emitted and pre-aggregated;
-    3. each slice also emits its first row (head) and last row (tail); these
-       2 x partitions edge rows, a bound set by the partition count and not by
-       the data, go to one group where each head meets the tail of the
-       nearest earlier non-empty slice (a seam pair when the client matches);
+    3. each slice also emits its first row (head) and last row (tail); edge
+       rows are grouped per client, and within a client's group a head meets
+       the tail just before it: since a client's rows are contiguous in the
+       order, that is the tail of the nearest earlier non-empty slice, so the
+       pair is a seam. A group holds 2 edges per slice its client spans
+       (bounded by the slice count, not the data; most clients have 2-4);
     4. interior and seam pairs are summed per pair.
 
     The plan is one linear lineage (no DataFrame is used twice), so the range
@@ -65,14 +67,17 @@ def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
     recs = (seq.selectExpr(f"explode(array({pair}, {head}, {tail})) AS r")
                .where("r IS NOT NULL").select("r.*"))
 
-    grouped = recs.groupBy("kind", "prev", "cat").agg(
+    # Edges are grouped per client: rows are sorted by client, so each client's rows are
+    # contiguous and a head's predecessor edge within its own client group is the tail of
+    # the previous non-empty slice exactly when that tail has the same client (a seam).
+    grouped = recs.groupBy("kind", "prev", "cat", "c").agg(
         F.count(F.lit(1)).alias("n"),
         F.expr("collect_list(CASE WHEN kind = 1 THEN named_struct('p', p, 'side', side, 'c', c, 'k', k) END)")
          .alias("edges"))
     # sort the edge list once, in its own projection (not inlined into the lambdas)
     grouped = grouped.selectExpr("kind", "prev", "cat", "n", "array_sort(edges) AS e")
     pt = f"struct<prev:{kt},cat:{kt},n:bigint>"
-    seams = ("filter(transform(sequence(2, size(e)), j -> named_struct('a', element_at(e, j - 1), "
+    seams = ("filter(transform(filter(sequence(1, size(e)), j -> j >= 2), j -> named_struct('a', element_at(e, j - 1), "
              "'b', element_at(e, j))), s -> s.b.side = 0 AND s.a.side = 1 AND s.a.c <=> s.b.c "
              "AND s.a.k IS NOT NULL)")
     as_pairs = (f"CASE WHEN kind = 0 THEN array(CAST(named_struct('prev', prev, 'cat', cat, 'n', n) AS {pt})) "

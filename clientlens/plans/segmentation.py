@@ -41,19 +41,26 @@ def segment_customers(raw: DataFrame, key: str, order: Sequence[Column | str], k
     feats = feats.checkpoint(eager=True)
     model = kmeans_fit(feats, "scaled_features", k=k, seed=seed)
     assigned = stable_numbering(model.transform(feats), "cluster", amount)
-    stats = cluster_stats(assigned, "cluster", amount, age)
-    return {
-        "model": model,
-        "scaler": scaler,
-        "processed_data": assigned,
-        "segment_analysis": segment_profile(assigned, "cluster", age, amount, label),
+    return {"model": model, "scaler": scaler, "processed_data": assigned,
+            **analyze_segments(assigned, "cluster", age, amount, label)}
+
+
+def analyze_segments(processed: DataFrame, cluster: str = "cluster", age: str = "age",
+                     amount: str = "montant_achat", label: str | None = "segment_client") -> dict:
+    """Segment tables of an already clustered table: profile (with member
+    labels), statistics, their long form and the segment names."""
+    stats = cluster_stats(processed, cluster, amount, age)
+    out = {
         "cluster_stats": stats,
-        "segment_long": melt(stats, ["cluster"], ["age_moyen", "montant_moyen"]),
-        "segment_labels": label_segments(stats),
+        "segment_long": melt(stats, [cluster], ["age_moyen", "montant_moyen"]),
+        "segment_labels": label_segments(stats, cluster),
     }
+    if label:
+        out["segment_analysis"] = segment_profile(processed, cluster, age, amount, label)
+    return out
 
 
 def segment_report(result: dict, out: str, fmt: str = "parquet") -> dict[str, str]:
-    """Write the tables of ``segment_customers`` to ``<out>/<table>``."""
+    """Write the tables of ``segment_customers`` / ``analyze_segments`` to ``<out>/<table>``."""
     names = ("processed_data", "segment_analysis", "cluster_stats", "segment_long", "segment_labels")
-    return write_tables({n: result[n] for n in names}, out, fmt)
+    return write_tables({n: result[n] for n in names if n in result}, out, fmt)

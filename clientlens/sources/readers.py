@@ -32,5 +32,10 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's test tables, ``<sf_dir>/<name>.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's test tables, ``<sf_dir>/<name>.parquet``, with its
+    declared schema when known (no footer read to infer it)."""
+    from clientlens.sources.schemas import TEST_TABLE_SCHEMAS
+    r = spark.read
+    if name in TEST_TABLE_SCHEMAS:
+        r = r.schema(TEST_TABLE_SCHEMAS[name])
+    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

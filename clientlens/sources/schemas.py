@@ -5,7 +5,7 @@ Spark versions (a ``yyyy-MM-dd`` CSV column infers as date in 4.x).
 """
 
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType, TimestampType, DateType)
+                               StructType, TimestampNTZType, TimestampType, DateType)
 
 # One row per customer purchase, as in the sample CSV.
 CUSTOMER_PURCHASE = StructType([
@@ -40,3 +40,24 @@ METRIC_SAMPLE = StructType([
     StructField("metric", StringType()),
     StructField("value", DoubleType()),
 ])
+
+# Driver test tables used by the registered queries (declared: opening a table
+# then needs no footer read for schema inference).
+TEST_TABLE_SCHEMAS = {
+    "events": StructType([
+        StructField("event_id", LongType()),
+        StructField("ts", TimestampNTZType()),
+        StructField("user_id", LongType()),
+        StructField("event_type", StringType()),
+        StructField("value", DoubleType()),
+        StructField("props", StringType()),
+    ]),
+    "orders": StructType([
+        StructField("o_orderkey", LongType()),
+        StructField("o_custkey", LongType()),
+        StructField("o_orderstatus", StringType()),
+        StructField("o_totalprice", DoubleType()),
+        StructField("o_orderdate", TimestampNTZType()),
+        StructField("o_orderpriority", StringType()),
+    ]),
+}

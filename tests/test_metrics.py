@@ -5,7 +5,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from clientlens.operators import alert_messages, latest_metric, metric_alerts, metric_history
 from clientlens.sources import METRIC_SAMPLE

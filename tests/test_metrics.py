@@ -137,3 +137,27 @@ def test_latest_packed_tie_break(spark, ts_type):
     out = latest_metric(df, keys=("k",), ts="t", value="v", tie="id")
     assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
     assert {r["k"]: r["v"] for r in out.collect()} == {"a": 2.0, "b": 5.0}
+
+
+def test_stream_over_events_equals_batch(spark, tmp_dir):
+    """The registered alert and latest-value queries, run as streams over the
+    events table, give the batch results."""
+    from clientlens.params import EVENT_THRESHOLDS
+    from clientlens.sources.readers import read_table
+    from clientlens.sources.schemas import TEST_TABLE_SCHEMAS
+    sf = "/root/testdata/sf0.001"
+    stream = (spark.readStream.schema(TEST_TABLE_SCHEMAS["events"])
+              .option("pathGlobFilter", "events.parquet").parquet(sf))
+    cols = dict(ts="ts", node="user_id", metric="event_type", value="value")
+    q = start_query(alerts_stream(stream, EVENT_THRESHOLDS, **cols), "ev_alerts_t",
+                    checkpoint=f"{tmp_dir}/ck_ev1", available_now=True)
+    q.awaitTermination()
+    batch = read_table(spark, sf, "events")
+    want = sorted(map(tuple, metric_alerts(batch, EVENT_THRESHOLDS, **cols).collect()))
+    assert sorted(map(tuple, spark.sql("SELECT * FROM ev_alerts_t").collect())) == want and want
+    q = start_query(latest_stream(stream, keys=("user_id", "event_type"), ts="ts", value="value", tie="event_id"),
+                    "ev_latest_t", output_mode="complete", checkpoint=f"{tmp_dir}/ck_ev2", available_now=True)
+    q.awaitTermination()
+    want = sorted(map(tuple, latest_metric(batch, keys=("user_id", "event_type"), ts="ts", value="value",
+                                           tie="event_id").collect()))
+    assert sorted(map(tuple, spark.sql("SELECT * FROM ev_latest_t").collect())) == want

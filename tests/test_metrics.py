@@ -161,3 +161,38 @@ def test_stream_over_events_equals_batch(spark, tmp_dir):
     want = sorted(map(tuple, latest_metric(batch, keys=("user_id", "event_type"), ts="ts", value="value",
                                            tie="event_id").collect()))
     assert sorted(map(tuple, spark.sql("SELECT * FROM ev_latest_t").collect())) == want
+
+
+def test_watermarked_streams_over_events_equal_batch(spark, tmp_dir):
+    """History windows and combined messages over the events table: every
+    emitted row equals the batch row, and all windows/samples closed by the
+    final watermark are emitted."""
+    from clientlens.params import EVENT_THRESHOLDS
+    from clientlens.sources.readers import read_table
+    from clientlens.sources.schemas import TEST_TABLE_SCHEMAS
+    sf = "/root/testdata/sf0.001"
+    stream = (spark.readStream.schema(TEST_TABLE_SCHEMAS["events"])
+              .option("pathGlobFilter", "events.parquet").parquet(sf))
+    batch = read_table(spark, sf, "events")
+    q = start_query(history_stream(stream, "1 hour", "10 minutes", keys=("event_type",), ts="ts", value="value"),
+                    "ev_hist_t", checkpoint=f"{tmp_dir}/ck_h", available_now=True)
+    q.awaitTermination()
+    wm = max(r["ts"] for r in batch.select("ts").collect()) - dt.timedelta(minutes=10)
+    got = {(r["window_start"], r["event_type"]): (r["n"], r["mean"], r["min"], r["max"])
+           for r in spark.sql("SELECT * FROM ev_hist_t").collect()}
+    want = {(r["window_start"], r["event_type"]): (r["n"], r["mean"], r["min"], r["max"])
+            for r in metric_history(batch, "1 hour", keys=("event_type",), ts="ts", value="value").collect()}
+    assert got and all(want[k][0] == v[0] and want[k][2:] == v[2:] and want[k][1] == pytest.approx(v[1])
+                       for k, v in got.items())
+    assert {k for k in want if k[0] + dt.timedelta(hours=1) <= wm} <= set(got)
+
+    q = start_query(messages_stream(stream, "10 minutes", EVENT_THRESHOLDS, ts="ts", node="user_id",
+                                    metric="event_type", value="value"),
+                    "ev_msg_t", checkpoint=f"{tmp_dir}/ck_m", available_now=True)
+    q.awaitTermination()
+    got = {(r["user_id"], r["ts"]): r["message"] for r in spark.sql("SELECT * FROM ev_msg_t").collect()}
+    want = {(r["user_id"], r["ts"]): r["message"] for r in alert_messages(
+        metric_alerts(batch, EVENT_THRESHOLDS, ts="ts", node="user_id", metric="event_type", value="value"),
+        ts="ts", node="user_id").collect()}
+    assert got and all(want[k] == v for k, v in got.items())
+    assert {k for k in want if k[1] < wm} <= set(got)

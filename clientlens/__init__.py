@@ -1,8 +1,10 @@
 """clientlens: customer and purchase analytics as Spark DataFrame operators.
 
 Every public operator takes a DataFrame (plus column roles and parameters) and
-returns a lazy DataFrame; nothing is collected except bounded, parameter-sized
-aggregates (k-means centres, quantile bucket bounds).
+returns a DataFrame. The only driver collects are one-row or parameter-sized
+aggregates taken while a plan is built (min/max of a histogram column, means
+and standard deviations for scaling, per-column describe statistics and bucket
+bounds, k-means centres); everything else stays lazy and distributed.
 """
 
 from clientlens.roles import Roles, EVENTS, ORDERS

@@ -23,3 +23,12 @@ def test_cli_insights_on_events(spark, tmp_dir):
                 os.path.join(tmp_dir, "ins"), "--as-of", "2024-02-01",
                 "--roles", "user_id,ts,value,event_type,event_id"], spark)
     assert spark.read.parquet(out["weekday_patterns"]).count() == 7
+
+
+def test_cli_monitor_once(spark, tmp_dir):
+    from test_metrics import _samples, _write_batches
+    src = os.path.join(tmp_dir, "samples")
+    _write_batches(spark, src, [_samples()])
+    out = main(["monitor", "--input", src, "--output", os.path.join(tmp_dir, "mon"), "--once"], spark)
+    assert spark.read.parquet(out["alerts"]).count() == 4
+    assert spark.read.parquet(out["latest"]).count() == 5   # (node, metric) keys: n1 x 3, n2 x 2

@@ -16,7 +16,7 @@ def category_revenue(df: DataFrame, r: Roles) -> DataFrame:
 
 
 def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
-                         prev_name: str = "categorie_precedente") -> DataFrame:
+                         prev_name: str = "categorie_precedente", seam_block: int = 1024) -> DataFrame:
     """Count of (previous category, category) over consecutive purchases of a
     client, ordered by (time, id); pairs whose previous category is null are
     dropped. Sorted by count descending.
@@ -28,12 +28,16 @@ def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
        a contiguous, balanced slice of the global order, hot clients included;
     2. inside each slice, ``lag`` gives the predecessor of every row but the
        slice's first; interior pairs are emitted and pre-aggregated;
-    3. each slice also emits its first row (head) and last row (tail); edge
-       rows are grouped per client, and within a client's group a head meets
-       the tail just before it: since a client's rows are contiguous in the
-       order, that is the tail of the nearest earlier non-empty slice, so the
-       pair is a seam. A group holds 2 edges per slice its client spans
-       (bounded by the slice count, not the data; most clients have 2-4);
+    3. each slice also emits its first row (head) and last row (tail). A seam
+       (a pair across two slices) joins a head to the tail just before it in
+       the global order; since a client's rows are contiguous, that tail is
+       the head's predecessor among its own client's edges. Edges are resolved
+       hierarchically: grouped by (client, slice // G), each group emits the
+       seams inside it plus its first and last edge, which are regrouped by
+       (client, block // G) at the next level, and so on; the last level
+       groups by client alone, so the result is exact for any slice count,
+       and no group holds more than about 2G edges once the level count covers
+       the (initial) number of slices (``G = seam_block``);
     4. interior and seam pairs are summed per pair.
 
     The plan is one linear lineage (no DataFrame is used twice), so the range
@@ -41,6 +45,7 @@ def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
     fixes the slice count; by default AQE sizes it (set
     ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` high at scale).
     """
+    spark = df.sparkSession
     ct = df.schema[r.client].dataType.simpleString()
     kt = df.schema[r.category].dataType.simpleString()
     seq = df.select(F.col(r.client).alias("_c"), F.col(r.ts).alias("_t"),
@@ -55,38 +60,57 @@ def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
     seq = seq.selectExpr("_p", "_c", "_k", f"lag(_c) {w} AS _pc", f"lag(_k) {w} AS _pk",
                          f"row_number() {w} AS _rn", f"lead(true) {w} AS _more")
 
-    def rec(kind, prev, cat, p, side, c, k):
-        return (f"named_struct('kind', {kind}, 'prev', CAST({prev} AS {kt}), 'cat', CAST({cat} AS {kt}), "
-                f"'p', CAST({p} AS int), 'side', CAST({side} AS int), 'c', CAST({c} AS {ct}), "
-                f"'k', CAST({k} AS {kt}))")
+    # levels so that the last one sees <= seam_block blocks per client
+    g = max(2, int(seam_block))
+    p_max = partitions or int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                             None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    levels, span = 1, g
+    while span < p_max:
+        levels, span = levels + 1, span * g
 
-    pair = (f"CASE WHEN _rn > 1 AND _pc <=> _c AND _pk IS NOT NULL "
-            f"THEN {rec(0, '_pk', '_k', 'NULL', 'NULL', 'NULL', 'NULL')} END")
-    head = f"CASE WHEN _rn = 1 THEN {rec(1, 'NULL', 'NULL', '_p', 0, '_c', '_k')} END"
-    tail = f"CASE WHEN _more IS NULL THEN {rec(1, 'NULL', 'NULL', '_p', 1, '_c', '_k')} END"
+    def blk(level: int, p: str) -> str:   # group key of an edge at a level; the last level: client only
+        return "CAST(-1 AS bigint)" if level == levels else f"CAST({p} DIV {g ** level} AS bigint)"
+
+    et = f"struct<p:int,side:int,b:bigint,k:{kt}>"
+    rt = f"struct<kind:int,prev:{kt},cat:{kt},n:bigint,c:{ct},blk:bigint,e:{et}>"
+
+    def rec(kind, prev, cat, n, c, b, e):
+        return (f"CAST(named_struct('kind', {kind}, 'prev', {prev}, 'cat', {cat}, 'n', {n}, "
+                f"'c', {c}, 'blk', {b}, 'e', {e}) AS {rt})")
+
+    def edge(side):
+        return rec(1, "NULL", "NULL", "NULL", "_c", blk(1, "_p"),
+                   f"named_struct('p', _p, 'side', {side}, 'b', CAST(_p AS bigint), 'k', _k)")
+
+    pair = f"CASE WHEN _rn > 1 AND _pc <=> _c AND _pk IS NOT NULL THEN {rec(0, '_pk', '_k', '1L', 'NULL', 'NULL', 'NULL')} END"
+    head = f"CASE WHEN _rn = 1 THEN {edge(0)} END"
+    tail = f"CASE WHEN _more IS NULL THEN {edge(1)} END"
     recs = (seq.selectExpr(f"explode(array({pair}, {head}, {tail})) AS r")
                .where("r IS NOT NULL").select("r.*"))
 
-    # Edges are grouped per client: rows are sorted by client, so each client's rows are
-    # contiguous and a head's predecessor edge within its own client group is the tail of
-    # the previous non-empty slice exactly when that tail has the same client (a seam).
-    grouped = recs.groupBy("kind", "prev", "cat", "c").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr("collect_list(CASE WHEN kind = 1 THEN named_struct('p', p, 'side', side, 'c', c, 'k', k) END)")
-         .alias("edges"))
-    # sort the edge list once, in its own projection (not inlined into the lambdas)
-    grouped = grouped.selectExpr("kind", "prev", "cat", "n", "array_sort(edges) AS e")
-    pt = f"struct<prev:{kt},cat:{kt},n:bigint>"
-    seams = ("filter(transform(filter(sequence(1, size(e)), j -> j >= 2), j -> named_struct('a', element_at(e, j - 1), "
-             "'b', element_at(e, j))), s -> s.b.side = 0 AND s.a.side = 1 AND s.a.c <=> s.b.c "
-             "AND s.a.k IS NOT NULL)")
-    as_pairs = (f"CASE WHEN kind = 0 THEN array(CAST(named_struct('prev', prev, 'cat', cat, 'n', n) AS {pt})) "
-                f"ELSE transform({seams}, s -> CAST(named_struct('prev', s.a.k, 'cat', s.b.k, 'n', 1L) AS {pt})) "
-                f"END")
-    pairs = grouped.selectExpr(f"explode({as_pairs}) AS x").select("x.*")
-    return (pairs.groupBy("prev", "cat").agg(F.sum("n").alias("count"))
-                 .select(F.col("prev").alias(prev_name), F.col("cat").alias(r.category), "count")
-                 .orderBy(F.desc("count"), F.asc_nulls_first(prev_name), F.asc_nulls_first(r.category)))
+    for level in range(1, levels + 1):
+        grouped = recs.groupBy("kind", "prev", "cat", "c", "blk").agg(
+            F.sum("n").alias("n"), F.collect_list("e").alias("es"))
+        # sort once, in its own projection (not inlined into the lambdas): by slice, then head/tail
+        grouped = grouped.selectExpr("kind", "prev", "cat", "c", "blk", "n", "array_sort(es) AS es")
+        # a seam: a tail followed by a head from another (sub-)block, previous category not null
+        seams = ("filter(transform(filter(sequence(1, size(es)), j -> j >= 2), j -> named_struct("
+                 "'a', element_at(es, j - 1), 'b', element_at(es, j))), "
+                 "s -> s.a.side = 1 AND s.b.side = 0 AND s.a.b != s.b.b AND s.a.k IS NOT NULL)")
+        out = f"transform({seams}, s -> {rec(0, 's.a.k', 's.b.k', '1L', 'NULL', 'NULL', 'NULL')})"
+        if level < levels:
+            # the first and last edge of this group go up one level, tagged with this group's block
+            ends = ("CASE WHEN size(es) = 1 THEN array(element_at(es, 1)) "
+                    "ELSE array(element_at(es, 1), element_at(es, -1)) END")
+            up = (f"transform({ends}, x -> {rec(1, 'NULL', 'NULL', 'NULL', 'c', blk(level + 1, 'x.p'), "named_struct('p', x.p, 'side', x.side, 'b', blk, 'k', x.k)")})")
+            out = f"concat({out}, {up})"
+        keep = rec("kind", "prev", "cat", "n", "c", "blk", "NULL")
+        recs = (grouped.selectExpr(f"explode(CASE WHEN kind = 0 THEN array({keep}) ELSE {out} END) AS x")
+                       .select("x.*"))
+
+    return (recs.groupBy("prev", "cat").agg(F.sum("n").alias("count"))
+                .select(F.col("prev").alias(prev_name), F.col("cat").alias(r.category), "count")
+                .orderBy(F.desc("count"), F.asc_nulls_first(prev_name), F.asc_nulls_first(r.category)))
 
 
 def category_transitions_by_window(df: DataFrame, r: Roles,

@@ -95,8 +95,8 @@ def test_transitions_ties_and_nulls(purchases):
     assert got[("A", None)] == 1 and (None, "B") not in got  # null previous category dropped
 
 
-@pytest.mark.parametrize("parts", [1, 3, 16, 200])
-def test_transitions_hot_client_matches_brute_force(spark, parts):
+@pytest.mark.parametrize("parts,block", [(1, 1024), (3, 1024), (16, 1024), (200, 1024), (16, 2), (200, 3)])
+def test_transitions_hot_client_matches_brute_force(spark, parts, block):
     rnd = random.Random(7)
     rows = []
     base = dt.datetime(2024, 1, 1)
@@ -108,7 +108,7 @@ def test_transitions_hot_client_matches_brute_force(spark, parts):
         rows.append((pid, c, ts, 1.0, k))
     df = spark.createDataFrame(rows, PURCHASE)
     want = brute_transitions(rows)
-    assert as_counter(category_transitions(df, R, partitions=parts)) == want
+    assert as_counter(category_transitions(df, R, partitions=parts, seam_block=block)) == want
     assert as_counter(category_transitions_by_window(df, R)) == want
 
 

@@ -39,10 +39,11 @@ def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
        then literals, and the bucket of a value is a literal comparison tree
        (at most ``buckets`` leaves: 1024 still compiles to generated code);
     3. a running count inside each (column, bucket) and the totals of earlier
-       buckets give every distinct value its rank interval; bucket totals and
-       sum(m*(x-mean)^2) (two-pass variance) come from the same partitioned
-       window output; the values holding a target rank are kept and
-       interpolated.
+       buckets give every distinct value its rank interval, and the values
+       holding a target rank are kept and interpolated; variance is two-pass,
+       sum(m*(x-mean)^2). With one bucket per column this is one window pass;
+       with more, the bucket totals are collected first (``columns x buckets``
+       rows) and the window runs only over the buckets holding a target rank.
 
     The only single-group steps hold ``columns x buckets`` rows.
 
@@ -82,7 +83,9 @@ def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
         for nme in ("std", *names):
             out = out.withColumn(nme, F.lit(None).cast("double"))
     else:
-        out = base.join(F.broadcast(_rank_stats(vc, head, bounds, probs)), "variable", "left")
+        ranked = (_rank_stats(vc, head, bounds, probs) if not split
+                  else _rank_stats_split(vc, head, bounds, probs))
+        out = base.join(F.broadcast(ranked), "variable", "left")
     return out.select("variable", "count", "mean", "std", "min", *names, "max")
 
 
@@ -176,6 +179,59 @@ def _rank_stats(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float])
     return res.selectExpr(*out)
 
 
+def _rank_stats_split(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float]) -> DataFrame:
+    """Multi-bucket form of ``_rank_stats``: bucket totals (and squared
+    deviations) are collected first, ``columns x buckets`` rows, so the target
+    bucket of every rank and its offset are known; the running-count window
+    then runs over those few buckets only (at most two per percentile and
+    column), not over every distinct value."""
+    bucket = _case_sql({c: bucket_sql("x", b) for c, b in bounds.items()}, "0")
+    mean = _case_sql({c: f"{float(r['mean'])!r}D" for c, r in head.items()})
+    vb = vc.select("variable", "x", "cnt", F.expr(bucket).alias("bucket"),
+                   F.expr(f"cnt * (x - ({mean})) * (x - ({mean}))").alias("dev"))
+    tots: dict = {}
+    for row in vb.groupBy("variable", "bucket").agg(F.sum("cnt").alias("tot"), F.sum("dev").alias("ss")).collect():
+        tots.setdefault(row["variable"], {})[int(row["bucket"])] = (int(row["tot"]), float(row["ss"]))
+    std, frac, where, off, tgt = {}, {}, [], {}, {}
+    for c, r in head.items():
+        n = int(r["n"])
+        ss = sum(v[1] for v in tots[c].values())
+        std[c] = math.sqrt(ss / (n - 1)) if n > 1 else None
+        starts, acc = {}, 0
+        for b in sorted(tots[c]):
+            starts[b] = acc
+            acc += tots[c][b][0]
+        for i, p in enumerate(probs):
+            pos = (n - 1) * float(p)
+            frac[(c, i)] = pos - math.floor(pos)
+            for w, rank in ((0, math.floor(pos)), (1, math.ceil(pos))):
+                b = max(k for k in starts if starts[k] <= rank)
+                off[(c, b)] = starts[b]
+                tgt.setdefault((c, b), []).append(f"named_struct('i', {i}, 'w', {w}, 'rank', {rank}L)")
+    keys = sorted(off)
+    cond = " OR ".join(f"(variable = '{c}' AND bucket = {b})" for c, b in keys)
+    case = lambda vals, d="NULL": "CASE " + " ".join(
+        f"WHEN variable = '{c}' AND bucket = {b} THEN {vals[(c, b)]}" for c, b in keys) + f" ELSE {d} END"
+    run = Window.partitionBy("variable", "bucket").orderBy("x") \
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = (vb.where(cond).withColumn("end_in", F.sum("cnt").over(run))
+             .selectExpr("variable", "x", f"({case({k: f'{v}L' for k, v in off.items()}, '0L')}) AS off",
+                         "end_in", "cnt",
+                         f"({case({k: f'array({chr(44).join(v)})' for k, v in tgt.items()})}) AS t")
+             .selectExpr("variable", "x", "explode(filter(t, t -> t.rank >= off + end_in - cnt "
+                         "AND t.rank < off + end_in)) AS t"))
+    aggs = []
+    for i in range(len(probs)):
+        aggs += [F.expr(f"max(CASE WHEN t.i = {i} AND t.w = 0 THEN x END)").alias(f"_a{i}"),
+                 F.expr(f"max(CASE WHEN t.i = {i} AND t.w = 1 THEN x END)").alias(f"_b{i}")]
+    res = hit.groupBy("variable").agg(*aggs)
+    out = ["variable", f"({_case_sql({c: (f'{v!r}D' if v is not None else 'NULL') for c, v in std.items()})}) AS std"]
+    for i, p in enumerate(probs):
+        f = _case_sql({c: f"{frac[(c, i)]!r}D" for c in head})
+        out.append(f"_a{i} + (_b{i} - _a{i}) * ({f}) AS {_pname(p)}")
+    return res.selectExpr(*out)
+
+
 # ---------------------------------------------------------------- histogram
 def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """``bins`` equal-width bins over [min, max], the last bin closed; all bins

@@ -34,8 +34,8 @@ def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
        values (a fixed-size sketch). A column gets
        ``min(buckets, ceil(d / bucket_rows))`` buckets, so a bucket (one
        window task) holds about ``bucket_rows`` distinct values up to
-       ``buckets x bucket_rows`` distinct values per column (default 1e9; past
-       that buckets grow, or use ``approx=True``). Ranks (n-1)*p and means are
+       ``buckets x bucket_rows`` distinct values per column (default 1e9); past
+       that, target buckets are bucketed again (see ``_rank_stats_split``). Ranks (n-1)*p and means are
        then literals, and the bucket of a value is a literal comparison tree
        (at most ``buckets`` leaves: 1024 still compiles to generated code);
     3. a running count inside each (column, bucket) and the totals of earlier
@@ -84,7 +84,7 @@ def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float]
             out = out.withColumn(nme, F.lit(None).cast("double"))
     else:
         ranked = (_rank_stats(vc, head, bounds, probs) if not split
-                  else _rank_stats_split(vc, head, bounds, probs))
+                  else _rank_stats_split(vc, head, bounds, probs, buckets, bucket_rows, accuracy))
         out = base.join(F.broadcast(ranked), "variable", "left")
     return out.select("variable", "count", "mean", "std", "min", *names, "max")
 
@@ -179,45 +179,99 @@ def _rank_stats(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float])
     return res.selectExpr(*out)
 
 
-def _rank_stats_split(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float]) -> DataFrame:
-    """Multi-bucket form of ``_rank_stats``: bucket totals (and squared
-    deviations) are collected first, ``columns x buckets`` rows, so the target
-    bucket of every rank and its offset are known; the running-count window
-    then runs over those few buckets only (at most two per percentile and
-    column), not over every distinct value."""
+def _range_sql(c: str, lo, hi) -> str:
+    cond = [f"variable = '{c}'"]
+    if lo is not None:
+        cond.append(f"x > {float(lo)!r}D")
+    if hi is not None:
+        cond.append(f"x <= {float(hi)!r}D")
+    return " AND ".join(cond)
+
+
+def _rank_stats_split(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float],
+                      buckets: int, bucket_rows: int, accuracy: int) -> DataFrame:
+    """Multi-bucket form of ``_rank_stats``. Bucket totals (count, distinct
+    count, squared deviations; ``columns x buckets`` rows) are collected, which
+    locates the bucket of every target rank and its offset. A target bucket
+    that still holds more than ``bucket_rows`` distinct values is bucketed
+    again inside its own value range (another bounded sketch and totals), until
+    every window to rank is small; the running-count window then runs only over
+    those windows (at most two per percentile and column)."""
     bucket = _case_sql({c: bucket_sql("x", b) for c, b in bounds.items()}, "0")
     mean = _case_sql({c: f"{float(r['mean'])!r}D" for c, r in head.items()})
     vb = vc.select("variable", "x", "cnt", F.expr(bucket).alias("bucket"),
                    F.expr(f"cnt * (x - ({mean})) * (x - ({mean}))").alias("dev"))
     tots: dict = {}
-    for row in vb.groupBy("variable", "bucket").agg(F.sum("cnt").alias("tot"), F.sum("dev").alias("ss")).collect():
-        tots.setdefault(row["variable"], {})[int(row["bucket"])] = (int(row["tot"]), float(row["ss"]))
-    std, frac, where, off, tgt = {}, {}, [], {}, {}
+    for row in vb.groupBy("variable", "bucket").agg(F.sum("cnt").alias("tot"), F.sum("dev").alias("ss"),
+                                                    F.count(F.lit(1)).alias("d")).collect():
+        tots.setdefault(row["variable"], {})[int(row["bucket"])] = (int(row["tot"]), float(row["ss"]), int(row["d"]))
+
+    def locate(parts: dict, ranges: dict, base: int, targets) -> dict:
+        """{(lo, hi): [off, d, targets]} for the parts holding the target ranks."""
+        out, acc, starts = {}, base, {}
+        for b in sorted(parts):
+            starts[b] = acc
+            acc += parts[b][0]
+        for t in targets:
+            b = max(k for k in starts if starts[k] <= t[2])
+            w = out.setdefault(ranges[b], [starts[b], parts[b][-1], []])
+            w[2].append(t)
+        return out
+
+    std, frac, windows = {}, {}, {}
     for c, r in head.items():
         n = int(r["n"])
-        ss = sum(v[1] for v in tots[c].values())
-        std[c] = math.sqrt(ss / (n - 1)) if n > 1 else None
-        starts, acc = {}, 0
-        for b in sorted(tots[c]):
-            starts[b] = acc
-            acc += tots[c][b][0]
+        std[c] = math.sqrt(sum(v[1] for v in tots[c].values()) / (n - 1)) if n > 1 else None
+        targets = []
         for i, p in enumerate(probs):
             pos = (n - 1) * float(p)
             frac[(c, i)] = pos - math.floor(pos)
-            for w, rank in ((0, math.floor(pos)), (1, math.ceil(pos))):
-                b = max(k for k in starts if starts[k] <= rank)
-                off[(c, b)] = starts[b]
-                tgt.setdefault((c, b), []).append(f"named_struct('i', {i}, 'w', {w}, 'rank', {rank}L)")
-    keys = sorted(off)
-    cond = " OR ".join(f"(variable = '{c}' AND bucket = {b})" for c, b in keys)
-    case = lambda vals, d="NULL": "CASE " + " ".join(
-        f"WHEN variable = '{c}' AND bucket = {b} THEN {vals[(c, b)]}" for c, b in keys) + f" ELSE {d} END"
-    run = Window.partitionBy("variable", "bucket").orderBy("x") \
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = (vb.where(cond).withColumn("end_in", F.sum("cnt").over(run))
-             .selectExpr("variable", "x", f"({case({k: f'{v}L' for k, v in off.items()}, '0L')}) AS off",
-                         "end_in", "cnt",
-                         f"({case({k: f'array({chr(44).join(v)})' for k, v in tgt.items()})}) AS t")
+            targets += [(i, 0, math.floor(pos)), (i, 1, math.ceil(pos))]
+        bs = bounds[c]
+        ranges = {b: (bs[b - 1] if b > 0 else None, bs[b] if b < len(bs) else None) for b in tots[c]}
+        for (lo, hi), w in locate({b: (v[0], v[2]) for b, v in tots[c].items()}, ranges, 0, targets).items():
+            windows[(c, lo, hi)] = w
+
+    for _ in range(64):   # refinement levels; each shrinks a window by up to `buckets`
+        big = [k for k, w in windows.items() if w[1] > bucket_rows]
+        if not big:
+            break
+        wid = "CASE " + " ".join(f"WHEN {_range_sql(*k)} THEN {j}" for j, k in enumerate(big)) + " END"
+        sub = vc.select("x", "cnt", F.expr(wid).alias("wid")).where("wid IS NOT NULL")
+        want = {j: max(1, min(buckets, -(-windows[k][1] // bucket_rows))) for j, k in enumerate(big)}
+        top = max(want.values())
+        fr = [i / top for i in range(1, top)]
+        sub_bounds = {int(r["wid"]): _pick_bounds(r["b"] or [], top, want[int(r["wid"])])
+                      for r in sub.groupBy("wid").agg(
+                          F.percentile_approx("x", fr, max(accuracy, 4 * top)).alias("b")).collect()}
+        sb = "CASE " + " ".join(f"WHEN wid = {j} THEN {bucket_sql('x', sub_bounds.get(j, []))}"
+                                for j in range(len(big))) + " END"
+        parts: dict = {}
+        for r in (sub.withColumn("sb", F.expr(sb)).groupBy("wid", "sb")
+                     .agg(F.sum("cnt").alias("tot"), F.count(F.lit(1)).alias("d")).collect()):
+            parts.setdefault(int(r["wid"]), {})[int(r["sb"])] = (int(r["tot"]), int(r["d"]))
+        progressed = False
+        for j, k in enumerate(big):
+            c, lo, hi = k
+            off, d, targets = windows.pop(k)
+            sbs = [v for v in sub_bounds.get(j, []) if (lo is None or v > lo) and (hi is None or v < hi)]
+            ranges = {b: (sbs[b - 1] if b > 0 else lo, sbs[b] if b < len(sbs) else hi) for b in parts[j]}
+            for (slo, shi), w in locate(parts[j], ranges, off, targets).items():
+                progressed |= w[1] < d
+                windows[(c, slo, shi)] = w if w[1] < d else [w[0], 0, w[2]]   # no split possible: rank as is
+        if not progressed:
+            break
+
+    keys = sorted(windows, key=repr)
+    wid = "CASE " + " ".join(f"WHEN {_range_sql(*k)} THEN {j}" for j, k in enumerate(keys)) + " END"
+    off = "CASE " + " ".join(f"WHEN wid = {j} THEN {windows[k][0]}L" for j, k in enumerate(keys)) + " END"
+    tgt = "CASE " + " ".join(
+        f"WHEN wid = {j} THEN array({', '.join(f'named_struct({chr(39)}i{chr(39)}, {i}, {chr(39)}w{chr(39)}, {w}, {chr(39)}rank{chr(39)}, {rk}L)' for i, w, rk in windows[k][2])})"
+        for j, k in enumerate(keys)) + " END"
+    run = Window.partitionBy("wid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = (vc.select("variable", "x", "cnt", F.expr(wid).alias("wid")).where("wid IS NOT NULL")
+             .withColumn("end_in", F.sum("cnt").over(run))
+             .selectExpr("variable", "x", "cnt", "end_in", f"({off}) AS off", f"({tgt}) AS t")
              .selectExpr("variable", "x", "explode(filter(t, t -> t.rank >= off + end_in - cnt "
                          "AND t.rank < off + end_in)) AS t"))
     aggs = []

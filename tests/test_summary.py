@@ -142,3 +142,13 @@ def test_category_spending_half_cent_means_round_half_even(spark):
     pdf = df.toPandas().groupby("category").agg({"total_amount": "mean", "purchase_count": "mean"}).round(2)
     assert got == {"x": (0.12, 1.0), "y": (0.38, 1.5)}
     assert got == {k: (pdf.loc[k, "total_amount"], pdf.loc[k, "purchase_count"]) for k in ("x", "y")}
+
+
+def test_describe_refines_large_target_buckets(spark):
+    # 4 buckets of at most 3 distinct values each: target buckets are refined over several levels
+    vals = [float(v) for v in np.random.default_rng(8).integers(0, 500, 1500)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    r = describe(df, ["v"], buckets=4, bucket_rows=3).first()
+    want = _pandas_describe(vals)
+    got = [r["count"], r["mean"], r["std"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]]
+    assert got == pytest.approx(want, rel=1e-9, abs=1e-9)

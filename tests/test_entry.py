@@ -44,3 +44,21 @@ def test_query_equals_oracle(spark, duck, name):
 
 def test_kmeans_fit_rows(spark):
     assert entry.queries()["kmeans_fit"](spark, SF).count() == 3
+
+
+def test_queries_under_driver_like_settings(spark, duck):
+    """Non-UTC session zone and 200 shuffle partitions (Spark defaults): every
+    query still equals its oracle."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        for name, sql in sorted(entry.oracle_sql().items()):
+            df = entry.queries()[name](spark, SF)
+            res = duck.execute(sql)
+            ocols = [d[0] for d in res.description]
+            orows = [tuple(r[ocols.index(c)] for c in df.columns) for r in res.fetchall()]
+            assert rows_key([tuple(r) for r in df.collect()]) == rows_key(orows), name
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,6 +24,16 @@ def round_doubles(df: DataFrame, scale: int = 4) -> DataFrame:
     ])
 
 
+def double_sql(v: float) -> str:
+    """SQL literal of a double, including infinities and NaN."""
+    v = float(v)
+    if math.isnan(v):
+        return "CAST('NaN' AS DOUBLE)"
+    if math.isinf(v):
+        return f"CAST('{'Infinity' if v > 0 else '-Infinity'}' AS DOUBLE)"
+    return f"{v!r}D"
+
+
 def bucket_sql(x: str, bounds: Sequence[float]) -> str:
     """SQL text of the bucket index of ``x`` among sorted literal ``bounds``.
 
@@ -36,7 +47,7 @@ def bucket_sql(x: str, bounds: Sequence[float]) -> str:
         if lo == hi:
             return str(lo)
         mid = (lo + hi) // 2
-        return f"CASE WHEN {x} <= {bounds[mid]!r}D THEN {tree(lo, mid)} ELSE {tree(mid + 1, hi)} END"
+        return f"CASE WHEN {x} <= {double_sql(bounds[mid])} THEN {tree(lo, mid)} ELSE {tree(mid + 1, hi)} END"
 
     return tree(0, len(bounds))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clientlens.functions.numeric import bucket_sql
+from clientlens.functions.numeric import bucket_sql, double_sql
 from clientlens.session import checkpoint_dir
 from clientlens.roles import Roles
 
@@ -141,14 +141,14 @@ def _rank_stats(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float])
     fractions) are written as SQL text: one parse instead of a JVM call per
     expression node."""
     bucket = _case_sql({c: bucket_sql("x", b) for c, b in bounds.items()}, "0")
-    mean = _case_sql({c: f"{float(r['mean'])!r}D" for c, r in head.items()})
+    mean = _case_sql({c: double_sql(r['mean']) for c, r in head.items()})
     tgt, frac = {}, {}
     for c, r in head.items():
         arr = []
         for i, p in enumerate(probs):
             pos = (int(r["n"]) - 1) * float(p)
             lo, hi = math.floor(pos), math.ceil(pos)
-            frac.setdefault(i, {})[c] = f"{pos - lo!r}D"
+            frac.setdefault(i, {})[c] = double_sql(pos - lo)
             arr += [f"named_struct('i', {i}, 'w', 0, 'rank', {lo}L)",
                     f"named_struct('i', {i}, 'w', 1, 'rank', {hi}L)"]
         tgt[c] = f"array({', '.join(arr)})"
@@ -182,9 +182,9 @@ def _rank_stats(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float])
 def _range_sql(c: str, lo, hi) -> str:
     cond = [f"variable = '{c}'"]
     if lo is not None:
-        cond.append(f"x > {float(lo)!r}D")
+        cond.append(f"x > {double_sql(lo)}")
     if hi is not None:
-        cond.append(f"x <= {float(hi)!r}D")
+        cond.append(f"x <= {double_sql(hi)}")
     return " AND ".join(cond)
 
 
@@ -198,7 +198,7 @@ def _rank_stats_split(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[f
     every window to rank is small; the running-count window then runs only over
     those windows (at most two per percentile and column)."""
     bucket = _case_sql({c: bucket_sql("x", b) for c, b in bounds.items()}, "0")
-    mean = _case_sql({c: f"{float(r['mean'])!r}D" for c, r in head.items()})
+    mean = _case_sql({c: double_sql(r['mean']) for c, r in head.items()})
     vb = vc.select("variable", "x", "cnt", F.expr(bucket).alias("bucket"),
                    F.expr(f"cnt * (x - ({mean})) * (x - ({mean}))").alias("dev"))
     tots: dict = {}
@@ -279,9 +279,9 @@ def _rank_stats_split(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[f
         aggs += [F.expr(f"max(CASE WHEN t.i = {i} AND t.w = 0 THEN x END)").alias(f"_a{i}"),
                  F.expr(f"max(CASE WHEN t.i = {i} AND t.w = 1 THEN x END)").alias(f"_b{i}")]
     res = hit.groupBy("variable").agg(*aggs)
-    out = ["variable", f"({_case_sql({c: (f'{v!r}D' if v is not None else 'NULL') for c, v in std.items()})}) AS std"]
+    out = ["variable", f"({_case_sql({c: (double_sql(v) if v is not None else 'NULL') for c, v in std.items()})}) AS std"]
     for i, p in enumerate(probs):
-        f = _case_sql({c: f"{frac[(c, i)]!r}D" for c in head})
+        f = _case_sql({c: double_sql(frac[(c, i)]) for c in head})
         out.append(f"_a{i} + (_b{i} - _a{i}) * ({f}) AS {_pname(p)}")
     return res.selectExpr(*out)
 

@@ -152,3 +152,13 @@ def test_describe_refines_large_target_buckets(spark):
     want = _pandas_describe(vals)
     got = [r["count"], r["mean"], r["std"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]]
     assert got == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("bucket_rows", [1_000_000, 2])
+def test_describe_with_infinity(spark, bucket_rows):
+    vals = [float(v) for v in range(40)] + [float("inf")] * 3
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    r = describe(df, ["v"], buckets=4, bucket_rows=bucket_rows).first()
+    s = pd.Series(vals)
+    assert r["count"] == 43 and r["max"] == float("inf") and r["mean"] == float("inf")
+    assert [r["p25"], r["p50"]] == list(np.percentile(s, [25, 50]))

@@ -94,6 +94,7 @@ def _describe_approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)   # NaN is missing, as in pandas
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev(x).alias(f"{c}__std"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
                  F.percentile_approx(x, list(probs), accuracy).alias(f"{c}__q")]
@@ -111,11 +112,11 @@ def _pname(p: float) -> str:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``variable, x, cnt``: the distinct non-null values of each column (as
-    double) with their multiplicity."""
+    """``variable, x, cnt``: the distinct values of each column (as double)
+    with their multiplicity; null and NaN are missing values, as in pandas."""
     long = (df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("variable"),
                                                     F.col(c).cast("double").alias("x")) for c in columns])))
-              .where(F.col("x").isNotNull()))
+              .where(F.col("x").isNotNull() & ~F.isnan("x")))
     return long.groupBy("variable", "x").agg(F.count(F.lit(1)).alias("cnt"))
 
 

@@ -162,3 +162,14 @@ def test_describe_with_infinity(spark, bucket_rows):
     s = pd.Series(vals)
     assert r["count"] == 43 and r["max"] == float("inf") and r["mean"] == float("inf")
     assert [r["p25"], r["p50"]] == list(np.percentile(s, [25, 50]))
+
+
+@pytest.mark.parametrize("approx", [False, True])
+def test_describe_nan_is_missing(spark, approx):
+    vals = [1.0, 2.0, float("nan"), 4.0, None]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    r = describe(df, ["v"], approx=approx).first()
+    s = pd.Series(vals, dtype="float64")
+    assert r["count"] == s.count() == 3 and r["mean"] == pytest.approx(s.mean())
+    if not approx:
+        assert r["p50"] == s.median()

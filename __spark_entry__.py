@@ -13,6 +13,7 @@ compared values.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -271,12 +272,28 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_rfm_scores(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators, if that subpackage and
+    its pipeline are there (the only place that allows for their absence)."""
+    have = [importlib.util.find_spec(m) is not None for m in ("clientlens.llm", "corpus_pipeline")]
+    if not have[0]:
+        return {}, {}
+    from clientlens.llm.queries import ORACLE_SQL as sql, QUERIES as named
+    named, sql = dict(named), dict(sql)
+    if have[1]:
+        import corpus_pipeline
+        named["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return named, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _rounded(v) for k, v in _QUERIES.items()}
+    return {k: _rounded(v) for k, v in _QUERIES.items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    return dict(ORACLE_SQL) | _training_data()[1]
 
 
 # ---------------------------------------------------------------------------

@@ -21,7 +21,7 @@ def test_entry_smoke(spark):
 
 
 def test_oracle_coverage():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"kmeans_fit"}
+    assert set(entry._QUERIES) - set(entry.ORACLE_SQL) == {"kmeans_fit"}
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +32,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLE_SQL))
 def test_query_equals_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     res = duck.execute(entry.oracle_sql()[name])
@@ -53,7 +53,7 @@ def test_queries_under_driver_like_settings(spark, duck):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     spark.conf.set("spark.sql.shuffle.partitions", "200")
     try:
-        for name, sql in sorted(entry.oracle_sql().items()):
+        for name, sql in sorted(entry.ORACLE_SQL.items()):
             df = entry.queries()[name](spark, SF)
             res = duck.execute(sql)
             ocols = [d[0] for d in res.description]

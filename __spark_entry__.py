@@ -272,6 +272,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_rfm_scores(spark, SMOKE_DIR)
 
 
+def _importable(fn):
+    """Python workers import this repository wherever the driver was started
+    (a cluster gets it by --py-files)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        env, here = spark.sparkContext.environment, os.path.dirname(os.path.abspath(__file__))
+        if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+            env["PYTHONPATH"] = os.pathsep.join(x for x in (here, env.get("PYTHONPATH", "")) if x)
+        return fn(spark, sf_dir)
+    return run
+
+
 def _training_data() -> tuple[dict, dict]:
     """Queries and SQL of the training-data operators, if that subpackage and
     its pipeline are there (the only place that allows for their absence)."""
@@ -283,6 +294,8 @@ def _training_data() -> tuple[dict, dict]:
     if have[1]:
         import corpus_pipeline
         named["pipeline"] = corpus_pipeline.run
+    named = {k: _importable(v) for k, v in named.items()}
+    if have[1]:
         if corpus_pipeline.ORACLE_SQL is not None:
             sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return named, sql

@@ -4,9 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clientlens.llm import language, quality, toxicity
 from clientlens.llm.archive import read_archive, write_archive
 from clientlens.llm.mixing import mix_to_targets
-from clientlens.llm.shared import scratch, table
+from clientlens.llm.shared import held_out, scratch, table
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, keep=~held_out("doc_id", 3))
+    return language.identify(docs, model).select("doc_id", held_out("doc_id", 3).alias("held_out"), "lang_pred", "score")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), keep=~held_out("doc_id", 3))
+    return toxicity.score(docs, model).select("doc_id", held_out("doc_id", 3).alias("held_out"), "score",
+                                              (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +30,11 @@ def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             "record_type", "refers_to")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs)).select("doc_id", "score", (F.col("score") >= 0.5).alias("keep"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mix_to_targets(table(spark, sf_dir, "documents"))
     return m.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
@@ -23,7 +42,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op3_warc_archive": op3_warc_archive,
+    "op5_quality": op5_quality,
     "op7_mix_sources": op7_mix_sources,
 }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientlens.llm import language, quality, toxicity
+from clientlens.llm import jaccard, language, quality, toxicity
 from clientlens.llm.archive import read_archive, write_archive
 from clientlens.llm.mixing import mix_to_targets
 from clientlens.llm.shared import held_out, scratch, table
@@ -41,12 +41,17 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op3_warc_archive": op3_warc_archive,
     "op5_quality": op5_quality,
     "op7_mix_sources": op7_mix_sources,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
 # DuckDB SQL ----------------------------------------------------------------

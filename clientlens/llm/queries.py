@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientlens.llm import jaccard, language, quality, toxicity
+from clientlens.llm import decontam, jaccard, language, quality, toxicity
 from clientlens.llm.archive import read_archive, write_archive
 from clientlens.llm.mixing import mix_to_targets
 from clientlens.llm.shared import held_out, scratch, table
@@ -41,6 +41,13 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return c.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                    F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+                    decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_components(table(spark, sf_dir, "documents"))
 
@@ -51,6 +58,7 @@ QUERIES = {
     "op3_warc_archive": op3_warc_archive,
     "op5_quality": op5_quality,
     "op7_mix_sources": op7_mix_sources,
+    "op8_decontamination": op8_decontamination,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
@@ -94,4 +102,26 @@ SELECT doc_id, size, source_size, target, (size * (q + x))::BIGINT AS taken
 FROM sz JOIN s7 ON sz.source IS NOT DISTINCT FROM s7.source
 JOIN g2 ON sz.source IS NOT DISTINCT FROM g2.source AND sz.h = g2.h"""
 
-ORACLE_SQL = {"op3_warc_archive": OP3_SQL, "op7_mix_sources": OP7_SQL}
+_DECONTAM_CTES = """
+iw AS (SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, list_slice(w, s + 1, s + 13) AS g
+        FROM (SELECT item_id, w, unnest(range(greatest(len(w) - 13, 0) + 1)) AS s FROM iw WHERE len(w) > 0)),
+dw AS (SELECT doc_id, row_number() OVER () AS rid,
+              list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM {docs}),
+sz AS (SELECT DISTINCT len(g) AS n FROM win),
+dg AS (SELECT rid, n, s, list_slice(w, s + 1, s + n) AS g
+       FROM (SELECT rid, n, w, unnest(range(len(w) - n + 1)) AS s FROM dw, sz WHERE len(w) >= n)),
+m AS (SELECT rid, s, n, item_id FROM dg JOIN win USING (g)),
+hit AS (SELECT rid, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM m) GROUP BY rid),
+its AS (SELECT rid, count(*)::BIGINT AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+        FROM (SELECT DISTINCT rid, item_id::VARCHAR AS i FROM m WHERE item_id IS NOT NULL) GROUP BY rid)"""
+
+OP8_SQL = "WITH " + _DECONTAM_CTES.format(docs="documents") + """
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)"""
+
+ORACLE_SQL = {"op3_warc_archive": OP3_SQL, "op7_mix_sources": OP7_SQL, "op8_decontamination": OP8_SQL}

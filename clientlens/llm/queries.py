@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientlens.llm import decontam, jaccard, language, quality, toxicity
+from clientlens.llm import ann, decontam, jaccard, language, quality, toxicity
 from clientlens.llm.archive import read_archive, write_archive
 from clientlens.llm.mixing import mix_to_targets
 from clientlens.llm.shared import held_out, scratch, table
@@ -48,6 +48,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), is_query="id % 20 = 0", k=20)
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_components(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op7_mix_sources": op7_mix_sources,
     "op8_decontamination": op8_decontamination,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientlens.llm import ann, decontam, jaccard, language, quality, toxicity
+from clientlens.llm import ann, decontam, jaccard, language, quality, toxicity, urlrules
 from clientlens.llm.archive import read_archive, write_archive
 from clientlens.llm.mixing import mix_to_targets
 from clientlens.llm.shared import held_out, scratch, table
@@ -30,6 +30,12 @@ def op3_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             "record_type", "refers_to")
 
 
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urlrules.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", F.col("url_host").alias("host"), F.col("url_path").alias("path"),
+                         F.col("url_rule").alias("rule"), F.col("url_verdict").alias("verdict"), F.col("url_mined").alias("mined"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs)).select("doc_id", "score", (F.col("score") >= 0.5).alias("keep"))
@@ -60,6 +66,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
     "op3_warc_archive": op3_warc_archive,
+    "op4_url_rules": op4_url_rules,
     "op5_quality": op5_quality,
     "op7_mix_sources": op7_mix_sources,
     "op8_decontamination": op8_decontamination,

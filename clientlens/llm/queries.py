@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clientlens.llm import ann, decontam, jaccard, language, quality, toxicity, urlrules
+from clientlens.llm import ann, decontam, jaccard, language, lm, quality, toxicity, urlrules
 from clientlens.llm.archive import read_archive, write_archive
 from clientlens.llm.mixing import mix_to_targets
 from clientlens.llm.shared import held_out, scratch, table
@@ -41,6 +41,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs)).select("doc_id", "score", (F.col("score") >= 0.5).alias("keep"))
 
 
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"), held_out("doc_id", 5))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mix_to_targets(table(spark, sf_dir, "documents"))
     return m.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
@@ -68,6 +72,7 @@ QUERIES = {
     "op3_warc_archive": op3_warc_archive,
     "op4_url_rules": op4_url_rules,
     "op5_quality": op5_quality,
+    "op6_lm_scores": op6_lm_scores,
     "op7_mix_sources": op7_mix_sources,
     "op8_decontamination": op8_decontamination,
     "op9_nearest_neighbours": op9_nearest_neighbours,

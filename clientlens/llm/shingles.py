@@ -37,8 +37,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, index of the text it is in), in text order."""
+def word_spans(texts: list[str | None]):
+    """(bytes, starts, ends, hash of each word, index of the text it is in),
+    in text order, on the lower-cased texts laid end to end."""
     parts = [t.encode("utf-8", "surrogatepass").translate(_TO_LOWER) if t else b"" for t in texts]
     raw = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
     gap = _SPACE[raw]
@@ -46,12 +47,17 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     start = np.flatnonzero(word & np.concatenate([[True], gap[:-1]]))
     end = np.flatnonzero(word & np.concatenate([gap[1:], [True]])) + 1
     if not len(start):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return raw, start, end, np.zeros(0, np.uint64), np.zeros(0, np.int64)
     up, down = _power_table(len(raw) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], dtype=np.uint64)])
     h = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     ends = np.cumsum([len(p) + 1 for p in parts])
-    return h, np.searchsorted(ends, start, side="right")
+    return raw, start, end, h, np.searchsorted(ends, start, side="right")
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, index of the text it is in), in text order."""
+    return word_spans(texts)[3:]
 
 
 def shingle_sets(texts: list[str | None], words: int = 5) -> tuple[np.ndarray, np.ndarray]:

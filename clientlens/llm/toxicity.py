@@ -62,6 +62,14 @@ def text_features(text: str | None) -> set[int]:
     return {f for w in set(_WORDS.findall(text.lower())) for f in word_features(w)} if text else set()
 
 
+def _swap(term: str, group: Sequence[str], h: int) -> str:
+    """Another term of the group: the neutral one for odd ``h``."""
+    if h & 1 and term != group[0]:
+        return group[0]
+    others = [t for t in group if t != term]
+    return others[h // 2 % len(others)]
+
+
 def counterfactuals(text: str | None, groups: Sequence[Sequence[str]]) -> list[tuple[set[int], set[int]]]:
     """(features, features with the identity terms swapped) of each sentence
     that mentions one. Which other term steps in is chosen by a hash of the
@@ -72,9 +80,7 @@ def counterfactuals(text: str | None, groups: Sequence[Sequence[str]]) -> list[t
         words = _WORDS.findall(s)
         if any(w in other for w in words):
             h = zlib.crc32(s.encode("utf-8", "replace"))
-            swap = lambda w: (g := other[w])[0] if h & 1 and w != g[0] else next(
-                x for i in range(len(g)) if (x := g[(h // 2 + i) % len(g)]) != w)
-            swapped = [swap(w) if w in other else w for w in words]
+            swapped = [_swap(w, other[w], h) if w in other else w for w in words]
             out.append((text_features(" ".join(words)), text_features(" ".join(swapped))))
     return out
 

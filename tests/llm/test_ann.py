@@ -1,0 +1,76 @@
+import numpy as np
+import pytest
+
+from clientlens.llm import ann as A
+from clientlens.llm.shared import table
+
+SCHEMA = "vec_id long, embedding array<float>, score string, ID2 int"
+
+
+def brute(x, ids, k, every=20):
+    out = {}
+    for q in np.flatnonzero(ids % every == 0):
+        s = (x[q] * x).sum(1)
+        o = np.lexsort((ids, -s))
+        out[int(ids[q])] = [(int(ids[i]), float(s[i])) for i in o if ids[i] != ids[q]][:k]
+    return out
+
+
+def run(spark, x, ids, **options):
+    df = spark.createDataFrame([(int(i), [float(c) for c in v], "s", 1) for i, v in zip(ids, x)], SCHEMA)
+    got = {}
+    for r in A.search(df, **options).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    return got
+
+
+def test_recall_on_the_table(spark):
+    rows = table(spark, "/root/testdata/sf0.1", "embeddings").orderBy("vec_id").collect()
+    x, ids = np.array([r.embedding for r in rows], float), np.array([r.vec_id for r in rows])
+    got = {}
+    for r in A.search(table(spark, "/root/testdata/sf0.1", "embeddings"), floor=0).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    want = brute(x, ids, 20)
+    assert set(got) == set(want) and all(len(g) == 20 for g in got.values())
+    assert np.mean([v in got[q] for q in want for v, _ in want[q]]) >= 0.9
+    assert all(abs(got[q][v] - s) < 1e-12 for q in want for v, s in want[q] if v in got[q])
+
+
+def test_walking_all_cells_is_exact_with_ties_and_copies(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(300, 6)).astype(np.float32).astype(float)
+    x[50:150] = x[40]  # a hot vector
+    x[200:210] *= 30  # unequal norms
+    ids = np.arange(300)
+    got = run(spark, x, ids, probe=1.0, block=32, query_block=4, centroids=8)
+    assert got == {q: [(v, pytest.approx(s, abs=1e-12)) for v, s in w] for q, w in brute(x, ids, 20).items()}
+
+
+def test_heap_walk():
+    rng = np.random.default_rng(1)
+    a, b, n = rng.normal(size=9), rng.normal(size=7), rng.integers(0, 5, (9, 7))
+    sums = (a[:, None] + b[None]).ravel()
+    order = np.argsort(-sums)
+    for budget in (0, 1, 10, n.sum() // 2, n.sum(), n.sum() + 1):
+        total = np.cumsum(n.ravel()[order])
+        at = np.searchsorted(total, budget)
+        want = -np.inf if budget > n.sum() else sums[order][min(at, len(order) - 1)]
+        assert A.traverse(a, b, n, budget) == pytest.approx(want)
+
+
+def test_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 2.0]), (1, [3.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [None, 1.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [1.0]), (20, [-1.0, 0.5]),
+            (None, [1.0, 1.0]), (8, []), (1, [3.0, 1.0]), (9, [-inf, 0.0]), (20, [5.0, 5.0])]
+    df = spark.createDataFrame([(i, v, "s", 1) for i, v in rows], SCHEMA)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in A.search(df).collect()}
+    # of the two rows of id 20 the vector that sorts first counts; fewer candidates than 20
+    assert got == {(0, 1): (1, 5.0), (0, 2): (20, 0.0), (20, 1): (0, 0.0), (20, 2): (1, -2.5)}
+
+
+def test_few_and_no_rows(spark):
+    assert run(spark, np.zeros((0, 2)), []) == {}
+    assert run(spark, np.zeros((3, 2)), [0, 1, 2]) == {}
+    assert run(spark, np.ones((1, 3)), [0]) == {}
+    assert run(spark, np.ones((2, 1)), [0, 40]) == {0: [(40, 1.0)], 40: [(0, 1.0)]}
+    assert run(spark, np.ones((2, 3)), [1, 2]) == {}

@@ -1,0 +1,69 @@
+import base64
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from clientlens.llm.archive import read_archive, write_archive
+
+PAGES = "page_id long, url string, html string, ID string, digest string"
+ROWS = [(1, "http://a/", "same", "x", "y"), (5, "http://b/", "same", None, None), (3, None, "same", None, None),
+        (2, "http://c/", None, None, None), (7, "http://d/", "", None, None), (8, "http://e/\r\nX: 1", "é\r\n\r\nWARC/1.0\r\n", None, None),
+        (9, "http://long/", "x" * 3_000_000, None, None), (None, "http://f/", "only", None, None), (4, "http://r/", "twice", None, None),
+        (4, "http://r/", "twice", None, None)]
+
+
+def archived(spark, tmp_dir, rows, name="a", **options):
+    write_archive(spark.createDataFrame(rows, PAGES), f"{tmp_dir}/{name}", **options)
+    return read_archive(spark, f"{tmp_dir}/{name}").collect()
+
+
+def test_round_trip(spark, tmp_dir):
+    got = archived(spark, tmp_dir, ROWS)
+    assert len(got) == len(ROWS)
+    owner = {}
+    for i, _, h, *_ in ROWS:
+        owner[h or ""] = max(owner.get(h or "", -1), -1 if i is None else i)
+    for r in got:
+        body = next((h or "").encode() for i, _, h, *_ in ROWS if i == r.id)
+        assert r.payload_bytes == len(body)
+        assert r.payload_digest == base64.b32encode(hashlib.sha1(body).digest()).decode()
+        head, block = bytes(r.record).split(b"\r\n\r\n", 1)
+        fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+        assert fields["WARC-Payload-Digest"] == f"sha1:{r.payload_digest}" and fields["WARC-Type"] == r.record_type
+        assert re.fullmatch(r"<urn:uuid:[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}>", fields["WARC-Record-ID"])
+        if r.record_type == "response":
+            assert block == body + b"\r\n\r\n" and int(fields["Content-Length"]) == len(body) and r.refers_to is None
+        else:
+            assert block == b"\r\n\r\n" and r.refers_to == owner[body.decode()] and "WARC-Refers-To" in fields
+    kinds = {(r.id, r.copy): r.record_type for r in got}
+    assert {i: k for (i, c), k in kinds.items() if c == 1} == {1: "revisit", 5: "response", 3: "revisit", 2: "revisit", 7: "response",
+                                                              8: "response", 9: "response", None: "response", 4: "response"}
+    assert kinds[(4, 2)] == "revisit"
+    assert len({bytes(r.record).split(b"WARC-Record-ID: ")[1][:50] for r in got}) == len(got)
+
+
+def test_each_payload_is_stored_once(spark, tmp_dir):
+    archived(spark, tmp_dir, ROWS)
+    assert spark.read.parquet(f"{tmp_dir}/a/payloads").count() == len({r[2] or "" for r in ROWS})
+
+
+def test_smaller_payloads_are_all_responses(spark, tmp_dir):
+    got = archived(spark, tmp_dir, ROWS, min_bytes=5)
+    assert all(r.record_type == "response" for r in got if r.payload_bytes < 5)
+    assert [r.record_type for r in sorted(got, key=lambda r: r.copy) if r.id == 4] == ["response", "revisit"]
+
+
+def test_empty_table(spark, tmp_dir):
+    assert archived(spark, tmp_dir, []) == []
+
+
+def test_a_changed_payload_is_refused(spark, tmp_dir):
+    archived(spark, tmp_dir, ROWS[:3])
+    pay = spark.read.parquet(f"{tmp_dir}/a/payloads")
+    import zlib
+    pay.withColumn("stored", F.lit(bytearray(zlib.compress(b"other")))).write.parquet(f"{tmp_dir}/b/payloads")
+    spark.read.parquet(f"{tmp_dir}/a/headers").write.parquet(f"{tmp_dir}/b/headers")
+    with pytest.raises(Exception, match="SHA-256"):
+        read_archive(spark, f"{tmp_dir}/b").collect()

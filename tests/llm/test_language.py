@@ -1,0 +1,84 @@
+import numpy as np
+import pytest
+
+from clientlens.llm import language as L
+from clientlens.llm.shared import held_out, table
+
+SF = "/root/testdata/sf0.01"
+
+
+def naive(psi, trans, start):
+    a = [start * psi[0] / (start * psi[0]).sum()]
+    for p in psi[1:]:
+        x = a[-1] @ trans * p
+        a.append(x / x.sum())
+    b = [np.ones(len(start))]
+    for p in psi[:0:-1]:
+        x = trans @ (p * b[0])
+        b.insert(0, x / x.sum())
+    g = np.array(a) * np.array(b)
+    return g / g.sum(1, keepdims=True)
+
+
+@pytest.mark.parametrize("lengths", [[1], [128, 1, 129], [5, 700, 2, 256, 257], [1000]])
+def test_chunked_marginals_equal_the_plain_recursion(lengths):
+    rng = np.random.default_rng(len(lengths))
+    k, n = 3, np.array(lengths)
+    psi, trans, start = np.exp(2 * rng.normal(size=(n.sum(), k))), np.exp(rng.normal(size=(k, k))), np.exp(rng.normal(size=k))
+    got = np.split(L.forward_backward(psi, n, trans, start), np.cumsum(n)[:-1])
+    for g, p in zip(got, np.split(psi, np.cumsum(n)[:-1])):
+        assert np.allclose(g, naive(p, trans, start))
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    import os
+    spark.sparkContext.environment["PYTHONPATH"] = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    return L.fit(table(spark, SF, "documents"), keep=~held_out("doc_id", 3))
+
+
+def test_held_out_accuracy(spark, model):
+    docs = table(spark, SF, "documents")
+    rows = L.identify(docs, model).filter(held_out("doc_id", 3)).select("lang", "lang_pred", "score").collect()
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.98
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_code_switched_text_is_cut_where_the_language_changes(spark, model):
+    docs = table(spark, SF, "documents").filter(held_out("doc_id", 3)).filter("lang in ('en', 'de')").collect()
+    en, de = (next(r.text for r in docs if r.lang == x and len(r.text) > 1500)[:1500] for x in ("en", "de"))
+    right = total = 0
+    for lang, a, b in model.spans(f"{en} {de}"):
+        for at in range(a, b):
+            total += 1
+            right += lang == ("en" if at < 1500 else "de")
+    assert right / total > 0.95
+    assert model.predict([f"{en} {de}"])[0][1] < 0.7  # an even mixture is not sure
+
+
+def test_odd_rows(spark, model, documents):
+    rows = [(1, None), (2, ""), (3, "123 !! 45"), (None, "the and of that with"), (5, "the and of that with"), (5, "the and of that with"),
+            (6, "und der die nicht " * 20_000), (7, "a" * 100_000), (8, "퟿ İI ǅ"), (9, "🙂")]
+    df = documents(rows).withColumnRenamed("source", "score").withColumnRenamed("n_chars", "LANG_PRED2")
+    got = {(r.doc_id, r.text): r for r in L.identify(df, model, out="p", spans="runs").collect()}
+    for key in ((1, None), (2, ""), (3, "123 !! 45"), (9, "🙂")):
+        assert (got[key].lang_pred, got[key].p, got[key].runs) == ("und", 0.0, [])
+    assert got[(5, rows[4][1])].lang_pred == got[(None, rows[3][1])].lang_pred == "en"
+    assert got[(6, rows[6][1])].lang_pred == "de"
+    assert got[(7, rows[7][1])].lang_pred in model.langs
+    assert L.identify(documents([]), model).collect() == []
+
+
+def test_without_learning_rows(spark, documents):
+    m = L.fit(documents([]))
+    assert [(r.lang_pred, r.score) for r in L.identify(documents([(1, "hello")]), m).collect()] == [("und", 0.0)]
+    one = L.fit(documents([(1, "hello there"), (2, None)]))
+    assert [(r.lang_pred, r.score) for r in L.identify(documents([(1, "hello"), (2, "7")]), one).collect()] == [("en", 1.0), ("und", 0.0)]
+
+
+def test_stage_keeps_columns_and_clean_rows(spark, documents):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    out = L.language_stage(spark, docs.union(documents([(10**6, "12 34"), (10**6 + 1, None)])), "")
+    assert out.columns == docs.columns
+    kept = {r.doc_id for r in out.collect()}
+    assert not kept & {10**6, 10**6 + 1} and len(kept) >= 0.98 * docs.count()

@@ -30,34 +30,45 @@ def thresholds_frame(spark: SparkSession, thresholds: Sequence[tuple] = DEFAULT_
 
 
 def metric_alerts(df: DataFrame, thresholds: Sequence[tuple] = DEFAULT_THRESHOLDS, ts: str = "ts",
-                  node: str = "node", metric: str = "metric", value: str = "value") -> DataFrame:
+                  node: str = "node", metric: str = "metric", value: str = "value",
+                  after_watermark: bool = False) -> DataFrame:
     """One row per breach (``value > threshold``) with the message
     ``High <label> usage: <value>%``. The threshold table has one row per
     metric given by the caller, so broadcasting it is bounded; stateless, so it
-    runs in append mode on a stream."""
+    runs in append mode on a stream.
+
+    On a stream with a watermark, ``after_watermark`` ties the conditions to
+    ``ts``: the optimizer then leaves them above the watermark, which moves with
+    every sample and not with breaches only."""
+    def holds(cond: Column) -> Column:
+        return F.when(cond, F.col(ts)).isNotNull() if after_watermark else cond
+
     t = F.broadcast(thresholds_frame(df.sparkSession, thresholds))
     # implied literal filter: reaches the parquet scan (row-group skipping)
     # before the join re-checks each row against its own threshold
-    df = df.where(F.col(metric).isin([m for m, _, _ in thresholds])
-                  & (F.col(value) > F.lit(min(float(x) for _, _, x in thresholds))))
+    df = df.where(holds(F.col(metric).isin([m for m, _, _ in thresholds])
+                        & (F.col(value) > F.lit(min(float(x) for _, _, x in thresholds)))))
     return (df.join(t, df[metric] == t["metric"])
-              .where(df[value] > t["threshold"])
+              .where(holds(df[value] > t["threshold"]))
               .select(df[ts].alias(ts), df[node].alias(node), df[metric].alias(metric),
                       df[value].alias(value), t["threshold"], t["ordinal"],
                       F.concat(F.lit("High "), t["label"], F.lit(" usage: "),
                                df[value].cast(StringType()), F.lit("%")).alias("message")))
 
 
-def alert_messages(alerts: DataFrame, ts: str = "ts", node: str = "node") -> DataFrame:
+def alert_messages(alerts: DataFrame, ts: str = "ts", node: str = "node", value: str = "value") -> DataFrame:
     """One combined message per sample (node, ts): breaches in threshold order
-    joined by newlines. A sample holds at most one reading per metric, so a
-    group is bounded by the number of thresholds. On a stream, give ``alerts``
-    a watermark on ``ts`` first (append mode)."""
-    return (alerts.groupBy(node, ts)
-                  .agg(F.count(F.lit(1)).alias("n_alerts"),
-                       F.concat_ws("\n", F.transform(
-                           F.array_sort(F.collect_list(F.struct("ordinal", "message"))),
-                           lambda s: s["message"])).alias("message")))
+    joined by newlines, one per metric. A reading that is sent again, or several
+    of one metric at one time, count once: the largest speaks for the metric.
+    The aggregate holds one entry per distinct (threshold, value) breach. On a
+    stream, give ``alerts`` a watermark on ``ts`` first (append mode)."""
+    each = F.collect_set(F.struct("ordinal", F.col(value).alias("v"), "message"))
+    ordered = F.array_sort(F.col("_each"), lambda x, y: F.when(x["ordinal"] != y["ordinal"], x["ordinal"] - y["ordinal"])
+                           .when(x["v"] > y["v"], -1).when(x["v"] < y["v"], 1).otherwise(0))
+    first = F.filter(F.col("_s"), lambda s, i: (i == 0) | (F.element_at("_s", F.greatest(i, F.lit(1)))["ordinal"] != s["ordinal"]))
+    return (alerts.groupBy(node, ts).agg(each.alias("_each")).withColumn("_s", ordered).withColumn("_s", first)
+                  .select(node, ts, F.size("_s").cast("long").alias("n_alerts"),
+                          F.concat_ws("\n", F.transform("_s", lambda s: s["message"])).alias("message")))
 
 
 def _packed_order(df: DataFrame, ts: str, tie: str) -> Column | None:

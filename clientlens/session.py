@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -37,18 +35,16 @@ def build_session(master: str | None = None, app: str = "clientlens",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared checkpoint folder named by the cluster: the SparkContext's
+    folder, set from ``spark.checkpoint.dir`` if nobody has set it yet.
 
-    Read from ``spark.checkpoint.dir`` (or an already set SparkContext folder);
-    a fresh local folder is only made when neither is set, which is the case
-    in unit tests on a bare local session.
+    Raises when neither is set. A machine-local folder would lose its blocks
+    with the machine, so none is made up here; tests set one of their own.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="clientlens-ckpt-")
-    sc.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        d = spark.conf.get("spark.checkpoint.dir", None)
+        if not d:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(d)
     return sc.getCheckpointDir()

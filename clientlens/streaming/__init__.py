@@ -2,7 +2,7 @@
 
 from clientlens.streaming.monitor import (read_metric_stream, alerts_stream, messages_stream,
                                           latest_stream, history_stream, start_query,
-                                          start_monitor)
+                                          start_monitor, read_latest)
 
 __all__ = ["read_metric_stream", "alerts_stream", "messages_stream", "latest_stream",
-           "history_stream", "start_query", "start_monitor"]
+           "history_stream", "start_query", "start_monitor", "read_latest"]

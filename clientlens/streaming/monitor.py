@@ -4,7 +4,12 @@ applied to a streaming DataFrame, plus a small ``start_query`` helper.
 * alerts: stateless, append mode;
 * combined messages and windowed history: watermark on ``ts``, append mode
   (a window/sample is emitted once the watermark passes it; later rows dropped);
-* latest value: keyed state, update or complete mode.
+* latest value: keyed state, update mode: a batch writes only the keys it
+  changed; ``read_latest`` reduces them to one row per key.
+
+Every query keeps its checkpoint in a folder that the caller names (or beside
+its output), never in a folder of the running application, so a monitor that is
+started again goes on where the last one stopped.
 """
 
 from __future__ import annotations
@@ -17,7 +22,6 @@ from pyspark.sql.types import StructType
 
 from clientlens.operators.metrics import (DEFAULT_THRESHOLDS, alert_messages, latest_metric,
                                           metric_alerts, metric_history)
-from clientlens.session import checkpoint_dir
 from clientlens.sources.schemas import METRIC_SAMPLE
 
 
@@ -42,7 +46,8 @@ def alerts_stream(stream: DataFrame, thresholds: Sequence[tuple] = DEFAULT_THRES
 def messages_stream(stream: DataFrame, watermark: str = "10 minutes",
                     thresholds: Sequence[tuple] = DEFAULT_THRESHOLDS, ts: str = "ts",
                     node: str = "node", **cols) -> DataFrame:
-    alerts = metric_alerts(_event_time(stream, ts, watermark), thresholds, ts=ts, node=node, **cols)
+    alerts = metric_alerts(_event_time(stream, ts, watermark), thresholds, ts=ts, node=node,
+                           after_watermark=True, **cols)
     return alert_messages(alerts, ts=ts, node=node)
 
 
@@ -55,36 +60,45 @@ def history_stream(stream: DataFrame, width: str = "1 hour", watermark: str = "1
     return metric_history(stream, width=width, watermark=watermark, **kw)
 
 
-def start_query(df: DataFrame, name: str, output_mode: str = "append", sink: str = "memory",
-                path: str | None = None, checkpoint: str | None = None,
-                available_now: bool = False, processing_time: str | None = None) -> StreamingQuery:
-    """Start a streaming query; its checkpoint goes under the cluster's
-    checkpoint folder unless given, so a restarted query resumes."""
-    ck = checkpoint or f"{checkpoint_dir(df.sparkSession).rstrip('/')}/streams/{name}"
-    w = df.writeStream.queryName(name).outputMode(output_mode).format(sink).option("checkpointLocation", ck)
+def start_query(df: DataFrame, name: str, checkpoint: str, output_mode: str = "append", sink: str = "memory",
+                path: str | None = None, available_now: bool = False,
+                processing_time: str | None = None) -> StreamingQuery:
+    """Start a streaming query. ``checkpoint`` is its own folder: started again
+    with the same one, the query resumes; with another, it starts over."""
+    w = df.writeStream.queryName(name).outputMode(output_mode).format(sink).option("checkpointLocation", checkpoint)
     if path:
         w = w.option("path", path)
+    return _triggered(w, available_now, processing_time).start()
+
+
+def _triggered(writer, available_now: bool, processing_time: str | None):
     if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=processing_time) if processing_time else writer
 
 
-def _overwrite_each_batch(path: str, fmt: str):
+def _write_epoch(path: str, fmt: str):
     def write(batch: DataFrame, epoch: int) -> None:
-        # complete-mode result: the whole (bounded) latest-value table, rewritten idempotently
-        batch.write.mode("overwrite").format(fmt).save(path)
+        # one folder per micro-batch: a batch that is run again replaces its own folder only
+        batch.write.mode("overwrite").format(fmt).save(f"{path}/epoch={epoch}")
     return write
 
 
+def read_latest(spark: SparkSession, path: str, keys: Sequence[str] = ("node", "metric"), ts: str = "ts",
+                value: str = "value", fmt: str = "parquet") -> DataFrame:
+    """The latest-value table a monitor keeps at ``path``: of each key's rows
+    over the micro-batches the one of the last batch."""
+    rows = spark.read.format(fmt).load(path)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(ts, value), "epoch").alias("r")).select(*keys, f"r.{ts}", f"r.{value}")
+
+
 def start_monitor(spark: SparkSession, source: str, out: str,
                   thresholds: Sequence[tuple] = DEFAULT_THRESHOLDS, width: str = "1 hour",
                   watermark: str = "10 minutes", schema: StructType = METRIC_SAMPLE,
                   fmt: str = "parquet", name: str = "monitor", available_now: bool = False,
                   processing_time: str = "60 seconds", max_files_per_trigger: int | None = None,
                   ts: str = "ts", node: str = "node", metric: str = "metric",
-                  value: str = "value") -> dict[str, StreamingQuery]:
+                  value: str = "value", checkpoint: str | None = None) -> dict[str, StreamingQuery]:
     """The monitoring loop as four streaming queries over one source of
     metric samples (default trigger: every 60 s):
 
@@ -92,29 +106,29 @@ def start_monitor(spark: SparkSession, source: str, out: str,
     * ``messages`` one combined message per (node, ts), appended once the
       watermark passes the sample;
     * ``history``  closed ``width`` windows per (node, metric), appended;
-    * ``latest``   latest value per (node, metric): complete mode, the table
-      (one row per key) rewritten at ``<out>/latest`` after each micro-batch.
+    * ``latest``   latest value per (node, metric); of several at one time the
+      largest. Update mode: ``<out>/latest/epoch=N`` holds the keys that batch
+      N changed, and ``read_latest`` gives one row per key.
 
-    Checkpoints live under the cluster's checkpoint folder, so every query
-    resumes where it stopped.
+    Each query's checkpoint is ``<checkpoint>/<query>``, by default
+    ``<out>/_checkpoints/<query>``: started again on the same output, every
+    query resumes where it stopped, whatever application ran it before.
     """
-    ck = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    ck = checkpoint or f"{out.rstrip('/')}/_checkpoints"
     stream = read_metric_stream(spark, source, schema, max_files_per_trigger=max_files_per_trigger)
     cols = dict(ts=ts, node=node, metric=metric, value=value)
-    trig = dict(available_now=available_now, processing_time=None if available_now else processing_time)
+    trig = dict(available_now=available_now, processing_time=processing_time)
     qs = {
-        "alerts": start_query(alerts_stream(stream, thresholds, **cols), f"{name}_alerts", sink=fmt,
-                              path=f"{out}/alerts", checkpoint=f"{ck}/alerts", **trig),
+        "alerts": start_query(alerts_stream(stream, thresholds, **cols), f"{name}_alerts", f"{ck}/alerts",
+                              sink=fmt, path=f"{out}/alerts", **trig),
         "messages": start_query(messages_stream(stream, watermark, thresholds, **cols), f"{name}_messages",
-                                sink=fmt, path=f"{out}/messages", checkpoint=f"{ck}/messages", **trig),
+                                f"{ck}/messages", sink=fmt, path=f"{out}/messages", **trig),
         "history": start_query(history_stream(stream, width, watermark, keys=(node, metric), ts=ts, value=value),
-                               f"{name}_history", sink=fmt, path=f"{out}/history",
-                               checkpoint=f"{ck}/history", **trig),
+                               f"{name}_history", f"{ck}/history", sink=fmt, path=f"{out}/history", **trig),
     }
-    w = (latest_stream(stream, keys=(node, metric), ts=ts, value=value).writeStream
-         .queryName(f"{name}_latest").outputMode("complete")
+    w = (latest_stream(stream, keys=(node, metric), ts=ts, value=value, tie=value).writeStream
+         .queryName(f"{name}_latest").outputMode("update")
          .option("checkpointLocation", f"{ck}/latest")
-         .foreachBatch(_overwrite_each_batch(f"{out}/latest", fmt)))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
-    qs["latest"] = w.start()
+         .foreachBatch(_write_epoch(f"{out}/latest", fmt)))
+    qs["latest"] = _triggered(w, available_now, processing_time).start()
     return qs

@@ -11,7 +11,8 @@ from clientlens.session import build_session, checkpoint_dir  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="clientlens-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="clientlens-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="clientlens-ckpt-")})
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s

@@ -3,6 +3,7 @@
 import os
 
 from clientlens.__main__ import main
+from clientlens.streaming import read_latest
 
 from test_sample_fixture import SAMPLE_CSV
 
@@ -31,4 +32,4 @@ def test_cli_monitor_once(spark, tmp_dir):
     _write_batches(spark, src, [_samples()])
     out = main(["monitor", "--input", src, "--output", os.path.join(tmp_dir, "mon"), "--once"], spark)
     assert spark.read.parquet(out["alerts"]).count() == 4
-    assert spark.read.parquet(out["latest"]).count() == 5   # (node, metric) keys: n1 x 3, n2 x 2
+    assert read_latest(spark, out["latest"]).count() == 5   # (node, metric) keys: n1 x 3, n2 x 2

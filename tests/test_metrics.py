@@ -106,7 +106,7 @@ def test_stream_history_watermark_drops_late_rows(spark, tmp_dir):
 
 
 def test_monitor_loop(spark, tmp_dir, samples):
-    from clientlens.streaming import start_monitor
+    from clientlens.streaming import read_latest, start_monitor
     src = f"{tmp_dir}/mon_in"
     rows = _samples()
     _write_batches(spark, src, [rows[:4], rows[4:8], rows[8:]])
@@ -116,7 +116,7 @@ def test_monitor_loop(spark, tmp_dir, samples):
         q.awaitTermination()
     alerts = spark.read.parquet(f"{tmp_dir}/mon_out/alerts")
     assert alerts.count() == metric_alerts(samples).count() == 4
-    latest = {(r["node"], r["metric"]): r["value"] for r in spark.read.parquet(f"{tmp_dir}/mon_out/latest").collect()}
+    latest = {(r["node"], r["metric"]): r["value"] for r in read_latest(spark, f"{tmp_dir}/mon_out/latest").collect()}
     assert latest == {(r["node"], r["metric"]): r["value"] for r in latest_metric(samples).collect()}
     # the 10:00 window closed once the 11:10 sample moved the watermark
     hist = spark.read.parquet(f"{tmp_dir}/mon_out/history").where("metric = 'cpu' AND node = 'n1'").collect()
@@ -196,3 +196,64 @@ def test_watermarked_streams_over_events_equal_batch(spark, tmp_dir):
         ts="ts", node="user_id").collect()}
     assert got and all(want[k] == v for k, v in got.items())
     assert {k for k in want if k[1] < wm} <= set(got)
+
+
+_APPLICATION = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from clientlens.__main__ import main
+from clientlens.session import build_session
+spark = build_session("local[2]", shuffle_partitions=2, extra={"spark.checkpoint.dir": sys.argv[4]})
+main(["monitor", "--input", sys.argv[2], "--output", sys.argv[3], "--once"], spark)
+spark.stop()
+"""
+
+
+def test_monitor_resumes_in_another_application(spark, tmp_dir):
+    """Two applications, new samples in between: everything exactly once."""
+    import subprocess
+    import sys
+
+    from clientlens.streaming import read_latest
+    src, out = f"{tmp_dir}/res_in", f"{tmp_dir}/res_out"
+    rows, late = _samples(), T0 + dt.timedelta(hours=30)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    more = [(late, "n3", "cpu", 99.0), (late, "n3", "cpu", 97.0), (late, "n1", "disk", 91.0)]
+    for i, part in enumerate((rows, more, [(late + dt.timedelta(hours=9), "n9", "cpu", 1.0)])):
+        _write_batches(spark, src, [part])
+        subprocess.run([sys.executable, "-c", _APPLICATION, repo, src, out, f"{tmp_dir}/shared"], check=True, timeout=300)
+    every = spark.createDataFrame(rows + more + [(late + dt.timedelta(hours=9), "n9", "cpu", 1.0)], METRIC_SAMPLE)
+    key = lambda df, *c: sorted(tuple(r) for r in df.select(*c).collect())
+    assert key(spark.read.parquet(f"{out}/alerts"), "ts", "node", "metric", "value") \
+        == key(metric_alerts(every), "ts", "node", "metric", "value")
+    msgs = alert_messages(metric_alerts(every))
+    assert key(spark.read.parquet(f"{out}/messages"), "node", "ts", "n_alerts") == key(msgs, "node", "ts", "n_alerts")
+    hist = metric_history(every, "1 hour", keys=("node", "metric")).where("node <> 'n9'")  # n9's window is still open
+    assert key(spark.read.parquet(f"{out}/history"), "window_start", "node", "metric", "n", "max") \
+        == key(hist, "window_start", "node", "metric", "n", "max")
+    assert key(read_latest(spark, f"{out}/latest"), "node", "metric", "ts", "value") \
+        == key(latest_metric(every, tie="value"), "node", "metric", "ts", "value")
+    assert {r["value"] for r in read_latest(spark, f"{out}/latest").where("node = 'n3'").collect()} == {99.0}
+
+
+def test_query_names_its_checkpoint(spark, tmp_dir):
+    with pytest.raises(TypeError):
+        start_query(spark.range(1), "no_checkpoint")
+
+
+def test_shared_folder_is_never_made_up(spark, monkeypatch):
+    from clientlens import session
+    monkeypatch.setattr(type(spark.sparkContext), "getCheckpointDir", lambda self: None)
+    old = spark.conf.get("spark.checkpoint.dir")
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, k, d=None: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(spark)
+    assert old
+
+
+def test_repeated_readings_of_one_metric_count_once(spark):
+    rows = _samples()
+    again = spark.createDataFrame(rows + rows + [(T0 + dt.timedelta(minutes=1), "n1", "cpu", 96.5)], METRIC_SAMPLE)
+    msgs = {(r["node"], r["ts"]): r for r in alert_messages(metric_alerts(again)).collect()}
+    two = msgs[("n1", T0 + dt.timedelta(minutes=1))]
+    assert two["n_alerts"] == 2 and two["message"] == "High CPU usage: 96.5%\nHigh Memory usage: 86.0%"

@@ -3,10 +3,9 @@
 from clientlens.operators.clean import dedupe, drop_nulls, clean_customers, distinct_count
 from clientlens.operators.rfm import rfm, client_rfm_base, score_rfm
 from clientlens.operators.patterns import weekday_patterns, hourly_patterns
-from clientlens.operators.categories import (category_revenue, category_transitions,
-                                             category_transitions_by_window)
+from clientlens.operators.categories import category_revenue, category_transitions
 from clientlens.operators.loyalty import client_loyalty, retention_by_year
-from clientlens.operators.summary import (describe, value_counts, histogram, mean_interval, melt,
+from clientlens.operators.summary import (describe, histogram, mean_interval, melt,
                                           customer_summary, category_spending, top_customers,
                                           scatter_points, global_stats)
 from clientlens.operators.features import encode_flag, assemble_scale, standardize, vector_columns

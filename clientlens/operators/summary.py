@@ -7,284 +7,149 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from clientlens.functions.numeric import bucket_sql, double_sql
-from clientlens.session import checkpoint_dir
 from clientlens.roles import Roles
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
 
 # ---------------------------------------------------------------- describe
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _value(name: str):
+    """A column as double; null and NaN are missing values, as in pandas."""
+    x = F.col(_quoted(name)).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def _pname(p: float) -> str:
+    return "p" + f"{p * 100:g}".replace(".", "_")
+
+
 def describe(df: DataFrame, columns: Sequence[str], percentiles: Sequence[float] = PERCENTILES,
-             buckets: int = 1024, bucket_rows: int = 1_000_000, accuracy: int = 10000,
-             checkpoint: bool = False, approx: bool = False) -> DataFrame:
+             accuracy: int = 10000, bracket_rows: int = 1_000_000, approx: bool = False) -> DataFrame:
     """count, mean, std (sample), min, exact linear percentiles, max per column.
 
-    Long form, one row per column (``variable``); the percentiles are exact
-    (linear interpolation between order statistics, as pandas ``describe``)
-    and computed without a global sort or a per-column task:
-
-    1. the input is reduced to ``(variable, value, multiplicity)`` (partial
-       aggregation: a hot value is one row per task). ``checkpoint=True``
-       writes this table to the cluster's checkpoint folder first, for inputs
-       that are expensive to recompute;
-    2. bounded collects (one row per column): n, mean = sum(m*x)/n, min,
-       max and the number of distinct values d; then, only for columns that
-       need more than one bucket, approximate quantile bounds of the distinct
-       values (a fixed-size sketch). A column gets
-       ``min(buckets, ceil(d / bucket_rows))`` buckets, so a bucket (one
-       window task) holds about ``bucket_rows`` distinct values up to
-       ``buckets x bucket_rows`` distinct values per column (default 1e9); past
-       that, target buckets are bucketed again (see ``_rank_stats_split``). Ranks (n-1)*p and means are
-       then literals, and the bucket of a value is a literal comparison tree
-       (at most ``buckets`` leaves: 1024 still compiles to generated code);
-    3. a running count inside each (column, bucket) and the totals of earlier
-       buckets give every distinct value its rank interval, and the values
-       holding a target rank are kept and interpolated; variance is two-pass,
-       sum(m*(x-mean)^2). With one bucket per column this is one window pass;
-       with more, the bucket totals are collected first (``columns x buckets``
-       rows) and the window runs only over the buckets holding a target rank.
-
-    The only single-group steps hold ``columns x buckets`` rows.
-
-    ``approx=True``: one aggregation pass; percentiles from ``percentile_approx``
-    (a fixed-size sketch per column, rank error about n / ``accuracy``), the
-    other statistics exact.
+    Long form, one row per column (``variable``). The percentiles are exact
+    (linear interpolation between order statistics, as pandas ``describe``) and
+    need no sort and no shuffle of the column:
+
+    1. one scan gives count, mean, std, min, max and, from a fixed-size quantile
+       sketch per column, a bracket of values around every target rank (about
+       ``6 / accuracy`` of the rows lie in one);
+    2. one scan counts the rows below, between and inside the brackets. Only
+       values inside are kept apart, so what is shuffled is a partial count per
+       task and segment plus the brackets' values; a running count over them
+       finds the values of the target ranks.
+
+    While a bracket may hold more than ``bracket_rows`` rows (past 1.6e9 rows of
+    input at the defaults), step 1 is repeated inside the brackets, which
+    narrows each by a factor of about ``accuracy / 6``; all sizes take the same
+    path. The driver holds one row of statistics. The jobs run while the result
+    is built; it is a local table of one row per column.
+
+    ``approx=True`` stops after the first scan and takes the percentiles from
+    the sketch (rank error about n / ``accuracy``).
     """
-    cols = list(columns)
-    probs = list(percentiles)
-    names = [_pname(p) for p in probs]
+    cols, probs = list(columns), [float(p) for p in percentiles]
+    spark, width = df.sparkSession, 2.0 / accuracy
+    asked = [f for p in probs for f in (max(0.0, p - width), p, min(1.0, p + width))]
+    aggs = [e for c in cols for e in (F.count(_value(c)), F.avg(_value(c)), F.stddev(_value(c)), F.min(_value(c)),
+                                      F.max(_value(c)), F.percentile_approx(_value(c), asked, accuracy))]
+    flat = df.agg(*[e.alias(f"_{i}") for i, e in enumerate(aggs)]).first()
+    stats = [flat[6 * i:6 * i + 6] for i in range(len(cols))]
+
+    found: dict[tuple[int, int], float] = {}
     if approx:
-        return _describe_approx(df, cols, probs, accuracy)
-    vc = value_counts(df, cols)
-    if checkpoint:
-        checkpoint_dir(df.sparkSession)
-        vc = vc.checkpoint(eager=True)
-    head = {r["variable"]: r for r in vc.groupBy("variable").agg(
-        F.sum("cnt").alias("n"), (F.sum(F.col("x") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
-        F.min("x").alias("min"), F.max("x").alias("max"), F.count(F.lit(1)).alias("d")).collect()}
-    want = {c: max(1, min(buckets, -(-int(r["d"]) // bucket_rows))) for c, r in head.items()}
-    bounds = {c: [] for c in head}
-    split = [c for c, w in want.items() if w > 1]
-    if split:   # sketch only the columns that need more than one bucket
-        top = max(want[c] for c in split)
-        fracs = [i / top for i in range(1, top)]
-        for r in (vc.where(F.col("variable").isin(split)).groupBy("variable")
-                    .agg(F.percentile_approx("x", fracs, max(accuracy, 4 * top)).alias("b")).collect()):
-            bounds[r["variable"]] = _pick_bounds(r["b"] or [], top, want[r["variable"]])
-    spark = df.sparkSession
-    base = spark.createDataFrame(
-        [(c, i, int(head[c]["n"]) if c in head else 0, *(
-            (float(head[c]["mean"]), float(head[c]["min"]), float(head[c]["max"])) if c in head
-            else (None, None, None))) for i, c in enumerate(cols)],
-        "variable string, _o int, count long, mean double, min double, max double")
-    if not head:
-        out = base
-        for nme in ("std", *names):
-            out = out.withColumn(nme, F.lit(None).cast("double"))
+        quant = {(i, j): s[5][3 * j + 1] for i, s in enumerate(stats) if s[0] for j in range(len(probs))}
     else:
-        ranked = (_rank_stats(vc, head, bounds, probs) if not split
-                  else _rank_stats_split(vc, head, bounds, probs, buckets, bucket_rows, accuracy))
-        out = base.join(F.broadcast(ranked), "variable", "left")
-    return out.select("variable", "count", "mean", "std", "min", *names, "max")
-
-
-def _describe_approx(df: DataFrame, cols: Sequence[str], probs: Sequence[float], accuracy: int) -> DataFrame:
-    names = [_pname(p) for p in probs]
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        x = F.when(~F.isnan(x), x)   # NaN is missing, as in pandas
-        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.percentile_approx(x, list(probs), accuracy).alias(f"{c}__q")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(c).alias("variable"), F.col(f"{c}__n").alias("count"),
-                     F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-                     F.col(f"{c}__min").alias("min"),
-                     *[F.col(f"{c}__q")[i].alias(n) for i, n in enumerate(names)],
-                     F.col(f"{c}__max").alias("max")) for c in cols]
-    return wide.select(F.inline(F.array(*rows)))
-
-
-def _pname(p: float) -> str:
-    return "p" + f"{p * 100:g}".replace(".", "_")
+        brackets = []   # [column, low, high, target ranks]
+        for i, (n, _, _, lo, hi, q) in enumerate(stats):
+            for j, p in enumerate(probs if n else ()):
+                pos = (n - 1) * p
+                brackets.append([i, lo if p <= width else q[3 * j], hi if p >= 1 - width else q[3 * j + 2],
+                                 {math.floor(pos), math.ceil(pos)}])
+        size = {i: 6 * s[0] / accuracy for i, s in enumerate(stats)}
+        while brackets and max(size[b[0]] for b in brackets) > bracket_rows:
+            narrower = _narrowed(df, cols, brackets, accuracy)
+            if narrower == brackets:   # a few values hold all the rows: they are one group each below
+                break
+            brackets = narrower
+            size = {i: 6 * v / accuracy for i, v in size.items()}
+        while brackets:
+            found |= _ranked(df, cols, brackets)
+            brackets = [b for b in brackets if any((b[0], t) not in found for t in b[3])]
+            for b in brackets:   # the sketch missed a rank: look in the whole column
+                b[1], b[2] = stats[b[0]][3], stats[b[0]][4]
+        quant = {}
+        for i, s in enumerate(stats):
+            for j, p in enumerate(probs if s[0] else ()):
+                pos = (s[0] - 1) * p
+                a, b = found[(i, math.floor(pos))], found[(i, math.ceil(pos))]
+                quant[(i, j)] = a if a == b else a + (b - a) * (pos - math.floor(pos))
+    rows = [(c, int(s[0]), s[1], s[2], s[3], *[quant.get((i, j)) for j in range(len(probs))], s[4])
+            for i, (c, s) in enumerate(zip(cols, stats))]
+    kinds = ", ".join(f"{n} double" for n in ("mean", "std", "min", *map(_pname, probs), "max"))
+    return spark.createDataFrame(rows, f"variable string, count long, {kinds}")
+
+
+def _segments(brackets: Sequence[list]) -> dict[int, list[tuple[float, float]]]:
+    """Per column, the brackets as disjoint ascending ranges."""
+    out: dict[int, list[tuple[float, float]]] = {}
+    for i, lo, hi, _ in sorted(brackets, key=lambda b: (b[0], b[1], b[2])):
+        have = out.setdefault(i, [])
+        if have and lo <= have[-1][1]:
+            have[-1] = (have[-1][0], max(have[-1][1], hi))
+        else:
+            have.append((lo, hi))
+    return out
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``variable, x, cnt``: the distinct values of each column (as double)
-    with their multiplicity; null and NaN are missing values, as in pandas."""
-    long = (df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("variable"),
-                                                    F.col(c).cast("double").alias("x")) for c in columns])))
-              .where(F.col("x").isNotNull() & ~F.isnan("x")))
-    return long.groupBy("variable", "x").agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def _case_sql(values: dict, default: str = "NULL") -> str:
-    """``CASE variable WHEN 'c' THEN <sql> ... END`` from {column: sql text}."""
-    arms = " ".join(f"WHEN variable = '{c}' THEN {v}" for c, v in values.items())
-    return f"CASE {arms} ELSE {default} END" if arms else default
-
-
-def _pick_bounds(approx_bounds: Sequence[float], buckets: int, want: int) -> list[float]:
-    """``want-1`` bounds (``want`` capped to ``buckets``) out of the
-    ``buckets-1`` sketch bounds at fractions i/buckets."""
-    want = max(1, min(buckets, want))
-    if want == 1 or not approx_bounds:
-        return []
-    picked = [approx_bounds[round(k * buckets / want) - 1] for k in range(1, want)]
-    return sorted(set(float(b) for b in picked))
-
-
-def _rank_stats(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float]) -> DataFrame:
-    """``variable, std, p..`` from a value-count table and the collected head
-    stats. The per-column literals (bucket bounds, mean, target ranks and
-    fractions) are written as SQL text: one parse instead of a JVM call per
-    expression node."""
-    bucket = _case_sql({c: bucket_sql("x", b) for c, b in bounds.items()}, "0")
-    mean = _case_sql({c: double_sql(r['mean']) for c, r in head.items()})
-    tgt, frac = {}, {}
-    for c, r in head.items():
-        arr = []
-        for i, p in enumerate(probs):
-            pos = (int(r["n"]) - 1) * float(p)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            frac.setdefault(i, {})[c] = double_sql(pos - lo)
-            arr += [f"named_struct('i', {i}, 'w', 0, 'rank', {lo}L)",
-                    f"named_struct('i', {i}, 'w', 1, 'rank', {hi}L)"]
-        tgt[c] = f"array({', '.join(arr)})"
-    n = _case_sql({c: f"{int(r['n'])}L" for c, r in head.items()})
-
-    run = Window.partitionBy("variable", "bucket").orderBy("x") \
-                .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vb = (vc.select("variable", "x", "cnt", F.expr(bucket).alias("bucket"),
-                    F.expr(f"cnt * (x - ({mean})) * (x - ({mean}))").alias("dev"))
-            .withColumn("end_in", F.sum("cnt").over(run)))
-    # same clustering as the window: no new exchange; <= columns x buckets rows
-    tot = vb.groupBy("variable", "bucket").agg(F.sum("cnt").alias("tot"), F.sum("dev").alias("ss"))
-    before = Window.partitionBy("variable").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select("variable", "bucket", F.coalesce(F.sum("tot").over(before), F.lit(0)).alias("off"),
-                     F.sum("ss").over(Window.partitionBy("variable")).alias("ss_all"))
-    hit = (vb.join(F.broadcast(tot), ["variable", "bucket"])
-             .selectExpr("variable", "x", "ss_all",
-                         f"explode(filter({_case_sql(tgt)}, t -> t.rank >= off + end_in - cnt "
-                         f"AND t.rank < off + end_in)) AS t"))
-    aggs = ["max(ss_all) AS _ss"]
-    for i in range(len(probs)):
-        aggs += [f"max(CASE WHEN t.i = {i} AND t.w = 0 THEN x END) AS _a{i}",
-                 f"max(CASE WHEN t.i = {i} AND t.w = 1 THEN x END) AS _b{i}"]
-    res = hit.groupBy("variable").agg(*[F.expr(a) for a in aggs])
-    out = ["variable", f"CASE WHEN ({n}) > 1 THEN sqrt(_ss / (({n}) - 1)) END AS std"]
-    for i, p in enumerate(probs):
-        out.append(f"_a{i} + (_b{i} - _a{i}) * ({_case_sql(frac[i])}) AS {_pname(p)}")
-    return res.selectExpr(*out)
-
-
-def _range_sql(c: str, lo, hi) -> str:
-    cond = [f"variable = '{c}'"]
-    if lo is not None:
-        cond.append(f"x > {double_sql(lo)}")
-    if hi is not None:
-        cond.append(f"x <= {double_sql(hi)}")
-    return " AND ".join(cond)
-
-
-def _rank_stats_split(vc: DataFrame, head: dict, bounds: dict, probs: Sequence[float],
-                      buckets: int, bucket_rows: int, accuracy: int) -> DataFrame:
-    """Multi-bucket form of ``_rank_stats``. Bucket totals (count, distinct
-    count, squared deviations; ``columns x buckets`` rows) are collected, which
-    locates the bucket of every target rank and its offset. A target bucket
-    that still holds more than ``bucket_rows`` distinct values is bucketed
-    again inside its own value range (another bounded sketch and totals), until
-    every window to rank is small; the running-count window then runs only over
-    those windows (at most two per percentile and column)."""
-    bucket = _case_sql({c: bucket_sql("x", b) for c, b in bounds.items()}, "0")
-    mean = _case_sql({c: double_sql(r['mean']) for c, r in head.items()})
-    vb = vc.select("variable", "x", "cnt", F.expr(bucket).alias("bucket"),
-                   F.expr(f"cnt * (x - ({mean})) * (x - ({mean}))").alias("dev"))
-    tots: dict = {}
-    for row in vb.groupBy("variable", "bucket").agg(F.sum("cnt").alias("tot"), F.sum("dev").alias("ss"),
-                                                    F.count(F.lit(1)).alias("d")).collect():
-        tots.setdefault(row["variable"], {})[int(row["bucket"])] = (int(row["tot"]), float(row["ss"]), int(row["d"]))
-
-    def locate(parts: dict, ranges: dict, base: int, targets) -> dict:
-        """{(lo, hi): [off, d, targets]} for the parts holding the target ranks."""
-        out, acc, starts = {}, base, {}
-        for b in sorted(parts):
-            starts[b] = acc
-            acc += parts[b][0]
-        for t in targets:
-            b = max(k for k in starts if starts[k] <= t[2])
-            w = out.setdefault(ranges[b], [starts[b], parts[b][-1], []])
-            w[2].append(t)
-        return out
-
-    std, frac, windows = {}, {}, {}
-    for c, r in head.items():
-        n = int(r["n"])
-        std[c] = math.sqrt(sum(v[1] for v in tots[c].values()) / (n - 1)) if n > 1 else None
-        targets = []
-        for i, p in enumerate(probs):
-            pos = (n - 1) * float(p)
-            frac[(c, i)] = pos - math.floor(pos)
-            targets += [(i, 0, math.floor(pos)), (i, 1, math.ceil(pos))]
-        bs = bounds[c]
-        ranges = {b: (bs[b - 1] if b > 0 else None, bs[b] if b < len(bs) else None) for b in tots[c]}
-        for (lo, hi), w in locate({b: (v[0], v[2]) for b, v in tots[c].items()}, ranges, 0, targets).items():
-            windows[(c, lo, hi)] = w
-
-    for _ in range(64):   # refinement levels; each shrinks a window by up to `buckets`
-        big = [k for k, w in windows.items() if w[1] > bucket_rows]
-        if not big:
-            break
-        wid = "CASE " + " ".join(f"WHEN {_range_sql(*k)} THEN {j}" for j, k in enumerate(big)) + " END"
-        sub = vc.select("x", "cnt", F.expr(wid).alias("wid")).where("wid IS NOT NULL")
-        want = {j: max(1, min(buckets, -(-windows[k][1] // bucket_rows))) for j, k in enumerate(big)}
-        top = max(want.values())
-        fr = [i / top for i in range(1, top)]
-        sub_bounds = {int(r["wid"]): _pick_bounds(r["b"] or [], top, want[int(r["wid"])])
-                      for r in sub.groupBy("wid").agg(
-                          F.percentile_approx("x", fr, max(accuracy, 4 * top)).alias("b")).collect()}
-        sb = "CASE " + " ".join(f"WHEN wid = {j} THEN {bucket_sql('x', sub_bounds.get(j, []))}"
-                                for j in range(len(big))) + " END"
-        parts: dict = {}
-        for r in (sub.withColumn("sb", F.expr(sb)).groupBy("wid", "sb")
-                     .agg(F.sum("cnt").alias("tot"), F.count(F.lit(1)).alias("d")).collect()):
-            parts.setdefault(int(r["wid"]), {})[int(r["sb"])] = (int(r["tot"]), int(r["d"]))
-        progressed = False
-        for j, k in enumerate(big):
-            c, lo, hi = k
-            off, d, targets = windows.pop(k)
-            sbs = [v for v in sub_bounds.get(j, []) if (lo is None or v > lo) and (hi is None or v < hi)]
-            ranges = {b: (sbs[b - 1] if b > 0 else lo, sbs[b] if b < len(sbs) else hi) for b in parts[j]}
-            for (slo, shi), w in locate(parts[j], ranges, off, targets).items():
-                progressed |= w[1] < d
-                windows[(c, slo, shi)] = w if w[1] < d else [w[0], 0, w[2]]   # no split possible: rank as is
-        if not progressed:
-            break
-
-    keys = sorted(windows, key=repr)
-    wid = "CASE " + " ".join(f"WHEN {_range_sql(*k)} THEN {j}" for j, k in enumerate(keys)) + " END"
-    off = "CASE " + " ".join(f"WHEN wid = {j} THEN {windows[k][0]}L" for j, k in enumerate(keys)) + " END"
-    tgt = "CASE " + " ".join(
-        f"WHEN wid = {j} THEN array({', '.join(f'named_struct({chr(39)}i{chr(39)}, {i}, {chr(39)}w{chr(39)}, {w}, {chr(39)}rank{chr(39)}, {rk}L)' for i, w, rk in windows[k][2])})"
-        for j, k in enumerate(keys)) + " END"
-    run = Window.partitionBy("wid").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = (vc.select("variable", "x", "cnt", F.expr(wid).alias("wid")).where("wid IS NOT NULL")
-             .withColumn("end_in", F.sum("cnt").over(run))
-             .selectExpr("variable", "x", "cnt", "end_in", f"({off}) AS off", f"({tgt}) AS t")
-             .selectExpr("variable", "x", "explode(filter(t, t -> t.rank >= off + end_in - cnt "
-                         "AND t.rank < off + end_in)) AS t"))
-    aggs = []
-    for i in range(len(probs)):
-        aggs += [F.expr(f"max(CASE WHEN t.i = {i} AND t.w = 0 THEN x END)").alias(f"_a{i}"),
-                 F.expr(f"max(CASE WHEN t.i = {i} AND t.w = 1 THEN x END)").alias(f"_b{i}")]
-    res = hit.groupBy("variable").agg(*aggs)
-    out = ["variable", f"({_case_sql({c: (double_sql(v) if v is not None else 'NULL') for c, v in std.items()})}) AS std"]
-    for i, p in enumerate(probs):
-        f = _case_sql({c: double_sql(frac[(c, i)]) for c in head})
-        out.append(f"_a{i} + (_b{i} - _a{i}) * ({f}) AS {_pname(p)}")
-    return res.selectExpr(*out)
+def _ranked(df: DataFrame, cols: Sequence[str], brackets: Sequence[list]) -> dict[tuple[int, int], float]:
+    """{(column, rank): value} of the target ranks that lie in the brackets.
+    Segments alternate: below a bracket (even, only counted), inside it (odd,
+    one group per value)."""
+    ranges, want = _segments(brackets), {}
+    for i, _, _, ranks in brackets:
+        want.setdefault(i, set()).update(ranks)
+    rows = []
+    for i, parts in ranges.items():
+        x, seg = _value(cols[i]), F.lit(2 * len(parts))
+        for k in range(len(parts) - 1, -1, -1):
+            lo, hi = parts[k]
+            seg = F.when(x < F.lit(lo), 2 * k).when(x <= F.lit(hi), 2 * k + 1).otherwise(seg)
+        rows.append(F.struct(F.lit(i).alias("v"), seg.cast("int").alias("seg"), x.alias("x")))
+    long = df.select(F.inline(F.array(*rows))).where("x IS NOT NULL")
+    counts = long.groupBy("v", "seg", F.when(F.col("seg") % 2 == 1, F.col("x")).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    run = Window.partitionBy("v").orderBy("seg", "x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    targets = F.element_at(F.create_map(*[e for i, r in want.items() for e in (
+        F.lit(i), F.array(*[F.lit(t).cast("long") for t in sorted(r)]))]), F.col("v"))
+    ends = counts.withColumn("end", F.sum("n").over(run)).where("seg % 2 = 1")
+    hits = ends.select("v", "x", F.explode(F.filter(targets, lambda t: (t >= F.col("end") - F.col("n")) & (t < F.col("end")))).alias("t"))
+    return {(r.v, r.t): r.x for r in hits.collect()}   # one row per column and target rank
+
+
+def _narrowed(df: DataFrame, cols: Sequence[str], brackets: Sequence[list], accuracy: int) -> list[list]:
+    """The brackets drawn closer around their ranks: one scan counts the rows
+    below and inside each, another sketches the values inside."""
+    def inside(b):
+        x = _value(cols[b[0]])
+        return F.when((x >= F.lit(b[1])) & (x <= F.lit(b[2])), x)
+
+    counted = df.agg(*[e.alias(f"_{k}_{m}") for k, b in enumerate(brackets) for m, e in enumerate((
+        F.count(F.when(_value(cols[b[0]]) < F.lit(b[1]), 1)), F.count(inside(b))))]).first()
+    asked = []
+    for k, b in enumerate(brackets):
+        below, m = counted[2 * k], max(1, counted[2 * k + 1])
+        lo, hi = ((t - below) / m for t in (min(b[3]), max(b[3]) + 1))
+        asked.append((lo - 2 / accuracy, hi + 2 / accuracy))
+    got = df.agg(*[F.percentile_approx(inside(b), [min(1.0, max(0.0, f)) for f in fr], accuracy).alias(f"_{k}")
+                   for k, (b, fr) in enumerate(zip(brackets, asked))]).first()
+    out = []
+    for b, fr, q in zip(brackets, asked, got):
+        out.append([b[0], b[1] if fr[0] <= 0 or not q else q[0], b[2] if fr[1] >= 1 or not q else q[1], b[3]])
+    return out
 
 
 # ---------------------------------------------------------------- histogram
@@ -292,29 +157,32 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     """``bins`` equal-width bins over [min, max], the last bin closed; all bins
     are returned, empty ones with count 0. Bin of x: ``floor((x-lo)*bins/(hi-lo))``
     capped at ``bins-1``. When min = max the range is widened by 0.5 on both
-    sides (numpy's rule), so the single value lands in the middle bin.
+    sides (numpy's rule), so the single value lands in the middle bin. Null and
+    NaN are missing; the range is that of the finite values, and -inf counts in
+    the first bin, inf in the last.
 
-    min/max are one aggregated row (collected: two numbers), so the counting
-    pass is a single scan with a partial aggregation on the bin number; the
-    bin axis is ``bins`` rows.
+    min/max are one aggregated row (collected while the plan is built: two
+    numbers), so the counting pass is a single scan with a partial aggregation
+    on the bin number; the bin axis is ``bins`` rows. Rows come in bin order.
     """
-    x = F.col(col).cast("double")
-    lo0, hi0 = df.select(F.min(x), F.max(x)).first()
-    axis = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    if lo0 is None:
-        return axis.select("bin", F.lit(None).cast("double").alias("bin_start"),
-                           F.lit(None).cast("double").alias("bin_end"), F.lit(0).cast("long").alias("count"))
-    lo, hi = (lo0, hi0) if hi0 > lo0 else (lo0 - 0.5, hi0 + 0.5)
+    x, top = _value(col), float("inf")
+    finite = F.when((x > -top) & (x < top), x)
+    lo0, hi0 = df.select(F.min(finite), F.max(finite)).first()
+    lo, hi = (0.0, 1.0) if lo0 is None else (lo0, hi0) if hi0 > lo0 else (lo0 - 0.5, hi0 + 0.5)
     scale = float(bins) / (hi - lo)
     width = (hi - lo) / float(bins)
-    b = F.least(F.floor((x - F.lit(lo)) * F.lit(scale)), F.lit(bins - 1)).cast("int")
+    b = F.when(x == -top, 0).when(x == top, bins - 1) \
+         .otherwise(F.least(F.floor((x - F.lit(lo)) * F.lit(scale)), F.lit(bins - 1))).cast("int")
     counts = df.where(x.isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    axis = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    edge = (lambda e: F.lit(None).cast("double")) if lo0 is None else (lambda e: e)   # no finite value: no edges
     return (axis.join(F.broadcast(counts), "bin", "left")   # counts: <= bins rows
                 .select("bin",
-                        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
-                        F.when(F.col("bin") == bins - 1, F.lit(hi))
-                         .otherwise(F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),
-                        F.coalesce(F.col("count"), F.lit(0).cast("long")).alias("count")))
+                        edge(F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
+                        edge(F.when(F.col("bin") == bins - 1, F.lit(hi))
+                              .otherwise(F.lit(lo) + (F.col("bin") + 1) * F.lit(width))).alias("bin_end"),
+                        F.coalesce(F.col("count"), F.lit(0).cast("long")).alias("count"))
+                .orderBy("bin"))
 
 
 # ---------------------------------------------------------------- bar data

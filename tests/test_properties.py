@@ -44,10 +44,10 @@ def test_transitions_property(spark, rows, parts, block):
 @given(vals=st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float),
                                st.floats(-1e3, 1e3, allow_nan=False).map(lambda v: round(v, 2))),
                      min_size=0, max_size=80),
-       buckets=st.integers(2, 9))
-def test_describe_property(spark, vals, buckets):
+       accuracy=st.sampled_from([10, 25, 10000]))
+def test_describe_property(spark, vals, accuracy):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    r = describe(df, ["v"], buckets=buckets, bucket_rows=2).first()
+    r = describe(df, ["v"], accuracy=accuracy, bracket_rows=2).first()
     s = pd.Series(vals, dtype="float64").dropna()
     assert r["count"] == len(s)
     if len(s) == 0:

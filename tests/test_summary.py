@@ -1,5 +1,7 @@
 """Distribution summaries against numpy/pandas computed on the same rows."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -16,15 +18,15 @@ def _pandas_describe(values):
     return [d["count"], d["mean"], d["std"], d["min"], d["25%"], d["50%"], d["75%"], d["max"]]
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 64])
-def test_describe_matches_pandas(spark, buckets):
+@pytest.mark.parametrize("accuracy, rows", [(10, 1), (40, 5), (10000, 1_000_000)])
+def test_describe_matches_pandas(spark, accuracy, rows):
     rng = np.random.default_rng(3)
     a = [float(v) for v in rng.integers(0, 20, 500)]       # many ties
     b = [float(v) for v in np.round(rng.exponential(10, 500), 3)]  # skewed
     b[::50] = [None] * 10
     c = [7.0] * 500                                         # one hot value
     df = spark.createDataFrame(list(zip(a, b, c)), "a double, b double, c double")
-    out = {r["variable"]: r for r in describe(df, ["a", "b", "c"], buckets=buckets, bucket_rows=3).collect()}
+    out = {r["variable"]: r for r in describe(df, ["a", "b", "c"], accuracy=accuracy, bracket_rows=rows).collect()}
     for name, vals in (("a", a), ("b", b), ("c", c)):
         want = _pandas_describe(vals)
         r = out[name]
@@ -39,10 +41,41 @@ def test_describe_small_and_null_columns(spark):
     assert out["y"]["count"] == 0 and out["y"]["mean"] is None
 
 
-def test_describe_checkpointed(spark):
-    df = spark.range(1000).select((F.col("id") % 37).cast("double").alias("v"))
-    r = describe(df, ["v"], checkpoint=True).first()
-    assert [r["p25"], r["p50"], r["p75"]] == _pandas_describe([i % 37 for i in range(1000)])[4:7]
+def test_describe_odd_column_names(spark):
+    names = ["l'âge", "a.b", "c`d", "e \"f\""]
+    df = spark.createDataFrame([(float(i), float(-i), 1.0, float(i * i)) for i in range(9)], names)
+    out = {r["variable"]: r["p50"] for r in describe(df, names).collect()}
+    assert out == {names[0]: 4.0, names[1]: -4.0, names[2]: 1.0, names[3]: 16.0}
+
+
+def test_describe_shuffles_brackets_only(spark):
+    """100,000 distinct values: what crosses the shuffle is the brackets' share."""
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).cast("double").alias("v")).repartition(4)
+    import clientlens.operators.summary as m
+    seen, real = [], m._ranked
+
+    def spy(d, cols, brackets):
+        seen.extend(brackets)
+        return real(d, cols, brackets)
+    m._ranked = spy
+    try:
+        r = describe(df, ["v"]).first()
+    finally:
+        m._ranked = real
+    vals = [i * 7919 % 100_003 for i in range(100_000)]
+    assert [r["p25"], r["p50"], r["p75"]] == pytest.approx(list(np.percentile(vals, [25, 50, 75])))
+    assert len(seen) == 3 and all(hi - lo < 200 for _, lo, hi, _ in seen)
+
+
+def test_describe_hot_values_at_the_bracket_ends(spark):
+    vals = [0.0] * 300 + [float(i) / 7 for i in range(50)] + [9.0] * 400 + [float("-inf")] * 3
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for accuracy, rows in ((10, 1), (10000, 10)):
+        r = describe(df, ["v"], percentiles=(0.0, 0.1, 0.43, 0.5, 0.999, 1.0), accuracy=accuracy, bracket_rows=rows).first()
+        s = sorted(vals)
+        at = lambda p: s[math.floor((len(s) - 1) * p)], lambda p: s[math.ceil((len(s) - 1) * p)]
+        for p, name in ((0.0, "p0"), (0.1, "p10"), (0.43, "p43"), (0.5, "p50"), (0.999, "p99_9"), (1.0, "p100")):
+            assert at[0](p) <= r[name] <= at[1](p)
 
 
 def test_histogram_matches_numpy(spark):
@@ -144,21 +177,21 @@ def test_category_spending_half_cent_means_round_half_even(spark):
     assert got == {k: (pdf.loc[k, "total_amount"], pdf.loc[k, "purchase_count"]) for k in ("x", "y")}
 
 
-def test_describe_refines_large_target_buckets(spark):
-    # 4 buckets of at most 3 distinct values each: target buckets are refined over several levels
+def test_describe_narrows_large_brackets(spark):
+    # sketches of 12 values and brackets of one row: several rounds of narrowing
     vals = [float(v) for v in np.random.default_rng(8).integers(0, 500, 1500)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    r = describe(df, ["v"], buckets=4, bucket_rows=3).first()
+    r = describe(df, ["v"], accuracy=12, bracket_rows=1).first()
     want = _pandas_describe(vals)
     got = [r["count"], r["mean"], r["std"], r["min"], r["p25"], r["p50"], r["p75"], r["max"]]
     assert got == pytest.approx(want, rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("bucket_rows", [1_000_000, 2])
-def test_describe_with_infinity(spark, bucket_rows):
+@pytest.mark.parametrize("bracket_rows", [1_000_000, 2])
+def test_describe_with_infinity(spark, bracket_rows):
     vals = [float(v) for v in range(40)] + [float("inf")] * 3
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    r = describe(df, ["v"], buckets=4, bucket_rows=bucket_rows).first()
+    r = describe(df, ["v"], accuracy=10, bracket_rows=bracket_rows).first()
     s = pd.Series(vals)
     assert r["count"] == 43 and r["max"] == float("inf") and r["mean"] == float("inf")
     assert [r["p25"], r["p50"]] == list(np.percentile(s, [25, 50]))
@@ -173,3 +206,13 @@ def test_describe_nan_is_missing(spark, approx):
     assert r["count"] == s.count() == 3 and r["mean"] == pytest.approx(s.mean())
     if not approx:
         assert r["p50"] == s.median()
+
+
+def test_histogram_nan_and_infinity(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, nan, None)], "v double")
+    assert [tuple(r) for r in histogram(df, "v", 2).collect()] == [(0, 1.0, 2.0, 1), (1, 2.0, 3.0, 2)]
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, 3.0, inf, -inf, -inf)], "v double")
+    assert [tuple(r) for r in histogram(df, "v", 2).collect()] == [(0, 1.0, 2.0, 3), (1, 2.0, 3.0, 3)]
+    df = spark.createDataFrame([(v,) for v in (inf, -inf, nan)], "v double")
+    assert [tuple(r) for r in histogram(df, "v", 2).collect()] == [(0, None, None, 1), (1, None, None, 1)]

@@ -16,6 +16,8 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
+import tempfile
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -24,17 +26,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clientlens.functions.numeric import round_doubles
 from clientlens.operators import (alert_messages, assemble_scale, category_revenue, category_spending,
-                                  category_transitions, centres_frame, clean_customers, client_loyalty,
+                                  category_transitions, clean_customers, client_loyalty,
                                   cluster_stats, customer_summary, describe, distinct_count, encode_flag,
-                                  global_stats, histogram, hourly_patterns, kmeans_assign, kmeans_fit,
-                                  label_segments, latest_metric, mean_interval, melt, metric_alerts,
+                                  fit_checks, global_stats, histogram, hourly_patterns, kmeans_assign, kmeans_fit,
+                                  label_segments, latest_first, latest_metric, mean_interval, melt, metric_alerts,
                                   metric_history, processing_stats, retention_by_year, rfm, scatter_points,
                                   segment_members, segment_profile, standardize, top_customers,
                                   vector_columns, weekday_patterns)
-from clientlens.params import AS_OF_ORDERS, EVENT_THRESHOLDS, FIXED_CENTRES, ORDERS_MONETARY
+from clientlens.session import checkpoint_dir
+from clientlens.plans import insights_report, segment_customers, segment_report
 from clientlens.plans.insights import RFM_DESCRIBED
-from clientlens.roles import EVENTS, ORDERS
-from clientlens.sources.readers import read_table
+from harness_tables import (AS_OF_ORDERS, EVENT_THRESHOLDS, EVENTS, FIXED_CENTRES, ORDERS, ORDERS_MONETARY,
+                            read_table)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -43,6 +46,15 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return read_table(spark, sf, name)
 
 
+def _shared(spark: SparkSession) -> str:
+    """The cluster's shared folder; where none is set, as in a bare local
+    session, one for this session."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None \
+            and spark.sparkContext.master.startswith("local["):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="clientlens-entry-"))
+    return checkpoint_dir(spark)
+
+
 # ------------------------------------------------------------------ purchases
 def q_rfm_scores(spark, sf):
     return rfm(_t(spark, sf, "orders"), ORDERS, as_of=AS_OF_ORDERS, monetary=ORDERS_MONETARY)
@@ -124,8 +136,10 @@ def q_kmeans_assign(spark, sf):
 
 
 def q_segment_profile(spark, sf):
-    return segment_profile(_assigned(spark, sf), "cluster", "hour", "value", "event_type") \
-        .select("cluster", "nombre_clients", "age_moyen", "montant_moyen")
+    p = segment_profile(_assigned(spark, sf), "cluster", "hour", "value", "event_type")
+    # the sorted (label, count) array as text, which every engine writes alike
+    return p.withColumn("segments", F.concat_ws(",", F.transform(
+        "segments", lambda x: F.concat_ws(":", x["segment"], x["n"].cast("string")))))
 
 
 def q_segment_members(spark, sf):
@@ -154,9 +168,9 @@ def q_segment_labels(spark, sf):
 
 
 def q_kmeans_fit(spark, sf):
-    scaled, _ = assemble_scale(_event_features(spark, sf), FEATURES)
-    model = kmeans_fit(scaled, "scaled_features", k=3, seed=42)
-    return centres_frame(model, ["c_value", "c_hour", "c_flag"])
+    _shared(spark)
+    scaled = assemble_scale(_event_features(spark, sf), FEATURES)[0].select("scaled_features").checkpoint()
+    return fit_checks(scaled, kmeans_fit(scaled, "scaled_features", k=3, seed=42))
 
 
 # ------------------------------------------------------------------ summaries
@@ -209,7 +223,11 @@ def q_metric_alerts(spark, sf):
 
 
 def q_alert_messages(spark, sf):
-    return alert_messages(q_metric_alerts(spark, sf), ts="ts", node="user_id")
+    # a sample is a user's day: the latest reading of each metric on it
+    ev = _t(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    latest = latest_metric(ev, keys=("user_id", "event_type", "day"), ts="ts", value="value", tie="event_id")
+    alerts = metric_alerts(latest, EVENT_THRESHOLDS, **_M | {"ts": "day"})
+    return alert_messages(alerts, ts="day", node="user_id")
 
 
 def q_latest_metric(spark, sf):
@@ -221,6 +239,48 @@ def q_metric_history(spark, sf):
     return metric_history(_t(spark, sf, "events"), "1 hour", keys=("event_type",), ts="ts", value="value")
 
 
+# ------------------------------------------------------------------ composite jobs
+def _insights(spark, sf, name):
+    """One table of the whole report, read back from where it was written."""
+    paths = insights_report(_t(spark, sf, "orders"), ORDERS, f"{_shared(spark)}/insights-{uuid.uuid4().hex}",
+                            as_of=AS_OF_ORDERS, rfm_kwargs={"monetary": ORDERS_MONETARY})
+    return spark.read.parquet(paths[name])
+
+
+def q_insights_rfm_describe(spark, sf):
+    return _insights(spark, sf, "rfm_describe")
+
+
+def q_insights_weekday(spark, sf):
+    return _insights(spark, sf, "weekday_patterns")
+
+
+def q_insights_transitions(spark, sf):
+    return _insights(spark, sf, "category_transitions")
+
+
+def _segment_report(spark, sf):
+    """The segmentation job over the users of ``events``: the latest complete
+    row of each, flag on purchases."""
+    raw = _events_with_nulls(spark, sf).withColumn("hour", F.hour("ts").cast("double"))
+    _shared(spark)
+    result = segment_customers(raw, "user_id", latest_first(raw, "ts"), flag_col="event_type", flag_value="purchase",
+                               flag_out="is_purchase", inputs=FEATURES, age="hour", amount="value", label="event_type")
+    return segment_report(result, f"{_shared(spark)}/segments-{uuid.uuid4().hex}", age="hour", amount="value", label="event_type")
+
+
+def q_segment_report_stats(spark, sf):
+    return spark.read.parquet(_segment_report(spark, sf)["processing_stats"])
+
+
+def q_segment_report_totals(spark, sf):
+    # k-means decides the clusters, but their statistics must add up to the cleaned table
+    s = spark.read.parquet(_segment_report(spark, sf)["cluster_stats"])
+    return s.agg(F.sum("nombre_clients").alias("nombre_clients"),
+                 (F.sum(F.col("montant_moyen") * F.col("nombre_clients")) / F.sum("nombre_clients")).alias("montant_moyen"),
+                 (F.sum(F.col("age_moyen") * F.col("nombre_clients")) / F.sum("nombre_clients")).alias("age_moyen"))
+
+
 _QUERIES = {
     "rfm_scores": q_rfm_scores,
     "weekday_patterns": q_weekday_patterns,
@@ -257,6 +317,11 @@ _QUERIES = {
     "alert_messages": q_alert_messages,
     "latest_metric": q_latest_metric,
     "metric_history": q_metric_history,
+    "insights_rfm_describe": q_insights_rfm_describe,
+    "insights_weekday": q_insights_weekday,
+    "insights_transitions": q_insights_transitions,
+    "segment_report_stats": q_segment_report_stats,
+    "segment_report_totals": q_segment_report_totals,
 }
 
 
@@ -434,6 +499,13 @@ FROM (SELECT cluster, row_number() OVER (ORDER BY montant_moyen DESC NULLS LAST,
       FROM ({_CLUSTER_STATS_SQL}) s) r"""
 
 
+_CLEAN_SQL = """
+SELECT event_id, user_id, ts, event_type, value FROM (
+  SELECT event_id, user_id, ts, nullif(event_type, 'error') AS event_type, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) d
+WHERE rn = 1 AND event_id IS NOT NULL AND user_id IS NOT NULL AND ts IS NOT NULL
+  AND event_type IS NOT NULL AND value IS NOT NULL"""
+
 _RAW_SQL = {
     "rfm_scores": _RFM_SQL,
     "weekday_patterns": """
@@ -452,12 +524,7 @@ FROM events GROUP BY event_type""",
 SELECT year(premier_achat)::INTEGER AS annee_acquisition, count(*) AS nouveaux_clients,
        avg(duree_relation) AS duree_moyenne_relation, avg(nombre_achats) AS nombre_moyen_achats
 FROM ({_LOYALTY_SQL}) l GROUP BY 1""",
-    "clean_customers": """
-SELECT event_id, user_id, ts, event_type, value FROM (
-  SELECT event_id, user_id, ts, nullif(event_type, 'error') AS event_type, value,
-         row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) d
-WHERE rn = 1 AND event_id IS NOT NULL AND user_id IS NOT NULL AND ts IS NOT NULL
-  AND event_type IS NOT NULL AND value IS NOT NULL""",
+    "clean_customers": _CLEAN_SQL,
     "encode_flag": """
 SELECT event_id, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS is_purchase FROM events""",
     "distinct_categories": "SELECT count(DISTINCT event_type) AS n_event_type FROM events",
@@ -465,8 +532,10 @@ SELECT event_id, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS is_purch
 SELECT event_id, z_value, z_hour, z_is_purchase AS z_flag FROM ({_Z_SQL}) z""",
     "kmeans_assign": f"SELECT event_id, cluster FROM ({_ASSIGNED_SQL}) a",
     "segment_profile": f"""
-SELECT cluster, count(*) AS nombre_clients, avg(hour) AS age_moyen, avg(value) AS montant_moyen
-FROM ({_ASSIGNED_SQL}) a GROUP BY cluster""",
+SELECT cluster, sum(n)::BIGINT AS nombre_clients, sum(sh) / sum(n) AS age_moyen, sum(sv) / sum(cv) AS montant_moyen,
+       string_agg(event_type || ':' || n::VARCHAR, ',' ORDER BY event_type) AS segments
+FROM (SELECT cluster, event_type, count(*) AS n, sum(hour) AS sh, sum(value) AS sv, count(value) AS cv
+      FROM ({_ASSIGNED_SQL}) a GROUP BY cluster, event_type) g GROUP BY cluster""",
     "segment_members": f"""
 SELECT cluster, event_type AS segment, count(*) AS n FROM ({_ASSIGNED_SQL}) a GROUP BY cluster, event_type""",
     "cluster_stats": _CLUSTER_STATS_SQL,
@@ -508,8 +577,12 @@ FROM ({_SUMMARY_EVENTS_SQL}) s""",
     "scatter_points": f"SELECT purchase_count, total_amount, category FROM ({_SUMMARY_EVENTS_SQL}) s",
     "metric_alerts": _ALERTS_SQL,
     "alert_messages": f"""
-SELECT user_id, ts, count(*) AS n_alerts, string_agg(message, chr(10) ORDER BY ordinal) AS message
-FROM ({_ALERTS_SQL}) a GROUP BY user_id, ts""",
+WITH t(ordinal, metric, label, threshold) AS (VALUES {_THRESHOLDS_VALUES}),
+l AS (SELECT user_id, event_type, CAST(ts AS DATE) AS day, arg_max(value, (ts, event_id)) AS value
+      FROM events GROUP BY 1, 2, 3)
+SELECT user_id, day, count(*) AS n_alerts,
+       string_agg('High ' || label || ' usage: ' || CAST(value AS VARCHAR) || '%', chr(10) ORDER BY ordinal) AS message
+FROM l JOIN t ON l.event_type = t.metric WHERE value > threshold GROUP BY user_id, day""",
     "latest_metric": """
 SELECT user_id, event_type, max(ts) AS ts, arg_max(value, (ts, event_id)) AS value
 FROM events GROUP BY user_id, event_type""",
@@ -517,6 +590,16 @@ FROM events GROUP BY user_id, event_type""",
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
        event_type, count(value) AS n, avg(value) AS mean, min(value) AS min, max(value) AS max
 FROM events GROUP BY 1, 2, 3""",
+    "kmeans_fit": """
+SELECT count(*) AS n, 3::BIGINT AS k, true AS sizes_add_up, true AS all_nearest, true AS centres_are_means FROM events""",
+    "insights_rfm_describe": _describe_sql(_RFM_SQL, list(RFM_DESCRIBED)),
+    "insights_weekday": """
+SELECT (dayofweek(o_orderdate) + 1)::INTEGER AS jour_semaine, count(*) AS nombre_achats, avg(o_totalprice) AS montant_moyen,
+       sum(o_totalprice) AS montant_total FROM orders GROUP BY 1""",
+    "insights_transitions": _transitions_sql("orders", "o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority"),
+    "segment_report_stats": f"SELECT count(*) AS nombre_clients, 3::BIGINT AS nombre_segments FROM ({_CLEAN_SQL}) c",
+    "segment_report_totals": f"""
+SELECT count(*) AS nombre_clients, avg(value) AS montant_moyen, avg(hour(ts)::DOUBLE) AS age_moyen FROM ({_CLEAN_SQL}) c""",
 }
 
 
@@ -548,6 +631,9 @@ _DOUBLES = {
     "metric_alerts": ["value", "threshold"],
     "latest_metric": ["value"],
     "metric_history": ["mean", "min", "max"],
+    "insights_rfm_describe": ["mean", "std", "min", "p25", "p50", "p75", "max"],
+    "insights_weekday": ["montant_moyen", "montant_total"],
+    "segment_report_totals": ["montant_moyen", "age_moyen"],
 }
 
 

@@ -6,7 +6,8 @@
   python -m clientlens spending  --input summaries.jsonl --output OUT
   python -m clientlens monitor   --input samples/ --output OUT [--once]
 
-Paths are URIs; cluster settings come from spark-submit.
+Paths are URIs; cluster settings come from spark-submit (``segment`` needs
+spark.checkpoint.dir). The session zone is UTC unless --zone says otherwise.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import SparkSession
 
+from clientlens.operators import latest_first
 from clientlens.plans import (analyze_segments, insights_report, segment_customers, segment_report,
                               spending_report)
 from clientlens.roles import Roles
+from clientlens.session import build_session
 from clientlens.sources import CUSTOMER_PURCHASE, read_csv
 from clientlens.streaming import start_monitor
 
@@ -32,12 +35,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--roles", default=None, help="client,time,amount,category,id column names")
     ap.add_argument("--once", action="store_true", help="monitor: process what is there, then stop")
+    ap.add_argument("--zone", default="UTC", help="session time zone (hours, weekdays and days of timestamps)")
     a = ap.parse_args(argv)
-    spark = spark or SparkSession.builder.appName(f"clientlens-{a.job}").getOrCreate()
+    spark = spark or build_session(app=f"clientlens-{a.job}", extra={"spark.sql.session.timeZone": a.zone})
 
     if a.job == "segment":
         raw = read_csv(spark, a.input, CUSTOMER_PURCHASE)
-        return segment_report(segment_customers(raw, "client_id", [F.col("date_achat")], k=a.k), a.output)
+        return segment_report(segment_customers(raw, "client_id", latest_first(raw, "date_achat"), k=a.k), a.output)
     if a.job == "analyze":
         return segment_report(analyze_segments(spark.read.parquet(a.input)), a.output)
     if a.job == "insights":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DataType, DateType, IntegralType, TimestampNTZType, TimestampType
 
 
 def _c(col):
@@ -26,3 +27,17 @@ def year_of(col) -> Column:
 def days_between(end, start) -> Column:
     """Whole days from ``start`` to ``end`` (calendar dates, int)."""
     return F.datediff(_c(end), _c(start))
+
+
+def epoch_micros(kind: DataType, column: str) -> str | None:
+    """SQL text (BIGINT) of microseconds since the epoch, monotone in the column
+    whatever the session zone: a TIMESTAMP_NTZ is read without any zone, a DATE
+    as its first instant, an integral column as it is. None for other types."""
+    q = f"`{column}`"
+    if isinstance(kind, TimestampType):
+        return f"unix_micros({q})"
+    if isinstance(kind, TimestampNTZType):
+        return f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {q})"
+    if isinstance(kind, DateType):
+        return f"(unix_date({q}) * 86400000000L)"
+    return f"CAST({q} AS BIGINT)" if isinstance(kind, IntegralType) else None

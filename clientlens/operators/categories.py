@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
+from clientlens.functions.calendar import epoch_micros
 from clientlens.roles import Roles
 
 
@@ -15,111 +17,69 @@ def category_revenue(df: DataFrame, r: Roles) -> DataFrame:
                    F.avg(r.amount).alias("montant_moyen")))
 
 
-def category_transitions(df: DataFrame, r: Roles, partitions: int | None = None,
-                         prev_name: str = "categorie_precedente", seam_block: int = 1024) -> DataFrame:
+def category_transitions(df: DataFrame, r: Roles, slice_seconds: int = 7 * 86_400,
+                         prev_name: str = "categorie_precedente") -> DataFrame:
     """Count of (previous category, category) over consecutive purchases of a
     client, ordered by (time, id); pairs whose previous category is null are
     dropped. Sorted by count descending.
 
-    Plan, built so that a client holding a third of all rows is still split
-    over many tasks (a ``lag`` over ``partitionBy(client)`` would put it in one):
+    A ``lag`` over ``partitionBy(client)`` would put a client holding a third of
+    all rows into one task, so rows are grouped by (client, time slice):
 
-    1. range-partition on the unique key (client, time, id): every partition is
-       a contiguous, balanced slice of the global order, hot clients included;
-    2. inside each slice, ``lag`` gives the predecessor of every row but the
-       slice's first; interior pairs are emitted and pre-aggregated;
-    3. each slice also emits its first row (head) and last row (tail). A seam
-       (a pair across two slices) joins a head to the tail just before it in
-       the global order; since a client's rows are contiguous, that tail is
-       the head's predecessor among its own client's edges. Edges are resolved
-       hierarchically: grouped by (client, slice // G), each group emits the
-       seams inside it plus its first and last edge, which are regrouped by
-       (client, block // G) at the next level, and so on; the last level
-       groups by client alone, so the result is exact for any slice count,
-       and no group holds more than about 2G edges once the level count covers
-       the (initial) number of slices (``G = seam_block``);
-    4. interior and seam pairs are summed per pair.
+    1. one exchange on (client, slice) serves the ``lag`` inside each slice; the
+       pairs it finds are pre-aggregated;
+    2. each slice's first and last row are its edges. A client's edges, sorted
+       by slice, alternate first, last, first, last; a last row followed by the
+       next slice's first is a pair, too. A client has two edges per slice, so a
+       group holds 2 x (time span / slice width) edges, however many rows;
+    3. both kinds of pairs are summed per pair.
 
-    The plan is one linear lineage (no DataFrame is used twice), so the range
-    bounds and partition ids are computed once per execution. ``partitions``
-    fixes the slice count; by default AQE sizes it (set
-    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` high at scale).
+    ``slice_seconds`` never changes the result. It should be wide enough that
+    ordinary clients have few slices (few edges) and narrow enough to split the
+    hottest client. For an integral time column it is in that column's units.
     """
-    spark = df.sparkSession
     ct = df.schema[r.client].dataType.simpleString()
     kt = df.schema[r.category].dataType.simpleString()
+    t = df.schema[r.ts].dataType
+    unit = 1 if isinstance(t, IntegralType) else 1_000_000
+    micros = epoch_micros(t, "_t")
+    if micros is None:
+        raise ValueError(f"{r.ts} is {t.simpleString()}; a time, date or integral column is needed")
     seq = df.select(F.col(r.client).alias("_c"), F.col(r.ts).alias("_t"),
                     F.col(r.id).alias("_i"), F.col(r.category).alias("_k"))
-    # Without a fixed count the range exchange starts from the (AQE initial) shuffle partition
-    # number and AQE may merge adjacent small partitions: slices stay contiguous in the order.
-    seq = (seq.repartitionByRange(partitions, "_c", "_t", "_i") if partitions
-           else seq.repartitionByRange("_c", "_t", "_i"))
-    seq = seq.withColumn("_p", F.spark_partition_id())
+    # rows without a time come first in the order, as one slice below all others
+    lowest = "-9223372036854775808L"
+    width = int(slice_seconds) * unit
+    seq = seq.selectExpr("*", f"coalesce(({micros} - pmod({micros}, {width}L)) DIV {width}L, {lowest}) AS _s")
     # Expressions are SQL text: one parse each instead of a JVM call per node.
-    w = "OVER (PARTITION BY _p ORDER BY _c, _t, _i)"
-    seq = seq.selectExpr("_p", "_c", "_k", f"lag(_c) {w} AS _pc", f"lag(_k) {w} AS _pk",
-                         f"row_number() {w} AS _rn", f"lead(true) {w} AS _more")
+    w = "OVER (PARTITION BY _c, _s ORDER BY _t, _i)"
+    seq = seq.selectExpr("_c", "_s", "_k", f"lag(_k) {w} AS _pk", f"row_number() {w} AS _rn", f"lead(true) {w} AS _more")
 
-    # levels so that the last one sees <= seam_block blocks per client
-    g = max(2, int(seam_block))
-    p_max = partitions or int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                                             None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    levels, span = 1, g
-    while span < p_max:
-        levels, span = levels + 1, span * g
+    et = f"struct<s:bigint,side:int,k:{kt}>"
+    rt = f"struct<kind:int,prev:{kt},cat:{kt},n:bigint,c:{ct},e:{et}>"
 
-    def blk(level: int, p: str) -> str:   # group key of an edge at a level; the last level: client only
-        return "CAST(-1 AS bigint)" if level == levels else f"CAST({p} DIV {g ** level} AS bigint)"
-
-    et = f"struct<p:int,side:int,b:bigint,k:{kt}>"
-    rt = f"struct<kind:int,prev:{kt},cat:{kt},n:bigint,c:{ct},blk:bigint,e:{et}>"
-
-    def rec(kind, prev, cat, n, c, b, e):
+    def rec(kind, prev, cat, n, c, e):
         return (f"CAST(named_struct('kind', {kind}, 'prev', {prev}, 'cat', {cat}, 'n', {n}, "
-                f"'c', {c}, 'blk', {b}, 'e', {e}) AS {rt})")
+                f"'c', {c}, 'e', {e}) AS {rt})")
 
     def edge(side):
-        return rec(1, "NULL", "NULL", "NULL", "_c", blk(1, "_p"),
-                   f"named_struct('p', _p, 'side', {side}, 'b', CAST(_p AS bigint), 'k', _k)")
+        return rec(1, "NULL", "NULL", "NULL", "_c", f"named_struct('s', _s, 'side', {side}, 'k', _k)")
 
-    pair = f"CASE WHEN _rn > 1 AND _pc <=> _c AND _pk IS NOT NULL THEN {rec(0, '_pk', '_k', '1L', 'NULL', 'NULL', 'NULL')} END"
+    pair = f"CASE WHEN _rn > 1 AND _pk IS NOT NULL THEN {rec(0, '_pk', '_k', '1L', 'NULL', 'NULL')} END"
     head = f"CASE WHEN _rn = 1 THEN {edge(0)} END"
     tail = f"CASE WHEN _more IS NULL THEN {edge(1)} END"
     recs = (seq.selectExpr(f"explode(array({pair}, {head}, {tail})) AS r")
                .where("r IS NOT NULL").select("r.*"))
 
-    for level in range(1, levels + 1):
-        grouped = recs.groupBy("kind", "prev", "cat", "c", "blk").agg(
-            F.sum("n").alias("n"), F.collect_list("e").alias("es"))
-        # sort once, in its own projection (not inlined into the lambdas): by slice, then head/tail
-        grouped = grouped.selectExpr("kind", "prev", "cat", "c", "blk", "n", "array_sort(es) AS es")
-        # a seam: a tail followed by a head from another (sub-)block, previous category not null
-        seams = ("filter(transform(filter(sequence(1, size(es)), j -> j >= 2), j -> named_struct("
-                 "'a', element_at(es, j - 1), 'b', element_at(es, j))), "
-                 "s -> s.a.side = 1 AND s.b.side = 0 AND s.a.b != s.b.b AND s.a.k IS NOT NULL)")
-        out = f"transform({seams}, s -> {rec(0, 's.a.k', 's.b.k', '1L', 'NULL', 'NULL', 'NULL')})"
-        if level < levels:
-            # the first and last edge of this group go up one level, tagged with this group's block
-            ends = ("CASE WHEN size(es) = 1 THEN array(element_at(es, 1)) "
-                    "ELSE array(element_at(es, 1), element_at(es, -1)) END")
-            up = (f"transform({ends}, x -> {rec(1, 'NULL', 'NULL', 'NULL', 'c', blk(level + 1, 'x.p'), "named_struct('p', x.p, 'side', x.side, 'b', blk, 'k', x.k)")})")
-            out = f"concat({out}, {up})"
-        keep = rec("kind", "prev", "cat", "n", "c", "blk", "NULL")
-        recs = (grouped.selectExpr(f"explode(CASE WHEN kind = 0 THEN array({keep}) ELSE {out} END) AS x")
-                       .select("x.*"))
-
-    return (recs.groupBy("prev", "cat").agg(F.sum("n").alias("count"))
-                .select(F.col("prev").alias(prev_name), F.col("cat").alias(r.category), "count")
-                .orderBy(F.desc("count"), F.asc_nulls_first(prev_name), F.asc_nulls_first(r.category)))
-
-
-def category_transitions_by_window(df: DataFrame, r: Roles,
-                                   prev_name: str = "categorie_precedente") -> DataFrame:
-    """Plain form: ``lag`` over ``partitionBy(client)``. Same result; one task
-    per client, so use it only where no client is hot. Kept as the readable
-    definition the split plan is tested against."""
-    w = Window.partitionBy(r.client).orderBy(r.ts, r.id)
-    return (df.withColumn(prev_name, F.lag(r.category).over(w))
-              .where(F.col(prev_name).isNotNull())
-              .groupBy(prev_name, r.category).count()
-              .orderBy(F.desc("count"), F.asc_nulls_first(prev_name), F.asc_nulls_first(r.category)))
+    grouped = recs.groupBy("kind", "prev", "cat", "c").agg(F.sum("n").alias("n"), F.collect_list("e").alias("es"))
+    grouped = grouped.selectExpr("kind", "prev", "cat", "n", "array_sort(es) AS es")   # by slice, then first/last
+    seams = ("filter(transform(sequence(1, size(es)), j -> named_struct("
+             "'a', try_element_at(es, j), 'b', try_element_at(es, j + 1))), "
+             "x -> x.a.side = 1 AND x.b.side = 0 AND x.a.k IS NOT NULL)")
+    pt = f"struct<prev:{kt},cat:{kt},n:bigint>"
+    own = f"CAST(named_struct('prev', prev, 'cat', cat, 'n', n) AS {pt})"
+    across = f"transform({seams}, x -> CAST(named_struct('prev', x.a.k, 'cat', x.b.k, 'n', 1L) AS {pt}))"
+    pairs = grouped.selectExpr(f"explode(CASE WHEN kind = 0 THEN array({own}) ELSE {across} END) AS x").select("x.*")
+    return (pairs.groupBy("prev", "cat").agg(F.sum("n").alias("count"))
+                 .select(F.col("prev").alias(prev_name), F.col("cat").alias(r.category), "count")
+                 .orderBy(F.desc("count"), F.asc_nulls_first(prev_name), F.asc_nulls_first(r.category)))

@@ -21,6 +21,13 @@ def dedupe(df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def latest_first(df: DataFrame, ts: str) -> list[Column]:
+    """A total order of rows: the latest time first, rows without one last; the
+    other columns break ties, so that which row is kept never depends on the
+    partitioning (rows that agree in all columns are the same row)."""
+    return [F.desc_nulls_last(ts), *[F.asc_nulls_last(c) for c in df.columns if c != ts]]
+
+
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a null in any column of ``subset`` (all columns by default)."""
     return df.na.drop(how="any", subset=list(subset) if subset else None)

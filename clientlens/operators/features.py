@@ -33,14 +33,15 @@ def assemble_scale(df: DataFrame, inputs: Sequence[str], features: str = "featur
 
 def standardize(df: DataFrame, inputs: Sequence[str], prefix: str = "z_") -> DataFrame:
     """DataFrame form of the scaler: ``(x - mean) / std_samp`` per input, 0 when
-    the std is 0. Means and stds are one aggregated row (collected: 2 numbers
-    per input), so the scaling is a projection with literals."""
+    the std is 0 or there is one row only, as the ML scaler gives. Means and stds
+    are one aggregated row (collected: 2 numbers per input), so the scaling is a
+    projection with literals."""
     stats = df.agg(*[e for c in inputs for e in (F.avg(c), F.stddev(c))]).first()
     cols = []
     for i, c in enumerate(inputs):
         m, sd = stats[2 * i], stats[2 * i + 1]
         if sd is None or sd == 0:
-            z = F.when(F.col(c).isNotNull(), F.lit(0.0)) if sd == 0 else F.lit(None).cast("double")
+            z = F.when(F.col(c).isNotNull(), F.lit(0.0))
         else:
             z = (F.col(c) - F.lit(m)) / F.lit(sd)
         cols.append(z.alias(f"{prefix}{c}"))

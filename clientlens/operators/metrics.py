@@ -7,8 +7,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import (ByteType, DateType, DoubleType, IntegerType, LongType, ShortType,
-                               StringType, StructField, StructType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import DoubleType, IntegerType, IntegralType, StringType, StructField, StructType
+
+from clientlens.functions.calendar import epoch_micros
 
 # Alert thresholds in percent (alert when strictly greater) and labels.
 DEFAULT_THRESHOLDS = (
@@ -78,19 +79,8 @@ def _packed_order(df: DataFrame, ts: str, tie: str) -> Column | None:
     is mutable in place, so ``max_by`` over it stays a hash aggregation (a
     struct key forces a sort-based one). The ntz epoch offset is taken without
     any time zone, so the key is monotone in ``ts`` whatever the session zone."""
-    tt, it = df.schema[ts].dataType, df.schema[tie].dataType
-    if not isinstance(it, (ByteType, ShortType, IntegerType, LongType)):
-        return None
-    q = f"`{ts}`"
-    if isinstance(tt, TimestampType):
-        micros = f"unix_micros({q})"
-    elif isinstance(tt, TimestampNTZType):
-        micros = f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {q})"
-    elif isinstance(tt, DateType):
-        micros = f"unix_date({q})"
-    elif isinstance(tt, (ByteType, ShortType, IntegerType, LongType)):
-        micros = f"CAST({q} AS BIGINT)"
-    else:
+    micros = epoch_micros(df.schema[ts].dataType, ts)
+    if micros is None or not isinstance(df.schema[tie].dataType, IntegralType):
         return None
     d = "DECIMAL(38,0)"
     return F.expr(f"CAST({micros} AS {d}) * CAST('100000000000000000000' AS {d}) "

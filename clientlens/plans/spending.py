@@ -28,7 +28,7 @@ def spending_report(spark: SparkSession, summary_path: str, out: str, top_n: int
     ``<out>/<table>`` and the statistics (with generation time) to
     ``<out>/analysis_stats`` as one JSON row."""
     summary = read_json_lines(spark, summary_path, CUSTOMER_SUMMARY)
-    paths = write_tables(spending_tables(summary, top_n, fraction), out)
+    paths = write_tables(spending_tables(summary, top_n, fraction), out, order_by={"category_spending": "category", "category_interval": "category"})
     paths["analysis_stats"] = write_one_row_json(global_stats(summary, with_time=True),
                                                  f"{out.rstrip('/')}/analysis_stats")
     return paths

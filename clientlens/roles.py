@@ -17,9 +17,3 @@ class Roles:
     category: str = "categorie_produit"
     # unique row id, used as the tie-break whenever rows are ordered by time
     id: str = "purchase_id"
-
-
-# Role mapping of the driver test tables.
-EVENTS = Roles(client="user_id", ts="ts", amount="value", category="event_type", id="event_id")
-ORDERS = Roles(client="o_custkey", ts="o_orderdate", amount="o_totalprice",
-               category="o_orderpriority", id="o_orderkey")

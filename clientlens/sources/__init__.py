@@ -1,9 +1,9 @@
 """Readers and writers (declared schemas, no inference at scale)."""
 
 from clientlens.sources.schemas import (CUSTOMER_PURCHASE, PURCHASE, CUSTOMER_SUMMARY, METRIC_SAMPLE)
-from clientlens.sources.readers import read_csv, read_json_lines, read_parquet, read_table
-from clientlens.sources.writers import ResultTooLarge, to_pandas_checked, write_one_row_json, write_tables
+from clientlens.sources.readers import read_csv, read_json_lines, read_parquet
+from clientlens.sources.writers import write_one_row_json, write_tables
 
 __all__ = ["CUSTOMER_PURCHASE", "PURCHASE", "CUSTOMER_SUMMARY", "METRIC_SAMPLE",
-           "read_csv", "read_json_lines", "read_parquet", "read_table",
-           "write_tables", "write_one_row_json", "to_pandas_checked", "ResultTooLarge"]
+           "read_csv", "read_json_lines", "read_parquet",
+           "write_tables", "write_one_row_json"]

@@ -4,19 +4,32 @@ connector is session configuration, never hard-coded here."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             header: bool = True, infer: bool = False, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """CSV with a header. With a schema nothing is inferred (one pass less);
-    ``infer=True`` reproduces ``inferSchema`` for ad-hoc files."""
+             header: bool = True, infer: bool = False, date_format: str = "yyyy-MM-dd",
+             malformed: str = "FAILFAST") -> DataFrame:
+    """CSV, one row per line. With a schema nothing is inferred (one pass less).
+
+    A file with a header is bound by its names: the columns of the schema are
+    taken wherever they stand, others are ignored, a missing one is an error,
+    and so is a second file whose header differs from the first's. A cell that
+    does not fit its type fails the job (``malformed="PERMISSIVE"`` reads it as
+    null instead). ``infer=True`` reproduces ``inferSchema`` for ad-hoc files."""
     r = spark.read.option("header", header).option("dateFormat", date_format)
-    if schema is not None:
-        r = r.schema(schema)
-    elif infer:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+    if schema is None:
+        return (r.option("inferSchema", True) if infer else r).csv(path)
+    r = r.option("mode", malformed)
+    if not header:
+        return r.schema(schema).csv(path)
+    names = spark.read.option("header", True).csv(path).columns   # reads the first line only
+    missing = [f.name for f in schema.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {', '.join(names)}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    found = StructType([StructField(n, kinds.get(n, StringType())) for n in names])
+    return r.option("enforceSchema", False).schema(found).csv(path).select(*[f.name for f in schema.fields])
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -29,13 +42,3 @@ def read_json_lines(spark: SparkSession, path: str, schema: StructType | None =
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's test tables, ``<sf_dir>/<name>.parquet``, with its
-    declared schema when known (no footer read to infer it)."""
-    from clientlens.sources.schemas import TEST_TABLE_SCHEMAS
-    r = spark.read
-    if name in TEST_TABLE_SCHEMAS:
-        r = r.schema(TEST_TABLE_SCHEMAS[name])
-    return r.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

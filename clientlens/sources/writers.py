@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame
 
 
 def write_tables(tables: Mapping[str, DataFrame], out: str, fmt: str = "parquet",
-                 partition_by: Mapping[str, list[str]] | None = None) -> dict[str, str]:
+                 partition_by: Mapping[str, list[str]] | None = None,
+                 order_by: Mapping[str, str] | None = None) -> dict[str, str]:
     """Write each DataFrame to ``<out>/<name>`` (overwrite), one folder per table.
 
-    Written by the executors in parallel; the driver only commits. Returns the
-    paths written.
+    Written by the executors in parallel; the driver only commits. A table in
+    ``order_by`` is chart data (a row per bar or point): it is written as one
+    file in the order of that column. Returns the paths written.
     """
     paths = {}
     for name, df in tables.items():
+        if name in (order_by or {}):
+            df = df.coalesce(1).sortWithinPartitions(order_by[name])
         w = df.write.mode("overwrite").format(fmt)
         cols = (partition_by or {}).get(name)
         if cols:
@@ -33,17 +37,3 @@ def write_one_row_json(df: DataFrame, path: str) -> str:
     """
     df.coalesce(1).write.mode("overwrite").json(path)
     return path
-
-
-class ResultTooLarge(ValueError):
-    """Raised instead of silently truncating a result at the report edge."""
-
-
-def to_pandas_checked(df: DataFrame, max_rows: int = 100_000):
-    """Collect an aggregated result to pandas for display, refusing (not
-    truncating) results larger than ``max_rows``: at most ``max_rows + 1``
-    rows ever reach the driver."""
-    pdf = df.limit(max_rows + 1).toPandas()
-    if len(pdf) > max_rows:
-        raise ResultTooLarge(f"result has more than {max_rows} rows; aggregate it before collecting")
-    return pdf

@@ -28,9 +28,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import zstandard  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from clientlens.operators import (category_transitions, category_transitions_by_window, dedupe,  # noqa: E402
-                                  rfm)
-from clientlens.roles import EVENTS  # noqa: E402
+from pyspark.sql import Window  # noqa: E402
+
+from clientlens.operators import category_transitions, dedupe, rfm  # noqa: E402
+from harness_tables import EVENTS  # noqa: E402
 from clientlens.session import build_session  # noqa: E402
 
 
@@ -43,6 +44,16 @@ def _events(log_dir: str):
             yield json.loads(line)
 
 
+def split(df, r):
+    return category_transitions(df, r, slice_seconds=86_400)
+
+
+def per_client(df, r):
+    """The plain form: one lag per client."""
+    w = Window.partitionBy(r.client).orderBy(r.ts, r.id)
+    return df.withColumn("_p", F.lag(r.category).over(w)).where("_p IS NOT NULL").groupBy("_p", r.category).count()
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     log_dir = tempfile.mkdtemp(prefix="clientlens-skew-")
@@ -55,7 +66,7 @@ def main() -> None:
     hot = ev.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id")))
     sc = spark.sparkContext
     results = {}
-    for name, fn in (("split", category_transitions), ("per_client_window", category_transitions_by_window)):
+    for name, fn in (("split", split), ("per_client_window", per_client)):
         sc.setJobGroup(name, name)
         results[name] = {(r[0], r[1]): r[2] for r in fn(hot, EVENTS).collect()}
     # map-side reduction of a hot key: input spread over 16 map tasks first

@@ -85,3 +85,57 @@ def test_segmentation_pipeline(spark, tmp_dir):
     assert means == sorted(means, reverse=True)   # cluster 0 = highest mean amount
     assert spark.read.parquet(paths["segment_long"]).count() == 6
     assert spark.read.parquet(paths["segment_labels"]).count() == 3
+
+
+def test_one_row_scales_to_zero_like_the_scaler(spark):
+    from clientlens.operators import standardize
+    df = spark.createDataFrame([(3.0, None)], "a double, b double")
+    r = standardize(df, ["a", "b"]).first()
+    assert r["z_a"] == 0.0 and r["z_b"] is None
+    ml, _ = assemble_scale(df, ["a"])
+    assert list(ml.first()["scaled_features"]) == [0.0]
+
+
+def test_centres_of_a_model_without_summary_and_of_huge_clusters(spark, tmp_dir):
+    from pyspark.ml.clustering import KMeansModel
+
+    from clientlens.operators import centres_frame
+    df, _ = assemble_scale(spark.createDataFrame([(float(i % 2), float(i)) for i in range(20)], "a double, b double"), ["a", "b"])
+    model = kmeans_fit(df, k=2)
+    model.save(f"{tmp_dir}/m")
+    got = centres_frame(KMeansModel.load(f"{tmp_dir}/m"), ["x", "y"])
+    assert got.count() == 2 and got.where("size IS NULL").count() == 2 and dict(got.dtypes)["size"] == "bigint"
+
+    class Huge:
+        hasSummary = True
+        summary = type("S", (), {"clusterSizes": [3_000_000_000]})
+        clusterCenters = staticmethod(lambda: [[0.5]])
+    assert centres_frame(Huge(), ["x"]).first()["size"] == 3_000_000_000
+
+
+def test_fit_checks_see_a_wrong_fit(spark):
+    from clientlens.operators import fit_checks
+    df, _ = assemble_scale(spark.createDataFrame([(float(i % 5), float(i)) for i in range(60)], "a double, b double"), ["a", "b"])
+    model = kmeans_fit(df, k=3)
+    assert tuple(fit_checks(df, model).first()) == (60, 3, True, True, True)
+    moved, _ = assemble_scale(spark.createDataFrame([(float(i % 5), float(i) + 9.0) for i in range(30)], "a double, b double"), ["a", "b"])
+    r = fit_checks(moved.limit(20), model).first()
+    assert not r["sizes_add_up"] and not r["centres_are_means"]
+
+
+def test_segment_profile_in_one_scan(spark):
+    from clientlens.operators import segment_profile
+    df = spark.createDataFrame([(0, 20.0, 1.0, "a"), (0, None, 3.0, "b"), (0, 40.0, None, "a"), (1, 5.0, 5.0, None)],
+                               "cluster int, age double, amount double, label string")
+    out = segment_profile(df, "cluster", "age", "amount", "label")
+    got = {r["cluster"]: (r[1], r[2], r[3], [tuple(x) for x in r["segments"]]) for r in out.collect()}
+    assert got == {0: (3, 30.0, 2.0, [("a", 2), ("b", 1)]), 1: (1, 5.0, 5.0, [(None, 1)])}
+
+
+def test_segmentation_keeps_the_latest_complete_row(spark):
+    from clientlens.operators import clean_customers, latest_first
+    rows = [("C1", None, 9.0), ("C1", "2024-01-02", 1.0), ("C2", "2024-01-05", 2.0), ("C2", "2024-01-05", 1.5), ("C3", None, 4.0)]
+    df = spark.createDataFrame(rows, "client_id string, d string, v double").withColumn("d", F.to_date("d"))
+    for part in (df, df.orderBy(F.desc("v")).repartition(3)):
+        got = {r["client_id"]: r["v"] for r in clean_customers(part, "client_id", latest_first(part, "d")).collect()}
+        assert got == {"C1": 1.0, "C2": 1.5}

@@ -21,7 +21,7 @@ def test_entry_smoke(spark):
 
 
 def test_oracle_coverage():
-    assert set(entry._QUERIES) - set(entry.ORACLE_SQL) == {"kmeans_fit"}
+    assert set(entry._QUERIES) == set(entry.ORACLE_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -42,8 +42,9 @@ def test_query_equals_oracle(spark, duck, name):
     assert rows_key([tuple(r) for r in df.collect()]) == rows_key(orows)
 
 
-def test_kmeans_fit_rows(spark):
-    assert entry.queries()["kmeans_fit"](spark, SF).count() == 3
+def test_some_messages_combine_several_alerts(spark):
+    rows = entry.queries()["alert_messages"](spark, "/root/testdata/sf0.01").collect()
+    assert max(r["n_alerts"] for r in rows) > 1
 
 
 def test_queries_under_driver_like_settings(spark, duck):

@@ -142,9 +142,7 @@ def test_latest_packed_tie_break(spark, ts_type):
 def test_stream_over_events_equals_batch(spark, tmp_dir):
     """The registered alert and latest-value queries, run as streams over the
     events table, give the batch results."""
-    from clientlens.params import EVENT_THRESHOLDS
-    from clientlens.sources.readers import read_table
-    from clientlens.sources.schemas import TEST_TABLE_SCHEMAS
+    from harness_tables import EVENT_THRESHOLDS, TEST_TABLE_SCHEMAS, read_table
     sf = "/root/testdata/sf0.001"
     stream = (spark.readStream.schema(TEST_TABLE_SCHEMAS["events"])
               .option("pathGlobFilter", "events.parquet").parquet(sf))
@@ -167,9 +165,7 @@ def test_watermarked_streams_over_events_equal_batch(spark, tmp_dir):
     """History windows and combined messages over the events table: every
     emitted row equals the batch row, and all windows/samples closed by the
     final watermark are emitted."""
-    from clientlens.params import EVENT_THRESHOLDS
-    from clientlens.sources.readers import read_table
-    from clientlens.sources.schemas import TEST_TABLE_SCHEMAS
+    from harness_tables import EVENT_THRESHOLDS, TEST_TABLE_SCHEMAS, read_table
     sf = "/root/testdata/sf0.001"
     stream = (spark.readStream.schema(TEST_TABLE_SCHEMAS["events"])
               .option("pathGlobFilter", "events.parquet").parquet(sf))

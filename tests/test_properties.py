@@ -22,8 +22,8 @@ row = st.tuples(st.sampled_from(["a", "b", "c", None]),            # client
 
 
 @SETTINGS
-@given(rows=st.lists(row, min_size=0, max_size=60), parts=st.integers(1, 9), block=st.sampled_from([2, 3, 1024]))
-def test_transitions_property(spark, rows, parts, block):
+@given(rows=st.lists(row, min_size=0, max_size=60), seconds=st.sampled_from([1, 60, 130, 10**7]))
+def test_transitions_property(spark, rows, seconds):
     data = [(i, c, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m), 1.0, k) for i, (c, m, k) in enumerate(rows)]
     by = {}
     for pid, c, ts, _, k in data:
@@ -36,7 +36,7 @@ def test_transitions_property(spark, rows, parts, block):
                 want[(p, k)] += 1
     df = spark.createDataFrame(data, PURCHASE)
     got = Counter({(r[0], r[1]): r[2] for r in
-                   category_transitions(df, R, partitions=parts, seam_block=block).collect()})
+                   category_transitions(df, R, slice_seconds=seconds).collect()})
     assert got == want
 
 

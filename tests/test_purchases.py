@@ -6,9 +6,9 @@ import random
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from clientlens.operators import (category_transitions, category_transitions_by_window, client_loyalty,
+from clientlens.operators import (category_transitions, client_loyalty,
                                   hourly_patterns, retention_by_year, rfm, weekday_patterns)
 from clientlens.roles import Roles
 from clientlens.sources import PURCHASE
@@ -95,8 +95,14 @@ def test_transitions_ties_and_nulls(purchases):
     assert got[("A", None)] == 1 and (None, "B") not in got  # null previous category dropped
 
 
-@pytest.mark.parametrize("parts,block", [(1, 1024), (3, 1024), (16, 1024), (200, 1024), (16, 2), (200, 3)])
-def test_transitions_hot_client_matches_brute_force(spark, parts, block):
+def transitions_by_window(df):
+    """The readable definition: one ``lag`` per client."""
+    w = Window.partitionBy(R.client).orderBy(R.ts, R.id)
+    return (df.withColumn("p", F.lag(R.category).over(w)).where("p IS NOT NULL").groupBy("p", R.category).count())
+
+
+@pytest.mark.parametrize("seconds", [1, 60, 1000, 3600, 7 * 86_400, 10**9])
+def test_transitions_hot_client_matches_brute_force(spark, seconds):
     rnd = random.Random(7)
     rows = []
     base = dt.datetime(2024, 1, 1)
@@ -108,18 +114,30 @@ def test_transitions_hot_client_matches_brute_force(spark, parts, block):
         rows.append((pid, c, ts, 1.0, k))
     df = spark.createDataFrame(rows, PURCHASE)
     want = brute_transitions(rows)
-    assert as_counter(category_transitions(df, R, partitions=parts, seam_block=block)) == want
-    assert as_counter(category_transitions_by_window(df, R)) == want
+    assert as_counter(category_transitions(df, R, slice_seconds=seconds)) == want
+    assert as_counter(transitions_by_window(df)) == want
 
 
-def test_transitions_partition_spread(spark):
-    """The hot client's rows are spread over many tasks by the range split."""
+def test_transitions_one_exchange_of_the_rows(spark):
+    """One exchange on (client, slice) serves the window; no range sampling."""
     rows = [(i, "hot", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), 1.0, "ab"[i % 2]) for i in range(4000)]
+    df = category_transitions(spark.createDataFrame(rows, PURCHASE), R, slice_seconds=100)
+    assert as_counter(df) == Counter({("a", "b"): 2000, ("b", "a"): 1999})
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("hashpartitioning(_c") == 1 and "rangepartitioning(_c" not in plan
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "bigint"])
+def test_transitions_time_types_and_missing_times(spark, kind):
+    rows, rnd = [], random.Random(3)
+    for i in range(400):
+        ts = None if i % 37 == 0 else dt.datetime(1969, 12, 20) + dt.timedelta(hours=rnd.randrange(900))
+        rows.append((i, f"c{i % 3}", ts, 1.0, rnd.choice("xyz")))
     df = spark.createDataFrame(rows, PURCHASE)
-    spread = (df.repartitionByRange(8, "client_id", "date_achat", "purchase_id")
-                .groupBy(F.spark_partition_id()).count().collect())
-    assert len(spread) == 8 and max(r[1] for r in spread) < 1000
-    assert as_counter(category_transitions(df, R, partitions=8)) == Counter({("a", "b"): 2000, ("b", "a"): 1999})
+    made = {"timestamp": "date_achat", "timestamp_ntz": "cast(date_achat as timestamp_ntz)", "date": "to_date(date_achat)",
+            "bigint": "cast(unix_seconds(date_achat) as bigint)"}[kind]
+    df = df.withColumn("date_achat", F.expr(made))
+    assert as_counter(category_transitions(df, R, slice_seconds=86_400)) == as_counter(transitions_by_window(df))
 
 
 def test_patterns_and_loyalty(purchases):
@@ -132,21 +150,3 @@ def test_patterns_and_loyalty(purchases):
     assert loy["tie"]["duree_relation"] == 1
     ret = retention_by_year(client_loyalty(purchases, R)).collect()
     assert sum(r["nouveaux_clients"] for r in ret) == len(loy)
-
-
-def test_transitions_more_partitions_than_rows(spark):
-    rows = [(i, f"c{i % 3}", dt.datetime(2024, 1, 1, i % 24), 1.0, "xyz"[i % 3 if i % 4 else 0]) for i in range(40)]
-    df = spark.createDataFrame(rows, PURCHASE)
-    assert as_counter(category_transitions(df, R, partitions=97)) == brute_transitions(rows)
-
-
-def test_transitions_default_partitions_with_aqe_coalescing(spark):
-    rows = _rows() + [(1000 + i, "hot", dt.datetime(2024, 2, 1) + dt.timedelta(seconds=i), 1.0, "pq"[i % 2])
-                      for i in range(500)]
-    df = spark.createDataFrame(rows, PURCHASE)
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "64")   # many small partitions for AQE to merge
-    try:
-        assert as_counter(category_transitions(df, R)) == brute_transitions(rows)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)

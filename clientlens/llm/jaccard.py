@@ -21,9 +21,10 @@ numerous enough that a set has more than D non-empty ones (the chance of the
 contrary is below 1e-10 a set). The order puts values made of common shingles
 (lines and passages that many texts share) last, so they rarely lead a join.
 
-*Verification.* Candidate pairs whose size ratio or 512-bit Hamming distance
-rules a link out are dropped; the rest are intersected exactly, on the sets
-computed again from the whole texts of the rows concerned.
+*Verification.* Candidate pairs whose size ratio or Hamming distance (of 512-bit
+sketches, then of sketches with two or more bits a shingle) rules a link out are dropped; the rest are intersected exactly, on the sets
+computed again from the whole texts of the rows concerned, but for pairs whose
+ends earlier links have already joined.
 
 *Large groups.* A joined value shared by more than ``group`` nodes is not
 expanded into pairs: all its members meet the member with the fewest uncommon
@@ -48,7 +49,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clientlens.llm.components import connected_components
 from clientlens.llm.shared import temp_name, text_blocks, written
-from clientlens.llm.shingles import mix, shingle_sets
+from clientlens.llm.shingles import mix, order_within, shingle_sets
 
 BITS = 512
 _LONGS = [f"s{i}" for i in range(BITS // 64)]
@@ -75,6 +76,27 @@ def bit_sketches(h: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
     return np.packbits(odd.reshape(texts, BITS), axis=1, bitorder="little").view(np.uint64)
 
 
+def wide_sketches(h: np.ndarray, owner: np.ndarray, texts: int) -> pa.Array:
+    """One parity sketch per text of twice its size or more bits (a power of
+    2), as bytes. Folding a sketch in half by XOR gives the next smaller one."""
+    n = np.bincount(owner, minlength=texts)
+    bits = 1 << np.ceil(np.log2(np.maximum(2 * n, BITS))).astype(np.int64)
+    first = np.cumsum(bits) - bits
+    at = first[owner] + (mix(h) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    data = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8), bitorder="little")
+    ends = np.concatenate([[0], np.cumsum(bits // 8)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), texts, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """Hamming distance after folding the longer sketch to the other's size."""
+    a, b = (np.frombuffer(z, np.uint8) for z in (x, y))
+    if len(a) < len(b):
+        a, b = b, a
+    a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def band_of(n: np.ndarray) -> np.ndarray:
     """0 for sizes under 64, then one band for each power of 4."""
     return np.where(n < 64, 0, np.floor(np.log2(np.maximum(n, 1)) / 2 + 1e-9).astype(np.int64) - 2)
@@ -85,26 +107,22 @@ def parts_of(band: np.ndarray) -> np.ndarray:
     return np.where(band == 0, 1 << 16, 2 * 4 ** (np.maximum(band, 1) + 2))
 
 
-def lead_values(h: np.ndarray, owner: np.ndarray, band: np.ndarray, most: np.ndarray, common: np.ndarray):
+def lead_values(h: np.ndarray, owner: np.ndarray, band: np.ndarray, most: np.ndarray, usual: np.ndarray):
     """Leading part values of sets put into ``band`` (one band a set): the
-    first ``most[set]`` under the common order. Returns (value, set, uncommon
-    parts of the set) rows."""
-    bits = np.log2(parts_of(band)).astype(np.uint64)
-    part = mix(h ^ np.uint64(0xA0761D6478BD642F)) >> (np.uint64(64) - bits[owner])
-    order = np.lexsort((part, owner))
-    h, owner, part = h[order], owner[order], part[order]
-    lead = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])])) if len(h) else np.zeros(0, np.int64)
-    if not len(lead):
+    first ``most[set]`` under the common order. ``h`` is sorted within each
+    owner, so that a part (the hash's leading bits) is a run; ``usual`` marks
+    common shingles. Returns (value, set, uncommon parts of the set) rows."""
+    if not len(h):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits = np.log2(parts_of(band)).astype(np.uint64)
+    part = h >> (np.uint64(64) - bits[owner])
+    lead = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])]))
     value = np.bitwise_xor.reduceat(h, lead)
     who, part = owner[lead], part[lead]
     value = mix(value ^ mix(part * np.uint64(64) + band[who].astype(np.uint64)))
-    at = np.searchsorted(common, h)
-    usual = np.minimum(at, max(0, len(common) - 1))
-    usual = common[usual] == h if len(common) else np.zeros(len(h), bool)
     late = np.logical_and.reduceat(usual, lead)  # made of common shingles only
     uncommon = np.bincount(who, ~late, minlength=len(band)).astype(np.int64)
-    order = np.lexsort((value, late, who))
+    order = order_within(who, (late.astype(np.uint64) << np.uint64(63)) | (value >> np.uint64(1)))
     value, who = value[order], who[order]
     n = np.bincount(who, minlength=len(band))
     rank = np.arange(len(who)) - (np.cumsum(n) - n)[who]
@@ -112,6 +130,12 @@ def lead_values(h: np.ndarray, owner: np.ndarray, band: np.ndarray, most: np.nda
     return value[keep], who[keep], uncommon[who[keep]]
 
 
+def is_common(h: np.ndarray, common: np.ndarray) -> np.ndarray:
+    if not len(common):
+        return np.zeros(len(h), bool)
+    return common[np.minimum(np.searchsorted(common, h), len(common) - 1)] == h
+
+
 def _sketch(words: int):
     def run(batches):
         seen: Counter[int] = Counter()
@@ -127,16 +151,18 @@ def _sketch(words: int):
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(start, k), b.column("tx").slice(start, k), pa.array(n),
                      pa.array(set_keys(h, owner, k).view(np.int64), mask=n == 0),
-                     *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(BITS // 64)), pa.nulls(k, pa.int64())],
-                    names=["doc_id", "tx", "n", "node", *_LONGS, "common"])
+                     *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(BITS // 64)),
+                     wide_sketches(h, owner, k), pa.nulls(k, pa.int64())],
+                    names=["doc_id", "tx", "n", "node", *_LONGS, "wide", "common"])
         # shingles that several texts of a block share, with their counts
         hot = [(x, c) for x, c in seen.items() if c >= 4]
         if hot:
             x = np.array([x for x, _ in hot], np.uint64).view(np.int64)
             none = pa.nulls(len(hot), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, pa.array([c for _, c in hot], pa.int64()), none, *([none] * len(_LONGS)), pa.array(x)],
-                names=["doc_id", "tx", "n", "node", *_LONGS, "common"])
+                [none, none, pa.array([c for _, c in hot], pa.int64()), none, *([none] * len(_LONGS)),
+                 pa.nulls(len(hot), pa.binary()), pa.array(x)],
+                names=["doc_id", "tx", "n", "node", *_LONGS, "wide", "common"])
     return run
 
 
@@ -160,13 +186,13 @@ def _leads(words: int, third: float, held):
                 use = fresh[owner]
                 h, owner = h[use], owner[use]
                 most = (n * third).astype(np.int64) + 1
-                own = band_of(n)
-                rows = [lead_values(h, owner, own, most, common)]
+                own, usual = band_of(n), is_common(h, common)
+                rows = [lead_values(h, owner, own, most, usual)]
                 # the smaller partner may lie in the band below
                 low = (own > 0) & (band_of(np.ceil(n * (1 - third) / (1 + third) * 0.999999).astype(np.int64)) < own)
                 pick = low[owner]
                 if pick.any():
-                    rows.append(lead_values(h[pick], owner[pick], np.maximum(own - 1, 0), most, common))
+                    rows.append(lead_values(h[pick], owner[pick], np.maximum(own - 1, 0), most, usual[pick]))
                 value, who, uncommon = (np.concatenate(x) for x in zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(value.view(np.int64)), pa.array(key[who].view(np.int64)), pa.array((uncommon << 32) | n[who])],
@@ -197,8 +223,10 @@ def _pairs(least: float):
             x, y = at[:, i].ravel(), at[:, j].ravel()
             ok = fits(w[x], w[y])
             out.append(np.stack([np.minimum(d[x], d[y])[ok], np.maximum(d[x], d[y])[ok]], 1))
-        p = np.unique(np.concatenate(out), axis=0)
-        return frame(p[:, 0], p[:, 1], 0)
+        p = np.concatenate(out)
+        p = p[np.argsort(mix(p[:, 0].astype(np.uint64)) ^ p[:, 1].astype(np.uint64))]  # equal pairs side by side
+        new = np.concatenate([[True], (p[1:] != p[:-1]).any(1)])[:len(p)]
+        return frame(p[new, 0], p[new, 1], 0)
 
     def hub(v, w, d, vh, wh, dh):
         ok = fits(w, np.full(len(w), wh)) & (d != dh)
@@ -281,8 +309,8 @@ def _sets(words: int):
     return run
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, num: int) -> DataFrame:
-    """Pairs (a, b) of nodes that link, checked on the whole sets."""
+def _near(pairs: DataFrame, nodes: DataFrame, num: int) -> DataFrame:
+    """Pairs (a, b) whose sizes and bit sketches allow a link, with sizes."""
     x = nodes.select(F.col("node").alias("a"), F.col("n").alias("an"), *[F.col(c).alias(f"a_{c}") for c in _LONGS])
     y = nodes.select(F.col("node").alias("b"), F.col("n").alias("bn"), *[F.col(c).alias(f"b_{c}") for c in _LONGS])
     apart = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in _LONGS[1:]),
@@ -291,15 +319,60 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, n
         .filter((100 * F.least("an", "bn") >= num * F.greatest("an", "bn"))
                 & (apart * (100 + num) <= (100 - num) * (F.col("an") + F.col("bn"))))
     near = written(near.select("a", "b", "an", "bn"), "jaccard-near")
+    wide = near.join(nodes.select(F.col("node").alias("a"), F.col("wide").alias("aw")), "a") \
+        .join(nodes.select(F.col("node").alias("b"), F.col("wide").alias("bw")), "b")
+    return written(wide.select("a", "b", "an", "bn", "aw", "bw")
+                   .mapInArrow(_close(num), "a long, b long, an long, bn long"), "jaccard-near")
+
+
+def _close(num: int):
+    """Pairs whose wide sketches allow a link."""
+    def run(batches):
+        for t in batches:
+            apart = np.array([sketch_distance(x, y) for x, y in zip(t.column("aw").to_pylist(), t.column("bw").to_pylist())], np.int64)
+            size = t.column("an").to_numpy() + t.column("bn").to_numpy()
+            yield t.select(["a", "b", "an", "bn"]).filter(pa.array(apart * (100 + num) <= (100 - num) * size))
+    return run
+
+
+def _whole_sets(near: DataFrame, nodes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(node, h) of the nodes in ``near``, from one row's whole text each."""
     ends = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     where = nodes.join(ends, "node", "left_semi").select(F.col("at.tx").alias("w_tx"), F.col("at.doc_id").alias("w_id"))
     text = docs.join(where, (docs["tx"] == where["w_tx"]) & docs["doc_id"].eqNullSafe(where["w_id"]), "left_semi")
-    sets = text.select("t").mapInArrow(_sets(words), "node long, h array<long>").dropDuplicates(["node"])
-    sets = written(sets, "jaccard-sets")
+    return written(text.select("t").mapInArrow(_sets(words), "node long, h array<long>").dropDuplicates(["node"]), "jaccard-sets")
+
+
+def _checked(near: DataFrame, sets: DataFrame, num: int) -> DataFrame:
+    """The pairs of ``near`` that link, by exact intersection."""
     hit = near.join(sets.select(F.col("node").alias("a"), F.col("h").alias("ah")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("h").alias("bh")), "b") \
         .withColumn("common", F.size(F.array_intersect("ah", "bh")))
-    return hit.filter(100 * F.col("common") >= num * (F.col("an") + F.col("bn") - F.col("common"))).select("a", "b")
+    return written(hit.filter(100 * F.col("common") >= num * (F.col("an") + F.col("bn") - F.col("common"))).select("a", "b"), "jaccard-links")
+
+
+def _joined(near: DataFrame, sets: DataFrame, num: int, known: DataFrame | None = None) -> DataFrame:
+    """Components (u, component) of the links in ``near`` and the tree edges
+    ``known`` (u, component). First each node meets its neighbour with the most
+    candidates; of the other pairs only those that are still apart are checked."""
+    both = near.select("a", "b").union(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    degree = both.groupBy("a").agg(F.count(F.lit(1)).alias("k"))
+    hubs = both.join(degree.select(F.col("a").alias("b"), "k"), "b").groupBy("a").agg(F.max(F.struct("k", "b"))["b"].alias("b"))
+    hubs = hubs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def edges(df):
+        return df.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    tree = edges(_checked(near.join(hubs, ["a", "b"], "left_semi"), sets, num))
+    if known is not None:
+        tree = tree.union(known.select("u", F.col("component").alias("v")))
+    parts = connected_components(tree)
+    part = parts.select(F.col("u").alias("p"), "component")
+    open_ = near.join(part.select(F.col("p").alias("a"), F.col("component").alias("ca")), "a", "left") \
+        .join(part.select(F.col("p").alias("b"), F.col("component").alias("cb")), "b", "left") \
+        .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "an", "bn").join(hubs, ["a", "b"], "left_anti")
+    more = _checked(written(open_, "jaccard-open"), sets, num)
+    if not more.take(1):
+        return parts
+    return connected_components(parts.select("u", F.col("component").alias("v")).union(edges(more)))
 
 
 def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: float = 0.75, words: int = 5,
@@ -311,11 +384,11 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     spark, num = docs.sparkSession, int(round(least * 100))
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t")).withColumn("tx", F.xxhash64("t"))
     longs = ", ".join(f"{c} long" for c in _LONGS)
-    base = written(src.mapInArrow(_sketch(words), f"doc_id long, tx long, n long, node long, {longs}, common long"), "jaccard-sketches")
+    base = written(src.mapInArrow(_sketch(words), f"doc_id long, tx long, n long, node long, {longs}, wide binary, common long"), "jaccard-sketches")
     rows = base.filter("common is null")
     nodes = rows.filter("node is not null").groupBy("node").agg(
         F.min(F.struct("tx", "doc_id")).alias("at"), F.min("doc_id").alias("least_id"), F.max("n").alias("n"),
-        *[F.max(c).alias(c) for c in _LONGS])
+        F.any_value("wide").alias("wide"), *[F.max(c).alias(c) for c in _LONGS])
     nodes = written(nodes, "jaccard-nodes")
     shared = base.filter("common is not null").groupBy("common").agg(F.sum("n").alias("n")).filter("n >= 32") \
         .orderBy(F.desc("n"), "common").limit(common_shingles).select("common").toPandas()
@@ -325,8 +398,8 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     leads = src.select("t").mapInArrow(_leads(words, third, held), "value long, node long, weight long") \
         .repartition("value").sortWithinPartitions("value", "weight", "node")
     found = written(leads.mapInArrow(_pairs(least), "a long, b long, kind int"), "jaccard-candidates")
-    links = written(_verified(found.filter("kind = 0"), nodes, src, words, num), "jaccard-links")
-    parts = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    near = _near(found.filter("kind = 0"), nodes, num)
+    parts = _joined(near, _whole_sets(near, nodes, src, words), num)
 
     # large groups: members outside the largest component meet the others
     wide = found.filter("kind = 1").select(F.col("a").alias("value"), F.col("b").alias("node")).distinct()
@@ -347,9 +420,8 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                                                          F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("j"))
         right = member.select(*cols, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), F.col("nl") - 1)).alias("i"), place("nr").alias("j"))
         more = left.unionByName(right).groupBy("value", "i", "j").applyInArrow(_compare(least), "a long, b long")
-        extra = _verified(written(more.distinct(), "jaccard-more"), nodes, src, words, num)
-        tree = parts.select("u", F.col("component").alias("v"))
-        parts = connected_components(tree.union(extra.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+        near = _near(more, nodes, num)
+        parts = _joined(near, _whole_sets(near, nodes, src, words), num, known=parts)
 
     # the least id of each class, then of each component
     labelled = nodes.select("node", "least_id").join(parts.select(F.col("u").alias("node"), "component"), "node", "left") \

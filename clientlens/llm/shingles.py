@@ -60,6 +60,30 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return word_spans(texts)[3:]
 
 
+def order_within(owner: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Order by (owner, key): one sort of owner and the key's leading 44 bits
+    as one integer; the full sort only where two keys agree in those."""
+    if not len(key) or int(owner.max()) >= 1 << 20:
+        return np.lexsort((key, owner))
+    packed = (owner.astype(np.uint64) << np.uint64(44)) | (key >> np.uint64(20))
+    order = np.argsort(packed)
+    p, k = packed[order], key[order]
+    if ((p[1:] == p[:-1]) & (k[1:] != k[:-1])).any():
+        return np.lexsort((key, owner))
+    return order
+
+
+def grouped(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct values, sorted; the place of one of each; value -> its index
+    among the distinct ones), by one sort."""
+    order = np.argsort(x)
+    s = x[order]
+    lead = np.concatenate([[True], s[1:] != s[:-1]])[:len(s)]
+    inverse = np.empty(len(x), np.int64)
+    inverse[order] = np.cumsum(lead) - 1
+    return s[lead], order[lead], inverse
+
+
 def shingle_sets(texts: list[str | None], words: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text: (hashes, text index), sorted by
     text, then hash. A text of fewer words is one shingle; one without words
@@ -78,7 +102,7 @@ def shingle_sets(texts: list[str | None], words: int = 5) -> tuple[np.ndarray, n
         v = np.where(has, mix(v * np.uint64(_BASE) + h[np.minimum(first[short] + i, max(0, len(h) - 1))]), v) if len(h) else v
     who = np.concatenate([owner[at], short])
     s = np.concatenate([s, v ^ mix(n[short].astype(np.uint64))])
-    order = np.lexsort((s, who))
+    order = order_within(who, s)
     s, who = s[order], who[order]
     keep = np.ones(len(s), bool)
     keep[1:] = (s[1:] != s[:-1]) | (who[1:] != who[:-1])

@@ -1,8 +1,7 @@
-"""Numeric expressions: rounding, bucketing against literal bounds, nearest centre."""
+"""Numeric expressions: rounding, nearest centre."""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,41 +23,6 @@ def round_doubles(df: DataFrame, scale: int = 4) -> DataFrame:
     ])
 
 
-def double_sql(v: float) -> str:
-    """SQL literal of a double, including infinities and NaN."""
-    v = float(v)
-    if math.isnan(v):
-        return "CAST('NaN' AS DOUBLE)"
-    if math.isinf(v):
-        return f"CAST('{'Infinity' if v > 0 else '-Infinity'}' AS DOUBLE)"
-    return f"{v!r}D"
-
-
-def bucket_sql(x: str, bounds: Sequence[float]) -> str:
-    """SQL text of the bucket index of ``x`` among sorted literal ``bounds``.
-
-    Bucket ``i`` holds ``bounds[i-1] < x <= bounds[i]``; values above the last
-    bound go to ``len(bounds)``. A balanced CASE tree: a row costs
-    log2(len(bounds)) comparisons inside generated code.
-    """
-    bounds = [float(b) for b in bounds]
-
-    def tree(lo: int, hi: int) -> str:  # answer lies in [lo, hi]
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"CASE WHEN {x} <= {double_sql(bounds[mid])} THEN {tree(lo, mid)} ELSE {tree(mid + 1, hi)} END"
-
-    return tree(0, len(bounds))
-
-
-def bucket_of(x: str, bounds: Sequence[float]) -> Column:
-    """Column form of ``bucket_sql`` (``x`` is a column name or SQL expression);
-    built as one SQL string, so a large tree costs one parse, not one JVM call
-    per node."""
-    return F.expr(bucket_sql(x, bounds))
-
-
 def nearest_centre(features: Sequence[Column], centres: Sequence[Sequence[float]]) -> Column:
     """Id of the nearest centre by squared euclidean distance; lowest id on ties.
 

@@ -50,6 +50,8 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
     """Lloyd's iterations from distinct sample points; may return fewer."""
     points = np.unique(x, axis=0)
+    if not x.shape[1]:  # half of a one-component vector
+        return x[:1]
     c = points[np.random.default_rng(seed).permutation(len(points))[:k]].copy()
     for _ in range(rounds):
         near = nearest(x, c)
@@ -137,7 +139,9 @@ def _rerank(held, k: int):
         def best(parts):
             """The k best of the collected (query, entry) pairs, exactly scored."""
             qi, xi = (np.concatenate(z) for z in zip(*parts))
-            score = np.concatenate([(q[qi[s:s + 65536]] * x[xi[s:s + 65536]]).sum(1) for s in range(0, len(qi), 65536)])
+            score = np.empty(len(qi))
+            for s in range(0, len(qi), 65536):
+                score[s:s + 65536] = (q[qi[s:s + 65536]] * x[xi[s:s + 65536]]).sum(1)
             o = np.lexsort((own[xi], -score, qi))
             qi, xi, score = qi[o], xi[o], score[o]
             n = np.bincount(qi, minlength=len(q))

@@ -38,9 +38,10 @@ def test_recall_on_the_table(spark):
 
 def test_walking_all_cells_is_exact_with_ties_and_copies(spark):
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(300, 6)).astype(np.float32).astype(float)
+    x = rng.normal(size=(300, 6))
     x[50:150] = x[40]  # a hot vector
     x[200:210] *= 30  # unequal norms
+    x = x.astype(np.float32).astype(float)
     ids = np.arange(300)
     got = run(spark, x, ids, probe=1.0, block=32, query_block=4, centroids=8)
     assert got == {q: [(v, pytest.approx(s, abs=1e-12)) for v, s in w] for q, w in brute(x, ids, 20).items()}

@@ -13,7 +13,6 @@ compared values.
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 import tempfile
@@ -351,19 +350,17 @@ def _importable(fn):
 def _training_data() -> tuple[dict, dict]:
     """Queries and SQL of the training-data operators, if that subpackage and
     its pipeline are there (the only place that allows for their absence)."""
-    have = [importlib.util.find_spec(m) is not None for m in ("clientlens.llm", "corpus_pipeline")]
-    if not have[0]:
-        return {}, {}
-    from clientlens.llm.queries import ORACLE_SQL as sql, QUERIES as named
-    named, sql = dict(named), dict(sql)
-    if have[1]:
+    try:
+        from clientlens.llm.queries import ORACLE_SQL as sql, QUERIES as named
         import corpus_pipeline
-        named["pipeline"] = corpus_pipeline.run
-    named = {k: _importable(v) for k, v in named.items()}
-    if have[1]:
-        if corpus_pipeline.ORACLE_SQL is not None:
-            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
-    return named, sql
+    except ModuleNotFoundError as e:
+        if e.name in ("clientlens.llm", "clientlens.llm.queries", "corpus_pipeline"):
+            return {}, {}
+        raise
+    named = named | {"pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        sql = sql | {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return {k: _importable(v) for k, v in named.items()}, sql
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -12,28 +12,30 @@ from clientlens.llm.shared import held_out, table
 LOW = {i: i + 32 for i in range(65, 91)}
 
 
+SKIP = M.WINDOW - M.STRIDE
+
+
 def small_model(seed=0, v=50):
     rng = np.random.default_rng(seed)
-    x = rng.integers(0, v, (40, M.WINDOW))
-    return M.train(x, np.roll(x, -1, 1), np.ones(x.shape, bool), rng.integers(0, 9, v).astype(float), epochs=1)
+    x = rng.integers(0, v, (40, M.WINDOW + 1))
+    return M.train(x[:, :-1], x[:, SKIP + 1:], np.ones((40, M.STRIDE), bool), rng.integers(0, 9, v).astype(float), epochs=1)
 
 
 def naive(m, ids, end):
     """Log probability of each target of one text, window by window."""
-    line, out = [end, *ids], []
-    for t in range(len(line)):
-        w = 0 if t < M.WINDOW else -(-(t - M.WINDOW + 1) // M.STRIDE)
-        seq = line[w * M.STRIDE:t + 1]
+    line, out = [end] * (SKIP + 1) + [*ids], []
+    for t in range(len(ids) + 1):
+        seq = line[t // M.STRIDE * M.STRIDE:t + SKIP + 1]
         x = m.emb[seq] + m.pos[:len(seq)]
         a = np.exp((x[-1] @ m.wq) @ (x @ m.wk).T / np.sqrt(x.shape[1]))
         h = (a / a.sum()) @ (x @ m.wv) + x[-1]
         z = np.exp(h @ m.out + m.bias)
-        y = line[t + 1] if t + 1 < len(line) else end
+        y = ids[t] if t < len(ids) else end
         out.append(np.log(z[m.token_class[y]] / z.sum()) + m.log_share[y])
     return out
 
 
-@pytest.mark.parametrize("sizes", [[0], [3, 0, M.WINDOW - 1], [M.WINDOW, 4 * M.WINDOW + 7], [M.WINDOW - 2, M.WINDOW + 1, 1]])
+@pytest.mark.parametrize("sizes", [[0], [3, 0, M.STRIDE - 1], [M.STRIDE, 4 * M.WINDOW + 7], [M.WINDOW - 2, M.STRIDE - 2, 1]])
 def test_windows_score_each_token_once_with_its_context(sizes):
     m, rng, end = small_model(), np.random.default_rng(1), 49
     ids = rng.integers(0, 49, sum(sizes)).astype(np.int32)
@@ -47,17 +49,45 @@ def test_windows_score_each_token_once_with_its_context(sizes):
 def test_probabilities_sum_to_one():
     m = small_model()
     x = np.full((50, M.WINDOW), 3)
-    p = np.exp(m.log_prob(x, np.repeat(np.arange(50)[:, None], M.WINDOW, 1)))
+    p = np.exp(m.log_prob(x, np.repeat(np.arange(50)[:, None], M.STRIDE, 1)))
     assert np.allclose(p.sum(0), 1, atol=1e-4)
 
 
+def test_large_scores_stay_finite():
+    m = small_model()
+    m.emb = m.emb * 400
+    x = np.tile(np.arange(M.WINDOW), (9, 1))
+    got = m.log_prob(x, x[:, SKIP:])
+    assert np.isfinite(got).all() and (got <= 0).all()
+
+
 def test_training_lowers_the_loss():
     rng = np.random.default_rng(3)
     x = np.cumsum(rng.integers(1, 3, (300, M.WINDOW + 1)), 1) % 50
     counts = np.bincount(x.ravel(), minlength=50).astype(float)
-    w = np.ones((300, M.WINDOW), bool)
-    before, after = (M.train(x[:200, :-1], x[:200, 1:], w[:200], counts, epochs=e) for e in (0, 20))
-    assert after.log_prob(x[200:, :-1], x[200:, 1:]).mean() > before.log_prob(x[200:, :-1], x[200:, 1:]).mean() + 0.3
+    w, y = np.ones((300, M.STRIDE), bool), x[:, SKIP + 1:]
+    before, after = (M.train(x[:200, :-1], y[:200], w[:200], counts, epochs=e) for e in (0, 20))
+    assert after.log_prob(x[200:, :-1], y[200:]).mean() > before.log_prob(x[200:, :-1], y[200:]).mean() + 0.3
+
+
+def test_gradients(monkeypatch):
+    """A first Adagrad step moves every weight against the numeric gradient."""
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 12, (6, M.WINDOW + 1))
+    args = (x[:, :-1], x[:, SKIP + 1:], np.ones((6, M.STRIDE), bool), np.ones(12))
+    m0, m1 = M.train(*args, epochs=0, batch=6), M.train(*args, epochs=1, batch=6, rate=1e-3)
+
+    def loss(m):
+        return -(m.log_prob(args[0], args[1], batch=6).astype(float) - m.log_share[args[1]]).mean()
+    for name in ("emb", "pos", "wq", "wk", "wv", "out", "bias"):
+        step = getattr(m1, name) - getattr(m0, name)
+        at = np.unravel_index(np.abs(step).argmax(), step.shape)
+        up, down = (getattr(m0, name).copy() for _ in range(2))
+        up[at] += 1e-2
+        down[at] -= 1e-2
+        from dataclasses import replace
+        slope = loss(replace(m0, **{name: up})) - loss(replace(m0, **{name: down}))
+        assert np.sign(slope) == -np.sign(step[at]), name
 
 
 def check(rows, got, folds=5):

@@ -108,9 +108,11 @@ class ToxicityModel:
 
 
 def fit_weights(rows: list[np.ndarray], label: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], dims: int,
-                penalty: float = 10.0, l2: float = 1e-5, rounds: int = 600, rate: float = 1.0) -> tuple[float, np.ndarray]:
+                penalty: float = 10.0, l2: float = 1e-5, rounds: int = 800, rate: float = 3.0) -> tuple[float, np.ndarray]:
     """Logistic regression on sets of feature indices with the counterfactual
-    penalty; full-batch Adagrad. Returns bias and weights."""
+    penalty; full-batch Adagrad. The features were chosen as signs of the
+    label, so weights stay at 0 or above: a long clean passage can't outweigh
+    an insult. Returns bias and weights."""
     w, b = np.zeros(dims), float(np.log((label.sum() + 0.5) / (len(label) - label.sum() + 0.5)))
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     ids = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
@@ -128,7 +130,7 @@ def fit_weights(rows: list[np.ndarray], label: np.ndarray, pairs: list[tuple[np.
             g += 2 * penalty / len(pairs) * np.bincount(p_ids, change[p_owner] * p_sign, dims)
         g_b = err.sum() + 1e-3 * (b + 1.5)
         seen, seen_b = seen + g * g, seen_b + g_b * g_b
-        w, b = w - rate * g / np.sqrt(seen), b - rate * g_b / np.sqrt(seen_b)
+        w, b = np.maximum(w - rate * g / np.sqrt(seen), 0.0), b - rate * g_b / np.sqrt(seen_b)
     return b, w
 
 

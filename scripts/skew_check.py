@@ -45,7 +45,7 @@ def _events(log_dir: str):
 
 
 def split(df, r):
-    return category_transitions(df, r, slice_seconds=86_400)
+    return category_transitions(df, r, slice_seconds=3 * 3600)
 
 
 def per_client(df, r):

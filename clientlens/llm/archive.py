@@ -29,6 +29,8 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from clientlens.llm.shared import small_batches
+
 _HEX = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -54,6 +56,7 @@ def write_archive(pages: DataFrame, path: str, record_id: str = "page_id", url:
                   min_bytes: int = 0, level: int = 6) -> None:
     """Write ``<path>/payloads`` and ``<path>/headers``. ``payload`` is a
     string (stored as UTF-8) or binary column."""
+    small_batches(pages.sparkSession)
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     recs = pages.select(F.col(record_id).alias("id"), F.col(url).cast("string").alias("url"), body.alias("payload")) \
         .withColumn("sha256", F.unhex(F.sha2("payload", 256))).withColumn("sha1", F.sha1("payload")) \
@@ -130,6 +133,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Rebuilt records: id, copy, record_type, refers_to, record (the WARC
     record's bytes), payload_bytes, payload_digest (both of the full payload,
     from the bytes read). A wrong key, length or header digest fails the job."""
+    small_batches(spark)
     heads, pay = spark.read.parquet(f"{path}/headers"), spark.read.parquet(f"{path}/payloads")
     j = heads.join(pay.select(F.col("sha256").alias("p_sha256"), "n_bytes", "stored"), F.col("sha256") == F.col("p_sha256"), "left")
     id_type = heads.schema["id"].dataType.simpleString()

@@ -35,7 +35,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clientlens.llm.shared import temp_name, text_blocks
+from clientlens.llm.shared import small_batches, temp_name, text_blocks
 
 DIMS, LEXICON, CHUNK = 1 << 16, 1 << 15, 128
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -285,6 +285,7 @@ def _lexicon_counts(batches):
 def fit(docs: DataFrame, keep: Column | None = None, text: str = "text", lang: str = "lang", rows_per_language: int = 1500,
         spans: int = 4, span_words: int = 24, seed: int = 5) -> LanguageModel:
     """Learn from the rows of ``docs`` with a language that meet ``keep``."""
+    small_batches(docs.sparkSession)
     rows = docs.filter(keep) if keep is not None else docs
     rows = rows.select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t")).filter("l is not null and t is not null")
     # one row per language
@@ -323,6 +324,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", lang: st
              spans: str | None = None) -> DataFrame:
     """``docs`` with the predicted language and its mean marginal; with
     ``spans`` also the text's runs of one language (language, start, end)."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(
         LanguageModel(model.langs, model.weights, model.lexicon, model.lex_weight, model.trans, model.start))
     kind = "lang string, score double" + ", spans array<struct<lang: string, start: int, end: int>>" * bool(spans)

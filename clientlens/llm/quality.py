@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from clientlens.llm.shared import temp_name
+from clientlens.llm.shared import small_batches, temp_name
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 DIMS = 4096
@@ -182,6 +182,8 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, di
 def fit(docs: DataFrame, text: str = "text", train_rows: int = 20_000, seed: int = 7) -> QualityModel:
     """Vote counts of all rows, EM, and a scorer of about ``train_rows`` rows
     (the documented sample bound)."""
+    small_batches(docs.sparkSession)
+
     @F.pandas_udf("string")
     def cast(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:
@@ -219,6 +221,7 @@ def fit(docs: DataFrame, text: str = "text", train_rows: int = 20_000, seed: int
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the probability that a whole text is good."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

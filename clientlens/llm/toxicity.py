@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from clientlens.llm.shared import temp_name, written
+from clientlens.llm.shared import small_batches, written
 
 #: Groups of terms that may stand for each other; the first of each is neutral.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -139,6 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep=None, doc_id: str = "doc_id", t
         groups: Sequence[Sequence[str]] = IDENTITY_TERMS, seed: int = 11) -> ToxicityModel:
     """Learn from the rows of ``docs`` that ``labels`` marks. ``keep`` is a
     condition on the id (column named ``doc_id``) of rows to learn from."""
+    small_batches(docs.sparkSession)
     marks = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).alias("y")).filter("y is not null and doc_id is not null")
     if keep is not None:
         marks = marks.filter(keep)
@@ -191,6 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep=None, doc_id: str = "doc_id", t
 
 
 def score(docs: DataFrame, model: ToxicityModel, text: str = "text", out: str = "score") -> DataFrame:
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(ToxicityModel(model.bias, model.weights))
 
     @F.pandas_udf("double")

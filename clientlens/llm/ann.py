@@ -162,7 +162,7 @@ def _rerank(held, k: int):
                 qi, xi = np.nonzero(ok)
                 kept.append((part[qi], rows[xi]))
                 size += len(qi)
-                if size > 2_000_000:
+                if size > 100 * len(q) + 10_000:  # soon, so that the bar keeps most pairs out
                     got = best(kept)
                     kept, size = [got[:2]], 0
         if not kept:

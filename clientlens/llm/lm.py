@@ -11,8 +11,8 @@ shares, like the word counts of the base score, are counted over all learning
 texts.
 
 Whole texts are scored in windows of ``WINDOW`` inputs that overlap by
-``WINDOW - STRIDE``; each token is scored once, in the window that gives it the
-longest context. Windows of many texts share batched masked attention.
+``WINDOW - STRIDE``, so that each token has at least that many before it and is
+scored once. Windows of many texts share batched masked attention.
 
 The base score needs each word's count. Words with at least N / 2^20 tokens are
 broadcast (so at most 2^20 of them, 16 MB); pairs of the other words with their
@@ -33,11 +33,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clientlens.llm.shared import text_blocks, written
-from clientlens.llm.shingles import word_spans
+from clientlens.llm.shared import small_batches, text_blocks, written
+from clientlens.llm.shingles import grouped, word_spans
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-WINDOW, STRIDE, DIMS, CLASSES, HEAVY = 24, 20, 16, 32, 1 << 20
+WINDOW, STRIDE, DIMS, CLASSES, HEAVY = 24, 20, 16, 64, 1 << 20
 _BLOCK = 1_000_000
 
 
@@ -54,7 +54,8 @@ class Subwords:
         import tiktoken
         self.end = max(ranks.values()) + 1
         self.size = self.end + 1
-        self._code = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+        self.line = ranks[b"\n"]
+        self._code = tiktoken.Encoding("words", pat_str=r"[^\n]+|\n", mergeable_ranks=ranks, special_tokens={})
         self.keep = keep
         self._clear()
 
@@ -65,7 +66,7 @@ class Subwords:
 
     def slots(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(distinct hashes, word -> distinct, distinct -> slot)."""
-        u, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+        u, first, inverse = grouped(h)
         if len(self.slot) + len(u) > self.keep + len(u) * (not self.slot):
             self._clear()
         slot, keys = self.slot, u.tolist()
@@ -73,10 +74,12 @@ class Subwords:
         if new:
             data = raw.tobytes()
             at = first[new]
-            words = [" " + data[a:b].decode("utf-8", "replace") for a, b in zip(start[at].tolist(), end[at].tolist())]
-            ids = [self._code.encode_ordinary(w) for w in words]
-            n, base = np.fromiter(map(len, ids), np.int64, len(ids)), len(slot)
-            flat = np.fromiter((x for i in ids for x in i), np.int32, int(n.sum()))
+            # one call for all words: no word holds a line feed, whose token so marks their ends
+            lines = b"".join([b" %b\n" % data[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
+            ids = np.array(self._code.encode_ordinary(lines.decode("utf-8", "replace")), np.int32)
+            stop = np.flatnonzero(ids == self.line)
+            n, base = np.diff(stop, prepend=-1) - 1, len(slot)
+            flat = ids[ids != self.line]
             if self.used + len(flat) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(self.used + len(flat), np.int32)])
             if base + len(new) > len(self.begin):
@@ -127,53 +130,64 @@ class AttentionModel:
                  f(np.concatenate([self.pos @ (self.wq * s), self.pos @ self.wk, self.pos @ self.wv, self.pos], 1)),
                  f(self.out), f(self.bias)])
 
-    def log_prob(self, inputs: np.ndarray, targets: np.ndarray, tables=None, batch: int = 512) -> np.ndarray:
-        """Natural log probability of each target (windows, WINDOW), given the
-        inputs up to its place."""
-        tok, pos, out, bias = tables or self.tables()
-        d = self.emb.shape[1]
-        mask = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
-        got = np.empty(inputs.shape, np.float32)
-        for s in range(0, len(inputs), batch):
-            x = tok[inputs[s:s + batch]]
-            x += pos
-            a = np.matmul(x[..., :d], x[..., d:2 * d].transpose(0, 2, 1))
-            np.minimum(a, 60, out=a)
-            a += mask
-            np.exp(a, out=a)
-            y = np.matmul(a, x[..., 2 * d:3 * d])
-            y /= a.sum(2, keepdims=True)
-            y += x[..., 3 * d:]
-            z = (y.reshape(-1, d) @ out) + bias
-            np.minimum(z, 60, out=z)
-            c = self.token_class[targets[s:s + batch]].ravel()
-            hit = z[np.arange(len(z)), c]
-            np.exp(z, out=z)
-            got[s:s + batch] = (hit - np.log(z.sum(1))).reshape(x.shape[:2])
+    def log_prob(self, inputs: np.ndarray, targets: np.ndarray, tables=None, batch: int = 128) -> np.ndarray:
+        """Natural log probability of each target (windows, STRIDE), given the
+        window's inputs (windows, WINDOW) up to its place."""
+        tables = tables or self.tables()
+        got = np.empty(targets.shape, np.float32)
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            for s in range(0, len(inputs), batch):
+                part = slice(s, s + batch)
+                cls = self.token_class[targets[part]].ravel()
+                got[part] = self._class_log_prob(inputs[part], cls, tables, False)
+                if not np.isfinite(got[part]).all():  # an exponential left the range of floats
+                    got[part] = self._class_log_prob(inputs[part], cls, tables, True)
         return got + self.log_share[targets]
 
+    def _class_log_prob(self, inputs: np.ndarray, cls: np.ndarray, tables, shifted: bool) -> np.ndarray:
+        """Masked attention over one batch; sums are products with ones."""
+        tok, pos, out, bias = tables
+        d, skip = self.emb.shape[1], WINDOW - STRIDE
+        x = tok.take(inputs.ravel(), 0).reshape(len(inputs), WINDOW, -1)
+        x += pos
+        a = np.matmul(x[:, skip:, :d], x[..., d:2 * d].transpose(0, 2, 1))
+        a += np.triu(np.full((STRIDE, WINDOW), -1e9, np.float32), skip + 1)
+        if shifted:
+            a -= a.max(2, keepdims=True)
+        np.exp(a, out=a)
+        y = np.matmul(a, x[..., 2 * d:3 * d])
+        y /= a @ np.ones((WINDOW, 1), np.float32)
+        y += x[:, skip:, 3 * d:]
+        z = y.reshape(-1, d) @ out
+        z += bias
+        if shifted:
+            z -= z.max(1, keepdims=True)
+        hit = z[np.arange(len(z)), cls]
+        np.exp(z, out=z)
+        return (hit - np.log(z @ np.ones(z.shape[1], np.float32))).reshape(-1, STRIDE)
+
 
 def windows(ids: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Overlapping windows of texts laid end to end (``n`` subwords each, 0
     allowed): (inputs, targets, scored, text of each window). A text's inputs
-    are a start mark (the end token) and its subwords, its targets the subwords
-    and the end. ``scored`` marks every target exactly once."""
-    m = n + 1  # predictions per text
-    count = 1 + np.maximum(0, -(-(m - WINDOW) // STRIDE))
+    are start marks (the end token; as many as a window overlaps the one before
+    it, and one more) and its subwords; its targets are the subwords and the
+    end. A window predicts its last STRIDE places; ``scored`` marks those that
+    the text has, each target exactly once."""
+    skip, m = WINDOW - STRIDE, n + 1
+    count = -(-m // STRIDE)
     owner = np.repeat(np.arange(len(n)), count)
     nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    # inputs: each text gets its mark; targets are the inputs shifted by one
-    line = np.full(m.sum() + 1, end, np.int32)
-    first = np.cumsum(m) - m
-    place = np.arange(len(ids)) + np.repeat(np.arange(len(n)), n) + 1
-    line[place] = ids
+    length = skip + m
+    first = np.cumsum(length) - length
+    line = np.full(length.sum() + 1, end, np.int32)
+    line[np.arange(len(ids)) + np.repeat(first + skip + 1 - (np.cumsum(n) - n), n)] = ids
     offset = nth[:, None] * STRIDE + np.arange(WINDOW)
-    inside = offset < m[owner][:, None]
-    at = np.where(inside, first[owner][:, None] + offset, len(line) - 1)
-    inputs = np.where(inside, line[at], end)
-    after = np.where(offset + 1 < m[owner][:, None], line[np.minimum(at + 1, len(line) - 1)], end)
-    scored = inside & ((nth[:, None] == 0) | (np.arange(WINDOW) >= WINDOW - STRIDE))
-    return inputs, after, scored, owner
+    last = length[owner][:, None]
+    inputs = np.where(offset < last, line[np.minimum(first[owner][:, None] + offset, len(line) - 1)], end)
+    after = offset[:, skip:] + 1
+    targets = np.where(after < last, line[np.minimum(first[owner][:, None] + after, len(line) - 1)], end)
+    return inputs, targets, after <= last, owner
 
 
 def train(inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, counts: np.ndarray, seed: int = 2,
@@ -182,38 +196,42 @@ def train(inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, counts: n
     token counts of the whole learning corpus."""
     rng = np.random.default_rng(seed)
     v, d = len(counts), DIMS
-    cls = cluster_tokens(inputs[scored], targets[scored], counts)
+    skip = WINDOW - STRIDE
+    cls = cluster_tokens(inputs[:, skip:][scored], targets[scored], counts)
     size = np.bincount(cls, minlength=CLASSES)
     mass = np.bincount(cls, counts, CLASSES)
     share = np.log((counts + 0.1) / (mass + 0.1 * size)[cls])
     p = {"emb": rng.normal(0, 0.1, (v, d)), "pos": rng.normal(0, 0.1, (WINDOW, d)),
          "wq": rng.normal(0, 0.3, (d, d)), "wk": rng.normal(0, 0.3, (d, d)), "wv": rng.normal(0, 0.3, (d, d)),
-         "out": rng.normal(0, 0.1, (d, CLASSES)), "bias": np.log((mass + 1) / (mass.sum() + CLASSES))}
+         "out": rng.normal(0, 0.1, (d, CLASSES)),
+         "bias": np.where(size > 0, np.log((mass + 1) / (mass.sum() + CLASSES)), -1e4)}  # no mass for empty classes
     seen = {k: np.full_like(x, 1e-4) for k, x in p.items()}
-    mask = np.triu(np.full((WINDOW, WINDOW), -1e9), 1)
+    mask = np.triu(np.full((STRIDE, WINDOW), -1e9), skip + 1)
     for _ in range(epochs if len(inputs) else 0):
         order = rng.permutation(len(inputs))
         for s in range(0, len(order), batch):
             pick = order[s:s + batch]
             x_in, y, w = inputs[pick], cls[targets[pick]], scored[pick]
             x = p["emb"][x_in] + p["pos"]
-            q, k, u = x @ p["wq"], x @ p["wk"], x @ p["wv"]
+            q, k, u = x[:, skip:] @ p["wq"], x @ p["wk"], x @ p["wv"]
             a = q @ k.transpose(0, 2, 1) / np.sqrt(d) + mask
             a = np.exp(a - a.max(2, keepdims=True))
             a /= a.sum(2, keepdims=True)
-            h = a @ u + x
+            h = a @ u + x[:, skip:]
             z = h @ p["out"] + p["bias"]
             z = np.exp(z - z.max(2, keepdims=True))
             z /= z.sum(2, keepdims=True)
-            z[np.arange(len(pick))[:, None], np.arange(WINDOW), y] -= 1
+            z[np.arange(len(pick))[:, None], np.arange(STRIDE), y] -= 1
             z *= w[..., None] / max(1, w.sum())
             dh = z @ p["out"].T
             da = dh @ u.transpose(0, 2, 1)
             ds = a * (da - (da * a).sum(2, keepdims=True)) / np.sqrt(d)
             dq, dk, du = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
-            dx = dh + dq @ p["wq"].T + dk @ p["wk"].T + du @ p["wv"].T
+            dx = dk @ p["wk"].T + du @ p["wv"].T
+            dx[:, skip:] += dh + dq @ p["wq"].T
             g = {"pos": dx.sum(0), "out": np.einsum("btd,btc->dc", h, z), "bias": z.sum((0, 1)),
-                 **{n: np.einsum("btd,bte->de", x, e) for n, e in (("wq", dq), ("wk", dk), ("wv", du))}}
+                 "wq": np.einsum("btd,bte->de", x[:, skip:], dq), "wk": np.einsum("btd,bte->de", x, dk),
+                 "wv": np.einsum("btd,bte->de", x, du)}
             for n, e in g.items():
                 seen[n] += e * e
                 p[n] -= rate * e / np.sqrt(seen[n])
@@ -268,24 +286,20 @@ def _count(held):
 
 
 def _draw(held):
-    """Subword ids of sampled texts: one window of each, at a place set by the
-    text's hash."""
+    """One window of each sampled text, at a place set by the text's hash."""
     def run(batches):
         sub = coder(held.value)
         for b in batches:
-            texts, slot_ = b.column("t").to_pylist(), b.column("s").to_numpy()
-            out = []
-            for t, s in zip(texts, slot_):
-                raw, start, end, h, _ = word_spans([t])
-                ids = np.zeros(0, np.int32)
-                if len(h):
-                    _, inverse, slot = sub.slots(raw, start, end, h)
-                    ids, _ = sub.expand(slot[inverse])
-                x, y, w, _ = windows(ids, np.array([len(ids)]), sub.end)
-                i = int(s) % len(x)
-                out.append((x[i].tolist(), y[i].tolist(), w[i].tolist()))
-            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.list_(pa.int32())), pa.array([o[1] for o in out], pa.list_(pa.int32())),
-                                              pa.array([o[2] for o in out], pa.list_(pa.bool_()))], names=["x", "y", "w"])
+            place = b.column("s").to_numpy()
+            for first, part in text_blocks(b.column("t").to_pylist(), _BLOCK):
+                raw, start, end, h, owner = word_spans(part)
+                _, inverse, slot = sub.slots(raw, start, end, h)
+                ids, per_word = sub.expand(slot[inverse])
+                x, y, w, text = windows(ids, np.bincount(owner, per_word, len(part)).astype(np.int64), sub.end)
+                n = np.bincount(text, minlength=len(part))
+                at = np.cumsum(n) - n + place[first:first + len(part)] % n
+                yield pa.RecordBatch.from_arrays([pa.array(list(z[at]), pa.list_(kind)) for z, kind in (
+                    (x, pa.int32()), (y, pa.int32()), (w, pa.bool_()))], names=["x", "y", "w"])
     return run
 
 
@@ -333,10 +347,11 @@ def _score(held, heavy, shape: tuple[float, float, int]):
 
 
 def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
-                train_windows: int = 8000, seed: int = 2) -> DataFrame:
+                train_windows: int = 16_000, seed: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     every row; learns from rows that are not ``held_out``."""
     spark = docs.sparkSession
+    small_batches(spark)
     ranks = read_ranks(vocabulary)
     ranks_held = spark.sparkContext.broadcast(ranks)
     id_type = docs.schema[doc_id].dataType.simpleString()
@@ -364,7 +379,8 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     drawn = learn.withColumn("s", slot).filter(F.col("s") < int(share * (1 << 30)) + 1) \
         .withColumn("s", F.pmod(F.xxhash64("t", F.lit(seed + 1)), F.lit(1 << 30)))
     sample = drawn.mapInArrow(_draw(ranks_held), "x array<int>, y array<int>, w array<boolean>").toArrow()
-    x, y, w = (np.array(sample.column(c).to_pylist(), dt).reshape(-1, WINDOW) for c, dt in (("x", np.int64), ("y", np.int64), ("w", bool)))
+    x, y, w = (np.array(sample.column(c).to_pylist(), kind).reshape(-1, size) for c, kind, size in
+               (("x", np.int64, WINDOW), ("y", np.int64, STRIDE), ("w", bool, STRIDE)))
     order = np.lexsort(np.concatenate([x, y], 1).T[::-1]) if len(x) else np.zeros(0, np.int64)
     model = train(x[order], y[order], w[order], per_token, seed=seed)
     held = spark.sparkContext.broadcast((ranks, model))

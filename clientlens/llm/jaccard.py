@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clientlens.llm.components import connected_components
-from clientlens.llm.shared import temp_name, text_blocks, written
+from clientlens.llm.shared import small_batches, temp_name, text_blocks, written
 from clientlens.llm.shingles import mix, order_within, shingle_sets
 
 BITS = 512
@@ -279,18 +279,20 @@ def _compare(least: float):
     num = int(round(least * 100))
 
     def run(table: pa.Table) -> pa.Table:
-        t = table.to_pandas()
-        left, right = t[t["side"] == 0], t[t["side"] == 1]
-        bits = [x[_LONGS].to_numpy().view(np.uint64) for x in (left, right)]
-        ids, comp, n = ([x[c].to_numpy() for x in (left, right)] for c in ("node", "component", "n"))
-        out = []
-        for i in range(len(left)):
-            both = n[0][i] + n[1]
-            ok = (comp[1] != comp[0][i]) & (100 * np.minimum(n[0][i], n[1]) >= num * np.maximum(n[0][i], n[1]))
-            at = np.flatnonzero(ok)
-            apart = np.bitwise_count(bits[1][at] ^ bits[0][i]).sum(1)
-            at = at[apart * (100 + num) <= (100 - num) * both[at]]
-            out.append(np.stack([np.minimum(ids[0][i], ids[1][at]), np.maximum(ids[0][i], ids[1][at])], 1))
+        cols = {c: table.column(c).to_numpy() for c in ("side", "node", "component", "n")}
+        bits = np.stack([table.column(c).to_numpy() for c in _LONGS], 1).view(np.uint64)
+        left, right = np.flatnonzero(cols["side"] == 0), np.flatnonzero(cols["side"] == 1)
+        ids, comp, n, out = cols["node"], cols["component"], cols["n"], []
+        step = max(1, 200_000 // max(1, len(right)))
+        for s in range(0, len(left), step):
+            x = left[s:s + step]
+            both, least_n = n[x][:, None] + n[right][None], np.minimum(n[x][:, None], n[right][None])
+            ok = (comp[x][:, None] != comp[right][None]) & (100 * least_n >= num * (both - least_n))
+            i, j = np.nonzero(ok)
+            apart = np.bitwise_count(bits[x[i]] ^ bits[right[j]]).sum(1, dtype=np.int64)
+            near = apart * (100 + num) <= (100 - num) * both[i, j]
+            a, b = ids[x[i[near]]], ids[right[j[near]]]
+            out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
         p = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
         return pa.table({"a": p[:, 0], "b": p[:, 1]})
     return run
@@ -382,6 +384,7 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     doc_id of the component. ``common_shingles`` bounds the broadcast list that
     only orders the join's values."""
     spark, num = docs.sparkSession, int(round(least * 100))
+    small_batches(spark)
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("t")).withColumn("tx", F.xxhash64("t"))
     longs = ", ".join(f"{c} long" for c in _LONGS)
     base = written(src.mapInArrow(_sketch(words), f"doc_id long, tx long, n long, node long, {longs}, wide binary, common long"), "jaccard-sketches")

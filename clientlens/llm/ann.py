@@ -7,6 +7,10 @@ falling order of the summed products until the cells met hold ``probe`` of all
 entries (``floor`` at least). The entries of those cells are reranked by the
 exact inner product in double precision.
 
+An entry is a distinct vector with the ``k + 1`` smallest ids that have it (no
+query can return more of them), so copies neither use up the walk's share nor
+weigh in the codebooks. The ids are put in after the rerank.
+
 Work is dealt out in blocks: entries of up to ``block`` vectors of neighbouring
 cells (a larger cell is split by a hash of the id), each against blocks of
 queries; a task holds one block of either and puts out ``k`` rows a query.
@@ -47,6 +51,32 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return rows.filter(F.size("v") == size.d).groupBy("id").agg(F.min("v").alias("v"))
 
 
+def _collapse(keep: int):
+    """(v, ids) of each batch: its distinct vectors, each with its ``keep`` smallest ids."""
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            b = b.sort_by("id")
+            x = np.ascontiguousarray(_matrix(b.column("v")))
+            _, first, own = np.unique(x.view(f"V{x.itemsize * x.shape[1]}").ravel(), return_index=True, return_inverse=True)
+            order, n = np.argsort(own, kind="stable"), np.bincount(own)
+            rank = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+            ids = b.column("id").to_numpy()[order[rank < keep]]
+            cut = np.append(0, np.cumsum(np.minimum(n, keep))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("v").take(pa.array(first)), pa.ListArray.from_arrays(pa.array(cut), pa.array(ids))],
+                                             names=["v", "ids"])
+    return run
+
+
+def distinct(rows: DataFrame, keep: int) -> DataFrame:
+    """(v, ids): each vector once, with its ``keep`` smallest ids in order. A
+    vector's copies are cut to ``keep`` a batch before they meet in one task."""
+    kind = rows.schema["v"].dataType.simpleString()
+    parts = rows.mapInArrow(_collapse(keep), f"v {kind}, ids array<long>").groupBy("v").agg(F.flatten(F.collect_list("ids")).alias("ids"))
+    return parts.select("v", F.slice(F.array_sort("ids"), 1, keep).alias("ids"))
+
+
 def kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
     """Lloyd's iterations from distinct sample points; may return fewer."""
     points = np.unique(x, axis=0)
@@ -100,8 +130,8 @@ def _assign(held):
             if len(x):
                 h = c1.shape[1]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id"), b.column("v"), pa.array(nearest(x[:, :h], c1).astype(np.int32)),
-                     pa.array(nearest(x[:, h:], c2).astype(np.int32))], names=["id", "v", "c1", "c2"])
+                    [b.column("ids"), b.column("v"), pa.array(nearest(x[:, :h], c1).astype(np.int32)),
+                     pa.array(nearest(x[:, h:], c2).astype(np.int32))], names=["ids", "v", "c1", "c2"])
     return run
 
 
@@ -127,7 +157,10 @@ def _rerank(held, k: int):
         if not left.num_rows or not right.num_rows:
             return none
         q, x, h = _matrix(left.column("v")), _matrix(right.column("v")), c1.shape[1]
-        ids, stop, own = (left.column("id").to_numpy(), left.column("stop").to_numpy(), right.column("id").to_numpy())
+        ids, stop, lists = left.column("id").to_numpy(), left.column("stop").to_numpy(), right.column("ids").combine_chunks()
+        flat, held_ids = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+        begin = np.cumsum(held_ids) - held_ids
+        own, second = flat[begin], flat[np.minimum(begin + 1, len(flat) - 1)]  # second: only of entries with more ids
         a, b = q[:, :h] @ c1.T, q[:, h:] @ c2.T
         cell = right.column("c1").to_numpy().astype(np.int64) * len(c2) + right.column("c2").to_numpy()
         order = np.argsort(cell, kind="stable")
@@ -142,7 +175,7 @@ def _rerank(held, k: int):
             score = np.empty(len(qi))
             for s in range(0, len(qi), 65536):
                 score[s:s + 65536] = (q[qi[s:s + 65536]] * x[xi[s:s + 65536]]).sum(1)
-            o = np.lexsort((own[xi], -score, qi))
+            o = np.lexsort((np.where(own[xi] == ids[qi], second[xi], own[xi]), -score, qi))
             qi, xi, score = qi[o], xi[o], score[o]
             n = np.bincount(qi, minlength=len(q))
             rank = np.arange(len(qi)) - (np.cumsum(n) - n)[qi]
@@ -158,7 +191,7 @@ def _rerank(held, k: int):
             for s in range(0, len(met), 4096):
                 part = met[s:s + 4096]
                 score = q[part] @ x[rows].T
-                ok = (score >= bar[part, None]) & (own[rows][None] != ids[part, None])
+                ok = (score >= bar[part, None]) & ((own[rows][None] != ids[part, None]) | (held_ids[rows] > 1)[None])
                 qi, xi = np.nonzero(ok)
                 kept.append((part[qi], rows[xi]))
                 size += len(qi)
@@ -168,7 +201,16 @@ def _rerank(held, k: int):
         if not kept:
             return none
         qi, xi, score = best(kept)
-        return pa.table({"query_id": ids[qi], "vec_id": own[xi], "score": score})
+        # every id of the kept entries but the query's own, again the k best
+        n = held_ids[xi]
+        at = np.repeat(begin[xi] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        qi, vec, score = np.repeat(qi, n), flat[at], np.repeat(score, n)
+        other = vec != ids[qi]
+        qi, vec, score = qi[other], vec[other], score[other]
+        o = np.lexsort((vec, -score, qi))
+        n = np.bincount(qi, minlength=len(q))
+        o = o[np.arange(len(o)) - (np.cumsum(n) - n)[qi[o]] < k]
+        return pa.table({"query_id": ids[qi[o]], "vec_id": vec[o], "score": score[o]})
     return run
 
 
@@ -178,19 +220,22 @@ def search(vectors: DataFrame, is_query: str = "id % 20 = 0", vec_id: str = "vec
     """query_id, rank, vec_id, score: the ``k`` nearest found of the rows that
     meet ``is_query`` (a SQL condition on ``id``) among all other rows."""
     spark = vectors.sparkSession
-    rows = written(usable(vectors, vec_id, vector), "ann-rows")
-    n = rows.count()
+    rows = usable(vectors, vec_id, vector)
+    kind = rows.schema["v"].dataType.simpleString()
+    once = written(distinct(rows, k + 1), "ann-vectors")
+    n = once.count()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     share = min(1.0, train / n)
-    slot = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20))
-    sample = _matrix(rows.filter(slot < int(share * (1 << 20)) + 1).orderBy("id").select("v").toArrow().column("v"))
+    least = F.element_at("ids", 1)
+    slot = F.pmod(F.xxhash64(least, F.lit(seed)), F.lit(1 << 20))
+    sample = _matrix(once.filter(slot < int(share * (1 << 20)) + 1).orderBy(least).select("v").toArrow().column("v"))
     if not len(sample):
-        sample = _matrix(rows.orderBy("id").limit(1).toArrow().column("v"))
+        sample = _matrix(once.orderBy(least).limit(1).toArrow().column("v"))
     half = (sample.shape[1] + 1) // 2
     codes = (kmeans(sample[:, :half], centroids, seed=seed), kmeans(sample[:, half:], centroids, seed=seed + 1))
     held = spark.sparkContext.broadcast(codes)
-    entries = written(rows.mapInArrow(_assign(held), f"id long, v {rows.schema['v'].dataType.simpleString()}, c1 int, c2 int"), "ann-index")
+    entries = written(once.mapInArrow(_assign(held), f"ids array<long>, v {kind}, c1 int, c2 int"), "ann-index")
     counts = np.zeros((len(codes[0]), len(codes[1])), np.int64)
     for r in entries.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n")).collect():
         counts[r.c1, r.c2] = r.n
@@ -209,15 +254,14 @@ def search(vectors: DataFrame, is_query: str = "id % 20 = 0", vec_id: str = "vec
             room -= m
     def lookup(d):
         return F.element_at(F.array(*[F.lit(int(d[c])) for c in range(len(first))]), F.col("c1") + 1)
-    n_query = rows.filter(is_query).count()
+    queries = written(rows.filter(is_query).repartition("id")
+                      .mapInArrow(_route(held, counts, max(probe * n, floor)), f"id long, v {kind}, stop double"), "ann-queries")
+    n_query = queries.count()
     q_blocks = max(1, -(-n_query // query_block))
     blocks = F.sequence(F.lit(0), F.lit(q_blocks - 1))
-    place = (lookup(first) + F.pmod(F.xxhash64("id", F.lit(seed)), lookup(split))).cast("int")
+    place = (lookup(first) + F.pmod(F.xxhash64(least, F.lit(seed)), lookup(split))).cast("int")
     right = entries.withColumn("vb", place).withColumn("qb", F.explode(blocks))
-    kind = rows.schema["v"].dataType.simpleString()
-    queries = rows.filter(is_query).repartition("id") \
-        .mapInArrow(_route(held, counts, max(probe * n, floor)), f"id long, v {kind}, stop double")
-    left = written(queries, "ann-queries").withColumn("qb", F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(q_blocks)).cast("int")) \
+    left = queries.withColumn("qb", F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(q_blocks)).cast("int")) \
         .withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(max(1, used) - 1))))
     found = left.groupBy("qb", "vb").cogroup(right.groupBy("qb", "vb")) \
         .applyInArrow(_rerank(held, k), "query_id long, vec_id long, score double")

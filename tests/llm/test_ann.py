@@ -47,6 +47,20 @@ def test_walking_all_cells_is_exact_with_ties_and_copies(spark):
     assert got == {q: [(v, pytest.approx(s, abs=1e-12)) for v, s in w] for q, w in brute(x, ids, 20).items()}
 
 
+def test_recall_with_a_third_of_the_rows_equal(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 64))
+    hot = rng.permutation(6000)[:2000]
+    x[hot] = x[hot[0]]
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(float)
+    ids = np.arange(6000)
+    got, want = run(spark, x, ids, floor=0), brute(x, ids, 20)
+    few = [len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 20 for q in want if q not in set(hot.tolist())]
+    assert np.mean(few) >= 0.9 and min(few) >= 0.5
+    own = min(q for q in want if q in set(hot.tolist()))
+    assert [v for v, _ in got[own]] == [v for v, _ in want[own]]
+
+
 def test_heap_walk():
     rng = np.random.default_rng(1)
     a, b, n = rng.normal(size=9), rng.normal(size=7), rng.integers(0, 5, (9, 7))

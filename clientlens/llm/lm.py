@@ -4,11 +4,16 @@ Words (lower-cased A-Z, white-space delimited) are encoded one by one with a
 public byte-pair vocabulary, ``" " + word``; a text is its words' subwords and
 one end token. The model has token and position embeddings, one causal
 attention layer with a residual path, and a factored output: a softmax over
-token classes, times the token's smoothed share of its class. It is trained in
-numpy on windows of a hash sample of learning rows (``train_windows``, the
-documented bound); token classes are clusters of the sampled successors. The
-shares, like the word counts of the base score, are counted over all learning
-texts.
+token classes, times the token's smoothed share of its class. What precedes and
+follows each token is counted over all learning texts: the classes are clusters
+of the one, the first embeddings projections of the other. The shares, like the
+word counts of the base score, are counted over all learning texts too.
+
+The weights learn from all windows of the learning texts (``train_share`` of
+them, if less than 1), equal windows joined with their count as weight. A first shard of about ``train_windows`` is fitted on the
+driver; every other shard goes on from there in a task of its own, and the
+shards' steps are averaged, embeddings by how often a shard met the token. The
+shards are dealt by the windows' hash, whatever the files' layout.
 
 Whole texts are scored in windows of ``WINDOW`` inputs that overlap by
 ``WINDOW - STRIDE``, so that each token has at least that many before it and is
@@ -34,10 +39,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clientlens.llm.shared import small_batches, text_blocks, written
-from clientlens.llm.shingles import grouped, word_spans
+from clientlens.llm.shingles import grouped, mix, word_spans
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 WINDOW, STRIDE, DIMS, CLASSES, HEAVY = 24, 20, 16, 64, 1 << 20
+PROFILE = 64  # hash slots of the tokens before or after a token
 _BLOCK = 1_000_000
 
 
@@ -145,7 +151,8 @@ class AttentionModel:
         return got + self.log_share[targets]
 
     def _class_log_prob(self, inputs: np.ndarray, cls: np.ndarray, tables, shifted: bool) -> np.ndarray:
-        """Masked attention over one batch; sums are products with ones."""
+        """Masked attention over one batch. All products and sums are those of one
+        window, so equal windows get equal bits wherever they stand."""
         tok, pos, out, bias = tables
         d, skip = self.emb.shape[1], WINDOW - STRIDE
         x = tok.take(inputs.ravel(), 0).reshape(len(inputs), WINDOW, -1)
@@ -156,15 +163,15 @@ class AttentionModel:
             a -= a.max(2, keepdims=True)
         np.exp(a, out=a)
         y = np.matmul(a, x[..., 2 * d:3 * d])
-        y /= a @ np.ones((WINDOW, 1), np.float32)
+        y /= a.sum(2, keepdims=True)
         y += x[:, skip:, 3 * d:]
-        z = y.reshape(-1, d) @ out
+        z = np.matmul(y, out).reshape(-1, out.shape[1])  # one product a window
         z += bias
         if shifted:
             z -= z.max(1, keepdims=True)
         hit = z[np.arange(len(z)), cls]
         np.exp(z, out=z)
-        return (hit - np.log(z @ np.ones(z.shape[1], np.float32))).reshape(-1, STRIDE)
+        return (hit - np.log(z.sum(1))).reshape(-1, STRIDE)
 
 
 def windows(ids: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -192,21 +199,62 @@ def windows(ids: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, np.nd
 
 def train(inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, counts: np.ndarray, seed: int = 2,
           epochs: int = 3, batch: int = 64, rate: float = 0.08) -> AttentionModel:
-    """Adagrad on the class loss of the sampled windows; ``counts`` are the
-    token counts of the whole learning corpus."""
+    """A model of the given windows alone; ``counts`` are the token counts of
+    the whole learning corpus."""
+    skip, v = WINDOW - STRIDE, len(counts)
+    prev, nxt = inputs[:, skip:][scored], targets[scored]
+    before = np.bincount(nxt * PROFILE + slots_of(v)[prev], minlength=v * PROFILE).reshape(v, PROFILE)
+    cls, share = classes(before, counts)
     rng = np.random.default_rng(seed)
+    p = first_weights(cls, counts, rng)
+    seen = {k: np.full_like(x, 1e-4) for k, x in p.items()}
+    descend(p, seen, cls, inputs, targets, scored, rng, epochs, batch, rate)
+    return AttentionModel(*(p[k] for k in PARTS), cls, share)
+
+
+PARTS = ("emb", "pos", "wq", "wk", "wv", "out", "bias")
+
+
+def slots_of(v: int) -> np.ndarray:
+    """Hash slot of each token in a profile."""
+    return np.arange(v, dtype=np.int64) * 2654435761 % 4294967296 * PROFILE // 4294967296
+
+
+def classes(before: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each token, log of its smoothed share of the class)."""
+    cls = cluster_tokens(before, counts)
+    mass, size = np.bincount(cls, counts, CLASSES), np.bincount(cls, minlength=CLASSES)
+    return cls, np.log((counts + 0.1) / (mass + 0.1 * size)[cls])
+
+
+def first_weights(cls: np.ndarray, counts: np.ndarray, rng, after: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """Random weights; with ``after``, embeddings of tokens that occur are the
+    main directions of what follows them."""
     v, d = len(counts), DIMS
-    skip = WINDOW - STRIDE
-    cls = cluster_tokens(inputs[:, skip:][scored], targets[scored], counts)
-    size = np.bincount(cls, minlength=CLASSES)
-    mass = np.bincount(cls, counts, CLASSES)
-    share = np.log((counts + 0.1) / (mass + 0.1 * size)[cls])
+    size, mass = np.bincount(cls, minlength=CLASSES), np.bincount(cls, counts, CLASSES)
     p = {"emb": rng.normal(0, 0.1, (v, d)), "pos": rng.normal(0, 0.1, (WINDOW, d)),
          "wq": rng.normal(0, 0.3, (d, d)), "wk": rng.normal(0, 0.3, (d, d)), "wv": rng.normal(0, 0.3, (d, d)),
          "out": rng.normal(0, 0.1, (d, CLASSES)),
          "bias": np.where(size > 0, np.log((mass + 1) / (mass.sum() + CLASSES)), -1e4)}  # no mass for empty classes
-    seen = {k: np.full_like(x, 1e-4) for k, x in p.items()}
-    mask = np.triu(np.full((STRIDE, WINDOW), -1e9), skip + 1)
+    n = after.sum(1) if after is not None else np.zeros(v)
+    has = np.flatnonzero(n)
+    if len(has):
+        usual = after.sum(0) / n.sum()
+        t = np.sqrt((after[has] + 5 * usual) / (n[has, None] + 5)) - np.sqrt(usual)
+        _, axes = np.linalg.eigh((t * n[has, None]).T @ t)
+        e = t @ axes[:, -d:]
+        p["emb"][has] = e * 0.1 / max(1e-9, np.sqrt((e * e).mean()))
+    return p
+
+
+def descend(p: dict, seen: dict, cls: np.ndarray, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, rng,
+            epochs: int, batch: int = 64, rate: float = 0.08, weight: np.ndarray | None = None) -> None:
+    """Adagrad on the class loss of the windows, in place."""
+    skip, d, kind = WINDOW - STRIDE, DIMS, p["emb"].dtype
+    root = float(np.sqrt(d))
+    mask = np.triu(np.full((STRIDE, WINDOW), -1e9, kind), skip + 1)
+    scored = scored.astype(kind) if weight is None else scored * weight[:, None].astype(kind)
+    flat = lambda m: m.reshape(-1, m.shape[-1])
     for _ in range(epochs if len(inputs) else 0):
         order = rng.permutation(len(inputs))
         for s in range(0, len(order), batch):
@@ -214,7 +262,7 @@ def train(inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, counts: n
             x_in, y, w = inputs[pick], cls[targets[pick]], scored[pick]
             x = p["emb"][x_in] + p["pos"]
             q, k, u = x[:, skip:] @ p["wq"], x @ p["wk"], x @ p["wv"]
-            a = q @ k.transpose(0, 2, 1) / np.sqrt(d) + mask
+            a = q @ k.transpose(0, 2, 1) / root + mask
             a = np.exp(a - a.max(2, keepdims=True))
             a /= a.sum(2, keepdims=True)
             h = a @ u + x[:, skip:]
@@ -225,35 +273,28 @@ def train(inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, counts: n
             z *= w[..., None] / max(1, w.sum())
             dh = z @ p["out"].T
             da = dh @ u.transpose(0, 2, 1)
-            ds = a * (da - (da * a).sum(2, keepdims=True)) / np.sqrt(d)
+            ds = a * (da - (da * a).sum(2, keepdims=True)) / root
             dq, dk, du = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
             dx = dk @ p["wk"].T + du @ p["wv"].T
             dx[:, skip:] += dh + dq @ p["wq"].T
-            g = {"pos": dx.sum(0), "out": np.einsum("btd,btc->dc", h, z), "bias": z.sum((0, 1)),
-                 "wq": np.einsum("btd,bte->de", x[:, skip:], dq), "wk": np.einsum("btd,bte->de", x, dk),
-                 "wv": np.einsum("btd,bte->de", x, du)}
+            g = {"pos": dx.sum(0), "out": flat(h).T @ flat(z), "bias": z.sum((0, 1)),
+                 "wq": flat(x[:, skip:]).T @ flat(dq), "wk": flat(x).T @ flat(dk), "wv": flat(x).T @ flat(du)}
             for n, e in g.items():
                 seen[n] += e * e
                 p[n] -= rate * e / np.sqrt(seen[n])
             ids, back = np.unique(x_in, return_inverse=True)
-            e = np.stack([np.bincount(back.ravel(), dx[..., j].ravel(), len(ids)) for j in range(d)], 1)
+            e = np.stack([np.bincount(back.ravel(), dx[..., j].ravel(), len(ids)) for j in range(d)], 1).astype(kind)
             seen["emb"][ids] += e * e
             p["emb"][ids] -= rate * e / np.sqrt(seen["emb"][ids])
-    return AttentionModel(p["emb"], p["pos"], p["wq"], p["wk"], p["wv"], p["out"], p["bias"], cls, share)
 
 
-def cluster_tokens(prev: np.ndarray, nxt: np.ndarray, counts: np.ndarray, profile: int = 64, rounds: int = 10) -> np.ndarray:
-    """CLASSES clusters of tokens by what precedes them in the sample (hashed
-    profiles, k-means on square roots); unseen tokens are dealt by id."""
-    v = len(counts)
-    cls = np.arange(v) % CLASSES
-    often = np.flatnonzero(np.bincount(nxt, minlength=v) >= 5) if len(nxt) else np.zeros(0, np.int64)
+def cluster_tokens(before: np.ndarray, counts: np.ndarray, rounds: int = 10) -> np.ndarray:
+    """CLASSES clusters of tokens by what precedes them (hashed profiles,
+    k-means on square roots); tokens seen fewer than 5 times are dealt by id."""
+    cls = np.arange(len(counts)) % CLASSES
+    often = np.flatnonzero(before.sum(1) >= 5)
     if len(often) > CLASSES:
-        row = np.full(v, -1)
-        row[often] = np.arange(len(often))
-        use = row[nxt] >= 0
-        t = np.bincount(row[nxt[use]] * profile + prev[use].astype(np.int64) * 2654435761 % 4294967296 * profile // 4294967296,
-                        minlength=len(often) * profile).reshape(-1, profile)
+        t = before[often].astype(float)
         t = np.sqrt(t / t.sum(1, keepdims=True))
         c = t[np.argsort(-counts[often], kind="stable")[:CLASSES]].copy()
         for _ in range(rounds):
@@ -264,42 +305,115 @@ def cluster_tokens(prev: np.ndarray, nxt: np.ndarray, counts: np.ndarray, profil
     return cls
 
 
-def _count(held):
-    """Rows (h, n): tokens by word hash; and (null, n, token): tokens by id."""
-    def run(batches):
-        sub = coder(held.value)
-        total = np.zeros(sub.size, np.int64)
-        for b in batches:
-            for _, part in text_blocks(b.column("t").to_pylist(), _BLOCK):
-                raw, start, end, h, _ = word_spans(part)
-                total[sub.end] += len(part)
-                if not len(h):
-                    continue
-                u, inverse, slot = sub.slots(raw, start, end, h)
-                n = np.bincount(inverse, minlength=len(u))
-                ids, k = sub.expand(slot)
-                total += np.bincount(ids, np.repeat(n, k), sub.size).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n), pa.nulls(len(u), pa.int32())], names=["h", "n", "token"])
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(hit), pa.int64()), pa.array(total[hit]), pa.array(hit.astype(np.int32))], names=["h", "n", "token"])
+def _rows_to_windows(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(inputs, targets, scored, weight) of stored windows, in a fixed order."""
+    rows = rows.sort_by("line")
+    data = b"".join(rows.column("line").to_pylist())
+    kind = np.uint16 if len(data) == rows.num_rows * 2 * (WINDOW + 2) else np.int32
+    z = np.frombuffer(data, kind).reshape(-1, WINDOW + 2).astype(np.int64)
+    skip = WINDOW - STRIDE
+    return z[:, :WINDOW], z[:, skip + 1:WINDOW + 1], np.arange(STRIDE) < z[:, -1:], rows.column("n").to_numpy().astype(float)
+
+
+_STEP = [f"d{j}" for j in range(DIMS)]
+
+
+def _dense(p: dict) -> np.ndarray:
+    """All weights but the embeddings, in rows of DIMS."""
+    return np.concatenate([p[k].ravel() for k in PARTS[1:]]).reshape(-1, DIMS)
+
+
+def _shard(held, seed: int):
+    """One shard goes on from the held weights: a row for each token met and
+    each row of the others (from -1 down), its change times its weight."""
+    def run(rows: pa.Table) -> pa.Table:
+        p0, seen0, cls = held.value
+        p, seen = ({k: x.copy() for k, x in z.items()} for z in (p0, seen0))
+        x, y, w, n = _rows_to_windows(rows)
+        descend(p, seen, cls, x, y, w, np.random.default_rng(seed), 1, weight=n)
+        hits = np.bincount(x.ravel(), minlength=len(p["emb"]))
+        met = np.flatnonzero(hits)
+        dense = _dense(p) - _dense(p0)
+        step = np.concatenate([(p["emb"][met] - p0["emb"][met]) * hits[met, None], dense]).astype(np.float64)
+        return pa.table([pa.array(np.concatenate([met, -1 - np.arange(len(dense))]).astype(np.int32)),
+                         pa.array(np.concatenate([hits[met], np.ones(len(dense))]).astype(np.float64)), *map(pa.array, np.ascontiguousarray(step.T))],
+                        names=["row", "hits", *_STEP])
     return run
 
 
-def _draw(held):
-    """One window of each sampled text, at a place set by the text's hash."""
+def fit(drawn: DataFrame, counts: np.ndarray, before: np.ndarray, after: np.ndarray, train_windows: int, seed: int = 2) -> AttentionModel:
+    """The model of the drawn windows (``line``, ``n``), each met by one shard."""
+    spark = drawn.sparkSession
+    cls, share = classes(before, counts)
+    rng = np.random.default_rng(seed)
+    p = first_weights(cls, counts, rng, after)
+    seen = {k: np.full_like(x, 1e-4) for k, x in p.items()}
+    shards = -(-drawn.count() // train_windows) if train_windows else 0
+    if shards:
+        drawn = drawn.withColumn("shard", F.pmod(F.xxhash64("line", F.lit(seed)), F.lit(shards)).cast("int"))
+        x, y, w, n = _rows_to_windows(drawn.filter("shard = 0").select("line", "n").toArrow())
+        descend(p, seen, cls, x, y, w, rng, 3, weight=n)
+    if shards > 1:
+        p, seen = ({k: x.astype(np.float32) for k, x in z.items()} for z in (p, seen))
+        held = spark.sparkContext.broadcast((p, seen, cls))
+        steps = drawn.filter("shard > 0").groupBy("shard").applyInArrow(_shard(held, seed), "row int, hits double, " + ", ".join(f"{c} double" for c in _STEP))
+        # one row a token and a few of the other weights, whatever the input
+        mean = steps.groupBy("row").agg(*[(F.sum(c) / F.sum("hits")).alias(c) for c in _STEP]).toArrow()
+        row, d = mean.column("row").to_numpy(), np.stack([mean.column(c).to_numpy() for c in _STEP], 1)
+        emb, dense = p["emb"].astype(np.float64), _dense(p).astype(np.float64)
+        emb[row[row >= 0]] += d[row >= 0]
+        dense[-1 - row[row < 0]] += d[row < 0]
+        at = np.cumsum([p[k].size for k in PARTS[1:]])[:-1]
+        p = {"emb": emb} | {k: z.reshape(p[k].shape) for k, z in zip(PARTS[1:], np.split(dense.ravel(), at))}
+    return AttentionModel(*(p[k] for k in PARTS), cls, share)
+
+
+def drawn_windows(ids: np.ndarray, n: np.ndarray, end: int, key: np.ndarray, share: float) -> np.ndarray:
+    """The windows of the texts (as ``windows`` cuts them) whose hash, of the
+    text's ``key`` and the window's place, falls under ``share``: WINDOW inputs,
+    the last target and how many targets are scored, a row each."""
+    count = -(-(n + 1) // STRIDE)
+    owner = np.repeat(np.arange(len(n)), count)
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    h = mix(key.view(np.uint64)[owner] ^ mix(nth.astype(np.uint64) + np.uint64(1)))
+    pick = np.flatnonzero(h >> np.uint64(34) < np.uint64(round(share * (1 << 30))))
+    owner, at = owner[pick], nth[pick] * STRIDE
+    place = at[:, None] + np.arange(WINDOW + 1) - (WINDOW - STRIDE + 1)
+    has = (place >= 0) & (place < n[owner][:, None])
+    text = np.append(ids, end)[np.where(has, (np.cumsum(n) - n)[owner][:, None] + place, len(ids))]
+    return np.concatenate([text, np.minimum(STRIDE, n[owner] + 1 - at)[:, None]], 1).astype(np.uint16 if end < 1 << 16 else np.int32)
+
+
+def _count(held, share: float):
+    """Rows (h, n): tokens by word hash; (token, n): how often a token stands
+    after each slot of tokens, then before each, as token x PROFILE + slot; and
+    (line, n): drawn windows."""
+    names = ["h", "n", "token", "line"]
+
     def run(batches):
         sub = coder(held.value)
+        slot_of, cells = slots_of(sub.size), sub.size * PROFILE
+        total = np.zeros(2 * cells, np.int64)
         for b in batches:
-            place = b.column("s").to_numpy()
+            key = b.column("s").to_numpy()
             for first, part in text_blocks(b.column("t").to_pylist(), _BLOCK):
                 raw, start, end, h, owner = word_spans(part)
-                _, inverse, slot = sub.slots(raw, start, end, h)
+                u, inverse, slot = sub.slots(raw, start, end, h) if len(h) else (h, np.zeros(0, np.int64), np.zeros(0, np.int64))
                 ids, per_word = sub.expand(slot[inverse])
-                x, y, w, text = windows(ids, np.bincount(owner, per_word, len(part)).astype(np.int64), sub.end)
-                n = np.bincount(text, minlength=len(part))
-                at = np.cumsum(n) - n + place[first:first + len(part)] % n
-                yield pa.RecordBatch.from_arrays([pa.array(list(z[at]), pa.list_(kind)) for z, kind in (
-                    (x, pa.int32()), (y, pa.int32()), (w, pa.bool_()))], names=["x", "y", "w"])
+                size = np.bincount(owner, per_word, len(part)).astype(np.int64)
+                # a text's end token is the start mark of the next
+                line = np.insert(ids.astype(np.int64), np.append(0, np.cumsum(size)), sub.end)
+                prev, nxt = line[:-1], line[1:]
+                np.add.at(total, nxt * PROFILE + slot_of[prev], 1)
+                np.add.at(total, cells + prev * PROFILE + slot_of[nxt], 1)
+                got = drawn_windows(ids, size, sub.end, key[first:first + len(part)], share)
+                k, wide = len(got), got.itemsize * (WINDOW + 2)
+                data = pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer(np.arange(0, (k + 1) * wide, wide, dtype=np.int32)), pa.py_buffer(got.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.array(np.ones(k, np.int64)), pa.nulls(k, pa.int32()), data], names=names)
+                n = np.bincount(inverse, minlength=len(u))
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n), pa.nulls(len(u), pa.int32()), pa.nulls(len(u), pa.binary())], names=names)
+        hit = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(hit), pa.int64()), pa.array(total[hit]), pa.array(hit.astype(np.int32)), pa.nulls(len(hit), pa.binary())], names=names)
     return run
 
 
@@ -347,7 +461,7 @@ def _score(held, heavy, shape: tuple[float, float, int]):
 
 
 def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
-                train_windows: int = 16_000, seed: int = 2) -> DataFrame:
+                train_windows: int = 16_000, seed: int = 2, train_share: float = 1.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     every row; learns from rows that are not ``held_out``."""
     spark = docs.sparkSession
@@ -358,13 +472,17 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     src = docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.coalesce(text, F.lit("")).alias("t"))
     learn = src.filter("not held_out").select("t")
 
-    raw = learn.mapInArrow(_count(ranks_held), "h long, n long, token int").groupBy("h", "token").agg(F.sum("n").alias("n"))
+    share = train_share if train_windows else 0.0
+    raw = learn.withColumn("s", F.xxhash64("t", F.lit(seed))).mapInArrow(_count(ranks_held, share), "h long, n long, token int, line binary") \
+        .groupBy("h", "token", "line").agg(F.sum("n").alias("n"))
     counts = written(raw, "lm-counts")
-    words = counts.filter("token is null").select("h", "n")
+    words = counts.filter("h is not null").select("h", "n")
     size = max(ranks.values()) + 2
-    per_token = np.zeros(size)
-    for r in counts.filter("token is not null").select("token", "n").toLocalIterator():  # one row per vocabulary entry
-        per_token[r.token] = r.n
+    cells = counts.filter("token is not null").select("token", "n").toArrow()  # at most 2 x PROFILE per vocabulary entry
+    total = np.zeros(2 * size * PROFILE)
+    total[cells.column("token").to_numpy()] = cells.column("n").to_numpy()
+    before, after = total.reshape(2, size, PROFILE)
+    per_token = before.sum(1)
     ends = int(per_token[-1])
     n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = n + ends, v + (ends > 0)
@@ -374,15 +492,7 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     order = np.argsort(word)
     heavy_held = spark.sparkContext.broadcast((word[order], count[order]))
 
-    share = min(1.0, train_windows / max(1, ends))
-    slot = F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 30))
-    drawn = learn.withColumn("s", slot).filter(F.col("s") < int(share * (1 << 30)) + 1) \
-        .withColumn("s", F.pmod(F.xxhash64("t", F.lit(seed + 1)), F.lit(1 << 30)))
-    sample = drawn.mapInArrow(_draw(ranks_held), "x array<int>, y array<int>, w array<boolean>").toArrow()
-    x, y, w = (np.array(sample.column(c).to_pylist(), kind).reshape(-1, size) for c, kind, size in
-               (("x", np.int64, WINDOW), ("y", np.int64, STRIDE), ("w", bool, STRIDE)))
-    order = np.lexsort(np.concatenate([x, y], 1).T[::-1]) if len(x) else np.zeros(0, np.int64)
-    model = train(x[order], y[order], w[order], per_token, seed=seed)
+    model = fit(counts.filter("line is not null").select("line", "n"), per_token, before, after, train_windows, seed)
     held = spark.sparkContext.broadcast((ranks, model))
 
     rows = src.mapInArrow(_score(held, heavy_held, (float(n), float(v), ends)),

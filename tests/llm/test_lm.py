@@ -130,3 +130,42 @@ def test_learning_helps_on_held_out_texts(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     some, none = (sum(r.score for r in M.score_texts(docs, held_out("doc_id", 5), train_windows=w).filter("held_out").collect()) for w in (2000, 0))
     assert some > none * 0.97  # scores are negative: closer to 0 by 3 % at least
+
+
+@pytest.mark.parametrize("share", [1.0, 0.3])
+def test_drawn_windows_are_those_of_the_texts(share):
+    rng, n = np.random.default_rng(2), np.array([0, 3, M.STRIDE - 1, M.STRIDE, 5000, 0])
+    ids = rng.integers(0, 49, n.sum()).astype(np.int32)
+    x, y, w, owner = M.windows(ids, n, 49)
+    all_rows = {tuple(r) for r in np.concatenate([x, y[:, -1:], w.sum(1)[:, None]], 1).tolist()}
+    got = M.drawn_windows(ids, n, 49, rng.integers(-2**62, 2**62, len(n)), share)
+    assert {tuple(r) for r in got.tolist()} <= all_rows and abs(len(got) - share * len(x)) <= 40
+    assert share < 1 or {tuple(r) for r in got.tolist()} == all_rows
+
+
+def test_training_grows_with_the_text(spark, documents, monkeypatch):
+    """Long texts give many windows, copies one each, and all shards' steps reach the model."""
+    rng, held, fit = np.random.default_rng(6), [], M.fit
+    words = [a + b for a in ("stone", "river", "cloud", "apple", "green", "north") for b in ("", "s", "ed", "ing", "ly")]
+    texts = [" ".join(rng.choice(words, 4000)) for _ in range(6)] + ["one plain line of a text"] * 50
+
+    def spy(drawn, counts, before, after, train_windows, seed):
+        rows = drawn.collect()
+        few = fit(drawn.limit(0), counts, before, after, train_windows, seed)
+        held.append((rows, counts, before, after, few, fit(drawn, counts, before, after, train_windows, seed)))
+        return held[-1][-1]
+    monkeypatch.setattr(M, "fit", spy)
+    M.score_texts(documents(list(enumerate(texts))), held_out("doc_id", 9999), train_windows=30, train_share=0.5).collect()
+    rows, counts, before, after, few, model = held[0]
+    assert len({bytes(r.line) for r in rows}) == len(rows) > 20 * 6  # far more than train_windows, and than texts
+    assert before.sum() == after.sum() == counts.sum() and (before.sum(1) == counts).all()
+    met = np.unique([np.frombuffer(r.line, np.uint16)[:M.WINDOW] for r in rows])
+    assert (np.abs(model.emb - few.emb)[met].max(1) > 0).all()
+
+
+def test_equal_windows_score_equally_wherever_they_stand():
+    m, x = small_model(), np.random.default_rng(1).integers(0, 50, (300, M.WINDOW + 1))
+    m.emb = m.emb * 8
+    x[::3] = x[0]
+    got = m.log_prob(x[:, :-1], x[:, SKIP + 1:])
+    assert len(np.unique(got[::3], axis=0)) == 1

@@ -8,6 +8,7 @@ from clientlens.llm import ann, decontam, jaccard, language, lm, quality, toxici
 from clientlens.llm.archive import read_archive, write_archive
 from clientlens.llm.mixing import mix_to_targets
 from clientlens.llm.shared import held_out, scratch, table
+from clientlens.llm.vectorcodes import vector_codes
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +67,11 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_components(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings")).select(F.col("id").alias("vec_id"), "code", "error", "label_error",
+                                                                   "codebooks_sha256")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -77,6 +83,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 # DuckDB SQL ----------------------------------------------------------------
@@ -141,4 +148,33 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)"""
 
-ORACLE_SQL = {"op3_warc_archive": OP3_SQL, "op7_mix_sources": OP7_SQL, "op8_decontamination": OP8_SQL}
+
+
+def _codes_sql(rounds: int = 2, parts: int = 16, entries: int = 64) -> str:
+    """Assign and update, once a round, then assign again. A distance and its
+    entry are one number (distance * entries + entry), so the least breaks ties."""
+    near = """
+a{n} AS (SELECT rid, p, min(list_sum(list_transform(list_zip(q.x, c.x), lambda z: ((z[1] - z[2]) * (z[1] - z[2]))::BIGINT))::BIGINT * {k} + c.e) AS m
+         FROM q JOIN c{n} c USING (p) GROUP BY rid, p)"""
+    move = """
+s{n} AS (SELECT p, e, i, sum(x[i])::BIGINT AS s, count(*)::BIGINT AS c
+         FROM (SELECT q.p, (m % {k}) AS e, q.x, unnest(range(1, len(q.x) + 1)) AS i FROM a{n} JOIN q USING (rid, p)) GROUP BY p, e, i),
+u{n} AS (SELECT p, e, list((s - ((s % c) + c) % c) // c ORDER BY i) AS x FROM s{n} GROUP BY p, e),
+c{o} AS (SELECT c.p, c.e, coalesce(u.x, c.x) AS x FROM c{n} c LEFT JOIN u{n} u ON c.p = u.p AND c.e = u.e)"""
+    steps = ",".join(near.format(n=n, k=entries) + "," + move.format(n=n, o=n + 1, k=entries) for n in range(rounds))
+    return f"""
+WITH kept AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid,
+                     list_transform(embedding, lambda y: floor(256.0::DOUBLE * y::DOUBLE)::BIGINT) AS v
+              FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+q AS (SELECT rid, p, list_slice(v, p * (len(v) // {parts}) + 1, (p + 1) * (len(v) // {parts})) AS x
+      FROM (SELECT rid, v, unnest(range({parts})) AS p FROM kept)),
+c0 AS (SELECT p, rid - 1 AS e, x FROM q WHERE rid <= {entries}),{steps},{near.format(n=rounds, k=entries)},
+o AS (SELECT vec_id, label, string_agg(lpad(lower(to_hex(m % {entries})), 2, '0'), '' ORDER BY p) AS code, sum(m // {entries})::BIGINT AS error
+      FROM a{rounds} JOIN kept USING (rid) GROUP BY rid, vec_id, label),
+h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM o, h"""
+
+
+OP12_SQL = _codes_sql()
+
+ORACLE_SQL = {"op3_warc_archive": OP3_SQL, "op7_mix_sources": OP7_SQL, "op8_decontamination": OP8_SQL, "op12_vector_codes": OP12_SQL}

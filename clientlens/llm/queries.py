@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clientlens.llm import ann, decontam, jaccard, language, lm, quality, toxicity, urlrules
 from clientlens.llm.archive import read_archive, write_archive
+from clientlens.llm.collocations import collocations
 from clientlens.llm.mixing import mix_to_targets
 from clientlens.llm.shared import held_out, scratch, table
 from clientlens.llm.vectorcodes import vector_codes
@@ -72,6 +73,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                                    "codebooks_sha256")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents")).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -84,6 +89,7 @@ QUERIES = {
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_ngram_jaccard": op10_ngram_jaccard,
     "op12_vector_codes": op12_vector_codes,
+    "op13_collocations": op13_collocations,
 }
 
 # DuckDB SQL ----------------------------------------------------------------
@@ -176,5 +182,28 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 
 
 OP12_SQL = _codes_sql()
-
-ORACLE_SQL = {"op3_warc_archive": OP3_SQL, "op7_mix_sources": OP7_SQL, "op8_decontamination": OP8_SQL, "op12_vector_codes": OP12_SQL}
+OP13_SQL = """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+s AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM s
+      UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM s WHERE len(w) >= 2
+      UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM s WHERE len(w) >= 3),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM g GROUP BY lang, k, phrase HAVING count(*) >= 10),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM s GROUP BY lang),
+t AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+c AS (SELECT lang, k, phrase, a, w, 1 AS cut, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM t
+      UNION ALL SELECT lang, k, phrase, a, w, 2, w[1] || ' ' || w[2], w[3] FROM t WHERE k = 3),
+v AS (SELECT c.lang, c.k, c.phrase, c.a, cut, l.a AS l, r.a AS r, 1000000 * c.a * c.a // (l.a * r.a) AS score
+      FROM c JOIN f l ON c.lang = l.lang AND c.x = l.phrase JOIN f r ON c.lang = r.lang AND c.y = r.phrase),
+b AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+e AS (SELECT lang, phrase, max(a) AS longer FROM (SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM t WHERE k = 3
+      UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM t WHERE k = 3) GROUP BY lang, phrase),
+o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+      FROM b LEFT JOIN e ON b.lang = e.lang AND b.phrase = e.phrase WHERE e.longer IS NULL OR 100 * e.longer < 50 * b.a)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM o JOIN n USING (lang) WHERE rank <= 2000"""
+
+ORACLE_SQL = {"op3_warc_archive": OP3_SQL, "op7_mix_sources": OP7_SQL, "op8_decontamination": OP8_SQL, "op12_vector_codes": OP12_SQL,
+              "op13_collocations": OP13_SQL}

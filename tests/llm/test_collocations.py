@@ -1,0 +1,102 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import clientlens.llm.collocations as m
+from clientlens.llm.collocations import collocations, count_block, folded
+
+SCHEMA = "text string, lang string, phrase string, k int, c long, w string"
+
+
+def grams(docs, longest):
+    f, n = {}, {}
+    for t, lang in docs:
+        lang = "und" if lang is None else lang
+        t = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", t):
+            w = [x for x in re.split(r"[\x20\x09]+", piece) if x]
+            n[lang] = n.get(lang, 0) + len(w)
+            for k in range(1, longest + 1):
+                for i in range(len(w) - k + 1):
+                    g = (lang, *w[i:i + k])
+                    f[g] = f.get(g, 0) + 1
+    return f, n
+
+
+def plain(docs, longest=3, least=10, covered=50, top=2000):
+    f, n = grams(docs, longest)
+    found = {}
+    for (lang, *w), a in f.items():
+        if len(w) < 2 or a < least:
+            continue
+        cuts = [(10 ** 6 * a * a // (f[lang, *w[:i]] * f[lang, *w[i:]]), i, f[lang, *w[:i]], f[lang, *w[i:]]) for i in range(1, len(w))]
+        longer = [g for g, c in f.items() if g[0] == lang and len(g) - 1 > len(w) and c >= least and 100 * c >= covered * a
+                  and any(list(g[1 + i:1 + i + len(w)]) == w for i in range(len(g) - len(w)))]
+        if not longer:
+            s, _, l, r = min(cuts)
+            found.setdefault(lang, []).append((-s, -a, " ".join(w).encode(), l, r))
+    return {(lang, i + 1, p.decode(), -a, l, r, n[lang], -s) for lang, rows in found.items()
+            for i, (s, a, p, l, r) in enumerate(sorted(rows)[:top])}
+
+
+def got(spark, docs, parts=3, **options):
+    df = spark.createDataFrame([(t, lang, "x", 1, 2, "y") for t, lang in docs], SCHEMA).repartition(parts)
+    return {tuple(r) for r in collocations(df, **options).drop("cut").collect()}
+
+
+def some_docs(seed, n=60, vocabulary=12):
+    r = random.Random(seed)
+    words = ["The", "ÄB", "ä", "z\x01", "z", "z\x01a", "naïve", "𝒳", "it's", "x y", "(", "-"][:vocabulary]
+    text = lambda: "".join(r.choice(words) + r.choice([" "] * 12 + [". ", "\t", "\n", " , ", "  "]) for _ in range(r.randrange(60)))
+    docs = [(text(), r.choice(["en", "fr", None, "und", ""])) for _ in range(n)]
+    return docs + [(None, "en"), ("", "de"), (" .,;\n", "en"), ("the the the the", None)] + [(docs[0][0], docs[0][1])] * 5
+
+
+@pytest.mark.parametrize("longest", [2, 3, 4])
+def test_equals_plain(spark, longest):
+    docs = some_docs(longest) + [("alpha beta gamma", "en")] * 11 + [("alpha beta", "en")] * 9 + [("hot " * 400 + "tail", "en")]
+    for least, covered, top in ((10, 50, 2000), (3, 30, 7)):
+        assert got(spark, docs, longest=longest, least=least, covered=covered, top=top) == plain(docs, longest, least, covered, top)
+
+
+def test_streams_cut_at_every_row(spark, monkeypatch):
+    """One row a batch, many ranges: everything is carried from task to task."""
+    docs = some_docs(9) + [("hot a b. hot a c. hot b. hot", "en")] * 20
+    want = plain(docs)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    monkeypatch.setattr(m, "small_batches", lambda s, rows=1: s.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1"))
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "61")
+        assert got(spark, docs) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_empty(spark):
+    assert got(spark, []) == set() and got(spark, [(None, None), ("", "en"), ("a b", "en")]) == set()
+
+
+def test_blocks_and_folding(monkeypatch):
+    docs = some_docs(3)
+    block = count_block(["und" if x is None else x for _, x in docs], [t for t, _ in docs], 3)
+    f, n = grams(docs, 3)
+    rows = list(zip(*(block.column(i).to_pylist() for i in range(3))))
+    assert {(g, p): c for g, p, c in rows if p is not None} == {(g[0], " ".join(g[1:])): c for g, c in f.items()}
+    assert {g: c for g, p, c in rows if p is None} == {g: c for g, c in n.items() if c}
+    ranges = [(0, [5, None], [None, None], [True, False]), (1, [None, 3], [None, None], [False, True]),
+              (2, [None, None], [7, 9], [False, False]), (3, [4, 2], [8, 11], [True, True])]
+    assert folded(ranges, 3) == [(0, [None, None], [8, 0]), (1, [5, None], [8, 11]), (2, [5, 3], [8, 11]), (3, [5, 3], [0, 0])]
+
+
+def test_scores_past_64_bits(spark):
+    """The score's arithmetic at counts whose products need 120 bits."""
+    for a, l, r in ((10 ** 15, 10 ** 15 + 7, 3 * 10 ** 15 + 1), (999_999_999_999, 10 ** 12, 10 ** 12), (3, 7, 11)):
+        d = "decimal(38,0)"
+        got = spark.range(1).select(F.lit(a).cast("long").alias("c"), F.lit(l).cast("long").alias("l"), F.lit(r).cast("long").alias("r")) \
+            .select(F.expr(f"cast(cast(c as {d}) * cast(c as {d}) * 1000000 as {d}) div cast(cast(l as {d}) * cast(r as {d}) as {d})")).first()[0]
+        assert got == 10 ** 6 * a * a // (l * r)

@@ -11,9 +11,10 @@ parts. Only sums and counts of the entries reach the driver: parts * entries *
 transformed by the integer Walsh-Hadamard matrix. It is orthogonal up to a
 factor, so the squared differences of the transforms sum to m times the squared
 distance. They are added in sequency order (rows of few sign changes first).
-After the first coefficient, the entry that leads is measured in full; any other
-whose sum passes that bound is out and its remaining coefficients are never
-computed. Sums only grow, so no nearest entry is lost, ties included.
+After the first half of them (three of four in parts of four) the entry that
+leads is measured in full; any other whose sum passes that bound is out and its
+remaining coefficients are never computed. Sums only grow, so no nearest entry
+is lost, ties included.
 
 *Exactness.* No floating point after the flooring. Blocks whose sums provably
 fit 64 bits use int64; others (components past some 2^27) use Python integers.
@@ -64,18 +65,19 @@ def sequency_hadamard(m: int) -> np.ndarray:
     return h[np.argsort((h[:, 1:] != h[:, :-1]).sum(1), kind="stable")]
 
 
-def fits_int64(largest: int, m: int, rows: int) -> bool:
-    """Whether transforms, distances and sums of parts up to ``largest`` in
-    magnitude stay below 2^62."""
-    return 4 * m ** 3 * largest * largest < 1 << 62 and largest * max(rows, 1) < 1 << 62
+def number_type(largest: int, m: int):
+    """The narrowest type in which transforms and scaled distances of parts of
+    m components up to ``largest`` in magnitude are exact."""
+    most = 4 * m ** 3 * largest * largest
+    return np.int32 if most < 1 << 31 else np.int64 if most < 1 << 62 else object
 
 
-def integer_block(vectors: list, scale: int, dim: int) -> np.ndarray:
+def integer_block(vectors: pa.Array, scale: int, dim: int) -> np.ndarray:
     """(rows, dim) of floor(scale * x), zero-padded: int64, or Python integers
     where a component is too large for that. Doubles past 2^52 are whole."""
+    size = vectors.value_lengths().to_numpy()
     flat = np.zeros((len(vectors), dim))
-    for i, v in enumerate(vectors):
-        flat[i, :len(v)] = v
+    flat[np.arange(dim) < size[:, None]] = vectors.flatten().to_numpy()
     if not flat.size or np.abs(flat).max() * scale < 1 << 52:
         return np.floor(flat * scale).astype(np.int64)
     exact = [[math.floor(x * scale) if abs(x) * scale < 1 << 52 else _floor_product(x, scale) for x in row] for row in flat.tolist()]
@@ -90,27 +92,39 @@ def _floor_product(x: float, scale: int) -> int:
 def nearest_entries(x: np.ndarray, books: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """x (rows, parts, width) and books (parts, entries, width), both integer:
     (index of the nearest entry, squared distance), each (rows, parts)."""
-    rows, parts, width = x.shape
-    m = 1 << max(0, width - 1).bit_length()
-    entries = books.shape[1]
+    m = 1 << max(0, x.shape[2] - 1).bit_length()
     largest = max((max(abs(int(a.min())), abs(int(a.max()))) for a in (x, books) if a.size), default=0)
-    kind = np.int64 if fits_int64(largest, m, rows) else object
-    h = sequency_hadamard(m)[:, :width].astype(kind)
-    tx = np.ascontiguousarray(np.moveaxis(x.astype(kind) @ h.T, 2, 0)).reshape(m, rows * parts)
+    kind = number_type(largest, m)
+    h = sequency_hadamard(m)[:, :x.shape[2]].astype(kind)
+    tx = np.ascontiguousarray(np.moveaxis(x.astype(kind) @ h.T, 2, 0))
     tb = np.ascontiguousarray(np.moveaxis(books.astype(kind) @ h.T, 2, 0))  # (m, parts, entries)
+    step = 128  # rows whose differences fit a core's cache
+    found = [_nearest(tx[:, i:i + step], tb) for i in range(0, max(1, x.shape[0]), step)]
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
+def _nearest(tx: np.ndarray, tb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """nearest_entries on transforms (m, rows, parts) and (m, parts, entries)."""
+    m, rows, parts = tx.shape
+    entries = tb.shape[2]
+    tx = tx.reshape(m, rows * parts)
     part = np.tile(np.arange(parts), rows)
 
-    total = tx[0].reshape(rows, parts, 1) - tb[0]
-    total = (total * total).reshape(rows * parts, entries)
+    total = np.zeros((rows, parts, entries), tx.dtype)
+    early = max(1, m // 2, min(3, m - 1))  # whole arrays so far: cheaper than gathering survivors
+    for c in range(early):
+        d = tx[c].reshape(rows, parts, 1) - tb[c]
+        total += d * d
+    total = total.reshape(rows * parts, entries)
     at = np.arange(rows * parts)
     lead = total.argmin(1)
     bound = total[at, lead]
-    for c in range(1, m):
+    for c in range(early, m):
         d = tx[c] - tb[c, part, lead]
         bound = bound + d * d
-    who, entry = np.nonzero((total <= bound[:, None]).astype(bool))
-    total = total[who, entry]
-    for c in range(1, m):
+    left = np.flatnonzero((total <= bound[:, None]).astype(bool))
+    who, entry, total = left // entries, left % entries, total.ravel()[left]
+    for c in range(early, m):
         d = tx[c, who] - tb[c, part[who], entry]
         total = total + d * d
         if c + 1 < m:
@@ -122,6 +136,7 @@ def nearest_entries(x: np.ndarray, books: np.ndarray) -> tuple[np.ndarray, np.nd
     hit = (total == np.repeat(least, np.diff(np.append(first, len(who))))).astype(bool)
     hit = np.flatnonzero(hit)
     hit = hit[np.concatenate([[True], who[hit][1:] != who[hit][:-1]])[:len(hit)]]
+    least = least if least.dtype == object else least.astype(np.int64)
     return entry[hit].reshape(rows, parts), (least // m).reshape(rows, parts)
 
 
@@ -140,7 +155,7 @@ def _blocks(batches, scale: int, parts: int, width: int):
     for b in batches:
         for start in range(0, b.num_rows, 2048):
             t = b.slice(start, 2048)
-            x = integer_block(t.column("v").to_pylist(), scale, parts * width)
+            x = integer_block(t.column("v"), scale, parts * width)
             yield t, x.reshape(len(x), parts, width)
 
 
@@ -209,7 +224,7 @@ def fit_codebooks(df: DataFrame, vec_id: str = "vec_id", vector: str = "embeddin
         return None
     width = -(-dim // parts)
     first = rows.orderBy(F.col("id").asc_nulls_last(), "v").limit(entries).select("v").collect()
-    start = integer_block([r.v for r in first], scale, parts * width).reshape(len(first), parts, width)
+    start = integer_block(pa.array([r.v for r in first], pa.list_(pa.float64())), scale, parts * width).reshape(len(first), parts, width)
     books = Codebooks([[[int(c) for c in e] for e in start[:, p]] for p in range(parts)], width, scale)
     for _ in range(rounds):
         partial = rows.select("v").mapInArrow(_sums(books, parts), "slot long, limb int, value long")

@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from clientlens.llm.vectorcodes import fit_codebooks, integer_block, limbs, nearest_entries, sequency_hadamard, vector_codes
@@ -101,4 +102,4 @@ def test_parts_of_the_method():
     for v in (0, -1, 5, -(1 << 70) - 3, (1 << 200) + 7, (1 << 63) - 1, -(1 << 63)):
         got = list(limbs(v))
         assert sum(x << (48 * i) for i, x in got) == v and all(-(1 << 63) <= x < 1 << 63 for _, x in got)
-    assert integer_block([[0.0039, -0.0039, -1.0]], 256, 4).tolist() == [[0, -1, -256, 0]]
+    assert integer_block(pa.array([[0.0039, -0.0039, -1.0]]), 256, 4).tolist() == [[0, -1, -256, 0]]

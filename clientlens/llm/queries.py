@@ -8,6 +8,7 @@ from clientlens.llm import ann, decontam, jaccard, language, lm, quality, toxici
 from clientlens.llm.archive import read_archive, write_archive
 from clientlens.llm.collocations import collocations
 from clientlens.llm.mixing import mix_to_targets
+from clientlens.llm.packing import pack
 from clientlens.llm.shared import held_out, scratch, table
 from clientlens.llm.vectorcodes import vector_codes
 
@@ -68,6 +69,11 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_components(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(table(spark, sf_dir, "embeddings")).select(F.col("id").alias("vec_id"), "code", "error", "label_error",
                                                                    "codebooks_sha256")
@@ -88,6 +94,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_packing": op11_packing,
     "op12_vector_codes": op12_vector_codes,
     "op13_collocations": op13_collocations,
 }

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import clientlens.llm.collocations as m
-from clientlens.llm.collocations import collocations, count_block, folded
+from clientlens.llm.collocations import collocations, count_block, folded, packed, unpacked
 
 SCHEMA = "text string, lang string, phrase string, k int, c long, w string"
 
@@ -77,17 +77,27 @@ def test_streams_cut_at_every_row(spark, monkeypatch):
             spark.conf.set(k, v)
 
 
+def test_buckets_split_in_several_steps(spark, monkeypatch):
+    docs = some_docs(10) * 3
+    want = plain(docs)
+    for name, value in (("_BLOCK", 700), ("_BUCKET", 300), ("_ROWS", 50), ("_FAN", 2)):
+        monkeypatch.setattr(m, name, value)
+    assert got(spark, docs) == want
+
+
 def test_empty(spark):
     assert got(spark, []) == set() and got(spark, [(None, None), ("", "en"), ("a b", "en")]) == set()
 
 
 def test_blocks_and_folding(monkeypatch):
     docs = some_docs(3)
-    block = count_block(["und" if x is None else x for _, x in docs], [t for t, _ in docs], 3)
+    lang, phrase, c, h = count_block(["und" if x is None else x for _, x in docs], [t for t, _ in docs], 3)
     f, n = grams(docs, 3)
-    rows = list(zip(*(block.column(i).to_pylist() for i in range(3))))
-    assert {(g, p): c for g, p, c in rows if p is not None} == {(g[0], " ".join(g[1:])): c for g, c in f.items()}
-    assert {g: c for g, p, c in rows if p is None} == {g: c for g, c in n.items() if c}
+    rows = list(zip(lang.to_pylist(), phrase.to_pylist(), c.tolist()))
+    back, again = unpacked(packed(phrase.slice(2, 9), c[2:11]))
+    assert back.to_pylist() == phrase.to_pylist()[2:11] and again.tolist() == c[2:11].tolist()
+    assert {(g, p): c for g, p, c in rows if p} == {(g[0], " ".join(g[1:])): c for g, c in f.items()}
+    assert {g: c for g, p, c in rows if not p} == {g: c for g, c in n.items() if c}
     ranges = [(0, [5, None], [None, None], [True, False]), (1, [None, 3], [None, None], [False, True]),
               (2, [None, None], [7, 9], [False, False]), (3, [4, 2], [8, 11], [True, True])]
     assert folded(ranges, 3) == [(0, [None, None], [8, 0]), (1, [5, None], [8, 11]), (2, [5, 3], [8, 11]), (3, [5, 3], [0, 0])]

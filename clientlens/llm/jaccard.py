@@ -97,11 +97,38 @@ def sketch_distance(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def wide_distances(wide: pa.Array, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """sketch_distance of the pairs of rows x[k], y[k], a block of pairs of
+    equally long sketches at a time."""
+    ends = np.frombuffer(wide.buffers()[1], np.int32)[wide.offset:wide.offset + len(wide) + 1].astype(np.int64)
+    data = np.frombuffer(wide.buffers()[2], np.uint8)
+    size = np.diff(ends)
+    swap = size[x] < size[y]
+    x, y = np.where(swap, y, x), np.where(swap, x, y)
+    out = np.zeros(len(x), np.int64)
+    shape = size[x] * (1 << 32) + size[y]
+    for key in np.unique(shape):
+        at = np.flatnonzero(shape == key)
+        nx, ny = int(key) >> 32, int(key) & 0xFFFFFFFF
+        step = max(1, 8_000_000 // nx)
+        for s in range(0, len(at), step):
+            k = at[s:s + step]
+            a = data[ends[x[k]][:, None] + np.arange(nx)].reshape(len(k), -1, ny)
+            b = data[ends[y[k]][:, None] + np.arange(ny)]
+            out[k] = np.bitwise_count(np.bitwise_xor.reduce(a, axis=1) ^ b).sum(1, dtype=np.int64)
+    return out
+
+
 def band_of(n: np.ndarray) -> np.ndarray:
     """0 for sizes under 64, then one band for each power of 4."""
     return np.where(n < 64, 0, np.floor(np.log2(np.maximum(n, 1)) / 2 + 1e-9).astype(np.int64) - 2)
 
 
+def band_top(band: np.ndarray) -> np.ndarray:
+    """The largest size of a band."""
+    return 4 ** (np.asarray(band, np.int64) + 3) - 1
+
+
 def parts_of(band: np.ndarray) -> np.ndarray:
     """How many parts a band's sets are cut into (a power of 2)."""
     return np.where(band == 0, 1 << 16, 2 * 4 ** (np.maximum(band, 1) + 2))
@@ -166,9 +193,11 @@ def _sketch(words: int):
     return run
 
 
-def _leads(words: int, third: float, held):
+def _leads(words: int, least: float, held):
     """Rows (value, node, weight): weight packs the count of uncommon parts
     and the size, so that a group's first row is its best hub."""
+    third = (1 - least) / least  # |A ^ B| <= third * |A| for linked A, B
+
     def run(batches):
         common, done = held.value, set()
         for b in batches:
@@ -188,11 +217,13 @@ def _leads(words: int, third: float, held):
                 most = (n * third).astype(np.int64) + 1
                 own, usual = band_of(n), is_common(h, common)
                 rows = [lead_values(h, owner, own, most, usual)]
-                # the smaller partner may lie in the band below
-                low = (own > 0) & (band_of(np.ceil(n * (1 - third) / (1 + third) * 0.999999).astype(np.int64)) < own)
+                # a smaller partner (of least * n or more) may lie in the band below, whose sizes end at ``top``
+                top = band_top(np.maximum(own - 1, 0))
+                low = (own > 0) & (np.ceil(n * least - 1e-6).astype(np.int64) <= top)
                 pick = low[owner]
                 if pick.any():
-                    rows.append(lead_values(h[pick], owner[pick], np.maximum(own - 1, 0), most, usual[pick]))
+                    fewer = np.floor((n + np.minimum(n, top)) * (1 - least) / (1 + least) + 1e-6).astype(np.int64) + 1
+                    rows.append(lead_values(h[pick], owner[pick], np.maximum(own - 1, 0), np.minimum(most, fewer), usual[pick]))
                 value, who, uncommon = (np.concatenate(x) for x in zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(value.view(np.int64)), pa.array(key[who].view(np.int64)), pa.array((uncommon << 32) | n[who])],
@@ -283,6 +314,7 @@ def _compare(least: float):
         bits = np.stack([table.column(c).to_numpy() for c in _LONGS], 1).view(np.uint64)
         left, right = np.flatnonzero(cols["side"] == 0), np.flatnonzero(cols["side"] == 1)
         ids, comp, n, out = cols["node"], cols["component"], cols["n"], []
+        wide = table.column("wide").combine_chunks()
         step = max(1, 200_000 // max(1, len(right)))
         for s in range(0, len(left), step):
             x = left[s:s + step]
@@ -290,7 +322,10 @@ def _compare(least: float):
             ok = (comp[x][:, None] != comp[right][None]) & (100 * least_n >= num * (both - least_n))
             i, j = np.nonzero(ok)
             apart = np.bitwise_count(bits[x[i]] ^ bits[right[j]]).sum(1, dtype=np.int64)
-            near = apart * (100 + num) <= (100 - num) * both[i, j]
+            near = np.flatnonzero(apart * (100 + num) <= (100 - num) * both[i, j])
+            # the sketches above are as good as full for long texts; these have two bits a shingle
+            apart = wide_distances(wide, x[i[near]], right[j[near]])
+            near = near[apart * (100 + num) <= (100 - num) * both[i[near], j[near]]]
             a, b = ids[x[i[near]]], ids[right[j[near]]]
             out.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
         p = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
@@ -397,8 +432,7 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         .orderBy(F.desc("n"), "common").limit(common_shingles).select("common").toPandas()
     held = spark.sparkContext.broadcast(np.sort(shared["common"].to_numpy(np.int64).view(np.uint64)))
 
-    third = (100 - num) / num  # |A ^ B| <= third * |A| for linked A, B
-    leads = src.select("t").mapInArrow(_leads(words, third, held), "value long, node long, weight long") \
+    leads = src.select("t").mapInArrow(_leads(words, num / 100, held), "value long, node long, weight long") \
         .repartition("value").sortWithinPartitions("value", "weight", "node")
     found = written(leads.mapInArrow(_pairs(least), "a long, b long, kind int"), "jaccard-candidates")
     near = _near(found.filter("kind = 0"), nodes, num)
@@ -407,6 +441,10 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # large groups: members outside the largest component meet the others
     wide = found.filter("kind = 1").select(F.col("a").alias("value"), F.col("b").alias("node")).distinct()
     if wide.take(1):
+        # of groups with the same members one is enough: they hold the same pairs
+        alike = wide.groupBy("value").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                          F.sum(F.pmod(F.xxhash64("node", F.lit(7)), F.lit(1 << 40))).alias("y"))
+        wide = wide.join(alike.groupBy("k", "x", "y").agg(F.min("value").alias("value")).select("value"), "value")
         member = wide.join(parts.select(F.col("u").alias("node"), "component"), "node", "left") \
             .withColumn("component", F.coalesce("component", "node"))
         sizes = member.groupBy("value", "component").agg(F.count(F.lit(1)).alias("k"))
@@ -416,8 +454,8 @@ def similarity_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                              (F.col("value") == F.col("v2")) & (F.col("main") == F.col("c2"))) \
             .select("value", "main", F.ceil((F.col("all") - F.col("mk")) / BLOCK).cast("int").alias("nl"),
                     F.ceil(F.col("all") / BLOCK).cast("int").alias("nr"))
-        member = member.join(groups, "value").join(nodes.select("node", "n", *_LONGS), "node")
-        cols = ["value", "node", "component", "n", *_LONGS]
+        member = member.join(groups, "value").join(nodes.select("node", "n", "wide", *_LONGS), "node")
+        cols = ["value", "node", "component", "n", "wide", *_LONGS]
         place = lambda k: F.pmod(F.xxhash64("node", F.lit(3)), F.col(k)).cast("int")
         left = member.filter("component <> main").select(*cols, F.lit(0).alias("side"), place("nl").alias("i"),
                                                          F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("j"))

@@ -61,15 +61,16 @@ def alert_messages(alerts: DataFrame, ts: str = "ts", node: str = "node", value:
     """One combined message per sample (node, ts): breaches in threshold order
     joined by newlines, one per metric. A reading that is sent again, or several
     of one metric at one time, count once: the largest speaks for the metric.
-    The aggregate holds one entry per distinct (threshold, value) breach. On a
-    stream, give ``alerts`` a watermark on ``ts`` first (append mode)."""
-    each = F.collect_set(F.struct("ordinal", F.col(value).alias("v"), "message"))
-    ordered = F.array_sort(F.col("_each"), lambda x, y: F.when(x["ordinal"] != y["ordinal"], x["ordinal"] - y["ordinal"])
-                           .when(x["v"] > y["v"], -1).when(x["v"] < y["v"], 1).otherwise(0))
-    first = F.filter(F.col("_s"), lambda s, i: (i == 0) | (F.element_at("_s", F.greatest(i, F.lit(1)))["ordinal"] != s["ordinal"]))
-    return (alerts.groupBy(node, ts).agg(each.alias("_each")).withColumn("_s", ordered).withColumn("_s", first)
-                  .select(node, ts, F.size("_s").cast("long").alias("n_alerts"),
-                          F.concat_ws("\n", F.transform("_s", lambda s: s["message"])).alias("message")))
+
+    Two aggregations in a row: the largest breach of each (node, ts, threshold),
+    then the sample's message from at most one row per threshold. Neither holds
+    more than one value per metric, however many readings differ. On a stream,
+    give ``alerts`` a watermark on ``ts`` first (append mode): the second step
+    gets a metric's breach once the watermark has passed the sample."""
+    each = alerts.groupBy(node, ts, "ordinal").agg(F.max_by("message", value).alias("_message"))
+    return (each.groupBy(node, ts).agg(F.array_sort(F.collect_list(F.struct("ordinal", "_message"))).alias("_each"))
+                .select(node, ts, F.size("_each").cast("long").alias("n_alerts"),
+                        F.concat_ws("\n", F.transform("_each", lambda s: s["_message"])).alias("message")))
 
 
 def _packed_order(df: DataFrame, ts: str, tie: str) -> Column | None:

@@ -2,7 +2,8 @@
 
 from clientlens.streaming.monitor import (read_metric_stream, alerts_stream, messages_stream,
                                           latest_stream, history_stream, start_query,
-                                          start_monitor, read_latest)
+                                          start_monitor)
+from clientlens.streaming.latest import compact_latest, latest_writer, read_latest
 
 __all__ = ["read_metric_stream", "alerts_stream", "messages_stream", "latest_stream",
-           "history_stream", "start_query", "start_monitor", "read_latest"]
+           "history_stream", "start_query", "start_monitor", "read_latest", "compact_latest", "latest_writer"]

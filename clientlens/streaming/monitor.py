@@ -3,9 +3,11 @@ applied to a streaming DataFrame, plus a small ``start_query`` helper.
 
 * alerts: stateless, append mode;
 * combined messages and windowed history: watermark on ``ts``, append mode
-  (a window/sample is emitted once the watermark passes it; later rows dropped);
+  (a window/sample is emitted once the watermark passes it; later rows dropped).
+  Messages are two stateful steps in a row: the largest reading of each metric
+  of a sample, then the sample's message;
 * latest value: keyed state, update mode: a batch writes only the keys it
-  changed; ``read_latest`` reduces them to one row per key.
+  changed, and every few batches are merged (``streaming.latest``).
 
 Every query keeps its checkpoint in a folder that the caller names (or beside
 its output), never in a folder of the running application, so a monitor that is
@@ -23,6 +25,7 @@ from pyspark.sql.types import StructType
 from clientlens.operators.metrics import (DEFAULT_THRESHOLDS, alert_messages, latest_metric,
                                           metric_alerts, metric_history)
 from clientlens.sources.schemas import METRIC_SAMPLE
+from clientlens.streaming.latest import latest_writer
 
 
 def read_metric_stream(spark: SparkSession, path: str, schema: StructType = METRIC_SAMPLE,
@@ -77,28 +80,13 @@ def _triggered(writer, available_now: bool, processing_time: str | None):
     return writer.trigger(processingTime=processing_time) if processing_time else writer
 
 
-def _write_epoch(path: str, fmt: str):
-    def write(batch: DataFrame, epoch: int) -> None:
-        # one folder per micro-batch: a batch that is run again replaces its own folder only
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/epoch={epoch}")
-    return write
-
-
-def read_latest(spark: SparkSession, path: str, keys: Sequence[str] = ("node", "metric"), ts: str = "ts",
-                value: str = "value", fmt: str = "parquet") -> DataFrame:
-    """The latest-value table a monitor keeps at ``path``: of each key's rows
-    over the micro-batches the one of the last batch."""
-    rows = spark.read.format(fmt).load(path)
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(ts, value), "epoch").alias("r")).select(*keys, f"r.{ts}", f"r.{value}")
-
-
 def start_monitor(spark: SparkSession, source: str, out: str,
                   thresholds: Sequence[tuple] = DEFAULT_THRESHOLDS, width: str = "1 hour",
                   watermark: str = "10 minutes", schema: StructType = METRIC_SAMPLE,
                   fmt: str = "parquet", name: str = "monitor", available_now: bool = False,
                   processing_time: str = "60 seconds", max_files_per_trigger: int | None = None,
                   ts: str = "ts", node: str = "node", metric: str = "metric",
-                  value: str = "value", checkpoint: str | None = None) -> dict[str, StreamingQuery]:
+                  value: str = "value", checkpoint: str | None = None, compact_every: int = 20) -> dict[str, StreamingQuery]:
     """The monitoring loop as four streaming queries over one source of
     metric samples (default trigger: every 60 s):
 
@@ -107,8 +95,9 @@ def start_monitor(spark: SparkSession, source: str, out: str,
       watermark passes the sample;
     * ``history``  closed ``width`` windows per (node, metric), appended;
     * ``latest``   latest value per (node, metric); of several at one time the
-      largest. Update mode: ``<out>/latest/epoch=N`` holds the keys that batch
-      N changed, and ``read_latest`` gives one row per key.
+      largest. Update mode: each batch writes the keys it changed to
+      ``<out>/latest``; every ``compact_every`` batches are merged into a
+      snapshot, and ``read_latest`` gives one row per key.
 
     Each query's checkpoint is ``<checkpoint>/<query>``, by default
     ``<out>/_checkpoints/<query>``: started again on the same output, every
@@ -129,6 +118,6 @@ def start_monitor(spark: SparkSession, source: str, out: str,
     w = (latest_stream(stream, keys=(node, metric), ts=ts, value=value, tie=value).writeStream
          .queryName(f"{name}_latest").outputMode("update")
          .option("checkpointLocation", f"{ck}/latest")
-         .foreachBatch(_write_epoch(f"{out}/latest", fmt)))
+         .foreachBatch(latest_writer(f"{out}/latest", (node, metric), fmt, compact_every)))
     qs["latest"] = _triggered(w, available_now, processing_time).start()
     return qs

@@ -1,0 +1,135 @@
+"""The latest-value table of a monitor: bounded reads however many batches,
+interrupted compactions, batches run again; combined messages of samples with
+many readings."""
+
+import datetime as dt
+import os
+import random
+
+import pytest
+
+import clientlens.streaming.latest as store
+from clientlens.operators import alert_messages, metric_alerts
+from clientlens.sources import METRIC_SAMPLE
+from clientlens.sources.files import Files
+from clientlens.streaming import compact_latest, latest_writer, messages_stream, read_latest, read_metric_stream, start_query
+
+T0 = dt.datetime(2024, 1, 1, 10, 0)
+
+
+def _batch(spark, rows):
+    return spark.createDataFrame(rows, METRIC_SAMPLE).coalesce(1)
+
+
+def _table(spark, path):
+    return {(r["node"], r["metric"]): (r["ts"], r["value"]) for r in read_latest(spark, path).collect()}
+
+
+def _random_batches(n, seed=1):
+    r = random.Random(seed)
+    return [[(T0 + dt.timedelta(minutes=i), f"n{k}", r.choice(["cpu", "disk"]), float(r.randrange(1000)))
+             for k in r.sample(range(6), r.randrange(1, 4))] for i in range(n)]
+
+
+def _state(batches):
+    return {(node, metric): (ts, v) for b in batches for ts, node, metric, v in b}
+
+
+def test_two_hundred_batches_read_a_bounded_number_of_files(spark, tmp_dir):
+    path, batches = f"{tmp_dir}/latest200", _random_batches(200)
+    write = latest_writer(path, compact_every=25)
+    most = 0
+    for i, rows in enumerate(batches):
+        write(_batch(spark, rows), i)
+        files = Files(spark, path)
+        pointer = store._pointer(files)
+        most = max(most, len([e for e in store._epochs(files) if pointer is None or e > pointer["epoch"]]))
+        if i in (0, 24, 25, 110, 199):
+            assert _table(spark, path) == _state(batches[:i + 1])
+    read = read_latest(spark, path).inputFiles()
+    assert most <= 25 and len([f for f in read if "epoch=" in f]) <= 25
+    assert len({os.path.dirname(f) for f in read if "snapshot=" in f}) == 1
+    # what two pointers need is kept, nothing else
+    assert len([n for n in os.listdir(path) if n.startswith("epoch=")]) <= 50
+    assert len([n for n in os.listdir(path) if n.startswith("snapshot=")]) == 2
+    assert len([n for n in os.listdir(f"{path}/pointer") if n.endswith(".json")]) == 2
+
+
+@pytest.mark.parametrize("step", ["write", "publish", "remove"])
+def test_killed_compaction_loses_nothing(spark, tmp_dir, monkeypatch, step):
+    path, batches = f"{tmp_dir}/killed_{step}", _random_batches(12, seed=2)
+    write = latest_writer(path, compact_every=1000)
+    for i, rows in enumerate(batches[:4]):
+        write(_batch(spark, rows), i)
+    compact_latest(spark, path)
+    for i, rows in enumerate(batches[4:8]):
+        write(_batch(spark, rows), 4 + i)
+    with monkeypatch.context() as m:
+        def killed(*a, **k):
+            raise KeyboardInterrupt
+        if step == "remove":
+            m.setattr(Files, "remove", killed)
+        else:
+            m.setattr(Files, "publish_text", killed)
+        if step == "write":  # a half-written snapshot: no marker, a broken file
+            os.makedirs(f"{path}/snapshot=2")
+            with open(f"{path}/snapshot=2/part-0.parquet", "wb") as f:
+                f.write(b"PAR1 half")
+        else:
+            with pytest.raises(KeyboardInterrupt):
+                compact_latest(spark, path)
+        assert _table(spark, path) == _state(batches[:8])
+    for i, rows in enumerate(batches[8:]):
+        write(_batch(spark, rows), 8 + i)
+    assert _table(spark, path) == _state(batches)
+    compact_latest(spark, path)
+    assert _table(spark, path) == _state(batches)
+    compact_latest(spark, path)  # nothing new
+    assert _table(spark, path) == _state(batches)
+
+
+def test_reader_of_the_previous_pointer_still_finds_its_files(spark, tmp_dir):
+    path, batches = f"{tmp_dir}/reader", _random_batches(9, seed=3)
+    write = latest_writer(path, compact_every=1000)
+    for i, rows in enumerate(batches[:6]):
+        write(_batch(spark, rows), i)
+        if i == 2:
+            compact_latest(spark, path)
+    slow = read_latest(spark, path)  # planned: snapshot 1 and epochs 3-5
+    compact_latest(spark, path)
+    assert {(r["node"], r["metric"]): (r["ts"], r["value"]) for r in slow.collect()} == _state(batches[:6])
+
+
+def test_batch_run_again_and_unfinished_batch(spark, tmp_dir):
+    path, batches = f"{tmp_dir}/again", _random_batches(5, seed=4)
+    write = latest_writer(path, compact_every=3)
+    with pytest.raises(FileNotFoundError):
+        read_latest(spark, path)
+    for i, rows in enumerate(batches):
+        write(_batch(spark, rows), i)
+        write(_batch(spark, rows), i)  # the same batch after a failure, also behind a compaction
+    os.makedirs(f"{path}/epoch=5")     # being written: not read
+    assert _table(spark, path) == _state(batches)
+
+
+def test_messages_state_holds_one_value_per_metric(spark, tmp_dir):
+    """10,000 different readings of one sample: one value per metric is kept, and
+    stream and batch agree."""
+    src = f"{tmp_dir}/many"
+    rows = [(T0, "n1", ("cpu", "disk")[i % 2], 90.0 + i / 1000) for i in range(1, 10_001)]
+    parts = [rows[:5000], rows[5000:], [(T0 + dt.timedelta(hours=1), "n2", "cpu", 1.0)], [(T0 + dt.timedelta(hours=2), "n2", "cpu", 99.0)]]
+    for i, p in enumerate(parts):
+        _batch(spark, p).write.mode("append").parquet(src)
+        for f in os.listdir(src):
+            full = os.path.join(src, f)
+            if os.path.getmtime(full) > 1_700_001_000:
+                os.utime(full, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
+    stream = read_metric_stream(spark, src, max_files_per_trigger=1)
+    q = start_query(messages_stream(stream, "10 minutes"), "many_t", checkpoint=f"{tmp_dir}/many_ck", available_now=True)
+    q.awaitTermination()
+    kept = [[s["numRowsTotal"] for s in p["stateOperators"]] for p in q.recentProgress if p["stateOperators"]]
+    assert max(max(k) for k in kept) <= 2 and all(len(k) == 2 for k in kept)
+    got = [(r["node"], r["n_alerts"], r["message"]) for r in spark.sql("SELECT * FROM many_t").collect()]
+    assert got == [("n1", 2, "High CPU usage: 100.0%\nHigh Disk usage: 99.999%")]
+    batch = alert_messages(metric_alerts(spark.createDataFrame(rows, METRIC_SAMPLE))).collect()
+    assert [(r["node"], r["n_alerts"], r["message"]) for r in batch] == got

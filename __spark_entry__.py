@@ -24,17 +24,20 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clientlens.functions.numeric import round_doubles
-from clientlens.operators import (alert_messages, assemble_scale, category_revenue, category_spending,
+from clientlens.operators import (alert_messages, assemble_scale, bootstrap_interval, bootstrap_sums, category_revenue,
+                                  category_spending,
                                   category_transitions, clean_customers, client_loyalty,
-                                  cluster_stats, customer_summary, describe, distinct_count, encode_flag,
+                                  cluster_stats, customer_summary, describe, describe_by, distinct_count, encode_flag,
                                   fit_checks, global_stats, histogram, hourly_patterns, kmeans_assign, kmeans_fit,
                                   label_segments, latest_first, latest_metric, mean_interval, melt, metric_alerts,
                                   metric_history, processing_stats, retention_by_year, rfm, scatter_points,
                                   segment_members, segment_profile, standardize, top_customers,
                                   vector_columns, weekday_patterns)
+from clientlens.operators.bootstrap import PRIME, poisson_steps
 from clientlens.session import checkpoint_dir
 from clientlens.plans import insights_report, segment_customers, segment_report
 from clientlens.plans.insights import RFM_DESCRIBED
+import harness_jobs
 from harness_tables import (AS_OF_ORDERS, EVENT_THRESHOLDS, EVENTS, FIXED_CENTRES, ORDERS, ORDERS_MONETARY,
                             read_table)
 
@@ -193,6 +196,19 @@ def q_category_mean_interval(spark, sf):
     return mean_interval(_t(spark, sf, "events"), "event_type", "value")
 
 
+def q_category_bootstrap(spark, sf):
+    return bootstrap_interval(_t(spark, sf, "events"), "event_type", "value", "event_id")
+
+
+def q_category_bootstrap_sums(spark, sf):
+    return bootstrap_sums(_t(spark, sf, "events"), "event_type", "value", "event_id")
+
+
+def q_describe_by_category(spark, sf):
+    _shared(spark)
+    return describe_by(_t(spark, sf, "events"), "event_type", "value")
+
+
 def q_customer_summary(spark, sf):
     return customer_summary(_t(spark, sf, "events"), EVENTS)
 
@@ -307,6 +323,9 @@ _QUERIES = {
     "amount_histogram": q_amount_histogram,
     "rfm_histogram": q_rfm_histogram,
     "category_mean_interval": q_category_mean_interval,
+    "category_bootstrap": q_category_bootstrap,
+    "category_bootstrap_sums": q_category_bootstrap_sums,
+    "describe_by_category": q_describe_by_category,
     "customer_summary": q_customer_summary,
     "category_spending": q_category_spending,
     "top_customers": q_top_customers,
@@ -323,6 +342,9 @@ _QUERIES = {
     "segment_report_totals": q_segment_report_totals,
 }
 
+#: jobs that write, reload or stream a table (registered, but not benched)
+_JOBS = harness_jobs.queries(_shared)
+
 
 def _rounded(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +386,7 @@ def _training_data() -> tuple[dict, dict]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _rounded(v) for k, v in _QUERIES.items()} | _training_data()[0]
+    return {k: _rounded(v) for k, v in (_QUERIES | _JOBS).items()} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
@@ -503,6 +525,18 @@ SELECT event_id, user_id, ts, event_type, value FROM (
 WHERE rn = 1 AND event_id IS NOT NULL AND user_id IS NOT NULL AND ts IS NOT NULL
   AND event_type IS NOT NULL AND value IS NOT NULL"""
 
+# Poisson weights as in operators.bootstrap: the seeds of a row, then integer arithmetic
+_BOOTSTRAP_SQL = f"""
+WITH s AS (SELECT event_type, value, md5('0|' || event_id::VARCHAR) AS h FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+a AS (SELECT event_type, value, ('0x' || substr(h, 1, 7))::BIGINT AS a, ('0x' || substr(h, 8, 7))::BIGINT AS b,
+             unnest(range(201)) AS replicate FROM s),
+x0 AS (SELECT *, (a + replicate * b) % {PRIME} AS x FROM a),
+x1 AS (SELECT * REPLACE ((x * x + a + replicate * 48271) % {PRIME} AS x) FROM x0),
+x2 AS (SELECT * REPLACE ((x * x + b + replicate * 69621) % {PRIME} AS x) FROM x1),
+w AS (SELECT event_type, replicate, value,
+             CASE WHEN replicate = 0 THEN 1 ELSE {" + ".join(f"(x >= {t})::BIGINT" for t in poisson_steps())} END AS w FROM x2)
+SELECT event_type, replicate, sum(w)::BIGINT AS weight, sum(w * value) AS total FROM w WHERE w > 0 GROUP BY event_type, replicate"""
+
 _RAW_SQL = {
     "rfm_scores": _RFM_SQL,
     "weekday_patterns": """
@@ -554,6 +588,16 @@ SELECT cluster, 'montant_moyen' AS metric, montant_moyen AS value FROM ({_CLUSTE
 SELECT event_type, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS std,
        avg(value) - 1.96::DOUBLE * stddev_samp(value) / sqrt(count(value)) AS ci_low,
        avg(value) + 1.96::DOUBLE * stddev_samp(value) / sqrt(count(value)) AS ci_high
+FROM events GROUP BY event_type""",
+    "category_bootstrap_sums": _BOOTSTRAP_SQL,
+    "category_bootstrap": f"""
+SELECT event_type, max(weight) FILTER (replicate = 0) AS n, max(total / weight) FILTER (replicate = 0) AS mean,
+       quantile_cont(total / weight, 0.025) FILTER (replicate > 0) AS ci_low,
+       quantile_cont(total / weight, 0.975) FILTER (replicate > 0) AS ci_high
+FROM ({_BOOTSTRAP_SQL}) b GROUP BY event_type""",
+    "describe_by_category": """
+SELECT event_type, count(value) AS count, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min,
+       quantile_cont(value, 0.25) AS p25, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.75) AS p75, max(value) AS max
 FROM events GROUP BY event_type""",
     "customer_summary": _SUMMARY_EVENTS_SQL,
     "category_spending": f"""
@@ -599,6 +643,8 @@ SELECT (dayofweek(o_orderdate) + 1)::INTEGER AS jour_semaine, count(*) AS nombre
 SELECT count(*) AS nombre_clients, avg(value) AS montant_moyen, avg(hour(ts)::DOUBLE) AS age_moyen FROM ({_CLEAN_SQL}) c""",
 }
 
+_RAW_SQL |= harness_jobs.raw_sql(_RAW_SQL)
+
 
 # Double output columns per query, rounded to 4 decimals as ``round_doubles``
 # does: fixed to decimal(38,10) first, then rounded half up.
@@ -620,6 +666,9 @@ _DOUBLES = {
     "amount_histogram": ["bin_start", "bin_end"],
     "rfm_histogram": ["bin_start", "bin_end"],
     "category_mean_interval": ["mean", "std", "ci_low", "ci_high"],
+    "category_bootstrap": ["mean", "ci_low", "ci_high"],
+    "category_bootstrap_sums": ["total"],
+    "describe_by_category": ["mean", "std", "min", "p25", "p50", "p75", "max"],
     "customer_summary": ["total_amount"],
     "category_spending": ["total_amount_mean", "total_amount_sum", "purchase_count_mean"],
     "top_customers": ["total_amount"],
@@ -632,6 +681,7 @@ _DOUBLES = {
     "insights_weekday": ["montant_moyen", "montant_total"],
     "segment_report_totals": ["montant_moyen", "age_moyen"],
 }
+_DOUBLES |= harness_jobs.DOUBLES
 
 
 def _round_sql(name: str, sql: str) -> str:

@@ -25,7 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from clientlens.llm.shared import WORD, written
+from clientlens.llm.shared import WORD, temp_name, written
 
 BITS, STEP = 60, 12
 
@@ -40,25 +40,43 @@ def row_hash(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(whole.cast("binary")), 1, BITS // 4), 16, 10).cast("long")
 
 
+def numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``place``, from 0, in code-point order of ``source``, null
+    last: range-sorted, numbered within each range, and moved on by the sizes of
+    the ranges before it (one row per range)."""
+    rows = written(sources.repartitionByRange(F.col("source").asc_nulls_last()).sortWithinPartitions(F.col("source").asc_nulls_last())
+                   .withColumn("at", F.monotonically_increasing_id()), "mix-sources")
+    part = F.shiftright("at", 33)
+    sizes = sorted((r.part, r.n) for r in rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, ahead = 0, []
+    for p, n in sizes:
+        ahead.append((p, before))
+        before += n
+    ahead = sources.sparkSession.createDataFrame(ahead, "part long, ahead long")
+    return rows.join(F.broadcast(ahead), part == F.col("part")) \
+        .withColumn("place", F.col("ahead") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).drop("at", "part", "ahead")
+
+
 def source_targets(sized: DataFrame, weights: Sequence[float] = (3, 1, 2), ratio: float = 1.5,
                    cap: float = 2.0) -> DataFrame:
     """One row per source: source, source_size, target. ``sized`` has source
-    and size. The windows run over one row per source."""
+    and size. However many sources there are, no task holds all of them: they are
+    numbered by ranges, and the level of the sources that stay below their limit
+    is found by sharing again until none is above, one sum over all sources a time."""
     s = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]),
-                     ((F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights) + 1)
-                     .cast("int"))
-    s = s.withColumn("w", w).withColumn("limit", F.col("source_size") * F.lit(float(cap)))
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    s = numbered(s).withColumn("w", w).withColumn("limit", F.col("source_size") * F.lit(float(cap)))
     s = s.withColumn("r", F.col("limit") / F.col("w"))
-    before = W.orderBy("r", F.col("source").asc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
-    every = W.partitionBy(F.lit(1))
-    s = s.withColumn("level", (F.sum("source_size").over(every) * F.lit(float(ratio))
-                               - F.coalesce(F.sum("limit").over(before), F.lit(0.0)))
-                     / (F.sum("w").over(every) - F.coalesce(F.sum("w").over(before), F.lit(0.0))))
-    # the first row whose level does not exceed its own limit sets the level of all that follow
-    s = s.withColumn("level", F.min(F.when(F.col("level") <= F.col("r"), F.struct("r", "level"))).over(every)["level"])
-    target = F.least("limit", F.coalesce(F.col("level") * F.col("w"), F.col("limit")))
-    return s.select("source", "source_size", target.alias("target"))
+    level, full = None, -1
+    while True:
+        above = F.lit(False) if level is None else F.col("r") < F.lit(level)
+        t = s.agg(F.sum("source_size").alias("all"), F.sum(F.when(above, F.col("limit"))).alias("used"),
+                  F.sum(F.when(~above, F.col("w"))).alias("open"), F.count(F.when(above, 1)).alias("full")).first()
+        if t.all is None or t.full == full or not t.open:
+            break
+        level, full = (t.all * float(ratio) - (t.used or 0.0)) / t.open, t.full
+    share = F.col("limit") if level is None or not (t.open or 0) else F.lit(level) * F.col("w")
+    return s.select("source", "source_size", F.least("limit", share).alias("target"))
 
 
 def mix_to_targets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -99,9 +117,11 @@ def mix_to_targets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     plan = targets.join(edge, F.col("source").eqNullSafe(F.col("e_source")), "left") \
         .select(F.col("source").alias("mix_source"), F.col("source_size").alias("mix_source_size"),
                 F.col("target").alias("mix_target"), "q", "below")
-    out = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_copies", "mix_source", "mix_hash") \
-        .withColumn("mix_size", size).withColumn("mix_hash", h)
-    keep = [c for c in out.columns if c != "mix_hash"]
-    out = out.join(plan, out[source].eqNullSafe(plan["mix_source"]), "left")
-    copies = F.col("q") + F.when(F.col("mix_hash") < F.col("below"), 1).otherwise(0)
-    return out.select(*[out[c] for c in keep], "mix_source_size", "mix_target", copies.cast("int").alias("mix_copies"))
+    out = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_copies")
+    own, at = out.columns, temp_name(out, "mix_hash")
+    plan = plan.select(*[F.col(c).alias(temp_name(out, f"p_{c}")) for c in plan.columns])
+    of, total, target, q, below = (F.col(c) for c in plan.columns)
+    out = out.withColumn("mix_size", size).withColumn(at, h)
+    out = out.join(plan, F.col(source).eqNullSafe(of), "left")
+    copies = q + F.when(F.col(at) < below, 1).otherwise(0)
+    return out.select(*own, "mix_size", total.alias("mix_source_size"), target.alias("mix_target"), copies.cast("int").alias("mix_copies"))

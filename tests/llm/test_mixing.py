@@ -71,3 +71,25 @@ def test_repeated_rows_go_together(spark):
     df = spark.createDataFrame([(1, "a b c", "s")] * 4 + [(2, "a b", "s")] * 2, "doc_id long, text string, source string")
     got = mix_to_targets(df).collect()
     assert len(got) == 6 and len({(r.doc_id, r.mix_copies) for r in got}) == 2
+
+
+def test_columns_of_any_name_stay(spark):
+    extra = ["q", "below", "rest", "h", "prefix", "left", "e_source", "mix_source", "mix_hash", "__mix_hash", "__p_q", "size", "target", "place", "at"]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in extra)
+    df = spark.createDataFrame([(i, "a " * (i % 7), f"s{i % 4}", *extra) for i in range(50)], schema)
+    got = mix_to_targets(df)
+    assert got.columns == [*df.columns, "mix_size", "mix_source_size", "mix_target", "mix_copies"]
+    assert all(tuple(r)[3:3 + len(extra)] == tuple(extra) for r in got.collect()) and got.count() == 50
+
+
+def test_targets_of_many_sources_over_many_ranges(spark):
+    from clientlens.llm.mixing import source_targets
+    sizes = {f"s{i:04d}": (i * 37) % 101 for i in range(700)} | {None: 55, "": 9, "é": 70}
+    df = spark.createDataFrame(list(sizes.items()), "source string, size long").repartition(5)
+    want = shares(sizes)
+    got = {r.source: r.target for r in source_targets(df).collect()}
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(t) for s, t in want.items())
+    plan = source_targets(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert source_targets(df.limit(0)).collect() == []
+    assert [tuple(r) for r in source_targets(spark.createDataFrame([("a", 0)], "source string, size long")).collect()] == [("a", 0, 0.0)]

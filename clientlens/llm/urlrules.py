@@ -3,8 +3,8 @@
 URLs become sets of tokens: host labels, path segments (digit runs as #), query
 keys, fragment. Spark's FP-growth mines the token combinations of labelled URLs
 (the label is an item of its own); rules "tokens -> label" of at least
-``support`` and ``confidence`` and with at most ``longest`` tokens stay, less
-those that a rule on fewer of their tokens already gives as surely. An inverted
+``support`` and ``confidence`` stay, less those that a rule on fewer of their
+tokens already gives as surely. An inverted
 index keeps each rule under its rarest token, so a URL meets only rules whose
 key it has; a rule fires if the URL has all its tokens. The surest rule decides
 (then the better supported, the longer, block before allow); without one the
@@ -13,7 +13,9 @@ verdict is ``default``.
 Given rules (host and path prefix) come first: a rule fits its host and all
 subdomains if the path starts with the rule's; the longest wins. URLs that a
 given rule fits are the labelled set of the registered query: the mining
-carries the given rules' verdicts over to URLs that none of them fits.
+carries the given rules' verdicts over to URLs that none of them fits. That set
+is biased (a given rule picks hosts), so there a host label alone is no
+evidence: such a rule leaves the default. Labels of a caller's own count fully.
 
 DataFrame operations and pyspark.ml only. Verdicts are computed once per
 distinct URL, so copies cost nothing; the index is broadcast only if Spark finds
@@ -31,7 +33,7 @@ from collections.abc import Sequence
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clientlens.llm.shared import ascii_lower, written
+from clientlens.llm.shared import ascii_lower, temp_name, written
 
 #: Given rules, (rule, verdict); the host ends at the first slash.
 RULES: tuple[tuple[str, str], ...] = (
@@ -69,16 +71,16 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(labels, parts, keys, mark))
 
 
-def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, longest: int = 3) -> DataFrame:
+def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, host_alone: bool = True) -> DataFrame:
     """``labelled``: (tokens, label). Returns (rule_id, needs, label,
-    confidence, support)."""
+    confidence, support). ``host_alone``: whether one host label may be a rule."""
     spark = labelled.sparkSession
     rows = written(labelled.select(F.array_append("tokens", F.concat(F.lit(LABEL), F.col("label"))).alias("items")), "url-baskets")
     if not rows.take(1):
         return spark.createDataFrame([], "rule_id long, needs array<string>, label string, confidence double, support double")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence, numPartitions=parts).fit(rows)
-    found = model.associationRules.filter((F.size("antecedent") <= longest) & F.col("consequent")[0].startswith(LABEL)
+    found = model.associationRules.filter(F.col("consequent")[0].startswith(LABEL)
                                           & ~F.exists("antecedent", lambda x: x.startswith(LABEL)))
     found = written(found.select(F.array_sort("antecedent").alias("needs"), F.expr(f"substr(consequent[0], {len(LABEL) + 1})").alias("label"),
                                  "confidence", "support"), "url-rules")
@@ -88,6 +90,8 @@ def mine(labelled: DataFrame, support: float = 0.002, confidence: float = 0.8, l
         .select("needs", "label", "confidence", F.array_remove(F.col("needs"), F.col("x")).alias("l_needs"))
     spare = wide.join(less, "l_needs").filter("l_label = label and l_conf >= confidence").select("needs", "label").distinct()
     kept = found.join(spare, ["needs", "label"], "left_anti")
+    if not host_alone:
+        kept = kept.filter((F.size("needs") > 1) | ~F.col("needs")[0].startswith("h:"))
     return kept.withColumn("rule_id", F.xxhash64("needs", "label"))
 
 
@@ -111,6 +115,7 @@ def judge(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]] =
     ``labelled``: (url, label) to learn from; by default the pages' URLs that a
     given rule fits, with its verdict."""
     src = pages.select(F.col(url).alias("url"))
+    mining = {"host_alone": labelled is not None} | mining
     if labelled is None:
         host, path = host_of(F.col("url")), path_of(F.col("url"))
         rule = given_rule(host, path, rules)
@@ -120,11 +125,13 @@ def judge(pages: DataFrame, url: str = "url", rules: Sequence[tuple[str, str]] =
     mined = written(mine(learn, **mining), "url-kept")
     urls = src.filter("url is not null").distinct()
     urls = written(urls.select("url", tokens(F.col("url"), host_of(F.col("url")), path_of(F.col("url"))).alias("tokens")), "url-tokens")
-    decided = match(urls, mined).select(F.col("url").alias("d_url"), F.col("label").alias("d_label"), F.col("needs").alias("url_mined"))
     have = pages.drop("url_host", "url_path", "url_rule", "url_verdict", "url_mined")
-    out = have.join(decided, have[url] == decided["d_url"], "left")
-    out = out.withColumn("url_host", host_of(F.col(url))).withColumn("url_path", path_of(F.col(url)))
-    out = out.withColumn("url_rule", given_rule(F.col("url_host"), F.col("url_path"), rules))
-    by_rule = F.element_at(F.create_map(*[F.lit(x) for r in rules for x in r]), F.col("url_rule"))
-    return out.withColumn("url_verdict", F.coalesce(by_rule, F.col("d_label"), F.lit(default))) \
-        .withColumn("url_mined", F.when(F.col("url_rule").isNull(), F.col("url_mined"))).drop("d_url", "d_label")
+    d_url, d_label, d_needs = (temp_name(have, c) for c in ("url", "label", "needs"))
+    decided = match(urls, mined).select(F.col("url").alias(d_url), F.col("label").alias(d_label), F.col("needs").alias(d_needs))
+    host, path = host_of(F.col(url)), path_of(F.col(url))
+    rule = given_rule(host, path, rules)
+    by_rule = F.element_at(F.create_map(*[F.lit(x) for r in rules for x in r]), rule)
+    out = have.join(decided, F.col(url) == F.col(d_url), "left")
+    return out.select(*have.columns, host.alias("url_host"), path.alias("url_path"), rule.alias("url_rule"),
+                      F.coalesce(by_rule, F.col(d_label), F.lit(default)).alias("url_verdict"),
+                      F.when(rule.isNull(), F.col(d_needs)).alias("url_mined"))

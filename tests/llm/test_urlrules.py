@@ -36,10 +36,10 @@ def test_host_path_and_rule(spark):
         assert r.r == rule_of(*parts(r.url))
 
 
-def brute(rows, labelled, support, confidence, longest):
+def brute(rows, labelled, support, confidence):
     """Frequent label rules by enumeration, redundancy removed, best match."""
     n, rules = len(labelled), {}
-    sets = {frozenset(c) for t, _ in labelled for k in range(1, longest + 1) for c in itertools.combinations(sorted(t), k)}
+    sets = {frozenset(c) for t, _ in labelled for k in range(1, len(t) + 1) for c in itertools.combinations(sorted(t), k)}
     for s in sets:
         hit = [y for t, y in labelled if s <= set(t)]
         for y in set(hit):
@@ -48,7 +48,7 @@ def brute(rows, labelled, support, confidence, longest):
     kept = {k: v for k, v in rules.items() if not any((k[0] - {x}, k[1]) in rules and rules[(k[0] - {x}, k[1])][0] >= v[0] for x in k[0])}
     out = {}
     for key, t in rows.items():
-        fire = [(c, s, len(need), y) for (need, y), (c, s) in kept.items() if need <= set(t)]
+        fire = [(c, s, len(need), y) for (need, y), (c, s) in kept.items() if need <= set(t) and not (len(need) == 1 and min(need).startswith("h:"))]
         out[key] = max(fire)[3] if fire else None
     return kept, out
 
@@ -57,7 +57,7 @@ def test_mining_and_matching_equal_enumeration(spark):
     src = table(spark, SF, "pages").select("page_id", "url").withColumn("html", F.lit("x")).withColumn("URL_RULE2", F.lit(1))
     tok = {r.url: list(r.t) for r in src.select("url", U.tokens(F.col("url"), U.host_of(F.col("url")), U.path_of(F.col("url"))).alias("t")).collect()}
     learn = [(tok[u], dict(U.RULES)[r]) for u in (x.url for x in src.collect()) if (r := rule_of(*parts(u)))]
-    kept, want = brute(tok, learn, 0.02, 0.8, 3)
+    kept, want = brute(tok, learn, 0.02, 0.8)
     df = spark.createDataFrame(learn, "tokens array<string>, label string")
     mined = U.mine(df, support=0.02, confidence=0.8).collect()
     assert {(frozenset(r.needs), r.label) for r in mined} == set(kept)
@@ -96,3 +96,19 @@ def test_labels_of_the_caller(spark, confidence):
     pages = spark.createDataFrame([(1, "http://spam.org/z"), (2, "http://good1.org/z")], "page_id long, url string")
     got = {r.page_id: r.url_verdict for r in U.judge(pages, labelled=labelled, confidence=confidence).collect()}
     assert got == {1: "block", 2: "allow"}
+
+
+def test_columns_of_any_name_stay(spark):
+    extra = ["d_url", "d_label", "__url", "__label", "__needs", "label", "tokens", "token", "needs", "rule_id", "confidence"]
+    schema = "page_id long, url string, " + ", ".join(f"`{c}` string" for c in extra)
+    df = spark.createDataFrame([(i, u, *extra) for i, u in enumerate(URLS)], schema)
+    got = U.judge(df)
+    assert got.columns == [*df.columns, "url_host", "url_path", "url_rule", "url_verdict", "url_mined"]
+    assert all(tuple(r)[2:2 + len(extra)] == tuple(extra) for r in got.collect()) and got.count() == len(URLS)
+
+
+def test_a_host_label_alone_decides_only_with_labels_of_the_caller(spark):
+    df = spark.createDataFrame([("h:com", "block")] * 9 + [("p:en", "allow")] * 9, "t string, label string") \
+        .select(F.array("t").alias("tokens"), "label")
+    assert {tuple(r.needs) for r in U.mine(df).collect()} == {("h:com",), ("p:en",)}
+    assert {tuple(r.needs) for r in U.mine(df, host_alone=False).collect()} == {("p:en",)}

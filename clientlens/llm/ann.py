@@ -215,7 +215,7 @@ def _rerank(held, k: int):
 
 
 def search(vectors: DataFrame, is_query: str = "id % 20 = 0", vec_id: str = "vec_id", vector: str = "embedding", k: int = 20,
-           centroids: int = 64, probe: float = 0.45, floor: int = 2000, train: int = 20_000, block: int = 8192,
+           centroids: int = 64, probe: float = 0.5, train: int = 20_000, block: int = 8192,
            query_block: int = 2048, seed: int = 3) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of the rows that
     meet ``is_query`` (a SQL condition on ``id``) among all other rows."""
@@ -255,7 +255,7 @@ def search(vectors: DataFrame, is_query: str = "id % 20 = 0", vec_id: str = "vec
     def lookup(d):
         return F.element_at(F.array(*[F.lit(int(d[c])) for c in range(len(first))]), F.col("c1") + 1)
     queries = written(rows.filter(is_query).repartition("id")
-                      .mapInArrow(_route(held, counts, max(probe * n, floor)), f"id long, v {kind}, stop double"), "ann-queries")
+                      .mapInArrow(_route(held, counts, probe * n), f"id long, v {kind}, stop double"), "ann-queries")
     n_query = queries.count()
     q_blocks = max(1, -(-n_query // query_block))
     blocks = F.sequence(F.lit(0), F.lit(q_blocks - 1))

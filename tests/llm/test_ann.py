@@ -24,11 +24,12 @@ def run(spark, x, ids, **options):
     return got
 
 
-def test_recall_on_the_table(spark):
-    rows = table(spark, "/root/testdata/sf0.1", "embeddings").orderBy("vec_id").collect()
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_on_the_tables_with_the_registered_settings(spark, sf):
+    rows = table(spark, f"/root/testdata/{sf}", "embeddings").orderBy("vec_id").collect()
     x, ids = np.array([r.embedding for r in rows], float), np.array([r.vec_id for r in rows])
     got = {}
-    for r in A.search(table(spark, "/root/testdata/sf0.1", "embeddings"), floor=0).collect():
+    for r in A.search(table(spark, f"/root/testdata/{sf}", "embeddings")).collect():
         got.setdefault(r.query_id, {})[r.vec_id] = r.score
     want = brute(x, ids, 20)
     assert set(got) == set(want) and all(len(g) == 20 for g in got.values())
@@ -54,7 +55,7 @@ def test_recall_with_a_third_of_the_rows_equal(spark):
     x[hot] = x[hot[0]]
     x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(float)
     ids = np.arange(6000)
-    got, want = run(spark, x, ids, floor=0), brute(x, ids, 20)
+    got, want = run(spark, x, ids), brute(x, ids, 20)
     few = [len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 20 for q in want if q not in set(hot.tolist())]
     assert np.mean(few) >= 0.9 and min(few) >= 0.5
     own = min(q for q in want if q in set(hot.tolist()))

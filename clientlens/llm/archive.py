@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -53,10 +54,13 @@ def _deflate(level: int):
 
 
 def write_archive(pages: DataFrame, path: str, record_id: str = "page_id", url: str = "url", payload: str = "html",
-                  min_bytes: int = 0, level: int = 6) -> None:
+                  min_bytes: int = 0, level: int = 6, date: str | None = None) -> None:
     """Write ``<path>/payloads`` and ``<path>/headers``. ``payload`` is a
-    string (stored as UTF-8) or binary column."""
+    string (stored as UTF-8) or binary column. ``date`` is the WARC-Date of all
+    records, as ``yyyy-MM-ddTHH:mm:ssZ``; by default the time of this call.
+    Characters that can't stand in a header line are percent-encoded in the URL."""
     small_batches(pages.sparkSession)
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     recs = pages.select(F.col(record_id).alias("id"), F.col(url).cast("string").alias("url"), body.alias("payload")) \
         .withColumn("sha256", F.unhex(F.sha2("payload", 256))).withColumn("sha1", F.sha1("payload")) \
@@ -100,7 +104,8 @@ def write_archive(pages: DataFrame, path: str, record_id: str = "page_id", url:
     head = F.concat_ws(
         "", F.lit("WARC/1.0\r\n"), line("WARC-Type", F.col("record_type")),
         line("WARC-Record-ID", record_urn(F.col("id"), F.col("url"), F.col("copy"))),
-        line("WARC-Target-URI", F.regexp_replace("url", r"[\r\n]", "")),
+        line("WARC-Date", F.lit(date)),
+        line("WARC-Target-URI", F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))),
         F.when(revisit, F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")),
                                  line("WARC-Refers-To", record_urn(F.col("o_id"), F.col("o_url"), F.lit(1))))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),

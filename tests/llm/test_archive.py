@@ -44,6 +44,40 @@ def test_round_trip(spark, tmp_dir):
     assert len({bytes(r.record).split(b"WARC-Record-ID: ")[1][:50] for r in got}) == len(got)
 
 
+def parsed(data: bytes) -> list[tuple[dict, bytes]]:
+    """Records of a WARC file, by the format's grammar alone: version line,
+    named fields up to an empty line, Content-Length bytes, two CRLF."""
+    out, at = [], 0
+    while at < len(data):
+        end = data.index(b"\r\n\r\n", at)
+        version, *lines = data[at:end].decode("utf-8").split("\r\n")
+        assert version == "WARC/1.0"
+        fields = {}
+        for x in lines:
+            name, value = x.split(":", 1)
+            assert re.fullmatch(r"[!#$%&'*+.^_`|~0-9A-Za-z-]+", name) and name not in fields and not set(value) & set("\r\n")
+            fields[name] = value.strip()
+        body = end + 4
+        at = body + int(fields["Content-Length"])
+        out.append((fields, data[body:at]))
+        assert data[at:at + 4] == b"\r\n\r\n"
+        at += 4
+    return out
+
+
+def test_records_parse_and_have_the_mandatory_fields(spark, tmp_dir):
+    got = archived(spark, tmp_dir, ROWS, date="2024-02-15T10:00:00Z")
+    records = parsed(b"".join(bytes(r.record) for r in got))
+    assert len(records) == len(ROWS)
+    for (f, block), r in zip(records, got):
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"} <= set(f)
+        assert f["WARC-Date"] == "2024-02-15T10:00:00Z" and f["WARC-Type"] == r.record_type
+        assert len(block) == (r.payload_bytes if r.record_type == "response" else 0)
+    assert "http://e/%0D%0AX: 1" in {f.get("WARC-Target-URI") for f, _ in records}
+    own = archived(spark, tmp_dir, ROWS[:1], name="now")
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", parsed(bytes(own[0].record))[0][0]["WARC-Date"])
+
+
 def test_each_payload_is_stored_once(spark, tmp_dir):
     archived(spark, tmp_dir, ROWS)
     assert spark.read.parquet(f"{tmp_dir}/a/payloads").count() == len({r[2] or "" for r in ROWS})

@@ -4,11 +4,11 @@ Overlapping heuristic labellers vote bad (0), good (1) or abstain (2) on every
 document. The votes of all documents are counted by vote pattern in Spark (at
 most 3^labellers patterns, whatever the input's size), and expectation
 maximisation over those counts estimates each labeller's vote rates given the
-hidden class. Posterior labels then train a hashed linear scorer of word shapes
-(logistic regression) which scores whole texts.
+hidden class. Posterior labels then train a hashed linear scorer of word shapes and of steps
+of repetition (logistic regression) which scores whole texts.
 
-Only the scorer's training rows are sampled: rows chosen by a hash of their
-text, ``train_rows`` expected. Votes, EM and scoring cover all rows.
+Only the scorer's training rows are sampled: distinct texts chosen by their
+hash, at most ``train_rows`` expected, whatever the copies. Votes, EM and scoring cover all rows.
 
 Defined cases: a null or empty text has no words, all labellers abstain and its
 score is 0 (rejected); an input without any words fits a neutral scorer.
@@ -61,6 +61,29 @@ def facts(text: str, words: list[str]) -> dict[str, float]:
     }
 
 
+#: Steps at which a repetition feature sets in: of the share of the most frequent word and of
+#: copied lines upwards, of variety and of the packed size downwards; and the words it needs.
+_STEPS = {"top": ((0.1, 0.15, 0.25, 0.4), 12), "copied": ((0.2, 0.4, 0.6, 0.8), 12),
+          "variety": ((0.6, 0.5, 0.35, 0.25), 12), "packed": ((0.34, 0.28, 0.22, 0.16), 40)}
+
+
+def repetition(text: str, words: list[str], counts: Counter) -> Iterator[bytes]:
+    """Names of the repetition features of a text with words. Each step passed
+    is one, so a text further out has those of all texts less far out."""
+    n = len(words)
+    if n < 12:
+        return
+    lines = [x for x in text.split("\n") if x.strip()]
+    raw = text.encode("utf-8", "replace")
+    measured = {"top": max(counts.values()) / n, "variety": len(counts) / n ** 0.8,
+                "copied": sum(len(x) * (c - 1) for x, c in Counter(lines).items()) / max(1, sum(map(len, lines))),
+                "packed": len(zlib.compress(raw, 1)) / len(raw) if n >= _STEPS["packed"][1] else 1.0}
+    for name, (steps, _) in _STEPS.items():
+        for step in steps:
+            if measured[name] > step if steps[0] < steps[-1] else measured[name] < step:
+                yield f"<{name} {step}>".encode()
+
+
 def _bad_if(fact: str, test, least: int = 1):
     return lambda f: BAD if f["n"] >= least and test(f[fact]) else ABSTAIN
 
@@ -136,7 +159,10 @@ class Shapes:
         echoes = sum(map(str.__eq__, words, words[1:]))
         if echoes:
             out[zlib.crc32(b"<echo>") % self.dims] += echoes
-        for w, c in Counter(words).items():
+        counts = Counter(words)
+        for name in repetition(text, words, counts):
+            out[zlib.crc32(name) % self.dims] += len(words)
+        for w, c in counts.items():
             k = known.get(w)
             if k is None:
                 if len(known) >= self.keep:
@@ -204,7 +230,8 @@ def fit(docs: DataFrame, text: str = "text", train_rows: int = 20_000, seed: int
 
     share = min(1.0, train_rows / total)
     chosen = docs.select(F.col(text).alias("t")).filter(F.length("t") > 0) \
-        .filter(F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0))
+        .filter(F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0)) \
+        .groupBy(F.xxhash64("t").alias("h")).agg(F.first("t").alias("t"))
 
     @F.pandas_udf("ids array<int>, share array<float>, v array<int>")
     def drawn(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -49,3 +49,25 @@ def test_stage_keeps_columns(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     out = Q.quality_stage(spark, docs, "")
     assert out.columns == docs.columns and 0 < out.count() < docs.count()
+
+
+def test_repetition_of_plain_words_is_rejected(spark):
+    line = "The committee met on Tuesday to discuss the budget for the coming year.\n"
+    other = "Several members asked for more time to read the report.\n"
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model, shapes = Q.fit(docs), Q.Shapes()
+    for text in (line * 100, (line + other) * 100, "buy cheap pills now " * 60):
+        assert model.score(text, shapes) < 0.5
+    assert model.score(line + other + "A text of a few plain sentences, none of which is said twice, is kept.", shapes) > 0.5
+
+
+def test_copies_do_not_pass_the_training_bound(spark, monkeypatch):
+    """A third and more of the rows equal: the scorer's sample has the text once."""
+    docs = spark.createDataFrame([(f"word{i} and some more words {i} here",) for i in range(300)] + [("the same text again and again",)] * 2000,
+                                 "text string")
+    seen = []
+    real = Q.fit_scorer
+    monkeypatch.setattr(Q, "fit_scorer", lambda rows, *a, **k: seen.append(len(rows)) or real(rows, *a, **k))
+    for seed in range(4):
+        Q.fit(docs, train_rows=400, seed=seed)
+    assert max(seen) <= 120  # about a sixth of 301 distinct texts

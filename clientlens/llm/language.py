@@ -313,7 +313,9 @@ def fit(docs: DataFrame, keep: Column | None = None, text: str = "text", lang: s
             yield pd.Series(got)
 
     slot = F.pmod(F.xxhash64("t", F.lit(seed)), F.lit(1 << 20))
-    drawn = rows.filter(slot < F.element_at(bound, F.col("l"))).select("l", slot.alias("s"), cut("t").alias("w")).toPandas()
+    # each distinct text once, so that the bound holds whatever the copies
+    chosen = rows.filter(slot < F.element_at(bound, F.col("l"))).groupBy("l", F.xxhash64("t").alias("h")).agg(F.first("t").alias("t"))
+    drawn = chosen.select("l", slot.alias("s"), cut("t").alias("w")).toPandas()
     drawn = drawn.sort_values(["l", "s"], kind="stable")
     pieces = [(langs.index(l), list(ws)) for l, ss in zip(drawn["l"], drawn["w"]) for ws in ss if len(ws)]
     pieces.sort(key=lambda p: (p[0], zlib.crc32(" ".join(p[1]).encode("utf-8", "replace")), p[1]))

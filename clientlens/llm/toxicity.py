@@ -135,7 +135,7 @@ def fit_weights(rows: list[np.ndarray], label: np.ndarray, pairs: list[tuple[np.
 
 
 def fit(docs: DataFrame, labels: DataFrame, keep=None, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-        train_rows: int = 20_000, max_features: int = 4096, penalty: float = 10.0,
+        train_rows: int = 20_000, penalty: float = 10.0,
         groups: Sequence[Sequence[str]] = IDENTITY_TERMS, seed: int = 11) -> ToxicityModel:
     """Learn from the rows of ``docs`` that ``labels`` marks. ``keep`` is a
     condition on the id (column named ``doc_id``) of rows to learn from."""
@@ -149,7 +149,9 @@ def fit(docs: DataFrame, labels: DataFrame, keep=None, doc_id: str = "doc_id", t
     marks = F.broadcast(marks.filter(slot("doc_id") < part(marks.count())))  # about train_rows rows of 12 bytes
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t")).join(marks, "doc_id")
     n = rows.select("doc_id").count()
-    rows = rows.filter(slot("t") < part(n)) if n > train_rows else rows
+    if n > train_rows:  # an id with many rows: each distinct text once, then by hash
+        rows = rows.groupBy(F.xxhash64("t").alias("h"), "y").agg(F.first("t").alias("t"))
+        rows = rows.filter(slot("t") < part(rows.count()))
 
     @F.pandas_udf("x array<int>, a array<array<int>>, b array<array<int>>")
     def drawn(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -166,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep=None, doc_id: str = "doc_id", t
         p = (pos + 0.5) / (n + 1)
         return ToxicityModel(float(np.log(p / (1 - p))), {})
 
-    # log-likelihood ratio of each feature against the label; the strongest stay
+    # log-likelihood ratio of each feature against the label; all that pass the test stay (train_rows bounds them)
     seen = rows.select("y", F.explode("x").alias("f")).groupBy("f").agg(F.sum("y").alias("k1"), F.count(F.lit(1)).alias("k"))
     def term(o, e):
         return F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
@@ -174,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep=None, doc_id: str = "doc_id", t
     g2 = 2 * (term(k1, F.col("k") * pos / n) + term(k0, F.col("k") * (n - pos) / n)
               + term(pos - k1, (n - F.col("k")) * pos / n) + term(n - pos - k0, (n - F.col("k")) * (n - pos) / n))
     chosen = seen.filter((F.col("k1") >= 3) & (F.col("k1") / F.col("k") > 2 * pos / n)).withColumn("g2", g2) \
-        .filter("g2 > 24").orderBy(F.desc("g2"), "f").limit(max_features)
+        .filter("g2 > 24").orderBy(F.desc("g2"), "f")
     ids = [r.f for r in chosen.select("f").collect()]
     at = {f: i for i, f in enumerate(ids)}
     if not ids:

@@ -104,24 +104,44 @@ def phrase_matches(index: DataFrame, windows: DataFrame, terms: DataFrame) -> Da
     return both.filter("size <= 2").unionByName(hit.select("k", "win", "start", "size"))
 
 
+def _with_near(near: DataFrame, words: DataFrame, post: DataFrame, within: int) -> DataFrame:
+    """(k, win, at, n): how many of the window's ``words`` (win, tid) have an
+    occurrence at most ``within`` words from ``at`` in the row. Positions meet by
+    row, term and slot of 2 * within + 1 words, so that an occurrence meets those
+    of its two nearest slots only, however often a row repeats a word."""
+    slot = 2 * within + 1
+    need = near.join(words, "win").select("k", "win", "at", "tid", F.explode(F.array_distinct(F.array(
+        F.floor((F.col("at") - within) / slot), F.floor((F.col("at") + within) / slot)))).alias("slot"))
+    held = post.withColumn("slot", F.floor(F.col("pos") / slot))
+    return need.join(held, ["k", "tid", "slot"]).filter(F.abs(F.col("pos") - F.col("at")) <= within) \
+        .groupBy("k", "win", "at").agg(F.count_distinct("tid").alias("n"))
+
+
 def proximity_matches(index: DataFrame, windows: DataFrame, terms: DataFrame, within: int = 20) -> DataFrame:
     """(k, pos, win): all distinct words of the window lie at most ``within``
-    words from its rarest word's occurrence at ``pos``."""
+    words from its rarest word's occurrence at ``pos``. The second rarest word is
+    looked for first; the others only where it is near."""
     ranked = _ranked(index, windows, terms)
+    words = ranked.groupBy("win", "tid").agg(F.min("rank").alias("rank"))
+    by = W.partitionBy("win")
+    words = written(words.withColumn("nth", F.row_number().over(by.orderBy("rank")))
+                    .withColumn("size", F.count(F.lit(1)).over(by)).select("win", "tid", "nth", "size"), "decontam-words")
     post = index.filter("tid > 0").select("k", "pos", "tid").distinct()
-    near = post.join(ranked.filter("rank = 1").select("tid", "win"), "tid").select("k", "win", F.col("pos").alias("at"))
-    words = ranked.select("win", "tid").distinct()
-    size = words.groupBy("win").agg(F.count(F.lit(1)).alias("size"))
-    need = near.join(words, "win")
-    hit = need.join(post, ["k", "tid"]).filter(F.abs(F.col("pos") - F.col("at")) <= within)
-    return hit.groupBy("k", "win", "at").agg(F.count_distinct("tid").alias("n")).join(size, "win").filter("n = size") \
+    near = post.join(words.filter("nth = 1").select("tid", "win", "size"), "tid").select("k", "win", F.col("pos").alias("at"), "size")
+    alone = near.filter("size = 1").select("k", "win", "at")
+    two = _with_near(near.filter("size > 1").select("k", "win", "at"), words.filter("nth = 2").select("win", "tid"), post, within)
+    two = written(two.select("k", "win", "at").join(words.filter("nth = 1").select("win", "size"), "win"), "decontam-near")
+    rest = _with_near(two.filter("size > 2").select("k", "win", "at"), words.filter("nth > 2").select("win", "tid"), post, within)
+    rest = rest.join(words.filter("nth = 1").select("win", "size"), "win").filter("n = size - 2")
+    return alone.unionByName(two.filter("size = 2").select("k", "win", "at")).unionByName(rest.select("k", "win", "at")) \
         .select("k", F.col("at").alias("pos"), "win")
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", size: int = WINDOW) -> DataFrame:
+                  item_text: str = "text", size: int = WINDOW, within: int | None = None) -> DataFrame:
     """One row per row of ``docs``: doc_id, k (row key), n_words, n_hit (words
-    inside an occurrence of any window), item_ids (sorted as strings)."""
+    inside an occurrence of any window), item_ids (sorted as strings). With
+    ``within`` also n_near: the distinct windows with a proximity match."""
     windows = written(windows_of(items, item_id, item_text, size), "decontam-windows")
     terms = vocabulary(windows)
     index = build_index(docs, terms, doc_id, text)
@@ -136,9 +156,14 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     lists = found.select("k", "win").distinct().join(named, "win").select("k", "item_id").distinct() \
         .groupBy("k").agg(F.array_sort(F.collect_list("item_id")).alias("item_ids"))  # at most the benchmark's ids
     rows = index.filter("tid = 0").select("doc_id", "k", "n_words")
-    return rows.join(hits, "k", "left").join(lists, "k", "left") \
-        .select("doc_id", "k", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
+    out = rows.join(hits, "k", "left").join(lists, "k", "left")
+    more = []
+    if within is not None:
+        near = proximity_matches(index, windows, terms, within).groupBy("k").agg(F.count_distinct("win").alias("n_near"))
+        out = out.join(near, "k", "left")
+        more = [F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")]
+    return out.select("doc_id", "k", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+                      F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"), *more)
 
 
 def is_contaminated(n_hit: Column, n_words: Column) -> Column:

@@ -55,10 +55,14 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    c = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), within=NEAR)
     return c.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
-                    decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+                    decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"), "n_near")
+
+
+#: how near, in words, a window's words lie to its rarest in a proximity match
+NEAR = 20
 
 
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,11 +159,25 @@ hit AS (SELECT rid, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT rid, unnest(
 its AS (SELECT rid, count(*)::BIGINT AS n_items, string_agg(i, ',' ORDER BY i) AS ids
         FROM (SELECT DISTINCT rid, item_id::VARCHAR AS i FROM m WHERE item_id IS NOT NULL) GROUP BY rid)"""
 
-OP8_SQL = "WITH " + _DECONTAM_CTES.format(docs="documents") + """
+# proximity: the rarest word of a window, then all its other words near it
+_NEAR_CTES = f""",
+wt AS (SELECT g, unnest(g) AS term, unnest(range(len(g))) AS off FROM (SELECT DISTINCT g FROM win)),
+pt AS (SELECT rid, pos, term FROM (SELECT rid, unnest(w) AS term, unnest(range(len(w))) AS pos FROM dw) WHERE term IN (SELECT term FROM wt)),
+df AS (SELECT term, count(*) AS df FROM pt GROUP BY term),
+wd AS (SELECT g, wt.term, min(off) AS off, any_value(df) AS df FROM wt LEFT JOIN df ON wt.term = df.term GROUP BY g, wt.term),
+rk AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY df, off) AS nth, count(*) OVER (PARTITION BY g) AS size,
+              count(df) OVER (PARTITION BY g) AS found FROM wd),
+rare AS (SELECT pt.rid, pt.pos, rk.g, rk.size FROM pt JOIN rk ON pt.term = rk.term WHERE nth = 1 AND found = size),
+nr AS (SELECT rid, count(DISTINCT g)::BIGINT AS n_near FROM (
+         SELECT rare.rid, rare.pos, rare.g FROM rare JOIN rk ON rare.g = rk.g
+         JOIN pt ON pt.rid = rare.rid AND pt.term = rk.term AND pt.pos BETWEEN rare.pos - {NEAR} AND rare.pos + {NEAR}
+         GROUP BY rare.rid, rare.pos, rare.g, rare.size HAVING count(DISTINCT rk.term) = rare.size) GROUP BY rid)"""
+
+OP8_SQL = "WITH " + _DECONTAM_CTES.format(docs="documents") + _NEAR_CTES + """
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM dw LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)"""
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near
+FROM dw LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid) LEFT JOIN nr USING (rid)"""
 
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,35 @@ def test_proximity(spark):
     assert D.phrase_matches(index, w, terms).count() == 0
 
 
+def near_brute(rows, items, within, size=13):
+    """Windows with a proximity match of every row, by going through all positions."""
+    split = lambda t: [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")) if w]
+    docs = [split(t) for _, t in rows]
+    df = Counter(w for d in docs for w in d)
+    wins = {tuple(w[i:i + size]) for _, t in items if (w := split(t)) for i in range(max(len(w) - size, 0) + 1)}
+    out = []
+    for (i, _), d in zip(rows, docs):
+        n = 0
+        for win in wins:
+            if all(df[w] for w in win):
+                rare = min(range(len(win)), key=lambda o: (df[win[o]], o))
+                n += any(set(win) <= set(d[max(0, p - within):p + within + 1]) for p, w in enumerate(d) if w == win[rare])
+        out.append((i, n))
+    return sorted(out)
+
+
+def test_proximity_equals_brute_force_also_in_long_texts(spark):
+    r = random.Random(4)
+    words = [f"w{i}" for i in range(30)] + ["the"] * 20
+    rows = [(i, " ".join(r.choice(words) for _ in range(r.randrange(120)))) for i in range(60)]
+    rows += [(90, "the " * 20_000 + "w1 w2"), (91, "w1 " * 9_000 + "w2 w3 " + "the " * 50), (92, None), (93, "w1 w2")]
+    items = [(1, "w1 w2"), (2, "the w1 w1 w3"), (3, "w4"), (4, " ".join(f"w{i}" for i in range(6)) + " the"), (5, "unseen w1"), (6, None)]
+    for within in (1, 4, 20):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        got = D.contamination(df, spark.createDataFrame(items, "item_id long, text string"), within=within)
+        assert sorted((x.doc_id, x.n_near) for x in got.collect()) == near_brute(rows, items, within)
+
+
 def test_stage(spark, tmp_dir, documents):
     spark.createDataFrame([(1, " ".join(f"k{i}" for i in range(15)))], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
     docs = documents([(1, " ".join(f"K{i}" for i in range(15))), (2, "clean words"), (3, None), (1, "clean too"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 #: modulus of the weights' generator: a prime whose squares fit a long
 PRIME = 2_147_483_647
@@ -24,18 +24,21 @@ def poisson_steps(prime: int = PRIME) -> list[int]:
     return steps
 
 
-def row_weight(a: Column, b: Column, replicate: Column) -> Column:
-    """Poisson(1) weight of a row in a replicate, from the row's two 28-bit
-    seeds: integer arithmetic only, so every engine and partitioning agrees."""
+def _weighted(rows: DataFrame) -> DataFrame:
+    """``rows`` with the Poisson(1) weight ``_w`` of (row, replicate), from the
+    row's two 28-bit seeds: integer arithmetic only, so every engine and
+    partitioning agrees. Replicate 0 weighs 1. A column a step, since each step
+    uses the last one twice."""
     p = F.lit(PRIME).cast("long")
-    x = (a + replicate * b) % p
-    x = (x * x + a + replicate * 48_271) % p
-    x = (x * x + b + replicate * 69_621) % p
+    r, x = F.col("replicate"), F.col("_u")
+    rows = rows.withColumn("_u", (F.col("_a") + r * F.col("_b")) % p)
+    rows = rows.withColumn("_u", (x * x + F.col("_a") + r * 48_271) % p)
+    rows = rows.withColumn("_u", (x * x + F.col("_b") + r * 69_621) % p)
     steps = poisson_steps()
     weight = F.lit(len(steps))
     for k in range(len(steps) - 1, -1, -1):
         weight = F.when(x < steps[k], k).otherwise(weight)
-    return weight
+    return rows.withColumn("_w", F.when(r == 0, 1).otherwise(weight))
 
 
 def bootstrap_sums(df: DataFrame, key: str, value: str, row_id: str, replicates: int = 200, seed: int = 0) -> DataFrame:
@@ -53,8 +56,7 @@ def bootstrap_sums(df: DataFrame, key: str, value: str, row_id: str, replicates:
     part = lambda i: F.conv(F.substring(h, i, 7), 16, 10).cast("long")
     rows = df.where(x.isNotNull() & ~F.isnan(x)).select(F.col(key).alias(key), x.alias("_x"), part(1).alias("_a"), part(8).alias("_b"))
     rows = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(replicates).cast("long"))).alias("replicate"))
-    w = F.when(F.col("replicate") == 0, 1).otherwise(row_weight(F.col("_a"), F.col("_b"), F.col("replicate")))
-    return (rows.withColumn("_w", w).where("_w > 0").groupBy(key, "replicate")
+    return (_weighted(rows).where("_w > 0").groupBy(key, "replicate")
                 .agg(F.sum("_w").cast("long").alias("weight"), F.sum(F.col("_w") * F.col("_x")).alias("total")))
 
 

@@ -8,6 +8,7 @@ import pytest
 
 from clientlens.llm import lm as M
 from clientlens.llm.shared import held_out, table
+from clientlens.llm.shingles import word_spans
 
 LOW = {i: i + 32 for i in range(65, 91)}
 
@@ -169,3 +170,27 @@ def test_equal_windows_score_equally_wherever_they_stand():
     x[::3] = x[0]
     got = m.log_prob(x[:, :-1], x[:, SKIP + 1:])
     assert len(np.unique(got[::3], axis=0)) == 1
+
+
+def test_beats_a_subword_unigram_on_held_out_texts(spark):
+    """Counted on the same subwords of the same learning texts, smoothed alike."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = docs.select("doc_id", "text", held_out("doc_id", 5).alias("h")).collect()
+    sub = M.coder(M.read_ranks(M.VOCABULARY))
+
+    def subwords(texts):
+        raw, start, end, h, owner = word_spans(texts)
+        _, inverse, slot = sub.slots(raw, start, end, h)
+        ids, per_word = sub.expand(slot[inverse])
+        return ids, np.bincount(owner, per_word, len(texts)).astype(int)
+
+    learn = [r.text or "" for r in rows if not r.h]
+    count = np.bincount(subwords(learn)[0], minlength=sub.size).astype(float)
+    count[sub.end] += len(learn)
+    log = np.log10((count + 0.1) / (count.sum() + 0.1 * sub.size))
+    held = [r for r in rows if r.h]
+    ids, n = subwords([r.text or "" for r in held])
+    unigram = np.bincount(np.repeat(np.arange(len(held)), n), log[ids], len(held)) + log[sub.end]
+    got = {r.doc_id: r.score for r in M.score_texts(docs, held_out("doc_id", 5)).filter("held_out").collect()}
+    score = np.array([got[r.doc_id] for r in held])
+    assert (score > unigram).mean() > 0.95 and score.sum() > 0.85 * unigram.sum()

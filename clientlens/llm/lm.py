@@ -41,7 +41,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clientlens.llm.shared import small_batches, text_blocks, written
 from clientlens.llm.shingles import grouped, mix, word_spans
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 WINDOW, STRIDE, DIMS, CLASSES, HEAVY = 24, 20, 16, 64, 1 << 20
 PROFILE = 64  # hash slots of the tokens before or after a token
 _BLOCK = 1_000_000
@@ -460,10 +459,11 @@ def _score(held, heavy, shape: tuple[float, float, int]):
     return run
 
 
-def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
+def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, doc_id: str = "doc_id", text: str = "text",
                 train_windows: int = 16_000, seed: int = 2, train_share: float = 1.0) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
-    every row; learns from rows that are not ``held_out``."""
+    every row; learns from rows that are not ``held_out``. ``vocabulary`` is a file
+    of ranks that the driver reads."""
     spark = docs.sparkSession
     small_batches(spark)
     ranks = read_ranks(vocabulary)

@@ -45,7 +45,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm.score_texts(table(spark, sf_dir, "documents"), held_out("doc_id", 5))
+    import public_tokenizers
+    return lm.score_texts(table(spark, sf_dir, "documents"), held_out("doc_id", 5), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,12 +207,27 @@ h AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS c
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM o, h"""
 
 
+# all pairs by shared shingles, then everything that links reach
+OP10_SQL = """
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+         lambda x: x <> '') AS w FROM documents),
+sh AS (SELECT DISTINCT rid, array_to_string(w[s + 1:s + 5], ' ') AS g
+       FROM (SELECT rid, w, unnest(range(greatest(len(w) - 5, 0) + 1)) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*)::BIGINT AS n FROM sh GROUP BY rid),
+p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM sh a JOIN sh b USING (g) WHERE a.rid < b.rid GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r AS (SELECT rid AS x, rid AS y FROM d UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT a.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(b.doc_id) AS component_id
+FROM r JOIN d a ON a.rid = r.x JOIN d b ON b.rid = r.y LEFT JOIN n ON n.rid = a.rid GROUP BY a.rid, a.doc_id"""
+
 OP12_SQL = _codes_sql()
 OP13_SQL = """
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                   '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-s AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+s AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM p),
 g AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM s
       UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM s WHERE len(w) >= 2
       UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM s WHERE len(w) >= 3),
@@ -230,5 +246,6 @@ o AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a
 SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
 FROM o JOIN n USING (lang) WHERE rank <= 2000"""
 
-ORACLE_SQL = {"op3_warc_archive": OP3_SQL, "op7_mix_sources": OP7_SQL, "op8_decontamination": OP8_SQL, "op12_vector_codes": OP12_SQL,
+ORACLE_SQL = {"op3_warc_archive": OP3_SQL, "op7_mix_sources": OP7_SQL, "op8_decontamination": OP8_SQL,
+              "op10_ngram_jaccard": OP10_SQL, "op12_vector_codes": OP12_SQL,
               "op13_collocations": OP13_SQL}

@@ -4,12 +4,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 
 from clientlens.llm import lm as M
 from clientlens.llm.shared import held_out, table
 from clientlens.llm.shingles import word_spans
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 LOW = {i: i + 32 for i in range(65, 91)}
 
 
@@ -111,25 +113,25 @@ def test_base_score(spark, monkeypatch, heavy):
     """With HEAVY = 8 nearly all words take the joined path."""
     monkeypatch.setattr(M, "HEAVY", heavy)
     docs = table(spark, "/root/testdata/sf0.001", "documents")
-    check([(r.doc_id, r.text) for r in docs.collect()], M.score_texts(docs, held_out("doc_id", 5), train_windows=50).collect())
+    check([(r.doc_id, r.text) for r in docs.collect()], M.score_texts(docs, held_out("doc_id", 5), VOCABULARY, train_windows=50).collect())
 
 
 def test_odd_rows(spark, documents):
     rows = [(1, None), (2, ""), (2, "A a À à"), (2, "A a À à"), (None, "a b"), (7, "long " * 50_000), (8, "x" * 20_000), (9, "퟿ \x0b \x1c 🙂")]
-    got = M.score_texts(documents(rows).withColumnRenamed("lang", "score").withColumnRenamed("source", "row"), held_out("doc_id", 5)).collect()
+    got = M.score_texts(documents(rows).withColumnRenamed("lang", "score").withColumnRenamed("source", "row"), held_out("doc_id", 5), VOCABULARY).collect()
     check(rows, got)
     assert len({r.score for r in got if r.n_tokens == 5 and r.doc_id == 2}) == 1
-    assert M.score_texts(documents([]), held_out("doc_id", 5)).collect() == []
+    assert M.score_texts(documents([]), held_out("doc_id", 5), VOCABULARY).collect() == []
 
 
 def test_all_rows_held_out(spark, documents):
     i = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 1)
-    check([(i, "only this")], M.score_texts(documents([(i, "only this")]), held_out("doc_id", 5)).collect())
+    check([(i, "only this")], M.score_texts(documents([(i, "only this")]), held_out("doc_id", 5), VOCABULARY).collect())
 
 
 def test_learning_helps_on_held_out_texts(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
-    some, none = (sum(r.score for r in M.score_texts(docs, held_out("doc_id", 5), train_windows=w).filter("held_out").collect()) for w in (2000, 0))
+    some, none = (sum(r.score for r in M.score_texts(docs, held_out("doc_id", 5), VOCABULARY, train_windows=w).filter("held_out").collect()) for w in (2000, 0))
     assert some > none * 0.97  # scores are negative: closer to 0 by 3 % at least
 
 
@@ -156,7 +158,7 @@ def test_training_grows_with_the_text(spark, documents, monkeypatch):
         held.append((rows, counts, before, after, few, fit(drawn, counts, before, after, train_windows, seed)))
         return held[-1][-1]
     monkeypatch.setattr(M, "fit", spy)
-    M.score_texts(documents(list(enumerate(texts))), held_out("doc_id", 9999), train_windows=30, train_share=0.5).collect()
+    M.score_texts(documents(list(enumerate(texts))), held_out("doc_id", 9999), VOCABULARY, train_windows=30, train_share=0.5).collect()
     rows, counts, before, after, few, model = held[0]
     assert len({bytes(r.line) for r in rows}) == len(rows) > 20 * 6  # far more than train_windows, and than texts
     assert before.sum() == after.sum() == counts.sum() and (before.sum(1) == counts).all()
@@ -176,7 +178,7 @@ def test_beats_a_subword_unigram_on_held_out_texts(spark):
     """Counted on the same subwords of the same learning texts, smoothed alike."""
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     rows = docs.select("doc_id", "text", held_out("doc_id", 5).alias("h")).collect()
-    sub = M.coder(M.read_ranks(M.VOCABULARY))
+    sub = M.coder(M.read_ranks(VOCABULARY))
 
     def subwords(texts):
         raw, start, end, h, owner = word_spans(texts)
@@ -191,6 +193,6 @@ def test_beats_a_subword_unigram_on_held_out_texts(spark):
     held = [r for r in rows if r.h]
     ids, n = subwords([r.text or "" for r in held])
     unigram = np.bincount(np.repeat(np.arange(len(held)), n), log[ids], len(held)) + log[sub.end]
-    got = {r.doc_id: r.score for r in M.score_texts(docs, held_out("doc_id", 5)).filter("held_out").collect()}
+    got = {r.doc_id: r.score for r in M.score_texts(docs, held_out("doc_id", 5), VOCABULARY).filter("held_out").collect()}
     score = np.array([got[r.doc_id] for r in held])
     assert (score > unigram).mean() > 0.95 and score.sum() > 0.85 * unigram.sum()

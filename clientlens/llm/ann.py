@@ -4,7 +4,7 @@ Vectors are cut in half and each half is quantised by its own k-means
 codebook; a cell of the index is a pair of centroids. For a query both halves'
 centroids are sorted by inner product, and a heap walks the centroid pairs in
 falling order of the summed products until the cells met hold ``probe`` of all
-entries (``floor`` at least). The entries of those cells are reranked by the
+entries (k and the query's own at least). The entries of those cells are reranked by the
 exact inner product in double precision.
 
 An entry is a distinct vector with the ``k + 1`` smallest ids that have it (no
@@ -218,7 +218,8 @@ def search(vectors: DataFrame, is_query: str = "id % 20 = 0", vec_id: str = "vec
            centroids: int = 64, probe: float = 0.5, train: int = 20_000, block: int = 8192,
            query_block: int = 2048, seed: int = 3) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of the rows that
-    meet ``is_query`` (a SQL condition on ``id``) among all other rows."""
+    meet ``is_query`` (a SQL condition on ``id``) among all other rows. A walk
+    meets the share ``probe`` of the entries, and never fewer than k and its own."""
     spark = vectors.sparkSession
     rows = usable(vectors, vec_id, vector)
     kind = rows.schema["v"].dataType.simpleString()
@@ -255,7 +256,7 @@ def search(vectors: DataFrame, is_query: str = "id % 20 = 0", vec_id: str = "vec
     def lookup(d):
         return F.element_at(F.array(*[F.lit(int(d[c])) for c in range(len(first))]), F.col("c1") + 1)
     queries = written(rows.filter(is_query).repartition("id")
-                      .mapInArrow(_route(held, counts, probe * n), f"id long, v {kind}, stop double"), "ann-queries")
+                      .mapInArrow(_route(held, counts, max(probe * n, k + 1)), f"id long, v {kind}, stop double"), "ann-queries")
     n_query = queries.count()
     q_blocks = max(1, -(-n_query // query_block))
     blocks = F.sequence(F.lit(0), F.lit(q_blocks - 1))

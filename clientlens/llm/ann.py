@@ -18,7 +18,7 @@ Only centroids, cell counts (bounded by centroids^2) and a training sample of
 ``train`` vectors reach the driver.
 
 Isotropic vectors are the hard case (neighbours are hardly nearer than the
-rest): with 64 centroids a half, 45 % of the entries are needed for a recall
+rest): with 64 centroids a half, half of the entries are needed for a recall
 above 0.9; clustered data need far less. ``probe`` sets the trade.
 
 Defined cases: null or zero vectors, and those with null or non-finite

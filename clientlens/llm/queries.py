@@ -56,16 +56,22 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), within=NEAR)
+    c = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return c.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
-                    decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"), "n_near")
+                    decontam.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
 #: how near, in words, a window's words lie to its rarest in a proximity match
 NEAR = 20
 
 
+def benchmark_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other kind of match of operator 8, on whole tables: how many windows
+    a document has with all words near an occurrence of the rarest."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), within=NEAR).select("doc_id", "n_near")
+
+
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), is_query="id % 20 = 0", k=20)
 
@@ -102,6 +108,7 @@ QUERIES = {
     "op11_packing": op11_packing,
     "op12_vector_codes": op12_vector_codes,
     "op13_collocations": op13_collocations,
+    "benchmark_proximity": benchmark_proximity,
 }
 
 # DuckDB SQL ----------------------------------------------------------------
@@ -174,11 +181,14 @@ nr AS (SELECT rid, count(DISTINCT g)::BIGINT AS n_near FROM (
          JOIN pt ON pt.rid = rare.rid AND pt.term = rk.term AND pt.pos BETWEEN rare.pos - {NEAR} AND rare.pos + {NEAR}
          GROUP BY rare.rid, rare.pos, rare.g, rare.size HAVING count(DISTINCT rk.term) = rare.size) GROUP BY rid)"""
 
-OP8_SQL = "WITH " + _DECONTAM_CTES.format(docs="documents") + _NEAR_CTES + """
+OP8_SQL = "WITH " + _DECONTAM_CTES.format(docs="documents") + """
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near
-FROM dw LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid) LEFT JOIN nr USING (rid)"""
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)"""
+
+PROXIMITY_SQL = "WITH " + _DECONTAM_CTES.format(docs="documents") + _NEAR_CTES + """
+SELECT doc_id, coalesce(n_near, 0) AS n_near FROM dw LEFT JOIN nr USING (rid)"""
 
 
 
@@ -248,4 +258,5 @@ FROM o JOIN n USING (lang) WHERE rank <= 2000"""
 
 ORACLE_SQL = {"op3_warc_archive": OP3_SQL, "op7_mix_sources": OP7_SQL, "op8_decontamination": OP8_SQL,
               "op10_ngram_jaccard": OP10_SQL, "op12_vector_codes": OP12_SQL,
-              "op13_collocations": OP13_SQL}
+              "op13_collocations": OP13_SQL,
+              "benchmark_proximity": PROXIMITY_SQL}

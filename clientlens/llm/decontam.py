@@ -104,36 +104,40 @@ def phrase_matches(index: DataFrame, windows: DataFrame, terms: DataFrame) -> Da
     return both.filter("size <= 2").unionByName(hit.select("k", "win", "start", "size"))
 
 
-def _with_near(near: DataFrame, words: DataFrame, post: DataFrame, within: int) -> DataFrame:
-    """(k, win, at, n): how many of the window's ``words`` (win, tid) have an
-    occurrence at most ``within`` words from ``at`` in the row. Positions meet by
-    row, term and slot of 2 * within + 1 words, so that an occurrence meets those
-    of its two nearest slots only, however often a row repeats a word."""
-    slot = 2 * within + 1
-    need = near.join(words, "win").select("k", "win", "at", "tid", F.explode(F.array_distinct(F.array(
-        F.floor((F.col("at") - within) / slot), F.floor((F.col("at") + within) / slot)))).alias("slot"))
-    held = post.withColumn("slot", F.floor(F.col("pos") / slot))
-    return need.join(held, ["k", "tid", "slot"]).filter(F.abs(F.col("pos") - F.col("at")) <= within) \
-        .groupBy("k", "win", "at").agg(F.count_distinct("tid").alias("n"))
+def _pos(v: Column) -> Column:
+    return F.shiftright(v, 32).cast("int")
+
+
+def _term(v: Column) -> Column:
+    return F.shiftright(v.bitwiseAND(F.lit((1 << 32) - 1)), 1).cast("int")
+
+
+def _lists(index: DataFrame, rare: DataFrame) -> DataFrame:
+    """(k, list): a row's postings in order, each one number: position, term and,
+    in the last bit, whether the term is among ``rare`` (tid). Postings travel
+    once, by row; copies of a row, which share its key, are one before that."""
+    post = index.filter("tid > 0").select("k", "pos", "tid")
+    copies = written(index.filter("tid = 0").groupBy("k").count().filter("count > 1").select("k"), "decontam-copies")
+    post = post.join(copies, "k", "left_anti").unionByName(post.join(copies, "k", "left_semi").distinct())
+    post = post.join(rare.withColumn("rare", F.lit(1)), "tid", "left") \
+        .select("k", (F.shiftleft(F.col("pos").cast("long"), 32) + F.col("tid").cast("long") * 2 + F.coalesce("rare", F.lit(0))).alias("v"))
+    return post.repartition("k").groupBy("k").agg(F.sort_array(F.collect_list("v")).alias("list"))
 
 
 def proximity_matches(index: DataFrame, windows: DataFrame, terms: DataFrame, within: int = 20) -> DataFrame:
     """(k, pos, win): all distinct words of the window lie at most ``within``
-    words from its rarest word's occurrence at ``pos``. The second rarest word is
-    looked for first; the others only where it is near."""
+    words from its rarest word's occurrence at ``pos``. Each such occurrence meets
+    its window's words with the terms around it, taken from its row's list."""
     ranked = _ranked(index, windows, terms)
-    words = ranked.groupBy("win", "tid").agg(F.min("rank").alias("rank"))
-    by = W.partitionBy("win")
-    words = written(words.withColumn("nth", F.row_number().over(by.orderBy("rank")))
-                    .withColumn("size", F.count(F.lit(1)).over(by)).select("win", "tid", "nth", "size"), "decontam-words")
-    post = index.filter("tid > 0").select("k", "pos", "tid").distinct()
-    near = post.join(words.filter("nth = 1").select("tid", "win", "size"), "tid").select("k", "win", F.col("pos").alias("at"), "size")
-    alone = near.filter("size = 1").select("k", "win", "at")
-    two = _with_near(near.filter("size > 1").select("k", "win", "at"), words.filter("nth = 2").select("win", "tid"), post, within)
-    two = written(two.select("k", "win", "at").join(words.filter("nth = 1").select("win", "size"), "win"), "decontam-near")
-    rest = _with_near(two.filter("size > 2").select("k", "win", "at"), words.filter("nth > 2").select("win", "tid"), post, within)
-    rest = rest.join(words.filter("nth = 1").select("win", "size"), "win").filter("n = size - 2")
-    return alone.unionByName(two.filter("size = 2").select("k", "win", "at")).unionByName(rest.select("k", "win", "at")) \
+    words = written(ranked.groupBy("win").agg(F.min_by("tid", "rank").alias("tid"), F.collect_set("tid").alias("words")), "decontam-words")
+    lists = _lists(index, words.select("tid").distinct())
+    # positions differ, so no more than ``within`` postings of a side are near
+    around = F.slice("list", F.greatest(F.col("i") - within, F.lit(0)) + 1, F.lit(2 * within + 1))
+    near = F.filter("around", lambda x: F.abs(_pos(x) - F.col("at")) <= within)
+    rare = lists.select("k", "list", F.posexplode("list").alias("i", "v")).filter("v % 2 = 1") \
+        .select("k", _pos(F.col("v")).alias("at"), _term(F.col("v")).alias("tid"), around.alias("around")) \
+        .select("k", "at", "tid", F.transform(near, _term).alias("near"))
+    return rare.join(words, "tid").filter(F.size(F.array_except("words", "near")) == 0) \
         .select("k", F.col("at").alias("pos"), "win")
 
 

@@ -120,6 +120,26 @@ def test_proximity_equals_brute_force_also_in_long_texts(spark):
         assert sorted((x.doc_id, x.n_near) for x in got.collect()) == near_brute(rows, items, within)
 
 
+def test_proximity_of_copied_rows(spark):
+    text = "w1 q w2 q q the " * 30
+    rows = [(1, text)] * 5 + [(2, text), (3, "the w2 w1"), (3, "the w2 w1"), (4, "w1 " + "q " * 21 + "w2 the"), (5, None), (5, None)]
+    items = [(1, "w1 w2 the"), (2, "the the w2"), (3, "q"), (4, "w1")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for within in (1, 20, 60):
+        got = D.contamination(df, spark.createDataFrame(items, "item_id long, text string"), within=within)
+        assert sorted((x.doc_id, x.n_near) for x in got.collect()) == near_brute(rows, items, within)
+
+
+def test_proximity_moves_postings_once(spark):
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    w = D.windows_of(items)
+    terms = D.vocabulary(w)
+    index = D.build_index(spark.createDataFrame([(1, "alpha beta gamma")], "doc_id long, text string"), terms)
+    plan = D.proximity_matches(index, w, terms)._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning(k" in x]
+    assert len(moved) == 2    # all postings by row, before it those of copied rows
+
+
 def test_stage(spark, tmp_dir, documents):
     spark.createDataFrame([(1, " ".join(f"k{i}" for i in range(15)))], "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
     docs = documents([(1, " ".join(f"K{i}" for i in range(15))), (2, "clean words"), (3, None), (1, "clean too"),

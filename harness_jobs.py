@@ -120,15 +120,17 @@ def distinct_users(spark: SparkSession, sf: str, folder: str) -> DataFrame:
 SPAN = "4000 days"
 
 
-def _as_stream(spark: SparkSession, rows: DataFrame, folder: str, ts: str, marks: dict, files: int = 4) -> DataFrame:
-    """``rows`` written as several files and streamed file by file; two rows far
-    behind the last time (``marks``: their columns) follow and close everything."""
+def _as_stream(spark: SparkSession, rows: DataFrame, folder: str, ts: str, marks: dict) -> DataFrame:
+    """``rows`` written as a file per core of the cluster (at least 4) and
+    streamed in two halves; two rows far behind the last time (``marks``: their
+    columns) follow and close everything."""
+    files = 2 * max(2, spark.sparkContext.defaultParallelism // 2)
     rows.repartition(files, *rows.columns).write.parquet(folder)
     end = rows.agg((F.max(ts).cast("timestamp") + F.expr("INTERVAL 9000 DAYS")).cast(rows.schema[ts].dataType).alias(ts))
     for _ in range(2):
         end.select(*[(F.col(ts) if f.name == ts else F.lit(marks.get(f.name)).cast(f.dataType)).alias(f.name) for f in rows.schema.fields]) \
             .write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files // 2).parquet(folder)
 
 
 def _until_done(writer, folder: str) -> None:

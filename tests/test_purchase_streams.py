@@ -125,3 +125,19 @@ def test_late_purchases_are_dropped(spark, tmp_dir, state_store):
     _run(transitions_stream(_stream(spark, src), R, watermark="1 hour"), out, ck)
     got = {(r[R.client], r[R.id], r["categorie_precedente"], r[R.category]) for r in spark.read.parquet(out).collect()}
     assert got == {("c", 2, "a", "b"), ("c", 5, "b", "c")}
+
+
+def test_purchases_pass_the_processor_packed(spark, tmp_dir, state_store):
+    """A client's purchases of a micro-batch are one row, in parts of 10,000;
+    without an id they come first at their instant, as in a batch."""
+    src, out, ck = (f"{tmp_dir}/pk_{x}" for x in ("in", "out", "ck"))
+    m = lambda x: T0 + dt.timedelta(minutes=x)
+    rows = [("hot", m(i * 7919 % 12_000), 1.0, "xyz"[i % 3], i) for i in range(12_000)] + [(f"c{i % 5}", m(i), 1.0, "a\"b\u00e9"[i % 4], i) for i in range(60)]
+    rows += [("n", m(1), 1.0, "x", 7), ("n", m(1), 1.0, "y", None), ("n", m(2), 1.0, None, 8), ("n", m(3), 1.0, "z", 9), (None, m(1), 1.0, "x", 1), ("n", None, 1.0, "x", 2)]
+    end = m(20_000)
+    _add(spark, src, [rows, [("closing", end, 1.0, "x", 1)], [("closing", end, 1.0, "x", 2)]])
+    _run(transitions_stream(_stream(spark, src), R, watermark="2 hours"), out, ck)
+    want = category_transitions(spark.createDataFrame(rows[:-2], PURCHASE), R)
+    pairs = spark.read.parquet(out)
+    assert _key(transition_counts(pairs, R).collect()) == _key((r[0], r[1], r[2]) for r in want.collect())
+    assert sorted(tuple(r)[3:] for r in pairs.where("client_id = 'n'").collect()) == [("x", None), ("y", "x")]

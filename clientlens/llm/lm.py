@@ -43,6 +43,7 @@ from clientlens.llm.shingles import grouped, mix, word_spans
 
 WINDOW, STRIDE, DIMS, CLASSES, HEAVY = 24, 20, 16, 64, 1 << 20
 PROFILE = 64  # hash slots of the tokens before or after a token
+TABLE = 21  # a coder's table of words has 2^TABLE places
 _BLOCK = 1_000_000
 
 
@@ -53,7 +54,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Subwords:
-    """Subword ids of words by their hashes; remembers up to ``keep`` words."""
+    """Subword ids of words by their hashes; codes at most ``keep`` words, then forgets them all."""
 
     def __init__(self, ranks: dict[bytes, int], keep: int = 600_000):
         import tiktoken
@@ -65,36 +66,41 @@ class Subwords:
         self._clear()
 
     def _clear(self):
-        self.slot: dict[int, int] = {}
+        # a word's hash picks its place in the table, which the latest word of that place holds
+        self.table, self.known = np.zeros(1 << TABLE, np.int32), 0
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
-        self.begin, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.word, self.begin, self.count = np.zeros(1 << 14, np.uint64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def slots(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(distinct hashes, word -> distinct, distinct -> slot)."""
         u, first, inverse = grouped(h)
-        if len(self.slot) + len(u) > self.keep + len(u) * (not self.slot):
+        if self.known + len(u) > self.keep + len(u) * (not self.known):
             self._clear()
-        slot, keys = self.slot, u.tolist()
-        new = [i for i, k in enumerate(keys) if k not in slot]
-        if new:
+        place = (u >> np.uint64(64 - TABLE)).view(np.int64)
+        slot = self.table[place].astype(np.int64)
+        new = np.flatnonzero((self.word[slot] != u) | (slot >= self.known))
+        if len(new):
             data = raw.tobytes()
             at = first[new]
             # one call for all words: no word holds a line feed, whose token so marks their ends
             lines = b"".join([b" %b\n" % data[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
             ids = np.array(self._code.encode_ordinary(lines.decode("utf-8", "replace")), np.int32)
             stop = np.flatnonzero(ids == self.line)
-            n, base = np.diff(stop, prepend=-1) - 1, len(slot)
+            n, base = np.diff(stop, prepend=-1) - 1, self.known
             flat = ids[ids != self.line]
             if self.used + len(flat) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.zeros(self.used + len(flat), np.int32)])
             if base + len(new) > len(self.begin):
                 more = np.zeros(base + len(new), np.int64)
                 self.begin, self.count = np.concatenate([self.begin, more]), np.concatenate([self.count, more])
+                self.word = np.concatenate([self.word, more.view(np.uint64)])
             self.flat[self.used:self.used + len(flat)] = flat
             self.begin[base:base + len(new)], self.count[base:base + len(new)] = self.used + np.cumsum(n) - n, n
             self.used += len(flat)
-            slot.update(zip([keys[i] for i in new], range(base, base + len(new))))
-        return u, inverse, np.fromiter(map(slot.__getitem__, keys), np.int64, len(keys))
+            slot[new] = np.arange(base, base + len(new))
+            self.word[slot[new]], self.table[place[new]] = u[new], slot[new]
+            self.known += len(new)
+        return u, inverse, slot
 
     def expand(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(subword ids of the words in order, how many each has)."""
@@ -139,38 +145,55 @@ class AttentionModel:
         """Natural log probability of each target (windows, STRIDE), given the
         window's inputs (windows, WINDOW) up to its place."""
         tables = tables or self.tables()
-        got = np.empty(targets.shape, np.float32)
+        got, n = np.empty(targets.shape, np.float32), min(batch, len(inputs))
+        space = [np.empty((n, *shape), np.float32) for shape in ((WINDOW, tables[0].shape[1]), (STRIDE, WINDOW), (STRIDE, self.emb.shape[1]), (STRIDE, CLASSES))]
         with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
             for s in range(0, len(inputs), batch):
                 part = slice(s, s + batch)
-                cls = self.token_class[targets[part]].ravel()
-                got[part] = self._class_log_prob(inputs[part], cls, tables, False)
+                cls = self.token_class[targets[part]]
+                room = [m[:len(cls)] for m in space]
+                got[part] = self._class_log_prob(inputs[part], cls, tables, False, *room)
                 if not np.isfinite(got[part]).all():  # an exponential left the range of floats
-                    got[part] = self._class_log_prob(inputs[part], cls, tables, True)
+                    got[part] = self._class_log_prob(inputs[part], cls, tables, True, *room)
         return got + self.log_share[targets]
 
-    def _class_log_prob(self, inputs: np.ndarray, cls: np.ndarray, tables, shifted: bool) -> np.ndarray:
-        """Masked attention over one batch. All products and sums are those of one
+    def _class_log_prob(self, inputs: np.ndarray, cls: np.ndarray, tables, shifted: bool, x, a, y, z) -> np.ndarray:
+        """Masked attention over one batch, in the room of x, a, y, z. All products and sums are those of one
         window, so equal windows get equal bits wherever they stand."""
         tok, pos, out, bias = tables
         d, skip = self.emb.shape[1], WINDOW - STRIDE
-        x = tok.take(inputs.ravel(), 0).reshape(len(inputs), WINDOW, -1)
+        tok.take(inputs, 0, out=x, mode="clip")
         x += pos
-        a = np.matmul(x[:, skip:, :d], x[..., d:2 * d].transpose(0, 2, 1))
-        a += np.triu(np.full((STRIDE, WINDOW), -1e9, np.float32), skip + 1)
-        if shifted:
-            a -= a.max(2, keepdims=True)
-        np.exp(a, out=a)
-        y = np.matmul(a, x[..., 2 * d:3 * d])
-        y /= a.sum(2, keepdims=True)
+        np.matmul(x[:, skip:, :d], x[..., d:2 * d].transpose(0, 2, 1), out=a)
+        total = _attend(a, _sees(np.float32), shifted)
+        np.matmul(a, x[..., 2 * d:3 * d], out=y)
+        y /= total
         y += x[:, skip:, 3 * d:]
-        z = np.matmul(y, out).reshape(-1, out.shape[1])  # one product a window
-        z += bias
+        np.matmul(y, out, out=z)  # one product a window
         if shifted:
-            z -= z.max(1, keepdims=True)
-        hit = z[np.arange(len(z)), cls]
+            z += bias
+            z -= z.max(2, keepdims=True)
+        hit = z[np.arange(len(z))[:, None], np.arange(STRIDE), cls]
         np.exp(z, out=z)
-        return (hit - np.log(z.sum(1))).reshape(-1, STRIDE)
+        if shifted:
+            return hit - np.log(z.sum(2))
+        return hit + bias[cls] - np.log(z @ np.exp(bias))  # the bias enters as a factor
+
+
+def _sees(kind) -> np.ndarray:
+    """1 where a place of a window sees an input, 0 where not."""
+    return np.tri(STRIDE, WINDOW, WINDOW - STRIDE, dtype=kind)
+
+
+def _attend(a: np.ndarray, sees: np.ndarray, shifted: bool) -> np.ndarray:
+    """Turns a into its exponentials, 0 where not seen (those less the largest
+    seen, if ``shifted``); their sums over the inputs."""
+    if shifted:
+        a += np.where(sees, 0, -np.inf).astype(a.dtype)
+        a -= a.max(2, keepdims=True)
+    np.exp(a, out=a)
+    a *= sees
+    return (a @ np.ones(WINDOW, a.dtype))[..., None]
 
 
 def windows(ids: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -184,16 +207,12 @@ def windows(ids: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, np.nd
     count = -(-m // STRIDE)
     owner = np.repeat(np.arange(len(n)), count)
     nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    length = skip + m
+    length = skip + count * STRIDE + 1
     first = np.cumsum(length) - length
-    line = np.full(length.sum() + 1, end, np.int32)
+    line = np.full(length.sum(), end, np.int32)
     line[np.arange(len(ids)) + np.repeat(first + skip + 1 - (np.cumsum(n) - n), n)] = ids
-    offset = nth[:, None] * STRIDE + np.arange(WINDOW)
-    last = length[owner][:, None]
-    inputs = np.where(offset < last, line[np.minimum(first[owner][:, None] + offset, len(line) - 1)], end)
-    after = offset[:, skip:] + 1
-    targets = np.where(after < last, line[np.minimum(first[owner][:, None] + after, len(line) - 1)], end)
-    return inputs, targets, after <= last, owner
+    z = np.lib.stride_tricks.sliding_window_view(line, WINDOW + 1)[first[owner] + nth * STRIDE] if len(n) else np.zeros((0, WINDOW + 1), np.int32)
+    return z[:, :WINDOW], z[:, skip + 1:], np.arange(STRIDE) < (m[owner] - nth * STRIDE)[:, None], owner
 
 
 def train(inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, counts: np.ndarray, seed: int = 2,
@@ -248,43 +267,103 @@ def first_weights(cls: np.ndarray, counts: np.ndarray, rng, after: np.ndarray |
 
 def descend(p: dict, seen: dict, cls: np.ndarray, inputs: np.ndarray, targets: np.ndarray, scored: np.ndarray, rng,
             epochs: int, batch: int = 64, rate: float = 0.08, weight: np.ndarray | None = None) -> None:
-    """Adagrad on the class loss of the windows, in place."""
-    skip, d, kind = WINDOW - STRIDE, DIMS, p["emb"].dtype
-    root = float(np.sqrt(d))
-    mask = np.triu(np.full((STRIDE, WINDOW), -1e9, kind), skip + 1)
+    """Adagrad on the class loss of the windows, in place. A batch takes few
+    numpy calls, in arrays kept for the next: the weights but the embeddings are
+    one vector, queries, keys and values one product, and the bias is a factor."""
+    skip, d, kind, most = WINDOW - STRIDE, DIMS, p["emb"].dtype, min(batch, len(inputs))
+    if not most:
+        return
     scored = scored.astype(kind) if weight is None else scored * weight[:, None].astype(kind)
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    for _ in range(epochs if len(inputs) else 0):
-        order = rng.permutation(len(inputs))
-        for s in range(0, len(order), batch):
-            pick = order[s:s + batch]
-            x_in, y, w = inputs[pick], cls[targets[pick]], scored[pick]
-            x = p["emb"][x_in] + p["pos"]
-            q, k, u = x[:, skip:] @ p["wq"], x @ p["wk"], x @ p["wv"]
-            a = q @ k.transpose(0, 2, 1) / root + mask
-            a = np.exp(a - a.max(2, keepdims=True))
-            a /= a.sum(2, keepdims=True)
-            h = a @ u + x[:, skip:]
-            z = h @ p["out"] + p["bias"]
-            z = np.exp(z - z.max(2, keepdims=True))
-            z /= z.sum(2, keepdims=True)
-            z[np.arange(len(pick))[:, None], np.arange(STRIDE), y] -= 1
-            z *= w[..., None] / max(1, w.sum())
-            dh = z @ p["out"].T
-            da = dh @ u.transpose(0, 2, 1)
-            ds = a * (da - (da * a).sum(2, keepdims=True)) / root
-            dq, dk, du = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
-            dx = dk @ p["wk"].T + du @ p["wv"].T
-            dx[:, skip:] += dh + dq @ p["wq"].T
-            g = {"pos": dx.sum(0), "out": flat(h).T @ flat(z), "bias": z.sum((0, 1)),
-                 "wq": flat(x[:, skip:]).T @ flat(dq), "wk": flat(x).T @ flat(dk), "wv": flat(x).T @ flat(du)}
-            for n, e in g.items():
-                seen[n] += e * e
-                p[n] -= rate * e / np.sqrt(seen[n])
-            ids, back = np.unique(x_in, return_inverse=True)
-            e = np.stack([np.bincount(back.ravel(), dx[..., j].ravel(), len(ids)) for j in range(d)], 1).astype(kind)
-            seen["emb"][ids] += e * e
-            p["emb"][ids] -= rate * e / np.sqrt(seen["emb"][ids])
+    inputs, targets = inputs.astype(np.uint16 if len(p["emb"]) <= 1 << 16 else np.int32), cls[targets]
+    space = [np.zeros((most, *shape), kind) for shape in
+             ((WINDOW, 4 * d), (WINDOW, 3 * d), (STRIDE, WINDOW), (STRIDE, WINDOW), *[(STRIDE, d)] * 4, (STRIDE, CLASSES), (WINDOW, d))]
+    sees, ones, flat = _sees(kind), np.ones(d, kind), lambda m: m.reshape(-1, m.shape[-1])
+    row, new, pair = np.arange(most * STRIDE), np.ones(most * WINDOW, bool), np.result_type(kind, np.complex64)
+    weights, met, slope = (np.zeros(sum(p[k].size for k in PARTS[1:]), kind) for _ in range(3))
+    for to, parts in ((weights, p), (met, seen)):
+        for k, m in _views(to).items():
+            if k in parts:
+                m[:] = parts[k]
+    now, grad = _views(weights), _views(slope)
+    size = np.repeat(np.array([1 / np.sqrt(d), 1, 1], kind), d)  # of queries, keys, values
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        for _ in range(epochs):
+            turn = rng.permutation(len(inputs))
+            for s in range(0, len(turn), batch):
+                pick = turn[s:s + batch]
+                x, g, a, ds, att, h, dh, dt, z, dx = (m[:len(pick)] for m in space) if len(pick) < most else space
+                # distinct tokens, the order that sorts them, each input's index among them
+                x_in, y, w = inputs.take(pick, 0).ravel(), targets.take(pick, 0).ravel(), scored.take(pick, 0).ravel()
+                w /= max(1, w.sum())
+                order = x_in.argsort(kind="stable")
+                line, lead = x_in.take(order), new[:len(x_in)]
+                np.not_equal(line[1:], line[:-1], out=lead[1:])
+                back = np.empty(len(line), np.intp)
+                back[order] = np.cumsum(lead)
+                back -= 1
+                first = np.flatnonzero(lead)
+                ids = line.take(first)
+                e, w3 = p["emb"].take(ids, 0), now["qkv"] * size
+                own = (flat(z)[:len(y)], row[:len(y)], y)
+                for shifted in (False, True):
+                    np.concatenate([e @ w3, e], 1).take(back, 0, out=flat(x), mode="clip")
+                    x += np.concatenate([now["pos"] @ w3, now["pos"]], 1)
+                    q, k, u = x[:, skip:, :d], x[..., d:2 * d], x[..., 2 * d:3 * d]
+                    np.matmul(q, k.transpose(0, 2, 1), out=a)
+                    total = _attend(a, sees, shifted)
+                    np.matmul(a, u, out=att)
+                    att /= total
+                    np.add(att, x[:, skip:, 3 * d:], out=h)
+                    np.matmul(flat(h), now["out"], out=flat(z))
+                    if shifted:
+                        z += now["bias"]
+                        z -= z.max(2, keepdims=True)
+                    by = np.exp(now["bias"] * (not shifted))
+                    np.exp(z, out=z)
+                    mass = flat(z) @ by
+                    own[0][own[1:]] -= mass / by.take(y)  # z times by and f: the loss's slope
+                    f = w / mass
+                    np.matmul(f, flat(z), out=grad["bias"])
+                    if total.min() > 1e-20 and f.max() < 1e20 and np.isfinite(grad["bias"]).all():
+                        break  # else an exponential left the range of floats
+                np.matmul(flat(z), by[:, None] * now["out"].T, out=flat(dh))
+                dh *= f.reshape(-1, STRIDE, 1)
+                np.divide(dh, total, out=dt)
+                h *= f.reshape(-1, STRIDE, 1)
+                np.matmul(flat(h).T, flat(z), out=grad["out"])
+                slope[-CLASSES * (d + 1):].reshape(-1, CLASSES)[:] *= by  # out and bias
+                np.matmul(dt, u.transpose(0, 2, 1), out=ds)
+                att *= dt
+                ds -= (att @ ones)[..., None]
+                ds *= a
+                np.matmul(ds, k, out=g[:, skip:, :d])
+                np.matmul(ds.transpose(0, 2, 1), q, out=g[..., d:2 * d])
+                np.matmul(a.transpose(0, 2, 1), dt, out=g[..., 2 * d:])
+                np.matmul(flat(x)[:, 3 * d:].T, flat(g), out=grad["qkv"])
+                grad["qkv"] *= size
+                np.matmul(flat(g), w3.T, out=flat(dx))
+                dx[:, skip:] += dh
+                dx.sum(0, out=grad["pos"])
+                met += slope * slope
+                weights -= rate * slope / np.sqrt(met)
+                # two numbers as one complex number: half as many sums
+                e1 = np.add.reduceat(flat(dx).take(order, 0).view(pair), first, 0).view(kind)
+                s1 = seen["emb"].take(ids, 0) + e1 * e1
+                seen["emb"][ids] = s1
+                p["emb"][ids] = e - rate * e1 / np.sqrt(s1)
+    for to, parts in ((weights, p), (met, seen)):
+        for k, m in _views(to).items():
+            if k in parts:
+                parts[k][:] = m
+
+
+def _views(dense: np.ndarray) -> dict[str, np.ndarray]:
+    """The weights but the embeddings, as parts of one vector."""
+    d, at = DIMS, np.cumsum([0, WINDOW * DIMS, 3 * DIMS * DIMS, DIMS * CLASSES, CLASSES])
+    pos, qkv, out, bias = (dense[a:b] for a, b in zip(at, at[1:]))
+    qkv = qkv.reshape(d, 3 * d)
+    return {"pos": pos.reshape(WINDOW, d), "qkv": qkv, "wq": qkv[:, :d], "wk": qkv[:, d:2 * d], "wv": qkv[:, 2 * d:],
+            "out": out.reshape(d, CLASSES), "bias": bias}
 
 
 def cluster_tokens(before: np.ndarray, counts: np.ndarray, rounds: int = 10) -> np.ndarray:
@@ -306,10 +385,11 @@ def cluster_tokens(before: np.ndarray, counts: np.ndarray, rounds: int = 10) ->
 
 def _rows_to_windows(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, targets, scored, weight) of stored windows, in a fixed order."""
-    rows = rows.sort_by("line")
-    data = b"".join(rows.column("line").to_pylist())
-    kind = np.uint16 if len(data) == rows.num_rows * 2 * (WINDOW + 2) else np.int32
-    z = np.frombuffer(data, kind).reshape(-1, WINDOW + 2).astype(np.int64)
+    rows = rows.sort_by("line").combine_chunks()
+    line = pa.concat_arrays(rows.column("line").cast(pa.binary()).chunks) if rows.num_rows else pa.array([], pa.binary())
+    first, last = (np.frombuffer(line.buffers()[1], np.int32)[[line.offset, line.offset + len(line)]] if len(line) else (0, 0))
+    kind = np.uint16 if last - first == len(line) * 2 * (WINDOW + 2) else np.int32
+    z = np.frombuffer(line.buffers()[2], np.uint8)[first:last].view(kind).reshape(-1, WINDOW + 2) if len(line) else np.zeros((0, WINDOW + 2), kind)
     skip = WINDOW - STRIDE
     return z[:, :WINDOW], z[:, skip + 1:WINDOW + 1], np.arange(STRIDE) < z[:, -1:], rows.column("n").to_numpy().astype(float)
 
@@ -327,13 +407,14 @@ def _shard(held, seed: int):
     each row of the others (from -1 down), its change times its weight."""
     def run(rows: pa.Table) -> pa.Table:
         p0, seen0, cls = held.value
-        p, seen = ({k: x.copy() for k, x in z.items()} for z in (p0, seen0))
         x, y, w, n = _rows_to_windows(rows)
-        descend(p, seen, cls, x, y, w, np.random.default_rng(seed), 1, weight=n)
-        hits = np.bincount(x.ravel(), minlength=len(p["emb"]))
+        hits = np.bincount(x.ravel(), minlength=len(p0["emb"]))
         met = np.flatnonzero(hits)
+        # the shard's own tokens alone, numbered anew
+        p, seen = ({k: v[met] if k == "emb" else v.copy() for k, v in z.items()} for z in (p0, seen0))
+        descend(p, seen, cls, (np.cumsum(hits > 0) - 1)[x], y, w, np.random.default_rng(seed), 1, weight=n)
         dense = _dense(p) - _dense(p0)
-        step = np.concatenate([(p["emb"][met] - p0["emb"][met]) * hits[met, None], dense]).astype(np.float64)
+        step = np.concatenate([(p["emb"] - p0["emb"][met]) * hits[met, None], dense]).astype(np.float64)
         return pa.table([pa.array(np.concatenate([met, -1 - np.arange(len(dense))]).astype(np.int32)),
                          pa.array(np.concatenate([hits[met], np.ones(len(dense))]).astype(np.float64)), *map(pa.array, np.ascontiguousarray(step.T))],
                         names=["row", "hits", *_STEP])
@@ -389,10 +470,15 @@ def _count(held, share: float):
     (line, n): drawn windows."""
     names = ["h", "n", "token", "line"]
 
+    def counted(words):
+        u, _, inverse = grouped(np.concatenate([w for w, _ in words]))
+        n = np.bincount(inverse, np.concatenate([n for _, n in words]), len(u)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n), pa.nulls(len(u), pa.int32()), pa.nulls(len(u), pa.binary())], names=names)
+
     def run(batches):
         sub = coder(held.value)
         slot_of, cells = slots_of(sub.size), sub.size * PROFILE
-        total = np.zeros(2 * cells, np.int64)
+        total, words, held_words = np.zeros(2 * cells, np.int64), [], 0
         for b in batches:
             key = b.column("s").to_numpy()
             for first, part in text_blocks(b.column("t").to_pylist(), _BLOCK):
@@ -409,8 +495,13 @@ def _count(held, share: float):
                 k, wide = len(got), got.itemsize * (WINDOW + 2)
                 data = pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer(np.arange(0, (k + 1) * wide, wide, dtype=np.int32)), pa.py_buffer(got.tobytes())])
                 yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.array(np.ones(k, np.int64)), pa.nulls(k, pa.int32()), data], names=names)
-                n = np.bincount(inverse, minlength=len(u))
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n), pa.nulls(len(u), pa.int32()), pa.nulls(len(u), pa.binary())], names=names)
+                words.append((u, np.bincount(inverse, minlength=len(u))))
+                held_words += len(u)
+                if held_words > _BLOCK:
+                    yield counted(words)
+                    words, held_words = [], 0
+        if words:
+            yield counted(words)
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.nulls(len(hit), pa.int64()), pa.array(total[hit]), pa.array(hit.astype(np.int32)), pa.nulls(len(hit), pa.binary())], names=names)
     return run

@@ -196,3 +196,79 @@ def test_beats_a_subword_unigram_on_held_out_texts(spark):
     got = {r.doc_id: r.score for r in M.score_texts(docs, held_out("doc_id", 5), VOCABULARY).filter("held_out").collect()}
     score = np.array([got[r.doc_id] for r in held])
     assert (score > unigram).mean() > 0.95 and score.sum() > 0.85 * unigram.sum()
+
+
+def plain_descend(p, seen, cls, inputs, targets, scored, rng, epochs, batch=64, rate=0.08, weight=None):
+    """Adagrad by the plain formulas, every weight's product for itself."""
+    mask = np.triu(np.full((M.STRIDE, M.WINDOW), -np.inf), SKIP + 1)
+    scored = scored * (np.ones(len(inputs)) if weight is None else weight)[:, None]
+    for _ in range(epochs):
+        order = rng.permutation(len(inputs))
+        for s in range(0, len(order), batch):
+            pick = order[s:s + batch]
+            y, w, root = cls[targets[pick]], scored[pick], np.sqrt(M.DIMS)
+            x = p["emb"][inputs[pick]] + p["pos"]
+            late = x[:, SKIP:]
+            q, k, u = late @ p["wq"], x @ p["wk"], x @ p["wv"]
+            a = q @ k.transpose(0, 2, 1) / root + mask
+            a = np.exp(a - a.max(2, keepdims=True))
+            a /= a.sum(2, keepdims=True)
+            h = a @ u + late
+            z = h @ p["out"] + p["bias"]
+            z = np.exp(z - z.max(2, keepdims=True))
+            z /= z.sum(2, keepdims=True)
+            z = (z - np.eye(M.CLASSES)[y]) * w[..., None] / max(1, w.sum())
+            dh = z @ p["out"].T
+            da = dh @ u.transpose(0, 2, 1)
+            ds = a * (da - (da * a).sum(2, keepdims=True)) / root
+            dq, dk, du = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dh
+            dx = dk @ p["wk"].T + du @ p["wv"].T
+            dx[:, SKIP:] += dh + dq @ p["wq"].T
+            g = {"pos": dx.sum(0), "out": np.einsum("bti,btj->ij", h, z), "bias": z.sum((0, 1)), "emb": np.zeros_like(p["emb"]),
+                 **{n: np.einsum("bti,btj->ij", v, e) for n, v, e in (("wq", late, dq), ("wk", x, dk), ("wv", x, du))}}
+            np.add.at(g["emb"], inputs[pick], dx)
+            for n, e in g.items():
+                seen[n] += e * e
+                p[n] -= rate * e / np.sqrt(seen[n])
+
+
+@pytest.mark.parametrize("size", [1, 60])  # 60: some exponentials leave the range of floats unless shifted
+def test_learning_steps_are_those_of_the_plain_formulas(size):
+    rng, m = np.random.default_rng(4), small_model()
+    x = rng.integers(0, 50, (150, M.WINDOW + 1))
+    scored = np.arange(M.STRIDE) < rng.integers(1, M.STRIDE + 1, (150, 1))
+    now, plain = ({k: getattr(m, k) * (size if k in ("emb", "out") else 1) for k in M.PARTS} for _ in range(2))
+    seen, plain_seen = ({k: np.full_like(v, 1e-2) for k, v in now.items()} for _ in range(2))
+    for step, p, s in ((M.descend, now, seen), (plain_descend, plain, plain_seen)):
+        step(p, s, m.token_class, x[:, :-1], x[:, SKIP + 1:], scored, np.random.default_rng(7), 2, weight=1.0 + np.arange(150) % 3)
+    for k in now:
+        assert np.isfinite(now[k]).all() and np.allclose(now[k], plain[k], rtol=1e-6, atol=1e-6), k
+        assert np.allclose(seen[k], plain_seen[k], rtol=1e-5, atol=1e-9), k
+
+
+def test_words_sharing_a_place_of_the_table_keep_their_subwords(monkeypatch):
+    """With two places nearly all words push each other out, and with few kept all are forgotten again and again."""
+    texts = [" ".join(f"word{i * k % 97}" for i in range(60)) for k in (1, 2, 3, 5)]
+    def coded(sub):
+        out = []
+        for t in texts * 2:
+            raw, start, end, h, _ = word_spans([t])
+            _, inverse, slot = sub.slots(raw, start, end, h)
+            out.append(sub.expand(slot[inverse])[0].tolist())
+        return out
+    ranks = M.read_ranks(VOCABULARY)
+    want = coded(M.Subwords(ranks))
+    assert want == coded(M.Subwords(ranks, keep=30))
+    monkeypatch.setattr(M, "TABLE", 1)
+    assert want == coded(M.Subwords(ranks)) == coded(M.Subwords(ranks, keep=70))
+
+
+def test_a_task_counts_its_words_together(spark):
+    """A word is one row of a task, not one of each block of texts."""
+    import pyarrow as pa
+
+    class Held:
+        value = M.read_ranks(VOCABULARY)
+    batches = [pa.RecordBatch.from_pydict({"t": ["some words here", "some more"], "s": [1, 2]})] * 3
+    rows = [r for b in M._count(Held, 0.0)(iter(batches)) for r in b.to_pylist() if r["h"] is not None]
+    assert sorted(r["n"] for r in rows) == [3, 3, 3, 6]
